@@ -1,0 +1,266 @@
+"""Registered queries: each reads the driver tables and runs one operator family.
+
+Importing this module fills ``catalog.QUERIES`` / ``catalog.ORACLE``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from lanewatch import constants as K
+from lanewatch.operators import features as FT
+from lanewatch.plans import oracle_sql as O
+from lanewatch.plans.catalog import register
+from lanewatch.sources import proxy
+
+FEATURE_TYPES = ([("ROTTA", "str"), ("ZONA", "str"), ("PAESE_PART", "str")]
+                 + [(c, "double") for c in FT.ALARM_NUMERIC + FT.TRAVELLER_NUMERIC]
+                 + [(c, "str") for c in FT.TRAVELLER_CATEGORICAL] + [("score_composito", "double")])
+
+
+def _features(spark, sf_dir, grain="nation"):
+    return FT.entity_features(proxy.alarm_feed(spark, sf_dir, grain), proxy.traveller_feed(spark, sf_dir, grain))
+
+
+# --------------------------------------------------------------------- features
+@register("entity_features", O.with_(O.features_cte()) + O.round_select(FEATURE_TYPES, "features"))
+def q_entity_features(spark, sf_dir):
+    """One row per route with all features and the composite score."""
+    return _features(spark, sf_dir).select(*[c for c, _ in FEATURE_TYPES])
+
+
+from lanewatch.operators import baseline as B  # noqa: E402
+from lanewatch.operators import rules as R  # noqa: E402
+from lanewatch.plans.pipeline import score_entities  # noqa: E402
+
+FEATS = K.BASELINE_FEATURES
+FEAT_SQL = O.with_(O.features_cte())
+BASE_SQL = O.with_(O.features_cte(), O.baseline_cte())
+RISK_SQL = O.with_(O.features_cte(), O.baseline_cte(), O.zonly_scored_cte(), O.risk_cte())
+
+
+def _baseline(spark, sf_dir):
+    return B.robust_zscores(_features(spark, sf_dir))
+
+
+def _risk_zonly(spark, sf_dir, classic: bool = False):
+    """Pipeline with the Z detector only: every stage SQL-expressible."""
+    f = _features(spark, sf_dir)
+    if classic:
+        f = B.classic_baseline(f).drop(*["z_" + c for c in FEATS])
+    scored, _ = score_entities(B.robust_zscores(f), detectors=("Z",))
+    return R.apply_rules(scored)
+
+
+@register("feature_quality", FEAT_SQL + f"""SELECT CAST(count(*) AS BIGINT) AS n_rotte, {len(FT.ALARM_NUMERIC + FT.TRAVELLER_NUMERIC) + 1} AS n_features,
+  CAST(0 AS BIGINT) AS null_totali,
+  CAST({' + '.join(f'count_if({c} < 0)' for c in FT.ALARM_NUMERIC + FT.TRAVELLER_NUMERIC + ['score_composito'])} AS BIGINT) AS negativi_totali,
+  round(round(avg(score_composito), 4), 6) AS score_mean, round(round(max(score_composito), 4), 6) AS score_max,
+  round(round(min(score_composito), 4), 6) AS score_min,
+  CAST(count_if(n_osservazioni_allarmi > 0 AND n_osservazioni_viag > 0) AS BIGINT) AS entrambi_dataset,
+  CAST(count_if(n_osservazioni_allarmi > 0 AND n_osservazioni_viag = 0) AS BIGINT) AS solo_allarmi,
+  CAST(count_if(n_osservazioni_allarmi = 0 AND n_osservazioni_viag > 0) AS BIGINT) AS solo_viaggiatori
+FROM features""")
+def q_feature_quality(spark, sf_dir):
+    """Feature-table quality report."""
+    return FT.feature_quality_report(_features(spark, sf_dir))
+
+
+_STATS_COLS = [("feature", "str"), ("mean", "double"), ("std", "double"), ("median", "double"), ("q1", "double"),
+               ("q3", "double"), ("iqr", "double"), ("p95", "double"), ("p99", "double"), ("tukey_upper", "double"),
+               ("tukey_lower", "double"), ("z_upper", "double"), ("is_sparse", "int")]
+
+
+def _stats_sql() -> str:
+    parts = []
+    for c in FEATS:
+        x = f"CAST({c} AS DOUBLE)"
+        parts.append(f"""SELECT {O.q(c)} AS feature, avg({x}) AS mean, stddev_samp({x}) AS std,
+  quantile_cont({x}, 0.5) AS median, quantile_cont({x}, 0.25) AS q1, quantile_cont({x}, 0.75) AS q3,
+  quantile_cont({x}, 0.75) - quantile_cont({x}, 0.25) AS iqr, quantile_cont({x}, 0.95) AS p95,
+  quantile_cont({x}, 0.99) AS p99,
+  CASE WHEN quantile_cont({x}, 0.75) - quantile_cont({x}, 0.25) > 0
+       THEN quantile_cont({x}, 0.75) + 1.5 * (quantile_cont({x}, 0.75) - quantile_cont({x}, 0.25))
+       ELSE quantile_cont({x}, 0.95) END AS tukey_upper,
+  CASE WHEN quantile_cont({x}, 0.75) - quantile_cont({x}, 0.25) > 0
+       THEN quantile_cont({x}, 0.25) - 1.5 * (quantile_cont({x}, 0.75) - quantile_cont({x}, 0.25)) END AS tukey_lower,
+  avg({x}) + 2.5 * stddev_samp({x}) AS z_upper,
+  CAST(quantile_cont({x}, 0.75) - quantile_cont({x}, 0.25) = 0 AS INTEGER) AS is_sparse FROM features""")
+    return FEAT_SQL + ", stats AS (" + "\nUNION ALL\n".join(parts) + ")\n" + O.round_select(_STATS_COLS, "stats")
+
+
+@register("baseline_stats", _stats_sql())
+def q_baseline_stats(spark, sf_dir):
+    """B1: per-feature baseline statistics (long format)."""
+    return B.feature_stats(_features(spark, sf_dir))
+
+
+_ROBUST_COLS = [("ROTTA", "str")] + [("z_" + c, "double") for c in FEATS] + [("baseline_score", "double"),
+                                                                             ("baseline_flag", "str")]
+
+
+@register("robust_baseline", O.with_(O.features_cte(), O.baseline_cte(),
+                                     O.quantile_label_cte("baseline", "bl", "baseline_score", "baseline_flag"))
+          + O.round_select(_ROBUST_COLS, "bl"))
+def q_robust_baseline(spark, sf_dir):
+    """Robust z per feature, baseline score, p97/p90 baseline flag."""
+    b = B.label_by_quantiles(_baseline(spark, sf_dir), "baseline_score", "baseline_flag")
+    return b.select(*[c for c, _ in _ROBUST_COLS])
+
+
+def _robust_stats_sql() -> str:
+    parts = []
+    for i, c in enumerate(FEATS):
+        x = f"coalesce(CAST({c} AS DOUBLE), 0.0)"
+        parts.append(f"""SELECT {O.q(c)} AS feature, avg({x}) AS mean, stddev_samp({x}) AS std, max(med_{i}) AS median,
+  quantile_cont(abs({x} - med_{i}), 0.5) AS mad FROM features, baseline_s1""")
+    return (O.with_(O.features_cte(), O.baseline_cte()) + ", rs AS (" + "\nUNION ALL\n".join(parts) + ")\n"
+            + O.round_select([("feature", "str"), ("mean", "double"), ("std", "double"), ("median", "double"),
+                              ("mad", "double"), ("scale", "double")],
+                             "(SELECT *, CASE WHEN mad > 0 THEN 1.4826 * mad WHEN std > 0 THEN std ELSE 0.0 END AS scale FROM rs)"))
+
+
+@register("robust_stats", _robust_stats_sql())
+def q_robust_stats(spark, sf_dir):
+    """Mean, std, median, MAD and robust scale per feature."""
+    return B.robust_stats(_features(spark, sf_dir))
+
+
+def _classic_cte(src="features", out="classic") -> str:
+    s = ", ".join(f"avg({c}) AS mean_{i}, stddev_samp({c}) AS std_{i}, quantile_cont({c}, 0.25) AS q1_{i}, "
+                  f"quantile_cont({c}, 0.75) AS q3_{i}, quantile_cont({c}, 0.95) AS p95_{i}"
+                  for i, c in enumerate(FEATS))
+    z = ", ".join(f"({c} - mean_{i}) / (CASE WHEN std_{i} = 0 THEN 1.0 ELSE std_{i} END) AS z_{c}"
+                  for i, c in enumerate(FEATS))
+    fl = ", ".join(
+        f"CAST(({c} > (CASE WHEN q3_{i} - q1_{i} > 0 THEN q3_{i} + 1.5 * (q3_{i} - q1_{i}) ELSE p95_{i} END)) "
+        f"OR (z_{c} > 2.5) AS INTEGER) AS flag_{c}" for i, c in enumerate(FEATS))
+    n = " + ".join(f"flag_{c}" for c in FEATS)
+    return f"""{out}_s AS (SELECT {s} FROM {src}),
+{out}_z AS (SELECT {src}.*, {out}_s.*, {z} FROM {src}, {out}_s),
+{out}_f AS (SELECT *, {fl} FROM {out}_z),
+{out} AS (SELECT *, {n} AS n_anomalie, round_even(({n}) / {float(len(FEATS))}, 4) AS pct_anomalie FROM {out}_f)"""
+
+
+_CLASSIC_COLS = ([("ROTTA", "str")] + [("z_" + c, "double") for c in FEATS] + [("flag_" + c, "int") for c in FEATS]
+                 + [("n_anomalie", "int"), ("pct_anomalie", "double")])
+
+
+@register("classic_baseline", O.with_(O.features_cte(), _classic_cte()) + O.round_select(_CLASSIC_COLS, "classic"))
+def q_classic_baseline(spark, sf_dir):
+    """B2 + B6: classic z-scores, hybrid Tukey/z flags, anomaly counts."""
+    return B.classic_baseline(_features(spark, sf_dir)).select(*[c for c, _ in _CLASSIC_COLS])
+
+
+@register("baseline_report", O.with_(O.features_cte(), _classic_cte()) + "\nUNION ALL\n".join(
+    f"SELECT {O.q(c)} AS feature, CAST(sum(flag_{c}) AS BIGINT) AS n_flagged, "
+    f"round(round(sum(flag_{c}) * 100.0 / count(*), 2), 6) AS pct_flagged FROM classic" for c in FEATS))
+def q_baseline_report(spark, sf_dir):
+    """Entities flagged per feature."""
+    return B.baseline_report(B.classic_baseline(_features(spark, sf_dir)))
+
+
+@register("baseline_degeneracy", BASE_SQL + """SELECT CAST(count(*) AS BIGINT) AS n_entities, 13 AS n_features,
+  round(stddev_samp(baseline_score), 6) AS score_std,
+  (13 < 5 OR stddev_samp(baseline_score) IS NULL OR stddev_samp(baseline_score) < 0.01) AS is_degenerate FROM baseline""")
+def q_baseline_degeneracy(spark, sf_dir):
+    """Degenerate-baseline test (branch condition of the pipeline)."""
+    return B.degeneracy(_baseline(spark, sf_dir))
+
+
+_RISK_COLS = ([("ROTTA", "str"), ("PAESE_PART", "str"), ("ZONA", "str"), ("baseline_score", "double"),
+               ("score_z", "double"), ("ensemble_score", "double"), ("anomaly_label", "str")]
+              + [(n, "int") for n in K.RULE_LABELS]
+              + [("br_score", "double"), ("confidence", "double"), ("final_risk", "str"), ("risk_drivers", "str")])
+
+
+def _risk_out(df):
+    return df.withColumn("risk_drivers", F.array_join("risk_drivers", " | ")).select(*[c for c, _ in _RISK_COLS])
+
+
+@register("risk_tiers", RISK_SQL + O.round_select(_RISK_COLS, "risk"))
+def q_risk_tiers(spark, sf_dir):
+    """Flagship: routes -> robust baseline -> score -> p97/p90 labels -> rules -> tiers + drivers."""
+    return _risk_out(_risk_zonly(spark, sf_dir))
+
+
+_DIST_SQL = RISK_SQL + """SELECT CAST(d.ord AS INTEGER) AS ord, d.final_risk, CAST(coalesce(c.n, 0) AS BIGINT) AS n
+FROM (VALUES (0, 'CRITICAL'), (1, 'HIGH'), (2, 'MEDIUM'), (3, 'LOW')) d(ord, final_risk)
+LEFT JOIN (SELECT final_risk, count(*) AS n FROM risk GROUP BY final_risk) c ON c.final_risk = d.final_risk"""
+
+
+@register("tier_distribution", _DIST_SQL)
+def q_tier_distribution(spark, sf_dir):
+    """Routes per risk tier, fixed order, zero-filled."""
+    return R.tier_distribution(_risk_zonly(spark, sf_dir))
+
+
+@register("rule_hits", RISK_SQL + "\nUNION ALL\n".join(
+    f"SELECT {i} AS ord, {O.q(n)} AS rule, {O.q(K.RULE_LABELS[n])} AS label, CAST(sum({n}) AS BIGINT) AS n_hits FROM risk"
+    for i, n in enumerate(K.RULE_LABELS)))
+def q_rule_hits(spark, sf_dir):
+    """Routes firing each business rule."""
+    return R.rule_hits(_risk_zonly(spark, sf_dir))
+
+
+_ALERT_COLS = [("ROTTA", "str"), ("final_risk", "str"), ("risk_num", "int"), ("confidence", "double"),
+               ("ensemble_score", "double"), ("br_score", "double")]
+
+
+@register("alert_list", RISK_SQL + O.round_select(_ALERT_COLS, """(SELECT *, CASE final_risk WHEN 'CRITICAL' THEN 4
+  WHEN 'HIGH' THEN 3 WHEN 'MEDIUM' THEN 2 WHEN 'LOW' THEN 1 END AS risk_num FROM risk
+  WHERE final_risk IN ('CRITICAL', 'HIGH', 'MEDIUM') AND confidence >= 0.2)"""))
+def q_alert_list(spark, sf_dir):
+    """C28 + W6: alert routes (tier >= MEDIUM, confidence >= 0.20) by tier then confidence."""
+    a = R.alerts(_risk_zonly(spark, sf_dir))
+    return a.orderBy(F.desc("risk_num"), F.desc("confidence"), "ROTTA").select(*[c for c, _ in _ALERT_COLS])
+
+
+_TIER_NUM = "CASE final_risk WHEN 'CRITICAL' THEN 4 WHEN 'HIGH' THEN 3 WHEN 'MEDIUM' THEN 2 WHEN 'LOW' THEN 1 END"
+_TIER_LBL = "coalesce(CASE max_risk_num WHEN 4 THEN 'CRITICAL' WHEN 3 THEN 'HIGH' WHEN 2 THEN 'MEDIUM' WHEN 1 THEN 'LOW' END, 'LOW')"
+
+
+@register("country_rollup", RISK_SQL + f"""SELECT PAESE_PART, CAST(count(ROTTA) AS BIGINT) AS n_rotte,
+  CAST(count_if(final_risk IN ('CRITICAL','HIGH','MEDIUM')) AS BIGINT) AS n_alert,
+  CAST(max({_TIER_NUM}) AS INTEGER) AS max_risk_num, round(max(confidence), 6) AS max_confidence,
+  round(avg(confidence), 6) AS mean_confidence, round(sum(tot_allarmi_sum), 6) AS tot_allarmi,
+  round(avg(pct_interpol), 6) AS mean_interpol, round(avg(score_rischio_esiti), 6) AS mean_esiti,
+  {_TIER_LBL.replace('max_risk_num', f'max({_TIER_NUM})')} AS max_risk_label,
+  round(round(count_if(final_risk IN ('CRITICAL','HIGH','MEDIUM')) / count(ROTTA), 3), 6) AS alert_rate
+FROM risk WHERE PAESE_PART <> 'ND' GROUP BY PAESE_PART""")
+def q_country_rollup(spark, sf_dir):
+    """Risk roll-up per departure country."""
+    return R.country_rollup(_risk_zonly(spark, sf_dir))
+
+
+_ZONE_SQL_LABEL = ("CASE WHEN ZONA IS NULL OR ZONA IN ('ND', 'nan', '') OR TRY_CAST(ZONA AS DOUBLE) IS NULL "
+                   "THEN 'Non classificata' ELSE coalesce(CASE CAST(TRY_CAST(ZONA AS DOUBLE) AS INTEGER) "
+                   + " ".join(f"WHEN {k} THEN {O.q(v)}" for k, v in R.ZONE_LABELS.items())
+                   + " END, 'Zona ' || CAST(CAST(TRY_CAST(ZONA AS DOUBLE) AS INTEGER) AS VARCHAR)) END")
+
+
+@register("zone_rollup", RISK_SQL + f"""SELECT zona_label, CAST(count(ROTTA) AS BIGINT) AS n_rotte,
+  CAST(count_if(final_risk IN ('CRITICAL','HIGH','MEDIUM')) AS BIGINT) AS n_alert,
+  round(max(confidence), 6) AS max_confidence, round(avg(confidence), 6) AS mean_confidence,
+  CAST(max({_TIER_NUM}) AS INTEGER) AS max_risk_num,
+  round(round(count_if(final_risk IN ('CRITICAL','HIGH','MEDIUM')) / count(ROTTA), 3), 6) AS alert_rate,
+  {_TIER_LBL.replace('max_risk_num', f'max({_TIER_NUM})')} AS max_risk_label
+FROM (SELECT *, {_ZONE_SQL_LABEL} AS zona_label FROM risk) GROUP BY zona_label""")
+def q_zone_rollup(spark, sf_dir):
+    """Risk roll-up per geographic zone label."""
+    return R.zone_rollup(_risk_zonly(spark, sf_dir))
+
+
+@register("alert_summary", RISK_SQL + """SELECT CAST(count(*) AS BIGINT) AS n_total,
+  CAST(count_if(final_risk = 'CRITICAL') AS BIGINT) AS n_critical, CAST(count_if(final_risk = 'HIGH') AS BIGINT) AS n_high,
+  CAST(count_if(final_risk = 'MEDIUM') AS BIGINT) AS n_medium, CAST(count_if(final_risk = 'LOW') AS BIGINT) AS n_low,
+  CAST(count_if(final_risk IN ('CRITICAL','HIGH','MEDIUM')) AS BIGINT) AS n_alert,
+  round(round(count_if(final_risk IN ('CRITICAL','HIGH','MEDIUM')) * 100.0 / count(*), 2), 6) AS alert_rate_pct,
+  round(avg(CASE WHEN final_risk IN ('CRITICAL','HIGH','MEDIUM') AND confidence >= 0.2 THEN confidence END), 6) AS mean_confidence_alert,
+  round(max(confidence), 6) AS max_confidence,
+  arg_min(ROTTA, (-confidence, ROTTA)) AS top_route, arg_min(PAESE_PART, (-confidence, ROTTA)) AS top_country,
+  CAST(count_if(confidence > 0.5) AS BIGINT) AS n_conf_gt_50, CAST(count_if(confidence > 0.4) AS BIGINT) AS n_conf_gt_40,
+  CAST(count_if(confidence > 0.3) AS BIGINT) AS n_conf_gt_30 FROM risk""")
+def q_alert_summary(spark, sf_dir):
+    """Alert summary with the top route and country."""
+    return R.alert_summary(_risk_zonly(spark, sf_dir))
