@@ -260,3 +260,27 @@ def risk_cte(src: str = "scored", out: str = "risk") -> str:
   {tier_sql("coalesce(anomaly_label, 'NORMAL')", 'br_score')} AS final_risk,
   {drivers} AS risk_drivers
   FROM {out}_b)"""
+
+
+def scaled_cte(src: str = "features", out: str = "scaled", key: str = "ROTTA") -> str:
+    """Standard scaling with population std (0 -> 1), nulls as 0."""
+    x = lambda c: f"coalesce(CAST({c} AS DOUBLE), 0.0)"
+    st = ", ".join(f"avg({x(c)}) AS m{i}, stddev_pop({x(c)}) AS s{i}" for i, c in enumerate(FEATS))
+    cols = ", ".join(f"({x(c)} - m{i}) / (CASE WHEN s{i} > 0 THEN s{i} ELSE 1.0 END) AS {c}"
+                     for i, c in enumerate(FEATS))
+    return f"""{out}_s AS (SELECT {st} FROM {src}),
+{out} AS (SELECT {key}, {cols} FROM {src}, {out}_s)"""
+
+
+def lof_cte(src: str = "scaled", out: str = "lof", key: str = "ROTTA", k: int = 20) -> str:
+    dist = " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in FEATS)
+    return f"""{out}_pairs AS (SELECT a.{key} AS id, b.{key} AS nbr, sqrt({dist}) AS dist
+  FROM {src} a JOIN {src} b ON a.{key} <> b.{key}),
+{out}_knn AS (SELECT id, nbr, dist FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY dist, nbr) AS rn
+  FROM {out}_pairs) WHERE rn <= least({k}, (SELECT count(*) - 1 FROM {src}))),
+{out}_kd AS (SELECT id, max(dist) AS kdist FROM {out}_knn GROUP BY id),
+{out}_lrd AS (SELECT k.id, 1.0 / (avg(greatest(k.dist, kd.kdist)) + 1e-10) AS lrd
+  FROM {out}_knn k JOIN {out}_kd kd ON k.nbr = kd.id GROUP BY k.id),
+{out}_raw AS (SELECT k.id AS {key}, avg(l.lrd) / max(p.lrd) AS lof
+  FROM {out}_knn k JOIN {out}_lrd l ON k.nbr = l.id JOIN {out}_lrd p ON k.id = p.id GROUP BY k.id),
+{out} AS (SELECT {key}, lof, {minmax_expr('lof', f'{out}_raw')} AS score_lof FROM {out}_raw)"""

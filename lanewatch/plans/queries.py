@@ -264,3 +264,68 @@ def q_zone_rollup(spark, sf_dir):
 def q_alert_summary(spark, sf_dir):
     """Alert summary with the top route and country."""
     return R.alert_summary(_risk_zonly(spark, sf_dir))
+
+
+# -------------------------------------------------------------------- detectors
+from lanewatch.operators.detectors import autoencoder as AEm  # noqa: E402
+from lanewatch.operators.detectors import ensemble as EN  # noqa: E402
+from lanewatch.operators.detectors import iforest as IFm  # noqa: E402
+from lanewatch.operators.detectors import lof as LOFm  # noqa: E402
+from lanewatch.operators.detectors.scaling import standard_scale  # noqa: E402
+from lanewatch.plans.pipeline import risk_pipeline  # noqa: E402
+
+
+def _scaled(spark, sf_dir):
+    return standard_scale(_features(spark, sf_dir).select("ROTTA", *FEATS), FEATS)
+
+
+@register("standardized_features", O.with_(O.features_cte(), O.scaled_cte())
+          + O.round_select([("ROTTA", "str")] + [(c, "double") for c in FEATS], "scaled"))
+def q_standardized_features(spark, sf_dir):
+    """D1 + D2: 13-feature model matrix, standard-scaled with population std."""
+    return _scaled(spark, sf_dir)
+
+
+@register("lof_scores", O.with_(O.features_cte(), O.scaled_cte(), O.lof_cte())
+          + O.round_select([("ROTTA", "str"), ("lof", "double"), ("score_lof", "double")], "lof"))
+def q_lof_scores(spark, sf_dir):
+    """D4 + D7: exact LOF (k = 20, Euclidean) on the scaled matrix and its min-max score."""
+    lof = LOFm.local_outlier_factor(_scaled(spark, sf_dir), FEATS, k=K.N_NEIGHBORS)
+    return EN.minmax(lof, {"score_lof": "lof"})
+
+
+@register("iforest_scores")
+def q_iforest_scores(spark, sf_dir):
+    """D3 + D7: isolation forest (200 trees, psi = 256) score, min-max score, inlier flag."""
+    sc = _scaled(spark, sf_dir).persist()
+    forest = IFm.fit(sc, FEATS, n_trees=K.N_TREES, max_samples=K.MAX_SAMPLES, seed=K.RANDOM_STATE)
+    s = IFm.with_prediction(IFm.score(sc, forest, FEATS), K.CONTAMINATION)
+    return EN.minmax(s, {"score_if": "if_score"})
+
+
+@register("autoencoder_scores")
+def q_autoencoder_scores(spark, sf_dir):
+    """Autoencoder trained on forest inliers; min-max reconstruction error."""
+    sc = _scaled(spark, sf_dir).persist()
+    forest = IFm.fit(sc, FEATS, n_trees=K.N_TREES, max_samples=K.MAX_SAMPLES, seed=K.RANDOM_STATE)
+    s = IFm.with_prediction(IFm.score(sc, forest, FEATS), K.CONTAMINATION)
+    ae = AEm.autoencoder_scores(sc.join(s.select("ROTTA", "if_normal"), on="ROTTA"), FEATS)
+    if ae is None:
+        return sc.select("ROTTA", F.lit(0.0).alias("score_ae"))
+    return ae
+
+
+def _full(spark, sf_dir):
+    return risk_pipeline(proxy.alarm_feed(spark, sf_dir), proxy.traveller_feed(spark, sf_dir))
+
+
+_FULL_COLS = ["ROTTA", "PAESE_PART", "ZONA", "score_if", "score_lof", "score_z", "score_ae", "ensemble_score",
+              "anomaly_label", "n_models_flagged", *K.RULE_LABELS, "br_score", "confidence", "final_risk",
+              "risk_drivers"]
+
+
+@register("risk_pipeline_full")
+def q_risk_pipeline_full(spark, sf_dir):
+    """D2–D11 + R1–R9: four-detector ensemble, labels, votes, rules, tiers."""
+    r = _full(spark, sf_dir).risk
+    return r.withColumn("risk_drivers", F.array_join("risk_drivers", " | ")).select(*_FULL_COLS)
