@@ -329,3 +329,127 @@ def q_risk_pipeline_full(spark, sf_dir):
     """D2–D11 + R1–R9: four-detector ensemble, labels, votes, rules, tiers."""
     r = _full(spark, sf_dir).risk
     return r.withColumn("risk_drivers", F.array_join("risk_drivers", " | ")).select(*_FULL_COLS)
+
+
+# --------------------------------------------------------------------- cleaning
+from lanewatch.operators import cleaning as CL  # noqa: E402
+from lanewatch.plans import oracle_clean as OC  # noqa: E402
+
+_CLEAN_A_COLS = [("_rid", "bigint"), ("AREOPORTO_ARRIVO", "str"), ("AREOPORTO_PARTENZA", "str"),
+                 ("ANNO_PARTENZA", "double"), ("MESE_PARTENZA", "int"), ("DATA_PARTENZA", "str"), ("TOT", "double"),
+                 ("ZONA", "int"), ("OCCORRENZE", "str"), ("CODICE_PAESE_ARR", "str"), ("CODICE_PAESE_PART", "str"),
+                 ("PAESE_ARR", "str"), ("PAESE_PART", "str"), ("MOTIVO_ALLARME", "str"), ("ora_partenza", "int"),
+                 ("giorno_settimana", "int"), ("mese", "int")]
+_CLEAN_T_COLS = [("_rid", "bigint"), ("AREOPORTO_ARRIVO", "str"), ("AREOPORTO_PARTENZA", "str"),
+                 ("ANNO_PARTENZA", "double"), ("MESE_PARTENZA", "int"), ("DATA_PARTENZA", "str"),
+                 ("ENTRATI", "double"), ("INVESTIGATI", "double"), ("ALLARMATI", "double"), ("GENERE", "str"),
+                 ("TIPO_DOCUMENTO", "str"), ("FASCIA_ETA", "str"), ("NAZIONALITA", "str"), ("ESITO_CONTROLLO", "str"),
+                 ("COMPAGNIA_AEREA", "str"), ("ZONA", "int"), ("PAESE_PART", "str"), ("tasso_allarme", "double"),
+                 ("tasso_investigati", "double"), ("ora_partenza", "int"), ("giorno_settimana", "int"), ("mese", "int")]
+
+
+def _ts_str(df):
+    return df.withColumn("DATA_PARTENZA", F.date_format("DATA_PARTENZA", "yyyy-MM-dd HH:mm:ss"))
+
+
+def _ts_sql(cols, src):
+    return O.round_select(cols, f"(SELECT * REPLACE (strftime(DATA_PARTENZA, '%Y-%m-%d %H:%M:%S') AS DATA_PARTENZA) FROM {src})")
+
+
+def _clean_a(spark, sf_dir):
+    return CL.clean_alarms(proxy.raw_alarm_feed(spark, sf_dir))
+
+
+def _clean_t(spark, sf_dir):
+    return CL.clean_travellers(proxy.raw_traveller_feed(spark, sf_dir))
+
+
+@register("clean_alarms", O.with_(O.alarms_cte(), O.travellers_cte(), OC.raw_alarms_cte(), OC.clean_alarms_cte())
+          + _ts_sql(_CLEAN_A_COLS, "clean_alarms"))
+def q_clean_alarms(spark, sf_dir):
+    """C1–C8, C11, C13, C15, C16, C18, C21 over the dirty alarm records."""
+    return _ts_str(_clean_a(spark, sf_dir)).select(*[c for c, _ in _CLEAN_A_COLS])
+
+
+@register("clean_travellers", O.with_(O.alarms_cte(), O.travellers_cte(), OC.raw_travellers_cte(),
+                                      OC.clean_travellers_cte()) + _ts_sql(_CLEAN_T_COLS, "clean_travellers"))
+def q_clean_travellers(spark, sf_dir):
+    """C1–C6, C9–C12, C14–C21 over the dirty traveller records."""
+    return _ts_str(_clean_t(spark, sf_dir)).select(*[c for c, _ in _CLEAN_T_COLS])
+
+
+_MERGED_COLS = [("_rid", "bigint"), ("AREOPORTO_ARRIVO", "str"), ("AREOPORTO_PARTENZA", "str"), ("TOT", "double"),
+                ("tot_entrati", "double"), ("tot_allarmati", "double"), ("tot_investigati", "double"),
+                ("tasso_allarme_volo", "double"), ("tasso_inv_volo", "double"), ("n_nazionalita", "bigint"),
+                ("n_respinti", "bigint"), ("n_fermati", "bigint"), ("n_segnalati", "bigint")]
+
+
+@register("merged_feed", O.with_(O.alarms_cte(), O.travellers_cte(), OC.raw_alarms_cte(), OC.clean_alarms_cte(),
+                                 OC.raw_travellers_cte(), OC.clean_travellers_cte()) + O.round_select(_MERGED_COLS, """(
+  SELECT a.*, t.* EXCLUDE (AREOPORTO_ARRIVO, AREOPORTO_PARTENZA, k) FROM (SELECT *, CAST(DATA_PARTENZA AS DATE) AS k FROM clean_alarms) a
+  LEFT JOIN (SELECT AREOPORTO_ARRIVO, AREOPORTO_PARTENZA, CAST(DATA_PARTENZA AS DATE) AS k,
+      sum(ENTRATI) AS tot_entrati, sum(ALLARMATI) AS tot_allarmati, sum(INVESTIGATI) AS tot_investigati,
+      avg(tasso_allarme) AS tasso_allarme_volo, avg(tasso_investigati) AS tasso_inv_volo,
+      count(DISTINCT NAZIONALITA) AS n_nazionalita, count_if(ESITO_CONTROLLO = 'RESPINTO') AS n_respinti,
+      count_if(ESITO_CONTROLLO = 'FERMATO') AS n_fermati, count_if(ESITO_CONTROLLO = 'SEGNALATO') AS n_segnalati
+    FROM clean_travellers WHERE AREOPORTO_ARRIVO IS NOT NULL AND AREOPORTO_PARTENZA IS NOT NULL AND DATA_PARTENZA IS NOT NULL
+    GROUP BY ALL) t
+  ON a.AREOPORTO_ARRIVO = t.AREOPORTO_ARRIVO AND a.AREOPORTO_PARTENZA = t.AREOPORTO_PARTENZA AND a.k = t.k)"""))
+def q_merged_feed(spark, sf_dir):
+    """J1 + A1: alarms LEFT JOIN per (arrival, departure, day) traveller aggregates."""
+    from lanewatch.operators.features import merge_feeds
+    return merge_feeds(_clean_a(spark, sf_dir), _clean_t(spark, sf_dir)).select(*[c for c, _ in _MERGED_COLS])
+
+
+@register("null_report", O.with_(O.alarms_cte(), O.travellers_cte(), OC.raw_alarms_cte(), OC.clean_alarms_cte())
+          + "\nUNION ALL\n".join(
+              f"SELECT {i} AS ord, {O.q(c)} AS column, CAST(count_if({c} IS NULL) AS BIGINT) AS n_null, "
+              f"round(round(count_if({c} IS NULL) * 100.0 / count(*), 2), 6) AS pct_null FROM clean_alarms"
+              for i, (c, _) in enumerate(_CLEAN_A_COLS)))
+def q_null_report(spark, sf_dir):
+    """A16 (+ the C22 drop decision input): null count and percent per cleaned column."""
+    return CL.null_fractions(_clean_a(spark, sf_dir).select(*[c for c, _ in _CLEAN_A_COLS]))
+
+
+@register("value_counts", O.with_(O.alarms_cte(), O.travellers_cte(), OC.raw_travellers_cte(),
+                                  OC.clean_travellers_cte())
+          + """SELECT COMPAGNIA_AEREA, CAST(count(*) AS BIGINT) AS n FROM clean_travellers WHERE COMPAGNIA_AEREA IS NOT NULL
+GROUP BY COMPAGNIA_AEREA ORDER BY n DESC, COMPAGNIA_AEREA LIMIT 30""")
+def q_value_counts(spark, sf_dir):
+    """Top-30 airline values with counts (a top-k report)."""
+    return CL.value_counts(_clean_t(spark, sf_dir), "COMPAGNIA_AEREA", 30)
+
+
+_DIMS = ["AREOPORTO_PARTENZA", "AREOPORTO_ARRIVO", "PAESE_PART", "ZONA", "ANNO_PARTENZA"]
+
+
+@register("filter_options", O.with_(O.alarms_cte(), O.travellers_cte(), OC.raw_alarms_cte(), OC.clean_alarms_cte())
+          + "\nUNION\n".join(f"SELECT {O.q(d)} AS dimension, CAST({d} AS VARCHAR) AS value FROM clean_alarms "
+                             f"WHERE {d} IS NOT NULL" for d in _DIMS if d != "ANNO_PARTENZA")
+          + "\nUNION\nSELECT 'ANNO_PARTENZA' AS dimension, CAST(ANNO_PARTENZA AS VARCHAR) FROM clean_alarms WHERE ANNO_PARTENZA IS NOT NULL")
+def q_filter_options(spark, sf_dir):
+    """Distinct values per filter dimension."""
+    return CL.filter_options(_clean_a(spark, sf_dir), _DIMS)
+
+
+PERIMETER_JAN97 = {"anno": 1997, "mese": 1}
+
+
+def _perimeter_features(spark, sf_dir, perimeter):
+    a = CL.apply_perimeter(proxy.alarm_feed(spark, sf_dir), perimeter)
+    t = CL.apply_perimeter(proxy.traveller_feed(spark, sf_dir), perimeter)
+    return FT.entity_features(a, t)
+
+
+_PERIM_ALARMS = O.alarms_cte().replace("alarms AS (", "alarms AS (SELECT * FROM (", 1) + \
+    " WHERE ANNO_PARTENZA = 1997 AND MESE_PARTENZA = 1)"
+_PERIM_TRAV = O.travellers_cte().replace("travellers AS (", "travellers AS (SELECT * FROM (", 1) + \
+    " WHERE ANNO_PARTENZA = 1997 AND MESE_PARTENZA = 1)"
+
+
+@register("perimeter_features", O.with_(O.features_cte(_PERIM_ALARMS, _PERIM_TRAV))
+          + O.round_select(FEATURE_TYPES, "features"))
+def q_perimeter_features(spark, sf_dir):
+    """C24 + J2 + J4: feature table inside a perimeter (January 1997): routes present in only
+    one feed exercise the full outer join, the country/zone fallbacks and sparse features."""
+    return _perimeter_features(spark, sf_dir, PERIMETER_JAN97).select(*[c for c, _ in FEATURE_TYPES])
