@@ -453,3 +453,211 @@ def q_perimeter_features(spark, sf_dir):
     """C24 + J2 + J4: feature table inside a perimeter (January 1997): routes present in only
     one feed exercise the full outer join, the country/zone fallbacks and sparse features."""
     return _perimeter_features(spark, sf_dir, PERIMETER_JAN97).select(*[c for c, _ in FEATURE_TYPES])
+
+
+# -------------------------------------------------------------------- profiling
+from lanewatch.operators import profile as PR  # noqa: E402
+
+FEEDS_SQL = O.with_(O.alarms_cte(), O.travellers_cte())
+CLEAN_T_SQL = O.with_(O.alarms_cte(), O.travellers_cte(), OC.raw_travellers_cte(), OC.clean_travellers_cte())
+_TRAV_NUM = ["ENTRATI", "INVESTIGATI", "ALLARMATI"]
+
+
+def _alarms(spark, sf_dir):
+    return proxy.alarm_feed(spark, sf_dir)
+
+
+def _trav(spark, sf_dir):
+    return proxy.traveller_feed(spark, sf_dir)
+
+
+@register("dataset_stats", FEEDS_SQL + """SELECT CAST(count(*) AS BIGINT) AS n_righe,
+  CAST(count(DISTINCT ROTTA) AS BIGINT) AS n_rotte_uniche,
+  (SELECT string_agg(y, ',' ORDER BY y) FROM (SELECT DISTINCT CAST(CAST(ANNO_PARTENZA AS INTEGER) AS VARCHAR) AS y
+     FROM alarms WHERE ANNO_PARTENZA IS NOT NULL)) AS anni_presenti,
+  (SELECT string_agg(PAESE_PART, ',' ORDER BY n DESC, PAESE_PART) FROM (SELECT PAESE_PART, count(*) AS n FROM alarms
+     WHERE PAESE_PART IS NOT NULL GROUP BY PAESE_PART ORDER BY n DESC, PAESE_PART LIMIT 5)) AS paesi_partenza_top5,
+  CAST(count_if(coalesce(CAST(TOT AS DOUBLE), 0.0) > 0) AS BIGINT) AS n_con_allarmi FROM alarms""")
+def q_dataset_stats(spark, sf_dir):
+    """Rows, distinct routes, years, top-5 departure countries, rows with alarms."""
+    return PR.dataset_stats(_alarms(spark, sf_dir))
+
+
+def _describe_sql(cols, src):
+    parts = []
+    for c in cols:
+        x = f"CAST({c} AS DOUBLE)"
+        parts.append(f"""SELECT {O.q(c)} AS column, CAST(count({x}) AS BIGINT) AS count, round(avg({x}), 2) AS mean,
+  round(stddev_samp({x}), 2) AS std, round(min({x}), 2) AS min, round(quantile_cont({x}, 0.25), 2) AS p25,
+  round(quantile_cont({x}, 0.5), 2) AS p50, round(quantile_cont({x}, 0.75), 2) AS p75, round(max({x}), 2) AS max,
+  round(skewness({x}), 2) AS skewness, round(kurtosis({x}), 2) AS kurtosis FROM {src}""")
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("describe_travellers", FEEDS_SQL + _describe_sql(_TRAV_NUM, "travellers"))
+def q_describe_travellers(spark, sf_dir):
+    """Describe + bias-corrected skewness / excess kurtosis of the traveller counters."""
+    return PR.describe(_trav(spark, sf_dir), _TRAV_NUM)
+
+
+@register("correlation_matrix", FEEDS_SQL + "\nUNION ALL\n".join(
+    f"SELECT {O.q(a)} AS a, {O.q(b)} AS b, round(corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)), 6) AS r FROM travellers"
+    for a in _TRAV_NUM for b in _TRAV_NUM))
+def q_correlation_matrix(spark, sf_dir):
+    """Pearson correlation matrix of the traveller counters."""
+    return PR.correlation_matrix(_trav(spark, sf_dir), _TRAV_NUM)
+
+
+_RATE_DIMS = ["GENERE", "FASCIA_ETA", "TIPO_DOCUMENTO", "NAZIONALITA", "ZONA"]
+
+
+@register("rate_by_dimension", FEEDS_SQL + "\nUNION ALL\n".join(
+    f"""SELECT {O.q(d)} AS dimension, CAST({d} AS VARCHAR) AS value, round(sum(ENTRATI), 6) AS entrati,
+  round(sum(ALLARMATI), 6) AS allarmati,
+  round(CASE WHEN sum(ENTRATI) > 0 THEN sum(ALLARMATI) / sum(ENTRATI) END, 6) AS alarm_rate
+  FROM travellers WHERE {d} IS NOT NULL GROUP BY {d}""" for d in _RATE_DIMS))
+def q_rate_by_dimension(spark, sf_dir):
+    """Alarm rate (ratio of sums) per value of five dimensions in one shuffle."""
+    return PR.rate_by(_trav(spark, sf_dir), _RATE_DIMS)
+
+
+# ---------------------------------------------------------------- FIXED VALUES
+UNRESOLVED_CODES = ["ND", "XX", "???", "UNK", "UNKN", "EU", "ZZ"]
+AGE_ORDER = ["0-17", "18-30", "31-45", "46-60", "61+"]
+# ------------------------------------------------------------ END FIXED VALUES
+
+
+@register("top_nationality_rates", FEEDS_SQL + f"""SELECT NAZIONALITA, round(sum(ENTRATI), 6) AS entrati,
+  round(sum(ALLARMATI), 6) AS allarmati, round(sum(ALLARMATI) / sum(ENTRATI), 6) AS alarm_rate
+FROM travellers WHERE NAZIONALITA IS NOT NULL AND NAZIONALITA NOT IN ({', '.join(O.q(c) for c in UNRESOLVED_CODES)})
+GROUP BY NAZIONALITA HAVING sum(ENTRATI) >= 30 ORDER BY alarm_rate DESC, NAZIONALITA LIMIT 20""")
+def q_top_nationality_rates(spark, sf_dir):
+    """Nationality alarm rates with a minimum volume of 30, top 20 (a top-k report)."""
+    return PR.top_rates(_trav(spark, sf_dir), "NAZIONALITA", 30, UNRESOLVED_CODES, 20)
+
+
+@register("gender_age_rates", CLEAN_T_SQL + "SELECT GENERE, " + ", ".join(
+    f"round(CASE WHEN sum(CASE WHEN FASCIA_ETA = {O.q(a)} THEN ENTRATI END) > 0 THEN "
+    f"sum(CASE WHEN FASCIA_ETA = {O.q(a)} THEN ALLARMATI END) / sum(CASE WHEN FASCIA_ETA = {O.q(a)} THEN ENTRATI END) END, 6) AS \"{a}\""
+    for a in AGE_ORDER) + " FROM clean_travellers WHERE GENERE IS NOT NULL AND FASCIA_ETA IS NOT NULL GROUP BY GENERE")
+def q_gender_age_rates(spark, sf_dir):
+    """Gender x age-band alarm-rate cross-tab over the cleaned traveller feed."""
+    return PR.cross_tab_rate(_clean_t(spark, sf_dir), "GENERE", "FASCIA_ETA", AGE_ORDER)
+
+
+@register("outcome_frequency", FEEDS_SQL + """SELECT ESITO_CONTROLLO, CAST(count(*) AS BIGINT) AS n,
+  round(round(count(*) * 100.0 / sum(count(*)) OVER (), 1), 6) AS pct FROM travellers
+WHERE ESITO_CONTROLLO IS NOT NULL GROUP BY ESITO_CONTROLLO""")
+def q_outcome_frequency(spark, sf_dir):
+    """Frequency and percentage of control outcomes."""
+    return PR.frequency(_trav(spark, sf_dir), "ESITO_CONTROLLO")
+
+
+@register("monthly_trend", FEEDS_SQL + """SELECT CAST(month(DATA_PARTENZA) AS INTEGER) AS mese,
+  round(sum(ENTRATI), 6) AS ENTRATI, round(sum(INVESTIGATI), 6) AS INVESTIGATI, round(sum(ALLARMATI), 6) AS ALLARMATI
+FROM travellers WHERE DATA_PARTENZA IS NOT NULL GROUP BY 1""")
+def q_monthly_trend(spark, sf_dir):
+    """Monthly sums of the traveller counters."""
+    return PR.monthly_trend(_trav(spark, sf_dir), _TRAV_NUM)
+
+
+@register("monthly_volume", FEEDS_SQL + """SELECT month, CAST(coalesce(sum(CASE WHEN feed = 'alarms' THEN 1 END), 0) AS BIGINT) AS alarms,
+  CAST(coalesce(sum(CASE WHEN feed = 'travellers' THEN 1 END), 0) AS BIGINT) AS travellers FROM (
+  SELECT strftime(DATA_PARTENZA, '%Y-%m') AS month, 'alarms' AS feed FROM alarms
+  UNION ALL SELECT strftime(DATA_PARTENZA, '%Y-%m'), 'travellers' FROM travellers) WHERE month IS NOT NULL GROUP BY month""")
+def q_monthly_volume(spark, sf_dir):
+    """Rows per month of the two feeds side by side."""
+    return PR.monthly_volume(_alarms(spark, sf_dir), _trav(spark, sf_dir))
+
+
+@register("top_countries_volume", FEEDS_SQL + """SELECT PAESE_PART, round(sum(TOT), 6) AS volume FROM alarms
+WHERE PAESE_PART IS NOT NULL GROUP BY PAESE_PART ORDER BY volume DESC, PAESE_PART LIMIT 10""")
+def q_top_countries_volume(spark, sf_dir):
+    """Top-10 departure countries by summed (cleaned, numeric) alarm volume."""
+    return PR.top_by_sum(_alarms(spark, sf_dir), "PAESE_PART", "TOT", 10)
+
+
+@register("label_tier_confusion", RISK_SQL + """SELECT anomaly_label AS label_a, final_risk AS label_b,
+  CAST(count(*) AS BIGINT) AS n, round(round(count(*) * 100.0 / (SELECT count(*) FROM risk), 2), 6) AS pct
+FROM risk GROUP BY 1, 2""")
+def q_label_tier_confusion(spark, sf_dir):
+    """Cross-tab of the anomaly labelling against the final tiers."""
+    return PR.confusion(_risk_zonly(spark, sf_dir), "anomaly_label", "final_risk")
+
+
+@register("group_contrast", RISK_SQL + "\nUNION ALL\n".join(
+    f"""SELECT {O.q(c)} AS feature, round(avg(CASE WHEN anomaly_label = 'HIGH' THEN {c} END), 6) AS mean_anomalous,
+  round(avg(CASE WHEN anomaly_label <> 'HIGH' THEN {c} END), 6) AS mean_normal,
+  round(CASE WHEN avg(CASE WHEN anomaly_label <> 'HIGH' THEN {c} END) <> 0 THEN
+    avg(CASE WHEN anomaly_label = 'HIGH' THEN {c} END) / avg(CASE WHEN anomaly_label <> 'HIGH' THEN {c} END) END, 6) AS ratio,
+  coalesce(avg(CASE WHEN anomaly_label = 'HIGH' THEN {c} END) / nullif(avg(CASE WHEN anomaly_label <> 'HIGH' THEN {c} END), 0) >= 2, false) AS is_2x
+FROM risk""" for c in FEATS))
+def q_group_contrast(spark, sf_dir):
+    """Feature means in HIGH vs other routes, ratio and 2x flag."""
+    return PR.group_contrast(_risk_zonly(spark, sf_dir), F.col("anomaly_label") == "HIGH", FEATS)
+
+
+@register("observability", FEAT_SQL + """SELECT n_osservazioni_viag < 30 AS low_observability, CAST(count(*) AS BIGINT) AS n,
+  round(avg(score_composito), 6) AS mean, round(stddev_samp(score_composito), 6) AS std, round(min(score_composito), 6) AS min,
+  round(quantile_cont(score_composito, 0.25), 6) AS p25, round(quantile_cont(score_composito, 0.5), 6) AS p50,
+  round(quantile_cont(score_composito, 0.75), 6) AS p75, round(max(score_composito), 6) AS max FROM features GROUP BY 1""")
+def q_observability(spark, sf_dir):
+    """Low-observability flag (< 30 traveller rows) and score summary per group."""
+    return PR.observability(_features(spark, sf_dir))
+
+
+@register("quantile_trim", FEEDS_SQL + """SELECT _rid, round(ENTRATI, 6) AS ENTRATI FROM travellers
+WHERE ENTRATI <= (SELECT quantile_cont(ENTRATI, 0.99) FROM travellers)""")
+def q_quantile_trim(spark, sf_dir):
+    """Traveller rows at or below the p99 of ENTRATI."""
+    return PR.quantile_trim(_trav(spark, sf_dir), "ENTRATI", 0.99).select("_rid", "ENTRATI")
+
+
+def _hist_sql(src, col, bins, group=None):
+    g = f"{group} AS grp, " if group else ""
+    gk = "grp, " if group else ""
+    dom = (f"(SELECT DISTINCT {group} AS grp FROM {src} WHERE {group} IS NOT NULL) gg, range({bins}) r(bin)" if group
+           else f"range({bins}) r(bin)")
+    return f"""h_st AS (SELECT min({col}) AS lo, max({col}) AS hi FROM {src}),
+h_c AS (SELECT {g}CASE WHEN hi > lo THEN least(CAST(floor(({col} - lo) / ((hi - lo) / {float(bins)})) AS INTEGER), {bins - 1}) ELSE 0 END AS bin,
+  count(*) AS n FROM {src}, h_st WHERE {col} IS NOT NULL GROUP BY ALL)
+SELECT {'d.grp, ' if group else ''}CAST(d.bin AS INTEGER) AS bin, round(lo + d.bin * ((hi - lo) / {float(bins)}), 6) AS lo,
+  round(lo + (d.bin + 1) * ((hi - lo) / {float(bins)}), 6) AS hi, CAST(coalesce(h_c.n, 0) AS BIGINT) AS n
+FROM (SELECT {gk}bin FROM {dom}) d CROSS JOIN h_st LEFT JOIN h_c ON h_c.bin = d.bin{' AND h_c.grp = d.grp' if group else ''}"""
+
+
+@register("score_histogram", RISK_SQL + ", " + _hist_sql("risk", "ensemble_score", 30, "anomaly_label"))
+def q_score_histogram(spark, sf_dir):
+    """30 equal-width bins of the ensemble score, per anomaly label, zero-filled."""
+    return PR.histogram(_risk_zonly(spark, sf_dir), "ensemble_score", 30, group="anomaly_label")
+
+
+@register("box_summary", FEEDS_SQL + """, q AS (SELECT ESITO_CONTROLLO, quantile_cont(ENTRATI, 0.25) AS q1,
+  quantile_cont(ENTRATI, 0.5) AS median, quantile_cont(ENTRATI, 0.75) AS q3 FROM travellers GROUP BY 1)
+SELECT t.ESITO_CONTROLLO, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3,
+  round(min(CASE WHEN ENTRATI >= q1 - 1.5 * (q3 - q1) AND ENTRATI <= q3 + 1.5 * (q3 - q1) THEN ENTRATI END), 6) AS whisker_lo,
+  round(max(CASE WHEN ENTRATI >= q1 - 1.5 * (q3 - q1) AND ENTRATI <= q3 + 1.5 * (q3 - q1) THEN ENTRATI END), 6) AS whisker_hi,
+  CAST(count_if(NOT (ENTRATI >= q1 - 1.5 * (q3 - q1) AND ENTRATI <= q3 + 1.5 * (q3 - q1))) AS BIGINT) AS n_outliers
+FROM travellers t JOIN q ON t.ESITO_CONTROLLO = q.ESITO_CONTROLLO GROUP BY t.ESITO_CONTROLLO, q1, median, q3""")
+def q_box_summary(spark, sf_dir):
+    """Box-plot summary of ENTRATI per control outcome."""
+    return PR.box_summary(_trav(spark, sf_dir), "ENTRATI", "ESITO_CONTROLLO")
+
+
+@register("least_squares", FEEDS_SQL + """SELECT round(regr_slope(ALLARMATI, ENTRATI), 6) AS slope,
+  round(regr_intercept(ALLARMATI, ENTRATI), 6) AS intercept, round(regr_r2(ALLARMATI, ENTRATI), 6) AS r2 FROM travellers""")
+def q_least_squares(spark, sf_dir):
+    """Least-squares line of ALLARMATI on ENTRATI."""
+    return PR.least_squares(_trav(spark, sf_dir), "ALLARMATI", "ENTRATI")
+
+
+_SAMPLE_COLS = ["TOT", "ZONA", "OCCORRENZE", "CODICE_PAESE_PART"]
+
+
+@register("column_samples", O.with_(O.alarms_cte(), O.travellers_cte(), OC.raw_alarms_cte(), OC.clean_alarms_cte())
+          + "\nUNION ALL\n".join(
+              f"(SELECT {O.q(c)} AS column, CAST(_rid AS BIGINT) AS row_id, CAST({c} AS VARCHAR) AS value "
+              f"FROM clean_alarms WHERE {c} IS NOT NULL ORDER BY _rid LIMIT 3)" for c in _SAMPLE_COLS))
+def q_column_samples(spark, sf_dir):
+    """First three non-null values per cleaned column."""
+    return PR.column_samples(_clean_a(spark, sf_dir), _SAMPLE_COLS)
