@@ -9,11 +9,11 @@ are uncorrelated scalar subqueries: Spark runs each once and inlines the value.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lanewatch import constants as K
+from lanewatch.session import keep
 from lanewatch.functions.columns import clip, safe_div, sum_cols
 
 
@@ -126,7 +126,7 @@ def traveller_entity_aggregate(travellers: DataFrame, key: str = "ROTTA") -> Dat
         clip(rej * K.OUTCOME_RISK_WEIGHTS["rejected"] + det * K.OUTCOME_RISK_WEIGHTS["detained"], 0, 1)
         .alias("score_rischio_esiti"),
     )
-    g = g.persist(StorageLevel.MEMORY_AND_DISK)  # one row per entity; read twice
+    g = keep(g)  # one row per entity; read twice
     cap = g.select(F.percentile("_api_raw", 0.99)).scalar()
     return g.withColumn("alarm_per_invest", F.least(F.col("_api_raw"), cap)).drop("_api_raw")
 
@@ -159,7 +159,7 @@ def entity_features(alarms: DataFrame, travellers: DataFrame, key: str = "ROTTA"
             F.coalesce(paese, F.col("_paese_fallback"), F.lit("ND")).alias("PAESE_PART")]
     cols += [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in ALARM_NUMERIC + TRAVELLER_NUMERIC]
     cols += [F.coalesce(F.col(c), F.lit("ND")).alias(c) for c in TRAVELLER_CATEGORICAL]
-    f = j.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
+    f = keep(j.select(*cols))
     log_max = f.select(F.max("tot_allarmi_log")).scalar()
     w = K.COMPOSITE_WEIGHTS
     score = (F.col("tot_allarmi_log") / F.greatest(log_max, F.lit(1.0)) * w["log_volume"]

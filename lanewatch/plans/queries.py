@@ -11,6 +11,7 @@ from lanewatch import constants as K
 from lanewatch.operators import features as FT
 from lanewatch.plans import oracle_sql as O
 from lanewatch.plans.catalog import register
+from lanewatch.plans.workspace import memo
 from lanewatch.sources import proxy
 
 FEATURE_TYPES = ([("ROTTA", "str"), ("ZONA", "str"), ("PAESE_PART", "str")]
@@ -18,6 +19,7 @@ FEATURE_TYPES = ([("ROTTA", "str"), ("ZONA", "str"), ("PAESE_PART", "str")]
                  + [(c, "str") for c in FT.TRAVELLER_CATEGORICAL] + [("score_composito", "double")])
 
 
+@memo(persist=False)
 def _features(spark, sf_dir, grain="nation"):
     return FT.entity_features(proxy.alarm_feed(spark, sf_dir, grain), proxy.traveller_feed(spark, sf_dir, grain))
 
@@ -32,6 +34,7 @@ def q_entity_features(spark, sf_dir):
 from lanewatch.operators import baseline as B  # noqa: E402
 from lanewatch.operators import rules as R  # noqa: E402
 from lanewatch.plans.pipeline import score_entities  # noqa: E402
+from lanewatch.session import keep  # noqa: E402
 
 FEATS = K.BASELINE_FEATURES
 FEAT_SQL = O.with_(O.features_cte())
@@ -39,10 +42,12 @@ BASE_SQL = O.with_(O.features_cte(), O.baseline_cte())
 RISK_SQL = O.with_(O.features_cte(), O.baseline_cte(), O.zonly_scored_cte(), O.risk_cte())
 
 
+@memo(persist=True)
 def _baseline(spark, sf_dir):
     return B.robust_zscores(_features(spark, sf_dir))
 
 
+@memo(persist=True)
 def _risk_zonly(spark, sf_dir, classic: bool = False):
     """Pipeline with the Z detector only: every stage SQL-expressible."""
     f = _features(spark, sf_dir)
@@ -275,6 +280,7 @@ from lanewatch.operators.detectors.scaling import standard_scale  # noqa: E402
 from lanewatch.plans.pipeline import risk_pipeline  # noqa: E402
 
 
+@memo(persist=True)
 def _scaled(spark, sf_dir):
     return standard_scale(_features(spark, sf_dir).select("ROTTA", *FEATS), FEATS)
 
@@ -297,7 +303,7 @@ def q_lof_scores(spark, sf_dir):
 @register("iforest_scores")
 def q_iforest_scores(spark, sf_dir):
     """D3 + D7: isolation forest (200 trees, psi = 256) score, min-max score, inlier flag."""
-    sc = _scaled(spark, sf_dir).persist()
+    sc = keep(_scaled(spark, sf_dir))
     forest = IFm.fit(sc, FEATS, n_trees=K.N_TREES, max_samples=K.MAX_SAMPLES, seed=K.RANDOM_STATE)
     s = IFm.with_prediction(IFm.score(sc, forest, FEATS), K.CONTAMINATION)
     return EN.minmax(s, {"score_if": "if_score"})
@@ -306,7 +312,7 @@ def q_iforest_scores(spark, sf_dir):
 @register("autoencoder_scores")
 def q_autoencoder_scores(spark, sf_dir):
     """Autoencoder trained on forest inliers; min-max reconstruction error."""
-    sc = _scaled(spark, sf_dir).persist()
+    sc = keep(_scaled(spark, sf_dir))
     forest = IFm.fit(sc, FEATS, n_trees=K.N_TREES, max_samples=K.MAX_SAMPLES, seed=K.RANDOM_STATE)
     s = IFm.with_prediction(IFm.score(sc, forest, FEATS), K.CONTAMINATION)
     ae = AEm.autoencoder_scores(sc.join(s.select("ROTTA", "if_normal"), on="ROTTA"), FEATS)
@@ -315,6 +321,7 @@ def q_autoencoder_scores(spark, sf_dir):
     return ae
 
 
+@memo(persist=False)
 def _full(spark, sf_dir):
     return risk_pipeline(proxy.alarm_feed(spark, sf_dir), proxy.traveller_feed(spark, sf_dir))
 
@@ -356,10 +363,12 @@ def _ts_sql(cols, src):
     return O.round_select(cols, f"(SELECT * REPLACE (strftime(DATA_PARTENZA, '%Y-%m-%d %H:%M:%S') AS DATA_PARTENZA) FROM {src})")
 
 
+@memo(persist=True)
 def _clean_a(spark, sf_dir):
     return CL.clean_alarms(proxy.raw_alarm_feed(spark, sf_dir))
 
 
+@memo(persist=True)
 def _clean_t(spark, sf_dir):
     return CL.clean_travellers(proxy.raw_traveller_feed(spark, sf_dir))
 
@@ -661,3 +670,123 @@ _SAMPLE_COLS = ["TOT", "ZONA", "OCCORRENZE", "CODICE_PAESE_PART"]
 def q_column_samples(spark, sf_dir):
     """First three non-null values per cleaned column."""
     return PR.column_samples(_clean_a(spark, sf_dir), _SAMPLE_COLS)
+
+
+# ------------------------------------------------------------ ranks & compare
+from lanewatch.operators import compare as CMP  # noqa: E402
+from lanewatch.operators import ranks as RK  # noqa: E402
+
+
+@memo(persist=True)
+def _aligned(spark, sf_dir):
+    """Run A: robust-baseline ensemble labels; run B: composite-score labels (p97/p90)."""
+    risk = _risk_zonly(spark, sf_dir)
+    b = B.label_by_quantiles(risk.select("ROTTA", "score_composito"), "score_composito", "label_b")
+    return CMP.align(risk, b, "ROTTA", {"score_a": "ensemble_score", "label_a": "anomaly_label"},
+                     {"score_b": "score_composito", "label_b": "label_b"})
+
+
+ALIGNED_SQL = RISK_SQL + """, runb_q AS (SELECT quantile_cont(score_composito, 0.97) AS hi, quantile_cont(score_composito, 0.9) AS med FROM risk),
+aligned AS (SELECT ROTTA, ensemble_score AS score_a, anomaly_label AS label_a, score_composito AS score_b,
+  CASE WHEN score_composito >= hi THEN 'HIGH' WHEN score_composito >= med THEN 'MEDIUM' ELSE 'NORMAL' END AS label_b
+  FROM risk, runb_q),
+ranked AS (SELECT *,
+  (2 * rank() OVER (ORDER BY score_a) + count(*) OVER (PARTITION BY score_a) - 1) / 2.0 AS ra,
+  (2 * rank() OVER (ORDER BY score_b) + count(*) OVER (PARTITION BY score_b) - 1) / 2.0 AS rb,
+  floor((2 * rank() OVER (ORDER BY score_a DESC) + count(*) OVER (PARTITION BY score_a) - 1) / 2.0) AS rank_a,
+  floor((2 * rank() OVER (ORDER BY score_b DESC) + count(*) OVER (PARTITION BY score_b) - 1) / 2.0) AS rank_b
+  FROM aligned)
+"""
+
+
+@register("run_comparison", ALIGNED_SQL + """SELECT CAST(count(*) AS BIGINT) AS n,
+  round(avg(CAST(label_a = label_b AS DOUBLE)), 6) AS agreement, round(corr(score_a, score_b), 6) AS pearson,
+  round(corr(ra, rb), 6) AS spearman, CAST(count_if(label_a = 'HIGH' AND label_b = 'HIGH') AS BIGINT) AS both_high,
+  CAST(count_if(label_a = 'HIGH' AND label_b <> 'HIGH') AS BIGINT) AS only_a_high,
+  CAST(count_if(label_a <> 'HIGH' AND label_b = 'HIGH') AS BIGINT) AS only_b_high FROM ranked""")
+def q_run_comparison(spark, sf_dir):
+    """E17 + J6 + E7: agreement, Pearson, Spearman (average ranks) and HIGH overlaps of two scorings."""
+    return CMP.summary(_aligned(spark, sf_dir), "ROTTA")
+
+
+@register("label_distribution_pair", ALIGNED_SQL + """SELECT label, CAST(sum(a) AS BIGINT) AS n_a, CAST(sum(b) AS BIGINT) AS n_b FROM (
+  SELECT label_a AS label, 1 AS a, 0 AS b FROM aligned UNION ALL SELECT label_b, 0, 1 FROM aligned) GROUP BY label""")
+def q_label_distribution_pair(spark, sf_dir):
+    """Label distribution of the two runs side by side."""
+    return CMP.label_distribution(_aligned(spark, sf_dir))
+
+
+@register("rank_deltas", ALIGNED_SQL + """SELECT round(avg(abs(rank_a - rank_b)), 6) AS mean_delta,
+  round(median(abs(rank_a - rank_b)), 6) AS median_delta, round(max(abs(rank_a - rank_b)), 6) AS max_delta,
+  arg_min(ROTTA, (-abs(rank_a - rank_b), ROTTA)) AS max_delta_entity,
+  CAST(count_if(abs(rank_a - rank_b) <= 50) AS BIGINT) AS within_50,
+  CAST(count_if(abs(rank_a - rank_b) <= 100) AS BIGINT) AS within_100 FROM ranked""")
+def q_rank_deltas(spark, sf_dir):
+    """W2 + W3: average-rank deltas between the two scorings."""
+    return CMP.rank_deltas(_aligned(spark, sf_dir), "ROTTA")
+
+
+@register("top_overlap", ALIGNED_SQL + """SELECT 10 AS k, CAST(count(*) AS BIGINT) AS overlap FROM
+  (SELECT ROTTA FROM aligned ORDER BY score_a DESC, ROTTA LIMIT 10) JOIN (SELECT ROTTA FROM aligned ORDER BY score_b DESC, ROTTA LIMIT 10) USING (ROTTA)
+UNION ALL SELECT 50, CAST(count(*) AS BIGINT) FROM
+  (SELECT ROTTA FROM aligned ORDER BY score_a DESC, ROTTA LIMIT 50) JOIN (SELECT ROTTA FROM aligned ORDER BY score_b DESC, ROTTA LIMIT 50) USING (ROTTA)""")
+def q_top_overlap(spark, sf_dir):
+    """Overlap of the top-10 and top-50 sets of the two scorings."""
+    return CMP.top_overlap(_aligned(spark, sf_dir), "ROTTA")
+
+
+@register("divergent_routes", ALIGNED_SQL + """SELECT ROTTA, round(score_a, 6) AS score_a, label_a, round(score_b, 6) AS score_b, label_b,
+  label_a = label_b AS label_match, round(score_b - score_a, 6) AS delta_score, round(abs(score_b - score_a), 6) AS abs_delta
+FROM aligned WHERE label_a <> label_b ORDER BY abs(score_b - score_a) DESC, ROTTA LIMIT 15""")
+def q_divergent_routes(spark, sf_dir):
+    """W9 + E18: label mismatches with the largest score differences (top 15)."""
+    return CMP.divergent(_aligned(spark, sf_dir), "ROTTA")
+
+
+@register("global_rank", RISK_SQL + """SELECT ROTTA, round(ensemble_score, 6) AS ensemble_score,
+  CAST(row_number() OVER (ORDER BY ensemble_score DESC, ROTTA) AS BIGINT) AS rank FROM risk""")
+def q_global_rank(spark, sf_dir):
+    """Dense position by score (range-partitioned sort + per-partition offsets)."""
+    r = _risk_zonly(spark, sf_dir).select("ROTTA", "ensemble_score")
+    return RK.dense_position(r, [F.desc("ensemble_score"), F.asc("ROTTA")])
+
+
+@register("top_drivers", BASE_SQL + """, u AS (SELECT ROTTA, feature, idx, z FROM baseline
+  UNPIVOT (z FOR feature IN (""" + ", ".join(f"z_{c}" for c in FEATS) + """)) p
+  JOIN (VALUES """ + ", ".join(f"('z_{c}', {i})" for i, c in enumerate(FEATS)) + """) m(f, idx) ON m.f = p.feature),
+r AS (SELECT *, row_number() OVER (PARTITION BY ROTTA ORDER BY abs(z) DESC, idx) AS rn FROM u)
+SELECT ROTTA, """ + ", ".join(
+    f"max(CASE WHEN rn = {k} THEN substr(feature, 3) END) AS driver_{k}, round(max(CASE WHEN rn = {k} THEN z END), 6) AS z_{k}"
+    for k in (1, 2, 3)) + " FROM r WHERE rn <= 3 GROUP BY ROTTA")
+def q_top_drivers(spark, sf_dir):
+    """Each route's three features with the largest |robust z| (no shuffle)."""
+    t = RK.top_abs_per_row(_baseline(spark, sf_dir), FEATS, 3)
+    cols = [F.col("ROTTA")]
+    for k in (1, 2, 3):
+        cols += [F.col("top_drivers")[k - 1]["feature"].alias(f"driver_{k}"),
+                 F.col("top_drivers")[k - 1]["z"].alias(f"z_{k}")]
+    return t.select(*cols)
+
+
+_PERIM_FEEDS = O.with_(_PERIM_ALARMS, _PERIM_TRAV)
+
+
+@register("route_coverage", _PERIM_FEEDS + """SELECT CAST(count_if(a.ROTTA IS NOT NULL) AS BIGINT) AS n_a,
+  CAST(count_if(t.ROTTA IS NOT NULL) AS BIGINT) AS n_b, CAST(count_if(a.ROTTA IS NOT NULL AND t.ROTTA IS NOT NULL) AS BIGINT) AS n_both,
+  CAST(count_if(t.ROTTA IS NULL) AS BIGINT) AS only_a, CAST(count_if(a.ROTTA IS NULL) AS BIGINT) AS only_b,
+  CAST(count(*) AS BIGINT) AS n_union
+FROM (SELECT DISTINCT ROTTA FROM alarms WHERE ROTTA IS NOT NULL) a FULL OUTER JOIN (SELECT DISTINCT ROTTA FROM travellers WHERE ROTTA IS NOT NULL) t ON a.ROTTA = t.ROTTA""")
+def q_route_coverage(spark, sf_dir):
+    """A18 + U1–U3: route sets of the two feeds inside the January-1997 perimeter."""
+    a = CL.apply_perimeter(proxy.alarm_feed(spark, sf_dir), PERIMETER_JAN97)
+    t = CL.apply_perimeter(proxy.traveller_feed(spark, sf_dir), PERIMETER_JAN97)
+    return CMP.coverage(a, t, "ROTTA")
+
+
+@register("alarm_only_routes", _PERIM_FEEDS + """SELECT ROTTA, CAST(count(*) AS BIGINT) AS n_alarms FROM alarms
+WHERE ROTTA IS NOT NULL AND ROTTA NOT IN (SELECT ROTTA FROM travellers WHERE ROTTA IS NOT NULL) GROUP BY ROTTA""")
+def q_alarm_only_routes(spark, sf_dir):
+    """Routes with alarms but no traveller records in the perimeter (anti join)."""
+    a = CL.apply_perimeter(proxy.alarm_feed(spark, sf_dir), PERIMETER_JAN97).filter(F.col("ROTTA").isNotNull())
+    t = CL.apply_perimeter(proxy.traveller_feed(spark, sf_dir), PERIMETER_JAN97)
+    return CMP.only_in(a, t, "ROTTA").groupBy("ROTTA").agg(F.count(F.lit(1)).alias("n_alarms"))

@@ -16,6 +16,9 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Building plans from Python costs a JVM round trip per call; skip the
+    # per-call Python stack capture used only for error messages.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -57,6 +60,29 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+_KEPT: list[DataFrame] = []
+
+
+def keep(df: DataFrame) -> DataFrame:
+    """persist(MEMORY_AND_DISK) and remember the frame so ``release_all`` can free it.
+
+    Used for entity-level tables (one row per entity) read by several
+    statistics.  A lost executor only costs a recomputation from lineage.
+    """
+    from pyspark import StorageLevel
+    out = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _KEPT.append(out)
+    return out
+
+
+def release_all() -> None:
+    while _KEPT:
+        try:
+            _KEPT.pop().unpersist(blocking=False)
+        except Exception:  # session already stopped
+            pass
+
+
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (never local)."""
     checkpoint_dir(df.sparkSession)
