@@ -176,8 +176,8 @@ def path_lengths(X: np.ndarray, packed) -> np.ndarray:
 
 
 def score(scaled: DataFrame, nodes: DataFrame, features: list[str], key: str = "ROTTA",
-          out: str = "if_score") -> DataFrame:
-    """Anomaly score s in (0, 1] per row (higher = more isolated)."""
+          out: str = "if_score", keep=()) -> DataFrame:
+    """Anomaly score s in (0, 1] per row (higher = more isolated); ``keep`` columns pass through."""
     spark = scaled.sparkSession
     pdf = nodes.toPandas()  # bounded: n_trees * (2*psi - 1) rows
     psi = int(pdf["psi"].iloc[0])
@@ -189,10 +189,12 @@ def score(scaled: DataFrame, nodes: DataFrame, features: list[str], key: str = "
         for b in batches:
             X = b[features].to_numpy(dtype=float)
             h = path_lengths(X, packed)
-            yield pd.DataFrame({key: b[key], out: np.power(2.0, -h / cpsi)})
+            res = b[list(keep) + [key]].copy()
+            res[out] = np.power(2.0, -h / cpsi)
+            yield res
 
-    schema = T.StructType([scaled.schema[key], T.StructField(out, T.DoubleType())])
-    return scaled.select(key, *features).mapInPandas(run, schema)
+    schema = T.StructType([scaled.schema[c] for c in keep] + [scaled.schema[key], T.StructField(out, T.DoubleType())])
+    return scaled.select(*keep, key, *features).mapInPandas(run, schema)
 
 
 def with_prediction(scores: DataFrame, contamination: float, col: str = "if_score",

@@ -790,3 +790,230 @@ def q_alarm_only_routes(spark, sf_dir):
     a = CL.apply_perimeter(proxy.alarm_feed(spark, sf_dir), PERIMETER_JAN97).filter(F.col("ROTTA").isNotNull())
     t = CL.apply_perimeter(proxy.traveller_feed(spark, sf_dir), PERIMETER_JAN97)
     return CMP.only_in(a, t, "ROTTA").groupBy("ROTTA").agg(F.count(F.lit(1)).alias("n_alarms"))
+
+
+# ---------------------------------------------------------------------- studies
+from lanewatch.operators import studies as ST  # noqa: E402
+
+
+def _sens_sql() -> str:
+    parts = []
+    for i, s in enumerate(ST.sensitivity_scenarios()):
+        t = s["t"]
+        rules = [f"pct_interpol >= {t['high_interpol_pct']!r}", f"tasso_respinti >= {t['high_rejection_rate']!r}",
+                 f"tot_allarmi_log > {t['low_closure_volume']!r} AND tasso_chiusura < {t['low_closure_rate']!r}",
+                 f"pct_interpol >= {t['multi_source_pct']!r} AND pct_sdi >= {t['multi_source_pct']!r}",
+                 f"tasso_allarme_medio >= {t['high_alarm_rate']!r}"]
+        br = "(" + " + ".join(f"CAST(({r}) AS INTEGER)" for r in rules) + ") / 5.0"
+        tier = O.tier_sql("coalesce(anomaly_label, 'NORMAL')", br)
+        parts.append(f"""SELECT {i} AS scenario_id, {O.q(s['threshold'])} AS threshold, {float(s['baseline_value'])!r} AS baseline_value,
+  {float(s['delta_pct'])!r} AS delta_pct, {float(s['perturbed_value'])!r} AS perturbed_value,
+  """ + ", ".join(f"CAST(count_if(({tier}) = {O.q(tt)}) AS BIGINT) AS {tt}" for tt in K.RISK_TIERS) + " FROM risk")
+    return "sens AS (" + "\nUNION ALL\n".join(parts) + ")"
+
+
+_SENS_COLS = [("scenario_id", "int"), ("threshold", "str"), ("baseline_value", "double"), ("delta_pct", "double"),
+              ("perturbed_value", "double")] + [(t, "bigint") for t in K.RISK_TIERS]
+
+
+@register("threshold_sensitivity", RISK_SQL + ", " + _sens_sql() + "\n" + O.round_select(_SENS_COLS, "sens"))
+def q_threshold_sensitivity(spark, sf_dir):
+    """E3 + R13: tier counts with each rule threshold perturbed by -10..+10 % (30 scenarios, one pass)."""
+    return ST.threshold_sensitivity(_risk_zonly(spark, sf_dir))
+
+
+@register("sensitivity_summary", RISK_SQL + ", " + _sens_sql() + """
+SELECT threshold, CAST(max(CASE WHEN delta_pct = 0 THEN CRITICAL + HIGH END) AS BIGINT) AS baseline_high_risk,
+  CAST(greatest(max(CRITICAL + HIGH) - max(CASE WHEN delta_pct = 0 THEN CRITICAL + HIGH END),
+       max(CASE WHEN delta_pct = 0 THEN CRITICAL + HIGH END) - min(CRITICAL + HIGH)) AS BIGINT) AS max_abs_swing,
+  round(round(100.0 * greatest(max(CRITICAL + HIGH) - max(CASE WHEN delta_pct = 0 THEN CRITICAL + HIGH END),
+       max(CASE WHEN delta_pct = 0 THEN CRITICAL + HIGH END) - min(CRITICAL + HIGH))
+       / greatest(max(CASE WHEN delta_pct = 0 THEN CRITICAL + HIGH END), 1), 1), 6) AS swing_pct_of_baseline
+FROM sens GROUP BY threshold""")
+def q_sensitivity_summary(spark, sf_dir):
+    """Largest swing of CRITICAL + HIGH per threshold."""
+    return ST.sensitivity_summary(ST.threshold_sensitivity(_risk_zonly(spark, sf_dir)))
+
+
+@register("label_threshold_grid", RISK_SQL + """, qq AS (SELECT round(quantile_cont(ensemble_score, 0.97), 3) AS hi,
+  round(quantile_cont(ensemble_score, 0.9), 3) AS med FROM risk),
+hs AS (SELECT unnest([0.3, 0.35, 0.4, 0.45, 0.5]) AS high_t UNION ALL SELECT hi FROM qq),
+ms AS (SELECT unnest([0.15, 0.2, 0.25]) AS medium_t UNION ALL SELECT med FROM qq),
+pairs AS (SELECT DISTINCT CAST(high_t AS DOUBLE) AS high_t, CAST(medium_t AS DOUBLE) AS medium_t FROM hs, ms WHERE medium_t < high_t)
+SELECT round(high_t, 6) AS high_t, round(medium_t, 6) AS medium_t, CAST(count_if(ensemble_score >= high_t) AS BIGINT) AS n_high,
+  CAST(count_if(ensemble_score >= medium_t AND ensemble_score < high_t) AS BIGINT) AS n_medium,
+  CAST(count_if(ensemble_score < medium_t) AS BIGINT) AS n_normal,
+  round(round(100.0 * (count_if(ensemble_score >= high_t) + count_if(ensemble_score >= medium_t AND ensemble_score < high_t)) / count(*), 1), 6) AS alert_pct
+FROM pairs, risk GROUP BY high_t, medium_t""")
+def q_label_threshold_grid(spark, sf_dir):
+    """E5: label counts and alert share over a HIGH x MEDIUM cut-off grid."""
+    return ST.label_threshold_grid(_risk_zonly(spark, sf_dir))
+
+
+_BOOT_ITERS = 1000
+
+
+def _boot_sql() -> str:
+    per = f"""bx AS (SELECT a.*, it.it, row_number() OVER (PARTITION BY it.it ORDER BY
+    md5(ROTTA || '|' || CAST(it.it AS VARCHAR) || '|42'), ROTTA) AS rn FROM aligned a, range({_BOOT_ITERS}) it(it)),
+bs AS (SELECT * FROM bx WHERE rn <= (SELECT greatest(2, CAST(floor(count(*) * 0.8) AS BIGINT)) FROM aligned)),
+br AS (SELECT *, (2 * rank() OVER (PARTITION BY it ORDER BY score_a) + count(*) OVER (PARTITION BY it, score_a) - 1) / 2.0 AS ra2,
+  (2 * rank() OVER (PARTITION BY it ORDER BY score_b) + count(*) OVER (PARTITION BY it, score_b) - 1) / 2.0 AS rb2 FROM bs),
+per AS (SELECT it, avg(CAST(label_a = label_b AS DOUBLE)) AS agreement, corr(score_a, score_b) AS pearson,
+  corr(ra2, rb2) AS spearman FROM br GROUP BY it),
+pt AS (SELECT avg(CAST(label_a = label_b AS DOUBLE)) AS agreement, corr(score_a, score_b) AS pearson, corr(ra, rb) AS spearman FROM ranked)"""
+    rows = []
+    for m in ("agreement", "pearson", "spearman"):
+        rows.append(f"""SELECT {O.q(m)} AS metric, round((SELECT {m} FROM pt), 6) AS point, round(avg({m}), 6) AS mean,
+  round(stddev_samp({m}), 6) AS std, round(quantile_cont({m}, 0.025), 6) AS lo_95, round(quantile_cont({m}, 0.975), 6) AS hi_95,
+  round(quantile_cont({m}, 0.975) - quantile_cont({m}, 0.025), 6) AS ci_width, {_BOOT_ITERS} AS n_iter, 0.8 AS sample_frac FROM per""")
+    return ALIGNED_SQL + ", " + per + "\n" + "\nUNION ALL\n".join(rows)
+
+
+@register("bootstrap_ci", _boot_sql())
+def q_bootstrap_ci(spark, sf_dir):
+    """E6 + E7: 1000 x 80 % subsample CIs of label agreement, Pearson and Spearman between two scorings."""
+    return ST.bootstrap_ci(_aligned(spark, sf_dir), n_iter=_BOOT_ITERS)
+
+
+@register("topk_stability", RISK_SQL + """, top AS (SELECT ROTTA FROM risk ORDER BY ensemble_score DESC, ROTTA LIMIT 17),
+sh AS (SELECT ROTTA, avg(CAST(CAST(('0x' || substr(md5(ROTTA || '|' || CAST(b AS VARCHAR) || '|42'), 1, 8)) AS BIGINT) / 4294967296.0 < 0.8 AS DOUBLE)) AS share
+  FROM top, range(200) t(b) GROUP BY ROTTA)
+SELECT round(avg(share), 6) AS stability, 17 AS k, 200 AS n_boot FROM sh""")
+def q_topk_stability(spark, sf_dir):
+    """Top-17 set stability under 80 % resampling (200 draws)."""
+    return ST.topk_stability(_risk_zonly(spark, sf_dir))
+
+
+@register("silhouette", RISK_SQL + ", " + O.scaled_cte("risk", "sc") + """,
+lab AS (SELECT sc.*, CASE WHEN r.anomaly_label <> 'NORMAL' THEN '1' ELSE '0' END AS lab FROM sc JOIN risk r USING (ROTTA)),
+pd AS (SELECT a.ROTTA, a.lab AS la, b.lab AS lb, sqrt(""" + " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in FEATS) + """) AS d
+  FROM lab a JOIN lab b ON a.ROTTA <> b.ROTTA),
+pp AS (SELECT ROTTA, avg(CASE WHEN la = lb THEN d END) AS a, avg(CASE WHEN la <> lb THEN d END) AS b,
+  count_if(la = lb) AS na FROM pd GROUP BY ROTTA)
+SELECT round(avg(CASE WHEN na = 0 THEN 0.0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette, CAST(count(*) AS BIGINT) AS n FROM pp""")
+def q_silhouette(spark, sf_dir):
+    """Exact silhouette of the anomalous / normal split on the scaled features."""
+    r = _risk_zonly(spark, sf_dir)
+    pts = standard_scale(r.select("ROTTA", *FEATS), FEATS).join(
+        r.select("ROTTA", F.when(F.col("anomaly_label") != "NORMAL", "1").otherwise("0").alias("lab")), on="ROTTA")
+    return ST.silhouette(pts, FEATS, "lab")
+
+
+@register("cluster_indices")
+def q_cluster_indices(spark, sf_dir):
+    """Davies–Bouldin and Calinski–Harabasz of the anomalous / normal split."""
+    r = _risk_zonly(spark, sf_dir)
+    pts = standard_scale(r.select("ROTTA", *FEATS), FEATS).join(
+        r.select("ROTTA", F.when(F.col("anomaly_label") != "NORMAL", "1").otherwise("0").alias("lab")), on="ROTTA")
+    return ST.cluster_indices(pts, FEATS, "lab")
+
+
+def _full_scored(spark, sf_dir):
+    res = _full(spark, sf_dir)
+    return res.risk
+
+
+@register("ablation_study")
+def q_ablation_study(spark, sf_dir):
+    """Detector-subset ablation of the four-detector ensemble."""
+    return ST.ablation(_full_scored(spark, sf_dir))
+
+
+@memo(persist=True)
+def _grid(spark, sf_dir):
+    return ST.weight_grid(_full_scored(spark, sf_dir))
+
+
+@register("weight_grid")
+def q_weight_grid(spark, sf_dir):
+    """969-vector weight grid (step 0.05, all > 0), objective and rank."""
+    return _grid(spark, sf_dir)
+
+
+@register("weight_grid_summary")
+def q_weight_grid_summary(spark, sf_dir):
+    """Best grid vector versus the production weights."""
+    return ST.grid_summary(_grid(spark, sf_dir)).select(
+        "n_weight_vectors", "best_objective", "production_objective", "production_rank", "worst_objective",
+        "best_minus_production", F.to_json("best_weights").alias("best_weights"))
+
+
+@register("weight_grid_marginal")
+def q_weight_grid_marginal(spark, sf_dir):
+    """Best objective for each (w_if, w_z) pair."""
+    return ST.marginal_max(_grid(spark, sf_dir))
+
+
+@register("full_topk_stability")
+def q_full_topk_stability(spark, sf_dir):
+    """E8 on the four-detector ensemble."""
+    return ST.topk_stability(_full_scored(spark, sf_dir))
+
+
+@memo(persist=True)
+def _refit(spark, sf_dir):
+    sc = _scaled(spark, sf_dir)
+    return ST.refit_stability(sc, FEATS, _full_scored(spark, sf_dir), n_iter=100)
+
+
+@register("refit_stability")
+def q_refit_stability(spark, sf_dir):
+    """Share of 100 forest refits (80 % subsamples) flagging each route; stable >= 0.70."""
+    return _refit(spark, sf_dir)
+
+
+@register("stability_consistency")
+def q_stability_consistency(spark, sf_dir):
+    """Refit-stable routes versus ML anomalies."""
+    return ST.stability_consistency(_refit(spark, sf_dir))
+
+
+@memo(persist=False)
+def _forest(spark, sf_dir):
+    sc = _scaled(spark, sf_dir)
+    return keep(IFm.fit(sc, FEATS, n_trees=K.N_TREES, max_samples=K.MAX_SAMPLES, seed=K.RANDOM_STATE))
+
+
+@register("permutation_importance")
+def q_permutation_importance(spark, sf_dir):
+    """Isolation-score shift after shuffling each feature."""
+    return ST.permutation_importance(_scaled(spark, sf_dir), _forest(spark, sf_dir), FEATS)
+
+
+@register("topset_turnover")
+def q_topset_turnover(spark, sf_dir):
+    """Top-10 % set turnover over 30 permutations per feature."""
+    return ST.topset_turnover(_scaled(spark, sf_dir), _forest(spark, sf_dir), FEATS, n_perms=30)
+
+
+@memo(persist=False)
+def _surrogate(spark, sf_dir):
+    r = _full_scored(spark, sf_dir)
+    pts = standard_scale(r.select("ROTTA", *FEATS), FEATS).join(
+        r.select("ROTTA", (F.col("anomaly_label") != "NORMAL").cast("int").alias("is_anomaly")), on="ROTTA")
+    pts = keep(pts)
+    model, imps, acc = ST.surrogate(pts, FEATS)
+    return pts, model, imps, acc
+
+
+@register("surrogate_importance")
+def q_surrogate_importance(spark, sf_dir):
+    """Gradient-boosted surrogate of the ML labels: feature importances and accuracy."""
+    pts, model, imps, acc = _surrogate(spark, sf_dir)
+    a = acc.first()["accuracy"]
+    return imps.withColumn("surrogate_accuracy", F.lit(a))
+
+
+@register("attribution_global")
+def q_attribution_global(spark, sf_dir):
+    """Mean |p(x) - p(x with feature = 0)| of the surrogate per feature."""
+    pts, model, _, _ = _surrogate(spark, sf_dir)
+    return ST.global_attribution(ST.zeroing_attribution(pts, model, FEATS))
+
+
+@register("attribution_top3")
+def q_attribution_top3(spark, sf_dir):
+    """Each route's three largest attributions."""
+    pts, model, _, _ = _surrogate(spark, sf_dir)
+    return ST.top_attributions(ST.zeroing_attribution(pts, model, FEATS))
