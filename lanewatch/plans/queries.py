@@ -1017,3 +1017,159 @@ def q_attribution_top3(spark, sf_dir):
     """Each route's three largest attributions."""
     pts, model, _, _ = _surrogate(spark, sf_dir)
     return ST.top_attributions(ST.zeroing_attribution(pts, model, FEATS))
+
+
+# ------------------------------------------------------------------ explanations
+from lanewatch.operators import explain as EX  # noqa: E402
+from lanewatch.sources.tables import table  # noqa: E402
+
+_ZL = list(EX.Z_LABELS.items())
+
+
+def _drivers_sql(k: int) -> str:
+    """rows (ROTTA, rn, label, v, z) of the top-k narration drivers from `risk`."""
+    un = "\nUNION ALL\n".join(
+        f"SELECT ROTTA, {i} AS idx, {O.q(lbl)} AS label, CAST({v} AS DOUBLE) AS v, CAST({z} AS DOUBLE) AS z FROM risk"
+        for i, (z, (v, lbl)) in enumerate(_ZL))
+    return f"""drv_all AS ({un}),
+drv AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ROTTA ORDER BY -abs(z), idx) AS rn
+  FROM drv_all WHERE z IS NOT NULL) WHERE rn <= {k})"""
+
+
+def _fmt_sql(x: str, d: int = 3) -> str:
+    return f"coalesce(printf('%.{d}f', round(CAST({x} AS DOUBLE), {d})), 'N/D')"
+
+
+_RULES_TXT = ("coalesce(nullif(concat_ws('; ', " + ", ".join(
+    f"CASE WHEN {n} = 1 THEN {O.q(K.RULE_LABELS[n])} END" for n in K.RULE_LABELS) + "), ''), '{none}')")
+
+
+@register("narration_template", RISK_SQL + ", " + _drivers_sql(2) + f""",
+d2 AS (SELECT ROTTA, string_agg(label || '=' || {_fmt_sql('v')} || ' (' || printf('%+.2f', round(z, 2)) || 'σ)', ', ' ORDER BY rn) AS d
+  FROM drv GROUP BY ROTTA)
+SELECT r.ROTTA, 'Route ' || r.ROTTA || ' classified ' || coalesce(r.final_risk, r.anomaly_label, 'N/A') || '. Main drivers: '
+  || coalesce(d2.d, 'n/a') || '. Business rules: ' || {_RULES_TXT.replace('{none}', 'no business rule fired')} || '.' AS explanation
+FROM risk r LEFT JOIN d2 ON r.ROTTA = d2.ROTTA""")
+def q_narration_template(spark, sf_dir):
+    """Deterministic two-driver explanation per route."""
+    return EX.template_text(_risk_zonly(spark, sf_dir))
+
+
+@register("narration_context")
+def q_narration_context(spark, sf_dir):
+    """Narration context per route (drivers, scores per model, rules, volumes) — four-detector run."""
+    return EX.context_text(_full_scored(spark, sf_dir))
+
+
+_SORTED_RULES = ("coalesce(array_to_string(list_sort(list_filter([" + ", ".join(
+    f"CASE WHEN {n} = 1 THEN {O.q(K.RULE_LABELS[n])} END" for n in K.RULE_LABELS) + "], lambda x: x IS NOT NULL)), '|'), '')")
+
+
+@register("narration_signature", RISK_SQL + ", " + _drivers_sql(3) + f""",
+d3 AS (SELECT ROTTA, list(label || '|' || CAST(round(v, 3) AS VARCHAR) || '|' || CAST(round(z, 2) AS VARCHAR) ORDER BY rn) AS d
+  FROM drv GROUP BY ROTTA),
+sig AS (SELECT r.ROTTA, array_to_string(list_concat(list_concat([r.ROTTA, r.anomaly_label, r.final_risk], coalesce(d3.d, [])),
+  [{_SORTED_RULES}]), chr(10)) AS signature_text FROM risk r LEFT JOIN d3 ON r.ROTTA = d3.ROTTA)
+SELECT ROTTA, signature_text, sha256(signature_text) AS signature FROM sig""")
+def q_narration_signature(spark, sf_dir):
+    """Stable narration cache signature (no model scores) and its SHA-256."""
+    return EX.signature(_risk_zonly(spark, sf_dir))
+
+
+_PATTERN_SQL = (f"""pat AS (SELECT ROTTA, final_risk, confidence,
+  concat_ws(' || ', array_to_string(list_sort(list_filter([""" + ", ".join(
+    f"CASE WHEN {n} = 1 THEN {O.q(K.RULE_LABELS[n])} END" for n in K.RULE_LABELS) + """], lambda x: x IS NOT NULL)), ' | '), final_risk) AS pattern
+  FROM risk),
+pr AS (SELECT *, row_number() OVER (PARTITION BY pattern ORDER BY confidence DESC, ROTTA) AS pattern_rank FROM pat),
+plan AS (SELECT *, pattern_rank = 1 AS is_representative, pattern_rank > 15 AS templated,
+  CASE WHEN final_risk NOT IN ('CRITICAL', 'HIGH') THEN 'template' WHEN pattern_rank = 1 THEN 'narrated'
+       WHEN pattern_rank > 15 THEN 'template' ELSE 'pattern_reuse' END AS source FROM pr)""")
+
+
+@register("risk_patterns", RISK_SQL + ", " + _PATTERN_SQL + """
+SELECT ROTTA, final_risk, round(confidence, 6) AS confidence, pattern, CAST(pattern_rank AS INTEGER) AS pattern_rank,
+  is_representative, templated FROM plan""")
+def q_risk_patterns(spark, sf_dir):
+    """T4 + W7: risk-pattern fingerprints and one representative per pattern."""
+    return EX.patterns(_risk_zonly(spark, sf_dir)).withColumn("pattern_rank", F.col("pattern_rank").cast("int"))
+
+
+@register("narration_sources", RISK_SQL + ", " + _PATTERN_SQL + """
+SELECT source, CAST(count(*) AS BIGINT) AS n FROM plan GROUP BY source""")
+def q_narration_sources(spark, sf_dir):
+    """T5 + A36: narration gating by tier and pattern; counts per narration source."""
+    return EX.source_counts(EX.narration_plan(_risk_zonly(spark, sf_dir)))
+
+
+def _pairs(spark, sf_dir):
+    return EX.conversation_pairs(table(spark, sf_dir, "conversations"))
+
+
+_PAIRS_SQL = """WITH pairs AS (SELECT u.conv_id, u.turn, u.text AS context, a.text AS text FROM conversations u
+  JOIN conversations a ON a.conv_id = u.conv_id AND a.turn - 1 = u.turn AND a.role = 'assistant' WHERE u.role = 'user'),
+q AS (SELECT *, list_filter(list_transform(regexp_extract_all(coalesce(text, ''), '-?\\d+\\.?\\d*'), lambda x: round(TRY_CAST(x AS DOUBLE), 2)), lambda x: x IS NOT NULL) AS out_n,
+  list_distinct(list_filter(list_transform(regexp_extract_all(coalesce(context, ''), '-?\\d+\\.?\\d*'), lambda x: round(TRY_CAST(x AS DOUBLE), 2)), lambda x: x IS NOT NULL)) AS ctx_n
+  FROM pairs),
+q2 AS (SELECT *, list_filter(out_n, lambda n: NOT coalesce(list_bool_or(list_transform(ctx_n, lambda c: abs(n - c) <= 0.01 OR abs(n / 100 - c) <= 0.01 OR abs(n * 100 - c) <= 0.01)), false)) AS un FROM q),
+tq AS (SELECT conv_id, turn, context, text, CAST(len(out_n) AS INTEGER) AS numbers_cited, CAST(len(un) AS INTEGER) AS hallucinated_count,
+  CASE WHEN len(out_n) > 0 THEN round_even(1 - len(un) / len(out_n), 3) ELSE 1.0 END AS faithfulness,
+  CAST(len(list_filter(string_split_regex(trim(coalesce(text, '')), '[.!?]+\\s+'), lambda s: length(trim(s)) > 0)) AS INTEGER) AS sentences,
+  CAST(length(coalesce(text, '')) AS INTEGER) AS chars, length(trim(coalesce(text, ''))) = 0 AS empty,
+  array_to_string(list_filter([""" + ", ".join(O.q(w) for w in EX.MARKER_WORDS) + """], lambda w: instr(lower(coalesce(text, '')), w) > 0), ',') AS marker_leak
+  FROM q2)
+"""
+
+
+@register("text_quality", _PAIRS_SQL + """SELECT conv_id, turn, numbers_cited, hallucinated_count, round(faithfulness, 6) AS faithfulness,
+  sentences, chars, empty, marker_leak FROM tq""")
+def q_text_quality(spark, sf_dir):
+    """T6 + T7 + T9: numbers cited, faithfulness to the context, sentences, chars, marker leaks
+    for every (user context, assistant reply) pair of the conversations table."""
+    t = EX.text_quality(_pairs(spark, sf_dir))
+    return t.select("conv_id", "turn", "numbers_cited", "hallucinated_count", "faithfulness", "sentences", "chars",
+                    "empty", "marker_leak")
+
+
+@register("text_guardrail")
+def q_text_guardrail(spark, sf_dir):
+    """Guardrail rewrite of unsupported figures (Arrow pandas_udf) and its fix count."""
+    g = EX.guardrail(_pairs(spark, sf_dir))
+    return g.select("conv_id", "turn", "guardrail_fixes", "guarded_text")
+
+
+NARRATION_MODEL = "claude-sonnet-4-5"
+
+
+@register("narration_cost", _PAIRS_SQL + f""", tc AS (SELECT *,
+  greatest(1, CAST(floor(length(coalesce(context, '')) / 4) AS INTEGER)) AS in_tokens,
+  greatest(1, CAST(floor(length(coalesce(text, '')) / 4) AS INTEGER)) AS out_tokens FROM tq),
+tc2 AS (SELECT *, in_tokens / CAST(1000.0 AS DOUBLE) * CAST(0.003 AS DOUBLE) + out_tokens / CAST(1000.0 AS DOUBLE) * CAST(0.015 AS DOUBLE) AS cost_usd FROM tc)
+SELECT conv_id, CAST(count(*) AS BIGINT) AS n_samples, round(round(avg(out_tokens), 1), 6) AS avg_out_tokens,
+  round(quantile_cont(out_tokens, 0.5), 6) AS p50_out_tokens, round(quantile_cont(out_tokens, 0.95), 6) AS p95_out_tokens,
+  min(out_tokens) AS min_out_tokens, max(out_tokens) AS max_out_tokens, round(round(avg(in_tokens), 1), 6) AS avg_in_tokens,
+  round(round(avg(faithfulness), 3), 6) AS avg_faithfulness, CAST(sum(hallucinated_count) AS BIGINT) AS total_hallucinated,
+  CAST(count_if(empty) AS BIGINT) AS empty_outputs, round(round(avg(sentences), 1), 6) AS avg_sentences,
+  round(avg(cost_usd), 6) AS cost_per_item, round(avg(cost_usd) * 17, 6) AS run_17_usd,
+  round(avg(cost_usd) * 57, 6) AS run_57_usd FROM tc2 GROUP BY conv_id""")
+def q_narration_cost(spark, sf_dir):
+    """T10 + J11 + A35: token estimate (chars / 4), price by model-id match, quality and cost per conversation."""
+    t = EX.token_cost(EX.text_quality(_pairs(spark, sf_dir)), F.lit(NARRATION_MODEL))
+    return EX.quality_by_group(t, "conv_id")
+
+
+@register("narration_cache_split")
+def q_narration_cache_split(spark, sf_dir):
+    """Narration signatures of the full run found (hit) or not (miss) in the cache built
+    by the January-1997 perimeter run."""
+    cur = EX.signature(_risk_zonly(spark, sf_dir))
+    f = _perimeter_features(spark, sf_dir, PERIMETER_JAN97)
+    scored, _ = score_entities(B.robust_zscores(f), detectors=("Z",))
+    cache = EX.signature(R.apply_rules(scored))
+    hits, misses = EX.cache_split(cur, cache)
+    return hits.select("ROTTA", F.lit("hit").alias("status")).unionByName(misses.select("ROTTA", F.lit("miss").alias("status")))
+
+
+@register("report_findings")
+def q_report_findings(spark, sf_dir):
+    """One JSON finding per alert route with the report scope."""
+    return EX.report_findings(_risk_zonly(spark, sf_dir), scope="all years, all routes")
