@@ -52,3 +52,34 @@ def votes(df: DataFrame, cutoffs: dict | None = None) -> DataFrame:
     terms = [(F.coalesce(F.col(K.DETECTOR_SCORE_COLUMNS[d]), F.lit(0.0)) >= c).cast("int")
              for d, c in cutoffs.items() if K.DETECTOR_SCORE_COLUMNS[d] in df.columns]
     return df.withColumn("n_models_flagged", sum_cols(terms))
+
+
+def strict_second_pass(scored: DataFrame, scaled: DataFrame, features, key: str = "ROTTA",
+                       contamination: float = 0.03, n_trees: int = 300, min_high: int = 5,
+                       seed: int = 42) -> DataFrame:
+    """Refit the forest at a stricter contamination on the whole population;
+    robust_high = first-pass HIGH and strict anomaly.  Below ``min_high`` HIGH rows the
+    pass is skipped and HIGH rows count as verified.  The strict score is kept on all rows."""
+    from lanewatch.operators.detectors import iforest as IF
+    n_high = scored.filter(F.col("anomaly_label") == "HIGH").count()
+    if n_high < min_high:
+        return scored.withColumns({"robust_high": F.col("anomaly_label") == "HIGH",
+                                   "second_pass_score_if": F.lit(None).cast("double")})
+    forest = IF.fit(scaled, list(features), key=key, n_trees=n_trees, seed=seed)
+    s = IF.with_prediction(IF.score(scaled, forest, list(features), key=key, out="second_pass_score_if"),
+                           contamination, col="second_pass_score_if", out="_strict_normal")
+    return (scored.join(s, on=key, how="left")
+                  .withColumn("robust_high", (F.col("anomaly_label") == "HIGH") & ~F.col("_strict_normal"))
+                  .drop("_strict_normal"))
+
+
+def supervision_summary(sup: DataFrame, max_downgrade: float = 0.5) -> DataFrame:
+    """D12 + D13: first-pass HIGH, strict anomalies, robust HIGH, downgrades, robustness rate,
+    and whether the downgrade rate crosses the re-run threshold."""
+    high = F.col("anomaly_label") == "HIGH"
+    g = sup.agg(F.count_if(high).alias("n_first_pass_high"),
+                F.count_if(F.col("robust_high")).alias("n_robust_high"))
+    return g.select("*", (F.col("n_first_pass_high") - F.col("n_robust_high")).alias("n_downgraded"),
+                    F.round(F.col("n_robust_high") / F.greatest(F.col("n_first_pass_high"), F.lit(1)), 4).alias("robustness_rate"),
+                    ((F.col("n_first_pass_high") - F.col("n_robust_high")) / F.greatest(F.col("n_first_pass_high"), F.lit(1))
+                     > max_downgrade).alias("rerun_suggested"))

@@ -96,3 +96,22 @@ def risk_pipeline(alarms: DataFrame, travellers: DataFrame, detectors=("IF", "LO
     scored = materialise(scored, checkpoint)
     risk = R.apply_rules(scored)
     return PipelineResult(features=feats, baseline=base, scored=scored, risk=risk, weights=w)
+
+
+def perimeter_sweep(alarms: DataFrame, travellers: DataFrame, perimeters: list[dict],
+                    key: str = "ROTTA") -> DataFrame:
+    """The robust-baseline pipeline recomputed inside each perimeter (statistics
+    are per perimeter, as for a single run); one row of tier counts per perimeter.
+    The perimeter list is a short parameter, so runs are issued one after another."""
+    from lanewatch.operators.cleaning import apply_perimeter
+    out = None
+    for i, p in enumerate(perimeters):
+        a, t = apply_perimeter(alarms, p), apply_perimeter(travellers, p)
+        feats = FT.entity_features(a, t, key)
+        scored, _ = score_entities(B.robust_zscores(feats), detectors=("Z",), key=key)
+        risk = R.apply_rules(scored)
+        row = risk.agg(F.lit(i).alias("perimeter_id"), F.lit(str(sorted(p.items()))).alias("perimeter"),
+                       F.count(F.lit(1)).alias("n_routes"),
+                       *[F.count_if(F.col("final_risk") == tt).alias(tt) for tt in K.RISK_TIERS])
+        out = row if out is None else out.unionByName(row)
+    return out

@@ -1173,3 +1173,52 @@ def q_narration_cache_split(spark, sf_dir):
 def q_report_findings(spark, sf_dir):
     """One JSON finding per alert route with the report scope."""
     return EX.report_findings(_risk_zonly(spark, sf_dir), scope="all years, all routes")
+
+
+# ------------------------------------------------------------ sources / sinks
+from lanewatch.sources import files as FS  # noqa: E402
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType  # noqa: E402
+
+_RAW_A_COLS = ["_rid"] + OC.ALARM_RAW_COLS
+
+
+@register("csv_roundtrip", O.with_(O.alarms_cte(), O.travellers_cte(), OC.raw_alarms_cte())
+          + "SELECT CAST(_rid AS VARCHAR) AS _rid, " + ", ".join(OC.ALARM_RAW_COLS) + " FROM raw_alarms")
+def q_csv_roundtrip(spark, sf_dir):
+    """S1 + S4 + S5: dirty alarm records written as ';'-separated CSV to shared storage and
+    read back as all strings with the separator sniffed from the header."""
+    path = FS.scratch_path(spark, "raw-alarms-csv")
+    raw = proxy.raw_alarm_feed(spark, sf_dir).select(*_RAW_A_COLS)
+    FS.write_csv(raw, path, sep=";")
+    return FS.load_csv(spark, path)
+
+
+@register("json_roundtrip", RISK_SQL + """SELECT ROTTA, final_risk, round(confidence, 6) AS confidence,
+  array_to_string(list_filter([""" + ", ".join(f"CASE WHEN {n} = 1 THEN {O.q(K.RULE_LABELS[n])} END" for n in K.RULE_LABELS)
+          + """], lambda x: x IS NOT NULL), ' | ') AS risk_drivers FROM risk""")
+def q_json_roundtrip(spark, sf_dir):
+    """S6 + S7: risk rows as JSON records, written as JSON lines and parsed back with a schema."""
+    from pyspark.sql.types import DoubleType
+    r = _risk_zonly(spark, sf_dir).select("ROTTA", "final_risk", "confidence", "risk_drivers")
+    path = FS.scratch_path(spark, "risk-json")
+    FS.write_json(r, path)
+    schema = StructType([StructField("ROTTA", StringType()), StructField("final_risk", StringType()),
+                         StructField("confidence", DoubleType()), StructField("risk_drivers", ArrayType(StringType()))])
+    back = FS.from_records(spark.read.text(path).withColumnRenamed("value", "record"), schema)
+    return back.withColumn("risk_drivers", F.array_join("risk_drivers", " | "))
+
+
+@register("strict_second_pass")
+def q_strict_second_pass(spark, sf_dir):
+    """D12 + D13: stricter forest on all routes; robust HIGH, downgrades, re-run flag."""
+    sup = EN.strict_second_pass(_full(spark, sf_dir).scored, _scaled(spark, sf_dir), FEATS)
+    return EN.supervision_summary(sup)
+
+
+@register("perimeter_sweep")
+def q_perimeter_sweep(spark, sf_dir):
+    """Tier counts of the pipeline recomputed inside four perimeters."""
+    from lanewatch.plans.pipeline import perimeter_sweep
+    perims = [{"anno": 1997}, {"anno": 1997, "paese_partenza": "NATION_1"},
+              {"anno": 1997, "aeroporto_arrivo": "NATION_2"}, {"anno": 1997, "zona": 1}]
+    return perimeter_sweep(proxy.alarm_feed(spark, sf_dir), proxy.traveller_feed(spark, sf_dir), perims)
