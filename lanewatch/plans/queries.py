@@ -1222,3 +1222,51 @@ def q_perimeter_sweep(spark, sf_dir):
     perims = [{"anno": 1997}, {"anno": 1997, "paese_partenza": "NATION_1"},
               {"anno": 1997, "aeroporto_arrivo": "NATION_2"}, {"anno": 1997, "zona": 1}]
     return perimeter_sweep(proxy.alarm_feed(spark, sf_dir), proxy.traveller_feed(spark, sf_dir), perims)
+
+
+# -------------------------------------------------------------------- streaming
+from lanewatch.streaming import drift as DR  # noqa: E402
+from lanewatch.streaming import windows as SW  # noqa: E402
+
+_WIN_SQL = O.with_(O.features_cte()) + """, sa AS (
+  SELECT CAST(l.l_shipdate AS TIMESTAMP) AS ts, upper(ns.n_name) || '-' || upper(nc.n_name) AS ROTTA, l.l_quantity AS TOT,
+    """ + O.case_map("o.o_orderpriority", __import__("lanewatch.sources.proxy", fromlist=["x"]).MOTIVE_OF_PRIORITY) + """ AS MOTIVO_ALLARME
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
+  JOIN supplier s ON l.l_suppkey = s.s_suppkey JOIN nation ns ON s.s_nationkey = ns.n_nationkey
+  JOIN nation nc ON c.c_nationkey = nc.n_nationkey WHERE l.l_returnflag = 'R'),
+wa AS (SELECT time_bucket(INTERVAL '30 days', ts, TIMESTAMP '1970-01-01') AS window_start, ROTTA,
+  count(*) AS n_alarms, sum(TOT) AS tot, count_if(MOTIVO_ALLARME = 'INTERPOL') AS n_interpol,
+  count_if(MOTIVO_ALLARME = 'SDI') AS n_sdi, count(MOTIVO_ALLARME) AS n_motives FROM sa GROUP BY ALL),
+we AS (SELECT *, window_start + INTERVAL '30 days' AS window_end FROM wa
+  WHERE window_start + INTERVAL '30 days' <= (SELECT max(CAST(l_shipdate AS TIMESTAMP)) FROM lineitem) - INTERVAL '30 days'),
+ws AS (SELECT we.*, CASE WHEN n_motives > 0 THEN n_interpol / n_motives ELSE 0.0 END AS pct_interpol_window,
+  CASE WHEN n_motives > 0 THEN n_sdi / n_motives ELSE 0.0 END AS pct_sdi_window, f.pct_interpol AS pct_interpol_baseline
+  FROM we LEFT JOIN features f ON f.ROTTA = we.ROTTA)
+SELECT strftime(window_start, '%Y-%m-%d %H:%M:%S') AS window_start, strftime(window_end, '%Y-%m-%d %H:%M:%S') AS window_end,
+  ROTTA, CAST(n_alarms AS BIGINT) AS n_alarms, round(tot, 6) AS tot, round(pct_interpol_window, 6) AS pct_interpol_window,
+  round(pct_sdi_window, 6) AS pct_sdi_window, round(pct_interpol_baseline, 6) AS pct_interpol_baseline,
+  CAST(pct_interpol_window >= 0.3 AS INTEGER) AS br_high_interpol,
+  CAST(pct_interpol_window >= 0.1 AND pct_sdi_window >= 0.1 AS INTEGER) AS br_multi_source,
+  round(pct_interpol_window - coalesce(pct_interpol_baseline, 0.0), 6) AS interpol_drift FROM ws"""
+
+
+@register("stream_window_alerts", _WIN_SQL)
+def q_stream_window_alerts(spark, sf_dir):
+    """Streamed alarm records -> 30-day tumbling windows per route with a 30-day watermark
+    (append mode, stream-static joins) -> window rules against the frozen feature table."""
+    w = SW.run_window_job(spark, sf_dir)
+    s = SW.score_windows(w, _features(spark, sf_dir))
+    return s.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss")) \
+            .withColumn("window_end", F.date_format("window_end", "yyyy-MM-dd HH:mm:ss"))
+
+
+@register("monthly_drift", FEEDS_SQL + """, g AS (SELECT ROTTA, strftime(DATA_PARTENZA, '%Y-%m') AS month, count(*) AS n_alarms,
+  CASE WHEN count(MOTIVO_ALLARME) > 0 THEN count_if(MOTIVO_ALLARME = 'INTERPOL') / count(MOTIVO_ALLARME) ELSE 0.0 END AS pct_interpol
+  FROM alarms WHERE ROTTA IS NOT NULL AND DATA_PARTENZA IS NOT NULL GROUP BY ALL)
+SELECT ROTTA, month, CAST(n_alarms AS BIGINT) AS n_alarms, round(pct_interpol, 6) AS pct_interpol,
+  CAST(lag(n_alarms) OVER (PARTITION BY ROTTA ORDER BY month) AS BIGINT) AS prev_n_alarms,
+  round(pct_interpol - lag(pct_interpol) OVER (PARTITION BY ROTTA ORDER BY month), 6) AS delta_pct_interpol,
+  coalesce(abs(pct_interpol - lag(pct_interpol) OVER (PARTITION BY ROTTA ORDER BY month)) >= 0.2, false) AS drift FROM g""")
+def q_monthly_drift(spark, sf_dir):
+    """Month-over-month INTERPOL-share drift per route (lag over each route's months)."""
+    return DR.monthly_drift(_alarms(spark, sf_dir))
