@@ -164,5 +164,6 @@ def autoencoder_scores(scaled: DataFrame, features: list[str], key: str = "ROTTA
     if normal.count() < min_samples:
         return None
     vec = fit(normal, features, key=key, epochs=epochs or K.AE_MAX_EPOCHS, seed=seed)
-    err = score(scaled, features, vec, key=key)
+    from lanewatch.session import keep
+    err = keep(score(scaled, features, vec, key=key))  # read by the min/max and the projection
     return minmax(err, {"score_ae": "ae_error"}).select(key, "score_ae")

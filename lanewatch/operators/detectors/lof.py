@@ -93,5 +93,6 @@ def lof_from_knn(nn: DataFrame, key: str = "ROTTA", k: int | None = None) -> Dat
 
 def local_outlier_factor(points: DataFrame, features: list[str], key: str = "ROTTA", k: int = 20,
                          block_size: int = 4096) -> DataFrame:
-    nn = knn(points, features, key=key, k=k, block_size=block_size)
+    from lanewatch.session import keep
+    nn = keep(knn(points, features, key=key, k=k, block_size=block_size))  # read by three joins
     return lof_from_knn(nn, key=key)

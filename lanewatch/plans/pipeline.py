@@ -57,7 +57,7 @@ def score_entities(baseline: DataFrame, detectors=("IF", "LOF", "Z", "AE"), key:
         if "IF" in detectors or "AE" in detectors:
             forest = IF.fit(scaled, feats, key=key, n_trees=K.N_TREES, max_samples=K.MAX_SAMPLES, seed=seed)
             s_if = IF.score(scaled, forest, feats, key=key)
-            s_if = IF.with_prediction(s_if, K.CONTAMINATION)
+            s_if = keep(IF.with_prediction(keep(s_if), K.CONTAMINATION))
             if "IF" in detectors:
                 scores = scores.join(EN.minmax(s_if, {"score_if": "if_score"}).select(key, "score_if", "if_normal"),
                                      on=key)
@@ -65,22 +65,22 @@ def score_entities(baseline: DataFrame, detectors=("IF", "LOF", "Z", "AE"), key:
             else:
                 scores = scores.join(s_if.select(key, "if_normal"), on=key)
         if "LOF" in detectors:
-            lof = LOF.local_outlier_factor(scaled, feats, key=key, k=K.N_NEIGHBORS)
+            lof = keep(LOF.local_outlier_factor(scaled, feats, key=key, k=K.N_NEIGHBORS))
             scores = scores.join(EN.minmax(lof, {"score_lof": "lof"}).select(key, "score_lof"), on=key)
             active.append("LOF")
         if "AE" in detectors:
             ae = AE.autoencoder_scores(scaled.join(scores.select(key, "if_normal"), on=key), feats, key=key,
                                        normal_col="if_normal", seed=seed, epochs=ae_epochs)
             if ae is not None:
-                scores = scores.join(ae, on=key)
+                scores = scores.join(keep(ae), on=key)
                 active.append("AE")
-        df = df.join(scores, on=key, how="left")
+        df = df.join(keep(scores), on=key, how="left")
     for d in ("IF", "LOF", "AE"):
         c = K.DETECTOR_SCORE_COLUMNS[d]
         if c not in df.columns:
             df = df.withColumn(c, F.lit(0.0))
     w = EN.effective_weights(K.ENSEMBLE_WEIGHTS, active)
-    df = EN.blend(df, w)
+    df = keep(EN.blend(df, w))
     df = EN.label(df)
     df = EN.votes(df)
     return df, w

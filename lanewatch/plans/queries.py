@@ -296,7 +296,7 @@ def q_standardized_features(spark, sf_dir):
           + O.round_select([("ROTTA", "str"), ("lof", "double"), ("score_lof", "double")], "lof"))
 def q_lof_scores(spark, sf_dir):
     """D4 + D7: exact LOF (k = 20, Euclidean) on the scaled matrix and its min-max score."""
-    lof = LOFm.local_outlier_factor(_scaled(spark, sf_dir), FEATS, k=K.N_NEIGHBORS)
+    lof = keep(LOFm.local_outlier_factor(_scaled(spark, sf_dir), FEATS, k=K.N_NEIGHBORS))
     return EN.minmax(lof, {"score_lof": "lof"})
 
 
@@ -305,7 +305,7 @@ def q_iforest_scores(spark, sf_dir):
     """D3 + D7: isolation forest (200 trees, psi = 256) score, min-max score, inlier flag."""
     sc = keep(_scaled(spark, sf_dir))
     forest = IFm.fit(sc, FEATS, n_trees=K.N_TREES, max_samples=K.MAX_SAMPLES, seed=K.RANDOM_STATE)
-    s = IFm.with_prediction(IFm.score(sc, forest, FEATS), K.CONTAMINATION)
+    s = keep(IFm.with_prediction(keep(IFm.score(sc, forest, FEATS)), K.CONTAMINATION))
     return EN.minmax(s, {"score_if": "if_score"})
 
 
@@ -314,7 +314,7 @@ def q_autoencoder_scores(spark, sf_dir):
     """Autoencoder trained on forest inliers; min-max reconstruction error."""
     sc = keep(_scaled(spark, sf_dir))
     forest = IFm.fit(sc, FEATS, n_trees=K.N_TREES, max_samples=K.MAX_SAMPLES, seed=K.RANDOM_STATE)
-    s = IFm.with_prediction(IFm.score(sc, forest, FEATS), K.CONTAMINATION)
+    s = keep(IFm.with_prediction(keep(IFm.score(sc, forest, FEATS)), K.CONTAMINATION))
     ae = AEm.autoencoder_scores(sc.join(s.select("ROTTA", "if_normal"), on="ROTTA"), FEATS)
     if ae is None:
         return sc.select("ROTTA", F.lit(0.0).alias("score_ae"))

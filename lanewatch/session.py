@@ -64,13 +64,16 @@ _KEPT: list[DataFrame] = []
 
 
 def keep(df: DataFrame) -> DataFrame:
-    """persist(MEMORY_AND_DISK) and remember the frame so ``release_all`` can free it.
+    """Materialise an intermediate table and cut its lineage.
 
-    Used for entity-level tables (one row per entity) read by several
-    statistics.  A lost executor only costs a recomputation from lineage.
+    A reliable checkpoint into the shared ``spark.checkpoint.dir`` (never a
+    local checkpoint): later plans start from a plain scan, so they stay small
+    (no growing tree of cached plans for the optimizer to match), and a lost
+    executor re-reads the files instead of recomputing the upstream joins.
+    Used for entity-level tables (one row per entity) read by several statistics.
     """
-    from pyspark import StorageLevel
-    out = df.persist(StorageLevel.MEMORY_AND_DISK)
+    checkpoint_dir(df.sparkSession)
+    out = df.checkpoint(eager=True)
     _KEPT.append(out)
     return out
 
