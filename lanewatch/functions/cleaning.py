@@ -10,9 +10,23 @@ from pyspark.sql import functions as F
 from lanewatch import constants as K
 from lanewatch.functions.columns import col_, lookup
 
-# Date shapes tried in order (each accepts only its own shape); then day-first fallbacks.
-DATE_FORMATS = ["yyyy-M-d H:m:s", "yyyy-M-d'T'H:m:s", "yyyy-M-d", "yyyy/M/d", "d.M.yyyy", "d-M-yy", "MMM d yyyy"]
-DAYFIRST_FALLBACKS = ["d/M/yyyy", "d/M/yyyy H:m", "d/M/yyyy H:m:s", "d-M-yyyy", "d M yyyy"]
+# Date shapes tried in order (each accepts only its own shape), then day-first fallbacks.
+# Each format is paired with a regular expression of its shape: a value is handed to
+# the one parser whose shape it has, so no row pays for failed parse attempts.
+DATE_FORMATS = [
+    ("yyyy-M-d H:m:s", r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$"),
+    ("yyyy-M-d'T'H:m:s", r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,2}$"),
+    ("yyyy-M-d", r"^\d{4}-\d{1,2}-\d{1,2}$"),
+    ("yyyy/M/d", r"^\d{4}/\d{1,2}/\d{1,2}$"),
+    ("d.M.yyyy", r"^\d{1,2}\.\d{1,2}\.\d{4}$"),
+    ("d-M-yy", r"^\d{1,2}-\d{1,2}-\d{2}$"),
+    ("MMM d yyyy", r"^[A-Za-z]{3} \d{1,2} \d{4}$"),
+    ("d/M/yyyy", r"^\d{1,2}/\d{1,2}/\d{4}$"),
+    ("d/M/yyyy H:m", r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}$"),
+    ("d/M/yyyy H:m:s", r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}:\d{1,2}$"),
+    ("d-M-yyyy", r"^\d{1,2}-\d{1,2}-\d{4}$"),
+    ("d M yyyy", r"^\d{1,2} \d{1,2} \d{4}$"),
+]
 TWO_DIGIT_YEAR_FORMAT = "d-M-yy"
 
 
@@ -22,18 +36,29 @@ def null_tokens(c, tokens=None) -> Column:
     return F.when(c.isin(list(tokens or K.NULL_TOKENS)), F.lit(None).cast("string")).otherwise(c)
 
 
-def parse_date(c) -> Column:
-    """Trim, Italian month tokens -> English, ordered formats, day-first fallback."""
+def date_text(c) -> Column:
+    """C5 step 1: trim, Italian month tokens -> English (project once, then parse)."""
     s = F.trim(col_(c).cast("string"))
     for it, en in K.ITALIAN_MONTHS_EN.items():
         s = F.replace(s, F.lit(it), F.lit(en))
-    parsed = []
-    for fmt in DATE_FORMATS + DAYFIRST_FALLBACKS:
+    return s
+
+
+def parse_date_text(s) -> Column:
+    """C5 step 2: parse a normalised date string with the format its shape selects."""
+    s = col_(s)
+    out = None
+    for fmt, shape in DATE_FORMATS:
         t = F.try_to_timestamp(s, F.lit(fmt))
         if fmt == TWO_DIGIT_YEAR_FORMAT:  # two-digit years: 69-99 -> 1900s, 00-68 -> 2000s
             t = F.when(F.year(t) >= 2069, F.add_months(t, -1200).cast("timestamp")).otherwise(t)
-        parsed.append(t)
-    return F.coalesce(*parsed)
+        out = F.when(s.rlike(shape), t) if out is None else out.when(s.rlike(shape), t)
+    return out
+
+
+def parse_date(c) -> Column:
+    """Trim, Italian month tokens -> English, ordered formats, day-first fallback."""
+    return parse_date_text(date_text(c))
 
 
 def extract_number(c) -> Column:

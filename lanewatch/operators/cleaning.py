@@ -36,12 +36,18 @@ def replace_null_tokens(df: DataFrame, tokens=None, skip=()) -> DataFrame:
         for f in df.schema.fields])
 
 
-def _common(df: DataFrame) -> dict[str, Column]:
-    d = C.parse_date(F.col("DATA_PARTENZA"))
+def _parsed(df: DataFrame) -> DataFrame:
+    """Stage 1: null tokens, normalised date text.  Stage 2: parsed timestamp, codes.
+
+    Each stage references the previous one by column name, so every expensive
+    expression (the date parser, the number extraction) is evaluated once per row;
+    later stages only read columns.
+    """
+    df = df.withColumn("_date_text", C.date_text(F.col("DATA_PARTENZA")))
     out = {
-        "DATA_PARTENZA": d,
-        "ANNO_PARTENZA": F.coalesce(F.year(d).cast("double"), C.year_repair(F.col("ANNO_PARTENZA"))),
-        "MESE_PARTENZA": F.coalesce(F.month(d), C.month_number(F.col("MESE_PARTENZA"))),
+        "DATA_PARTENZA": C.parse_date_text(F.col("_date_text")),
+        "_anno_raw": C.year_repair(F.col("ANNO_PARTENZA")),
+        "_mese_raw": C.month_number(F.col("MESE_PARTENZA")),
         "ZONA": C.zone(F.col("ZONA")),
         "AREOPORTO_ARRIVO": C.airport(F.col("AREOPORTO_ARRIVO")),
         "AREOPORTO_PARTENZA": C.airport(F.col("AREOPORTO_PARTENZA")),
@@ -49,48 +55,50 @@ def _common(df: DataFrame) -> dict[str, Column]:
     for c in ("CODICE_PAESE_ARR", "CODICE_PAESE_PART"):
         if c in df.columns:
             out[c] = C.iso3(F.col(c))
-    return out
+    return df.withColumns(out)
 
 
 def _calendar(df: DataFrame) -> DataFrame:
-    """Hour, weekday (Monday = 0), month."""
+    """C6 + C21: year / month from the parsed date where it parsed; hour, weekday (Monday = 0), month."""
     d = F.col("DATA_PARTENZA")
-    return df.withColumns({"ora_partenza": F.hour(d), "giorno_settimana": F.weekday(d), "mese": F.month(d)})
+    return (df.withColumns({"ANNO_PARTENZA": F.coalesce(F.year(d).cast("double"), F.col("_anno_raw")),
+                            "MESE_PARTENZA": F.coalesce(F.month(d), F.col("_mese_raw")),
+                            "ora_partenza": F.hour(d), "giorno_settimana": F.weekday(d), "mese": F.month(d)})
+              .drop("_date_text", "_anno_raw", "_mese_raw"))
 
 
 def clean_alarms(raw: DataFrame) -> DataFrame:
     """C1–C8, C11, C13, C15, C16, C18, C21 on the all-string alarm feed."""
-    df = replace_null_tokens(drop_known(raw, K.DROP_COLS_ALARMS))
-    out = _common(df)
-    out["TOT"] = C.count_domain(C.extract_number(F.col("TOT")))
-    out["OCCORRENZE"] = F.when(F.col("OCCORRENZE").isin(K.OCCURRENCE_INVALID), F.lit(None).cast("string")) \
-                         .otherwise(F.col("OCCORRENZE"))
+    df = _parsed(replace_null_tokens(drop_known(raw, K.DROP_COLS_ALARMS)))
+    out = {"TOT": C.extract_number(F.col("TOT")),
+           "OCCORRENZE": F.when(F.col("OCCORRENZE").isin(K.OCCURRENCE_INVALID), F.lit(None).cast("string"))
+                          .otherwise(F.col("OCCORRENZE"))}
     for c in ("PAESE_ARR", "PAESE_PART", "MOTIVO_ALLARME"):
         if c in df.columns:
             out[c] = F.trim(F.col(c))
-    return _calendar(df.withColumns(out))
+    df = df.withColumns(out).withColumn("TOT", C.count_domain(F.col("TOT")))
+    return _calendar(df)
 
 
 def clean_travellers(raw: DataFrame) -> DataFrame:
     """C1–C6, C9–C12, C14–C21 on the all-string traveller feed."""
-    df = replace_null_tokens(drop_known(raw, K.DROP_COLS_TRAVELLERS))
-    out = _common(df)
-    ent = C.non_negative(C.extract_number(F.col("ENTRATI")))
-    inv = C.non_negative(C.extract_number(F.col("INVESTIGATI")))
-    alr = C.non_negative(C.extract_number(F.col("ALLARMATI")))
-    inv, alr = C.at_most(inv, ent), C.at_most(alr, ent)
-    ent, inv, alr = (F.coalesce(x, F.lit(0.0)) for x in (ent, inv, alr))
+    df = _parsed(replace_null_tokens(drop_known(raw, K.DROP_COLS_TRAVELLERS)))
+    out = {c: C.non_negative(C.extract_number(F.col(c))) for c in ("ENTRATI", "INVESTIGATI", "ALLARMATI")}
     out.update({
-        "ENTRATI": ent, "INVESTIGATI": inv, "ALLARMATI": alr,
         "GENERE": C.gender(F.col("GENERE")),
         "TIPO_DOCUMENTO": C.allowed(F.col("TIPO_DOCUMENTO"), K.DOCUMENT_TYPES),
         "FASCIA_ETA": C.age_band(F.col("FASCIA_ETA")),
-        "tasso_allarme": safe_div(alr, ent),
-        "tasso_investigati": safe_div(inv, ent),
     })
     if "NAZIONALITA" in df.columns:
         out["NAZIONALITA"] = C.nationality(F.col("NAZIONALITA"))
-    return _calendar(df.withColumns(out))
+    df = df.withColumns(out)
+    ent = F.col("ENTRATI")
+    df = df.withColumns({"INVESTIGATI": F.coalesce(C.at_most(F.col("INVESTIGATI"), ent), F.lit(0.0)),
+                         "ALLARMATI": F.coalesce(C.at_most(F.col("ALLARMATI"), ent), F.lit(0.0))})
+    df = df.withColumn("ENTRATI", F.coalesce(ent, F.lit(0.0)))
+    df = df.withColumns({"tasso_allarme": safe_div(F.col("ALLARMATI"), F.col("ENTRATI")),
+                         "tasso_investigati": safe_div(F.col("INVESTIGATI"), F.col("ENTRATI"))})
+    return _calendar(df)
 
 
 def with_route(df: DataFrame, key: str = "ROTTA") -> DataFrame:
