@@ -465,3 +465,22 @@ def top_attributions(attr: DataFrame, key: str = "ROTTA", k: int = 3) -> DataFra
     """Each row's k features with the largest |attribution| (window per entity)."""
     w = Window.partitionBy(key).orderBy(F.desc(F.abs("attribution")), F.asc("feature"))
     return attr.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+
+
+# --------------------------------------------------------------- E16
+def scorecard(risk: DataFrame, key: str = "ROTTA", score_col: str = "ensemble_score", k: int = K.TOP_K_STABILITY,
+              n_boot: int = 200, seed: int = K.RANDOM_STATE) -> DataFrame:
+    """One record with the run's headline metrics (label and tier counts, thresholds,
+    alert volume, top entity, top-k stability)."""
+    stab = EN.one_row(topk_stability(risk, score_col, key, k, n_boot, K.BOOT_FRACTION, seed).select("stability"))
+    return risk.agg(
+        F.count(F.lit(1)).alias("n_routes"),
+        *[F.count_if(F.col("anomaly_label") == lbl).alias(f"n_{lbl.lower()}_label") for lbl in K.ANOMALY_LABELS],
+        *[F.count_if(F.col("final_risk") == t).alias(f"n_{t.lower()}") for t in K.RISK_TIERS],
+        F.percentile(score_col, K.LABEL_QUANTILE_HIGH).alias("threshold_high"),
+        F.percentile(score_col, K.LABEL_QUANTILE_MEDIUM).alias("threshold_medium"),
+        F.count_if(F.col("final_risk").isin(K.ALERT_TIERS) & (F.col("confidence") >= K.ALERT_MIN_CONFIDENCE))
+        .alias("n_alerts"),
+        F.avg("confidence").alias("mean_confidence"),
+        F.min_by(F.col(key), F.struct(-F.col("confidence"), F.col(key))).alias("top_route"),
+    ).withColumn(f"stability_top{k}", stab["stability"])

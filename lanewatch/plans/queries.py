@@ -1270,3 +1270,9 @@ SELECT ROTTA, month, CAST(n_alarms AS BIGINT) AS n_alarms, round(pct_interpol, 6
 def q_monthly_drift(spark, sf_dir):
     """Month-over-month INTERPOL-share drift per route (lag over each route's months)."""
     return DR.monthly_drift(_alarms(spark, sf_dir))
+
+
+@register("scorecard")
+def q_scorecard(spark, sf_dir):
+    """One-record scorecard of the four-detector run."""
+    return ST.scorecard(_full_scored(spark, sf_dir))
