@@ -61,3 +61,30 @@ def representative(df: DataFrame, group: str, score: str, key: str) -> DataFrame
     """One row per group — highest score, ties by key (row_number over the group)."""
     w = Window.partitionBy(group).orderBy(F.desc(score), F.asc(key))
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+
+
+def dense_position_by(df: DataFrame, group: str, order: list[Column], out: str = "rank") -> DataFrame:
+    """1-based position inside each ``group`` without a per-group window.
+
+    Rows are range-partitioned on (group, order) — a large group spans several
+    partitions — then each (partition, group) slice is counted; offsets are a
+    running sum over the small counts table (one row per partition and group).
+    """
+    tagged = keep(df.orderBy(F.col(group), *order)
+                    .withColumn("_pid", F.spark_partition_id())
+                    .withColumn("_mid", F.monotonically_increasing_id()))
+    counts = tagged.groupBy("_pid", group).agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
+    w = Window.partitionBy(group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = counts.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
+    return (tagged.join(F.broadcast(offs), on=["_pid", group])
+                  .withColumn(out, (F.col("_off") + F.col("_mid") - F.col("_m0") + 1).cast("bigint"))
+                  .drop("_pid", "_mid", "_m0", "_off"))
+
+
+def average_rank_by(df: DataFrame, group: str, score: str, key: str, out: str, descending: bool = False) -> DataFrame:
+    """Average rank (ties averaged) of ``score`` inside each ``group``; distributed on (group, score)."""
+    s = F.col(score)
+    pos = dense_position_by(df.select(group, key, score), group,
+                            [s.desc() if descending else s.asc(), F.col(key).asc()], "_pos")
+    ties = pos.groupBy(group, score).agg(((F.min("_pos") + F.max("_pos")) / 2.0).alias(out))
+    return df.join(ties, on=[group, score])

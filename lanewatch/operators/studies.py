@@ -21,6 +21,7 @@ from lanewatch import constants as K
 from lanewatch.functions.columns import md5_uniform, sum_cols
 from lanewatch.operators import rules as R
 from lanewatch.operators.detectors import ensemble as EN
+from lanewatch.operators.ranks import average_rank_by, dense_position_by
 
 DETS = ["IF", "LOF", "Z", "AE"]
 
@@ -36,13 +37,6 @@ def _scenario_scores(scored: DataFrame, scenarios: list[dict], key: str) -> Data
     return x.select(F.col("s.sid").alias("scenario_id"), key, score.alias("score"), "br_score")
 
 
-def _avg_rank(score: str, part: str) -> Column:
-    """Average rank (ties averaged, ascending) within ``part``."""
-    w = Window.partitionBy(part).orderBy(F.col(score))
-    wt = Window.partitionBy(part, score)
-    return (2 * F.rank().over(w) + F.count(F.lit(1)).over(wt) - 1) / 2.0
-
-
 def _top_k(ss: DataFrame, key: str, k: int) -> DataFrame:
     w = Window.partitionBy("scenario_id").orderBy(F.desc("score"), F.asc(key))
     return ss.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k).drop("_rn")
@@ -60,8 +54,9 @@ def _scenario_metrics(scored: DataFrame, scenarios: list[dict], key: str, k: int
                       frac: float, seed: int, reference_sid: int | None = None) -> DataFrame:
     ss = _scenario_scores(scored, scenarios, key)
     q = ss.groupBy("scenario_id").agg(F.percentile("score", 0.97).alias("hi"), F.percentile("score", 0.9).alias("med"))
-    ranked = ss.join(F.broadcast(q), on="scenario_id").select(
-        "*", _avg_rank("score", "scenario_id").alias("_ra"), _avg_rank("br_score", "scenario_id").alias("_rb"))
+    ranked = ss.join(F.broadcast(q), on="scenario_id")
+    ranked = average_rank_by(ranked, "scenario_id", "score", key, "_ra")
+    ranked = average_rank_by(ranked, "scenario_id", "br_score", key, "_rb")
     counts = ranked.groupBy("scenario_id").agg(
         F.count_if(F.col("score") >= F.col("hi")).alias("n_high"),
         F.count_if((F.col("score") >= F.col("med")) & (F.col("score") < F.col("hi"))).alias("n_medium"),
@@ -225,13 +220,14 @@ def bootstrap_ci(aligned: DataFrame, key: str = "ROTTA", n_iter: int = 1000, fra
     it = F.explode(F.sequence(F.lit(0), F.lit(n_iter - 1))).alias("it")
     x = aligned.select(key, "score_a", "score_b", "label_a", "label_b", it)
     h = F.md5(F.concat_ws("|", F.col(key).cast("string"), F.col("it").cast("string"), F.lit(str(seed))))
-    x = x.withColumn("_rn", F.row_number().over(Window.partitionBy("it").orderBy(h, F.col(key))))
-    x = x.filter(F.col("_rn") <= k)
-    x = x.select("*", _avg_rank("score_a", "it").alias("_ra"), _avg_rank("score_b", "it").alias("_rb"))
+    x = dense_position_by(x.withColumn("_h", h), "it", [F.col("_h"), F.col(key)], "_rn")
+    x = x.filter(F.col("_rn") <= k).drop("_h", "_rn")
+    x = average_rank_by(x, "it", "score_a", key, "_ra")
+    x = average_rank_by(x, "it", "score_b", key, "_rb")
     per = x.groupBy("it").agg(F.avg((F.col("label_a") == F.col("label_b")).cast("double")).alias("agreement"),
                               F.corr("score_a", "score_b").alias("pearson"), F.corr("_ra", "_rb").alias("spearman"))
-    full = aligned.select("*", F.lit(0).alias("_p"))
-    full = full.select("*", _avg_rank("score_a", "_p").alias("_ra"), _avg_rank("score_b", "_p").alias("_rb"))
+    full = average_rank_by(aligned.withColumn("_p", F.lit(0)), "_p", "score_a", key, "_ra")
+    full = average_rank_by(full, "_p", "score_b", key, "_rb")
     point = EN.one_row(full.agg(F.avg((F.col("label_a") == F.col("label_b")).cast("double")).alias("agreement"),
                                 F.corr("score_a", "score_b").alias("pearson"), F.corr("_ra", "_rb").alias("spearman")))
     stats = per.agg(*[e for m in ("agreement", "pearson", "spearman") for e in (
@@ -383,9 +379,9 @@ def permuted_scenarios(scaled: DataFrame, features, key: str = "ROTTA", n_perms:
         key, *feats, "sc.sid", "sc.fidx", "sc.perm")
     vals = F.array(*[F.col(c) for c in feats])
     h = F.md5(F.concat_ws("|", F.col(key).cast("string"), F.col("sid").cast("string"), F.lit(str(seed))))
-    x = x.withColumn("_i", F.row_number().over(Window.partitionBy("sid").orderBy(key)))
-    donor = (x.withColumn("_q", F.row_number().over(Window.partitionBy("sid").orderBy(h, F.col(key))))
-              .select("sid", F.col("_q").alias("_i"), F.element_at(vals, F.col("fidx") + 1).alias("_v")))
+    x = dense_position_by(x, "sid", [F.col(key)], "_i")
+    donor = (dense_position_by(x.withColumn("_h", h), "sid", [F.col("_h"), F.col(key)], "_q")
+             .select("sid", F.col("_q").alias("_i"), F.element_at(vals, F.col("fidx") + 1).alias("_v")))
     j = x.join(donor, on=["sid", "_i"])
     names = F.array(*[F.lit(c) for c in feats])
     return j.select("sid", F.element_at(names, F.col("fidx") + 1).alias("feature"), "perm", key,
@@ -414,8 +410,7 @@ def topset_turnover(scaled: DataFrame, forest: DataFrame, features, key: str = "
     base_top = IF.score(scaled, forest, feats, key=key).orderBy(F.desc("if_score"), F.asc(key)).limit(top_n).select(key)
     p = permuted_scenarios(scaled, feats, key, n_perms, seed)
     s = IF.score(p, forest, feats, key=key, keep=["sid", "feature"])
-    w = Window.partitionBy("sid").orderBy(F.desc("if_score"), F.asc(key))
-    top = s.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= top_n)
+    top = dense_position_by(s, "sid", [F.desc("if_score"), F.asc(key)], "_r").filter(F.col("_r") <= top_n)
     kept = top.join(F.broadcast(base_top.withColumn("_b", F.lit(1))), on=key, how="left")
     per = kept.groupBy("sid", "feature").agg((1.0 - F.count("_b") / F.lit(float(top_n))).alias("turnover"))
     return per.groupBy("feature").agg(F.avg("turnover").alias("importance"))
