@@ -72,8 +72,11 @@ def keep(df: DataFrame) -> DataFrame:
     executor re-reads the files instead of recomputing the upstream joins.
     Used for entity-level tables (one row per entity) read by several statistics.
     """
+    from pyspark import StorageLevel
     checkpoint_dir(df.sparkSession)
-    out = df.checkpoint(eager=True)
+    staged = df.persist(StorageLevel.MEMORY_AND_DISK)  # the checkpoint write reads this, not the lineage
+    out = staged.checkpoint(eager=True)
+    staged.unpersist(blocking=False)
     _KEPT.append(out)
     return out
 
