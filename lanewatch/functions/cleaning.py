@@ -44,16 +44,44 @@ def date_text(c) -> Column:
     return s
 
 
+# Rewrites of each accepted numeric shape to "y-M-d H:m:s" (anchored, so a value is
+# rewritten by at most one rule and every output has the canonical shape).
+_CANONICAL = [
+    (r"^(\d{4})-(\d{1,2})-(\d{1,2})T(\d{1,2}:\d{1,2}:\d{1,2})$", "$1-$2-$3 $4"),
+    (r"^(\d{4})-(\d{1,2})-(\d{1,2})$", "$1-$2-$3 0:0:0"),
+    (r"^(\d{4})/(\d{1,2})/(\d{1,2})$", "$1-$2-$3 0:0:0"),
+    (r"^(\d{1,2})\.(\d{1,2})\.(\d{4})$", "$3-$2-$1 0:0:0"),
+    (r"^(\d{1,2})-(\d{1,2})-(69|[7-9]\d)$", "19$3-$2-$1 0:0:0"),  # two-digit years 69-99
+    (r"^(\d{1,2})-(\d{1,2})-([0-5]\d|6[0-8])$", "20$3-$2-$1 0:0:0"),  # two-digit years 00-68
+    (r"^(\d{1,2})/(\d{1,2})/(\d{4})$", "$3-$2-$1 0:0:0"),
+    (r"^(\d{1,2})/(\d{1,2})/(\d{4}) (\d{1,2}):(\d{1,2})$", "$3-$2-$1 $4:$5:0"),
+    (r"^(\d{1,2})/(\d{1,2})/(\d{4}) (\d{1,2}:\d{1,2}:\d{1,2})$", "$3-$2-$1 $4"),
+    (r"^(\d{1,2})-(\d{1,2})-(\d{4})$", "$3-$2-$1 0:0:0"),
+    (r"^(\d{1,2}) (\d{1,2}) (\d{4})$", "$3-$2-$1 0:0:0"),
+]
+_CANONICAL_SHAPE = r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$"
+_MONTH_NAME_SHAPE = r"^[A-Za-z]{3} \d{1,2} \d{4}$"
+
+
+def canonical_date_text(s) -> Column:
+    """C5 step 2: rewrite the value's shape to the canonical y-M-d H:m:s layout."""
+    canon = col_(s)
+    for pat, rep in _CANONICAL:
+        canon = F.regexp_replace(canon, pat, rep)
+    return canon
+
+
+def parse_canonical(canon, s) -> Column:
+    """C5 step 3: one parse of the canonical text; month-name dates use their own format.
+    Shapes are disjoint, so this equals trying the formats in order, without failed attempts."""
+    canon, s = col_(canon), col_(s)
+    return (F.when(canon.rlike(_CANONICAL_SHAPE), F.try_to_timestamp(canon, F.lit("y-M-d H:m:s")))
+             .when(s.rlike(_MONTH_NAME_SHAPE), F.try_to_timestamp(s, F.lit("MMM d yyyy"))))
+
+
 def parse_date_text(s) -> Column:
-    """C5 step 2: parse a normalised date string with the format its shape selects."""
-    s = col_(s)
-    out = None
-    for fmt, shape in DATE_FORMATS:
-        t = F.try_to_timestamp(s, F.lit(fmt))
-        if fmt == TWO_DIGIT_YEAR_FORMAT:  # two-digit years: 69-99 -> 1900s, 00-68 -> 2000s
-            t = F.when(F.year(t) >= 2069, F.add_months(t, -1200).cast("timestamp")).otherwise(t)
-        out = F.when(s.rlike(shape), t) if out is None else out.when(s.rlike(shape), t)
-    return out
+    """C5 steps 2-3 on a normalised date string."""
+    return parse_canonical(canonical_date_text(s), s)
 
 
 def parse_date(c) -> Column:

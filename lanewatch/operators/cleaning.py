@@ -44,8 +44,9 @@ def _parsed(df: DataFrame) -> DataFrame:
     later stages only read columns.
     """
     df = df.withColumn("_date_text", C.date_text(F.col("DATA_PARTENZA")))
+    df = df.withColumn("_date_canon", C.canonical_date_text(F.col("_date_text")))
     out = {
-        "DATA_PARTENZA": C.parse_date_text(F.col("_date_text")),
+        "DATA_PARTENZA": C.parse_canonical(F.col("_date_canon"), F.col("_date_text")),
         "_anno_raw": C.year_repair(F.col("ANNO_PARTENZA")),
         "_mese_raw": C.month_number(F.col("MESE_PARTENZA")),
         "ZONA": C.zone(F.col("ZONA")),
@@ -64,7 +65,7 @@ def _calendar(df: DataFrame) -> DataFrame:
     return (df.withColumns({"ANNO_PARTENZA": F.coalesce(F.year(d).cast("double"), F.col("_anno_raw")),
                             "MESE_PARTENZA": F.coalesce(F.month(d), F.col("_mese_raw")),
                             "ora_partenza": F.hour(d), "giorno_settimana": F.weekday(d), "mese": F.month(d)})
-              .drop("_date_text", "_anno_raw", "_mese_raw"))
+              .drop("_date_text", "_date_canon", "_anno_raw", "_mese_raw"))
 
 
 def clean_alarms(raw: DataFrame) -> DataFrame:
