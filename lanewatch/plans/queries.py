@@ -407,7 +407,8 @@ _MERGED_COLS = [("_rid", "bigint"), ("AREOPORTO_ARRIVO", "str"), ("AREOPORTO_PAR
 def q_merged_feed(spark, sf_dir):
     """J1 + A1: alarms LEFT JOIN per (arrival, departure, day) traveller aggregates."""
     from lanewatch.operators.features import merge_feeds
-    return merge_feeds(_clean_a(spark, sf_dir), _clean_t(spark, sf_dir)).select(*[c for c, _ in _MERGED_COLS])
+    # cleaned feeds are materialised (S4) before the merge, as a production run writes them out
+    return merge_feeds(keep(_clean_a(spark, sf_dir)), keep(_clean_t(spark, sf_dir))).select(*[c for c, _ in _MERGED_COLS])
 
 
 @register("null_report", O.with_(O.alarms_cte(), O.travellers_cte(), OC.raw_alarms_cte(), OC.clean_alarms_cte())
