@@ -1277,3 +1277,11 @@ def q_monthly_drift(spark, sf_dir):
 def q_scorecard(spark, sf_dir):
     """One-record scorecard of the four-detector run."""
     return ST.scorecard(_full_scored(spark, sf_dir))
+
+
+@register("risk_pipeline_supplier_grain")
+def q_risk_pipeline_supplier_grain(spark, sf_dir):
+    """D2–D11 + R1–R9 with routes keyed on (supplier, customer nation): the same pipeline
+    over many more entities (detectors, kNN blocks and forest sampling at entity scale)."""
+    r = risk_pipeline(proxy.alarm_feed(spark, sf_dir, "supplier"), proxy.traveller_feed(spark, sf_dir, "supplier")).risk
+    return r.withColumn("risk_drivers", F.array_join("risk_drivers", " | ")).select(*_FULL_COLS)
