@@ -1256,9 +1256,7 @@ def q_stream_window_alerts(spark, sf_dir):
     """Streamed alarm records -> 30-day tumbling windows per route with a 30-day watermark
     (append mode, stream-static joins) -> window rules against the frozen feature table."""
     w = SW.run_window_job(spark, sf_dir)
-    s = SW.score_windows(w, _features(spark, sf_dir))
-    return s.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss")) \
-            .withColumn("window_end", F.date_format("window_end", "yyyy-MM-dd HH:mm:ss"))
+    return SW.score_windows(w, _features(spark, sf_dir))
 
 
 @register("monthly_drift", FEEDS_SQL + """, g AS (SELECT ROTTA, strftime(DATA_PARTENZA, '%Y-%m') AS month, count(*) AS n_alarms,

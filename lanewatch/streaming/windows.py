@@ -54,16 +54,28 @@ def windowed_route_aggregates(stream: DataFrame, window: str = "30 days") -> Dat
 
 def run_window_job(spark: SparkSession, sf_dir: str, window: str = "30 days", delay: str = "30 days",
                    timeout_s: int = 600) -> DataFrame:
-    """Run the stream to the end of the available input and return the emitted windows."""
+    """Run the stream to the end of the available input and return the emitted windows.
+
+    Event times are wall-clock values; the job runs in UTC so window boundaries do not
+    depend on the caller's session time zone, and writes them as text.
+    """
     base = scratch_path(spark, "stream-windows")
-    q = (windowed_route_aggregates(alarm_stream(spark, sf_dir, delay), window)
-         .writeStream.outputMode("append").format("parquet")
-         .option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint")
-         .trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError("window stream did not finish")
+    tz = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    try:
+        agg = windowed_route_aggregates(alarm_stream(spark, sf_dir, delay), window).select(
+            F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
+            F.date_format("w.end", "yyyy-MM-dd HH:mm:ss").alias("window_end"),
+            "ROTTA", "n_alarms", "tot", "n_interpol", "n_sdi", "n_motives")
+        q = (agg.writeStream.outputMode("append").format("parquet")
+             .option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint")
+             .trigger(availableNow=True).start())
+        q.awaitTermination(timeout_s)
+        if q.isActive:
+            q.stop()
+            raise TimeoutError("window stream did not finish")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", tz)
     return spark.read.parquet(f"{base}/out")
 
 
@@ -72,7 +84,7 @@ def score_windows(windows: DataFrame, frozen: DataFrame, key: str = "ROTTA") ->
     t = K.RULE_THRESHOLDS
     pi = safe_div(F.col("n_interpol"), F.col("n_motives"))
     ps = safe_div(F.col("n_sdi"), F.col("n_motives"))
-    w = windows.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), key,
+    w = windows.select("window_start", "window_end", key,
                        "n_alarms", "tot", pi.alias("pct_interpol_window"), ps.alias("pct_sdi_window"))
     f = frozen.select(key, F.col("pct_interpol").alias("pct_interpol_baseline"))
     out = w.join(f, on=key, how="left")
