@@ -2,5 +2,6 @@
 
 from lanewatch.llm import (  # noqa: F401  (each fills the registry)
     decontam,
+    neardup,
 )
 from lanewatch.llm.common import ORACLE, QUERIES  # noqa: F401
