@@ -3,5 +3,6 @@
 from lanewatch.llm import (  # noqa: F401  (each fills the registry)
     decontam,
     neardup,
+    substring,
 )
 from lanewatch.llm.common import ORACLE, QUERIES  # noqa: F401

@@ -177,7 +177,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = 8 << 20):
     n = batch.num_rows
     if n == 0:
         return
-    off = _offsets(batch.column(column))
+    off = offsets_of(batch.column(column))
     lo = 0
     while lo < n:
         hi = max(lo + 1, int(np.searchsorted(off, off[lo] + limit, side="right")) - 1)
@@ -186,7 +186,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = 8 << 20):
         lo = hi
 
 
-def _offsets(col: pa.Array) -> np.ndarray:
+def offsets_of(col: pa.Array) -> np.ndarray:
     import pyarrow.compute as pc
     lens = pc.fill_null(pc.binary_length(col), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     return np.concatenate([[0], np.cumsum(lens)])
