@@ -4,6 +4,7 @@ from lanewatch.llm import (  # noqa: F401  (each fills the registry)
     decontam,
     neardup,
     packing,
+    sharding,
     substring,
 )
 from lanewatch.llm.common import ORACLE, QUERIES  # noqa: F401
