@@ -2,6 +2,7 @@
 
 from lanewatch.llm import (  # noqa: F401  (each fills the registry)
     decontam,
+    fingerprint,
     langid,
     neardup,
     packing,
