@@ -104,7 +104,10 @@ def _blocks(items: DataFrame, item_id: str, item_text: str, limit: int) -> list[
 def _passes(spark: SparkSession, docs: DataFrame, items: DataFrame, n: int, text: str, item_id: str, item_text: str,
             limit: int, finish, schema: T.StructType) -> DataFrame:
     blocks = _blocks(items, item_id, item_text, limit)
-    carried = replace_columns(docs, T.StructField("_found", T.ArrayType(SPAN)))
+    extra = "_found"
+    while extra in docs.columns:
+        extra += "_"
+    carried = replace_columns(docs, T.StructField(extra, T.ArrayType(SPAN)))
     df = docs
     for b, block in enumerate(blocks):
         index = spark.sparkContext.broadcast(_index([(r.item, r.text) for r in block.collect()], n))
@@ -115,12 +118,12 @@ def _passes(spark: SparkSession, docs: DataFrame, items: DataFrame, n: int, text
                 for batch in textops.slices(whole, text):
                     words = textops.split_words(batch.column(text), textops.ALNUM)
                     hits = _scan(words, index.value)
-                    if "_found" in batch.schema.names:
-                        for i, spans in enumerate(batch.column("_found").to_pylist()):
+                    if extra in batch.schema.names:
+                        for i, spans in enumerate(batch.column(extra).to_pylist()):
                             hits += [(i, int(words.offsets[i]) + x["start"], x["length"], frozenset([x["item"]]))
                                      for x in spans or ()]
-                        batch = batch.drop_columns(["_found"])
-                    yield finish(batch, words, hits) if last else _carry(batch, words, hits)
+                        batch = batch.drop_columns([extra])
+                    yield finish(batch, words, hits) if last else _carry(batch, words, hits, extra)
 
         df = df.mapInArrow(run, schema if last else carried)
         if not last:
@@ -128,12 +131,12 @@ def _passes(spark: SparkSession, docs: DataFrame, items: DataFrame, n: int, text
     return df
 
 
-def _carry(batch: pa.RecordBatch, words: textops.Words, hits: list) -> pa.RecordBatch:
+def _carry(batch: pa.RecordBatch, words: textops.Words, hits: list, extra: str) -> pa.RecordBatch:
     spans: list[list] = [[] for _ in range(batch.num_rows)]
     for i, s, k, items in hits:
         spans[i] += [{"start": s - int(words.offsets[i]), "length": k, "item": x} for x in items]
     kind = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64()), ("item", pa.string())]))
-    return pa.RecordBatch.from_arrays([*batch.columns, pa.array(spans, kind)], [*batch.schema.names, "_found"])
+    return pa.RecordBatch.from_arrays([*batch.columns, pa.array(spans, kind)], [*batch.schema.names, extra])
 
 
 def _mask(words: textops.Words, hits: list) -> np.ndarray:

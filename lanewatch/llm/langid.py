@@ -192,10 +192,17 @@ def identify(docs: DataFrame, model: Model, *, text: str = "text", lead: float =
     return docs.mapInArrow(run, schema)
 
 
-def keep_identified(docs: DataFrame, **options) -> DataFrame:
-    """Documents whose text has a language: the rejected ones have no letters, or no text."""
-    columns = docs.columns
-    return identify(docs, fit(docs), **options).filter(F.col("lang_pred") != UND).select(*columns)
+def keep_identified(docs: DataFrame, *, text: str = "text", **options) -> DataFrame:
+    """The documents, all columns, whose text has a language; rejected are those without a letter."""
+    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, text=text, **options))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in textops.slices(whole, text, 4 << 20):
+                lang, _, _ = shared.value.predict(batch.column(text))
+                yield batch.filter(pa.array([x != UND for x in lang], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 @register("op6_language_id")

@@ -7,6 +7,9 @@ from lanewatch.llm import (  # noqa: F401  (each fills the registry)
     neardup,
     packing,
     sharding,
+    tokencount,
+    urlfilter,
+    warc,
     substring,
 )
 from lanewatch.llm.common import ORACLE, QUERIES  # noqa: F401
