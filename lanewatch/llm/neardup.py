@@ -7,10 +7,12 @@ every bin is certainly filled. Rounds stop once a document's bins are full.
 
 Equal sets are one class, represented by its smallest id; only classes are
 banded. Inside a band's bucket candidates are not paired all with all: every
-member is compared with the bucket's smallest member; buckets whose members
-then lie in one component are done, the others go on with their next member,
-and what is left after ``stars`` rounds is compared across components. Links
-are confirmed on the full shingle sets.
+member is first compared with its most central neighbour (the one that shares
+most buckets). Buckets whose members then lie in one component are done. In the
+others a member's own shingles, which no other member has, bound what it can have
+in common with anyone; ``stars`` rounds compare each bucket's centre with the
+members of other components, and what is left is compared across components, as
+far as sizes and bounds allow a link. Links are confirmed on the full shingle sets.
 
 Defined results: no words or no text: empty set, linked with nothing; fewer
 words than a shingle: the whole sequence is the only one; equal rows fall into
@@ -126,7 +128,7 @@ def small_side(df: DataFrame, rows: int = 500_000) -> DataFrame:
 
 def _verified(docs: DataFrame, edges: DataFrame, k: int, percent: int) -> DataFrame:
     """The edges (a, b) whose full sets reach the similarity."""
-    ids = kept(edges.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
+    ids = kept(edges.select(F.col("a").alias("doc_id")).union(edges.select("b")).distinct())
     sets = kept(_sets(docs.join(small_side(ids), "doc_id", "left_semi"), k).dropDuplicates(["doc_id"]))
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
@@ -135,6 +137,15 @@ def _verified(docs: DataFrame, edges: DataFrame, k: int, percent: int) -> DataFr
     return kept(edges.join(left, "a").join(right, "b").filter(100 * both >= percent * union).select("a", "b"))
 
 
+def _own_shingles(docs: DataFrame, members: DataFrame, k: int) -> DataFrame:
+    """(rep, q): how many of a member's shingles no other member has. No link of the members can use them."""
+    ids = kept(members.select(F.col("rep").alias("doc_id")).distinct())
+    each = _sets(docs.join(small_side(ids), "doc_id", "left_semi"), k).dropDuplicates(["doc_id"]) \
+        .select("doc_id", F.explode("shingles").alias("shingle"))
+    once = each.groupBy("shingle").agg(F.count("*").alias("c"), F.min("doc_id").alias("rep")).filter("c = 1")
+    return kept(once.groupBy("rep").agg(F.count("*").alias("q")))
+
+
 def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
     """(node, component) of an undirected edge table (a, b): alternating large and small stars.
 
@@ -167,7 +178,7 @@ def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = 3,
-                    percent: int = 85, bands: int = 32, rows: int = 4, stars: int = 3) -> DataFrame:
+                    percent: int = 85, bands: int = 32, rows: int = 4, stars: int = 2) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every document.
 
     ``bands`` x ``rows`` coordinates: a pair at the threshold similarity s is missed
@@ -177,40 +188,55 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     sigs = kept(_signatures(slim, shingle, bands, rows))
     classes = kept(sigs.filter("sig is not null").groupBy("sig", "n_shingles")
                    .agg(F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands")))
-    placed = classes.filter("rep is not null").select(F.explode("bands").alias("bucket"), "rep", "n_shingles")
-    shared = placed.groupBy("bucket").agg(F.count("*").alias("c")).filter("c > 1").select("bucket")
-    members = kept(placed.join(shared, "bucket", "left_semi"))
-    edges, group = None, None
+    placed = classes.filter("rep is not null").select(F.explode("bands").alias("bucket"), "rep", F.col("n_shingles").alias("n"))
+    shared = placed.groupBy("bucket").agg(F.count("*").alias("c")).filter("c > 1")
+    members = kept(placed.join(shared, "bucket"))
+    central = members.groupBy("rep").agg(F.sum("c").alias("near"))       # members with many neighbours make good hubs
+    members = kept(members.drop("c").join(central, "rep"))
+    hub = F.max(F.struct("near", "rep", "n")).alias("hub")
+    first = members.join(members.groupBy("bucket").agg(hub), "bucket").filter(F.col("rep") != F.col("hub.rep")) \
+        .groupBy("rep", "n").agg(F.max("hub").alias("hub"))
     fits = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
-    for r in range(stars + 1):
-        if group is not None:
-            named = members.join(small_side(group), members.rep == group.node, "left") \
-                .withColumn("c", F.coalesce("component", "rep")).drop("node", "component")
-            mixed = named.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi")
-            named = kept(named.join(mixed.select("bucket"), "bucket", "left_semi"))
-        else:
-            named = members.withColumn("c", F.col("rep"))
-        if r < stars:
-            hubs = named.groupBy("bucket").agg(F.min(F.struct("rep", "n_shingles", "c")).alias("hub"))
-            spokes = named.join(hubs, "bucket").filter(F.col("rep") != F.col("hub.rep"))
-            members = kept(spokes.select("bucket", "rep", "n_shingles", "c",
-                                         F.col("hub.rep").alias("hub"), F.col("hub.n_shingles").alias("hub_n"),
-                                         F.col("hub.c").alias("hub_c")))
-            pairs = members.filter("c <> hub_c").select(F.col("hub").alias("a"), F.col("rep").alias("b"),
-                                                        F.col("hub_n").alias("na"), F.col("n_shingles").alias("nb"))
-            members = members.select("bucket", "rep", "n_shingles")
-        else:
-            x = named.select("bucket", F.col("rep").alias("a"), F.col("n_shingles").alias("na"), F.col("c").alias("ca"))
-            y = named.select("bucket", F.col("rep").alias("b"), F.col("n_shingles").alias("nb"), F.col("c").alias("cb"))
-            pairs = x.join(y, "bucket").filter("a < b and ca <> cb")
-        fresh = kept(pairs.filter(fits).select("a", "b").distinct())
-        if r and not fresh.count():
-            if not members.count() or r == stars:
-                break
-            continue
-        found = _verified(slim, fresh, shingle, percent)
-        edges = found if edges is None else edges.union(found)
-        group = kept(components(edges))
+    first = first.select(F.col("rep").alias("a"), F.col("hub.rep").alias("b"), F.col("n").alias("na"), F.col("hub.n").alias("nb"))
+    edges = _verified(slim, kept(first.filter(fits).select("a", "b")), shingle, percent)
+    group = kept(components(edges))
+
+    def mixed(m: DataFrame) -> DataFrame:
+        """The members of buckets that still hold several components, with their component c."""
+        named = m.drop("c").join(small_side(group), F.col("rep") == F.col("node"), "left") \
+            .withColumn("c", F.coalesce("component", "rep")).drop("node", "component")
+        open_ = named.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("bucket")
+        return kept(named.join(open_, "bucket", "left_semi"))
+
+    def link(pairs: DataFrame) -> None:
+        """Confirm candidate pairs (a, b, na, nb, qa, qb) that sizes and own shingles allow; renew the components."""
+        nonlocal edges, group
+        most = F.least(F.col("na") - F.col("qa"), F.col("nb") - F.col("qb"))     # of shingles in common
+        able = fits & (most * 100 >= (F.col("na") + F.col("nb") - most) * percent)
+        fresh = kept(pairs.filter(able).select("a", "b").distinct())
+        if fresh.limit(1).count():
+            edges = edges.union(_verified(slim, fresh, shingle, percent))
+            group = kept(components(edges))
+
+    members = mixed(members)
+    own = _own_shingles(slim, members, shingle)
+    members = members.join(own, "rep", "left").withColumn("q", F.coalesce("q", F.lit(0))) \
+        .filter((F.col("n") - F.col("q")) * 100 >= F.col("n") * percent)
+    for _ in range(stars):
+        members = mixed(members)
+        hubs = members.groupBy("bucket").agg(F.max(F.struct("near", "rep", "n", "q", "c")).alias("hub"))
+        spokes = kept(members.join(hubs, "bucket").filter(F.col("rep") != F.col("hub.rep")))
+        link(spokes.filter(F.col("c") != F.col("hub.c")).select(
+            F.col("hub.rep").alias("a"), F.col("rep").alias("b"), F.col("hub.n").alias("na"), F.col("n").alias("nb"),
+            F.col("hub.q").alias("qa"), F.col("q").alias("qb")))
+        members = spokes.drop("hub")
+    members = mixed(members)
+    largest = members.groupBy("bucket", "c").agg(F.count("*").alias("size")) \
+        .groupBy("bucket").agg(F.max(F.struct("size", "c")).alias("l")).select("bucket", F.col("l.c").alias("main"))
+    x = members.join(largest, "bucket").filter("c <> main") \
+        .select("bucket", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("q").alias("qa"), F.col("c").alias("ca"))
+    y = members.select("bucket", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("q").alias("qb"), F.col("c").alias("cb"))
+    link(x.join(y, "bucket").filter("ca <> cb"))
     named = sigs.select("doc_id", "n_shingles", "sig") \
         .join(classes.select("sig", F.col("n_shingles").alias("_n"), "rep"),
               F.col("n_shingles").eqNullSafe(F.col("_n")) & (sigs.sig == classes.sig), "left") \
