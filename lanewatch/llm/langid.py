@@ -41,7 +41,6 @@ def ngram_buckets(col: pa.Array, buckets: int, orders: tuple[int, ...] = (2, 3,
     """Hashed byte n-grams of every text (blank-padded): flat buckets and each text's offsets."""
     data, off = textops.text_bytes(col)
     n = len(off) - 1
-    # one blank before every text: grams never span two texts unseen
     sizes = np.diff(off)
     b = np.full(len(data) + n + 1, 0x20, dtype=np.uint64)
     at = np.arange(len(data)) + np.repeat(np.arange(1, n + 1), sizes)
@@ -62,7 +61,8 @@ def ngram_buckets(col: pa.Array, buckets: int, orders: tuple[int, ...] = (2, 3,
         for j in range(k):
             code = code * np.uint64(256) + b[j:len(code) + j]
         code, own = code[:len(text_of)], text_of[:len(code)]
-        inside = (first[own + 1] - np.arange(len(own)) >= k - 1) & (code % np.uint64(256 ** k) != 0x20)
+        # up to the blank that follows the text; two blanks start no n-gram
+        inside = (first[own + 1] - np.arange(len(own)) >= k - 1) & ~((b[:len(own)] == 0x20) & (b[1:len(own) + 1] == 0x20))
         with np.errstate(over="ignore"):
             h = textops.mix(code + np.uint64(k) * textops.M1)
         grams.append((h % np.uint64(buckets)).astype(np.int64)[inside])

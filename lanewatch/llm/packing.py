@@ -159,12 +159,26 @@ def configurations(sizes: list[int], demand: list[int], capacity: int, steps: in
     return [(basis[:, k].astype(np.int64), float(x[k])) for k in range(g)]
 
 
-def plan(histogram: dict[int, int], capacity: int = CAPACITY, *, groups: int = 24, large: int | None = None) -> list[tuple]:
+def plan(histogram: dict[int, int], capacity: int = CAPACITY, *, groups: int = 24,
+         large: tuple[int, ...] = (8, 4, 3, 2)) -> list[tuple]:
     """Intervals (length, lo, hi, bin, offset): rank r in lo..hi-1 of that length goes to bin + r - lo.
 
     Grows with the number of distinct lengths (at most ``capacity``) and groups, not with the number of pieces.
+    Lengths from capacity / ``large`` are grouped; of those thresholds the one with the fewest bins is taken (the
+    first that reaches the bound total / capacity ends the search).
     """
-    large = capacity // 8 if large is None else large
+    least = -(-sum(k * n for k, n in histogram.items()) // capacity)
+    best, fewest = [], None
+    for part in large:
+        rows, bins = _plan(histogram, capacity, groups, max(1, capacity // part))
+        if fewest is None or bins < fewest:
+            best, fewest = rows, bins
+        if fewest <= least:
+            break
+    return best
+
+
+def _plan(histogram: dict[int, int], capacity: int, groups: int, large: int) -> tuple[list[tuple], int]:
     rank = dict.fromkeys(histogram, 0)      # ranks of each length already placed
     out: list[tuple[int, int, int, int, int]] = []
     bins = 0
@@ -260,7 +274,7 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, *, groups: int = 2
                 if capacity - items * x:
                     room.setdefault(capacity - items * x, []).append((bins, n))
                 bins += n
-    return out
+    return out, bins
 
 
 def pack(docs: DataFrame, path: str, *, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY,
