@@ -1,13 +1,11 @@
-"""Reconstruction-error detector (dense autoencoder, ReLU, Adam).
-
-Training is data-parallel parameter averaging: the normal rows are range-
-partitioned on the entity key (sorted inside each partition, so a run is
-deterministic), every partition runs ``local_epochs`` of mini-batch Adam from
-the current global weights inside ``mapInPandas``, and the per-partition
-weights are averaged (weighted by rows) with a Spark aggregation over the
-exploded parameter vectors.  One Spark job per round; with one partition this
-is ordinary sequential training.  Scoring broadcasts the weights (a few hundred
-doubles) and computes the mean squared reconstruction error per row.
+"""Reconstruction-error detector (dense autoencoder, ReLU).
+
+One training rule at every size: limited-memory BFGS on the full-batch loss.
+Every evaluation is one Spark job in which each partition sums loss and gradient
+over its own rows (``mapInPandas``) and the sums are added up; the driver holds the
+parameters and a few past steps (some hundred doubles each).  The rows are
+persisted for the fit, so an evaluation reads them from the executors, and a lost
+executor only recomputes its partitions.  Scoring broadcasts the weights.
 """
 
 from __future__ import annotations
@@ -62,82 +60,87 @@ def reconstruction_error(X: np.ndarray, params) -> np.ndarray:
     return np.mean((X - acts[-1]) ** 2, axis=1)
 
 
-def train_local(X: np.ndarray, params, epochs: int, batch_size: int = 200, lr: float = K.AE_LEARNING_RATE,
-                alpha: float = 1e-4, tol: float = 1e-4, patience: int = 10,
-                beta1: float = 0.9, beta2: float = 0.999, eps: float = 1e-8):
-    """Mini-batch Adam on squared reconstruction loss with L2; rows in given order."""
-    params = [p.copy() for p in params]
-    m = [np.zeros_like(p) for p in params]
-    v = [np.zeros_like(p) for p in params]
-    n_layers = len(params) // 2
-    n = len(X)
-    bs = max(1, min(batch_size, n))
-    step, best, stall = 0, np.inf, 0
-    for _ in range(epochs):
-        total = 0.0
-        for s in range(0, n, bs):
-            xb = X[s:s + bs]
-            acts, pre = forward(xb, params)
-            out = acts[-1]
-            nb = len(xb)
-            l2 = sum(float(np.sum(params[2 * i] ** 2)) for i in range(n_layers))
-            total += (0.5 * float(np.mean((out - xb) ** 2)) + 0.5 * alpha * l2 / nb) * nb
-            delta = (out - xb)
-            grads = [None] * len(params)
-            for i in range(n_layers - 1, -1, -1):
-                grads[2 * i] = (acts[i].T @ delta + alpha * params[2 * i]) / nb
-                grads[2 * i + 1] = delta.mean(axis=0)
-                if i > 0:
-                    delta = (delta @ params[2 * i].T) * (pre[i - 1] > 0)
-            step += 1
-            lr_t = lr * math.sqrt(1 - beta2 ** step) / (1 - beta1 ** step)
-            for j, g in enumerate(grads):
-                m[j] = beta1 * m[j] + (1 - beta1) * g
-                v[j] = beta2 * v[j] + (1 - beta2) * g * g
-                params[j] = params[j] - lr_t * m[j] / (np.sqrt(v[j]) + eps)
-        loss = total / n
-        if loss > best - tol:
-            stall += 1
+def loss_and_gradient(X: np.ndarray, params) -> tuple[float, np.ndarray]:
+    """Summed squared reconstruction loss of the rows (halved, mean over outputs) and its gradient."""
+    acts, pre = forward(X, params)
+    delta = (acts[-1] - X) / X.shape[1]
+    loss = 0.5 * float(np.sum((acts[-1] - X) ** 2)) / X.shape[1]
+    grads = [None] * len(params)
+    for i in range(len(params) // 2 - 1, -1, -1):
+        grads[2 * i] = acts[i].T @ delta
+        grads[2 * i + 1] = delta.sum(axis=0)
+        if i > 0:
+            delta = (delta @ params[2 * i].T) * (pre[i - 1] > 0)
+    return loss, flatten(grads)
+
+
+def minimise(evaluate, x: np.ndarray, iterations: int, memory: int = 10, tol: float = 1e-7) -> np.ndarray:
+    """L-BFGS with backtracking; ``evaluate`` gives (loss, gradient)."""
+    f, g = evaluate(x)
+    steps: list[tuple[np.ndarray, np.ndarray]] = []
+    for _ in range(iterations):
+        q, back = g.copy(), []
+        for s, y in reversed(steps):
+            a = (s @ q) / (s @ y)
+            q -= a * y
+            back.append(a)
+        if steps:
+            s, y = steps[-1]
+            q *= (s @ y) / (y @ y)
+        else:
+            q /= max(1.0, float(np.linalg.norm(g)))
+        for (s, y), a in zip(steps, reversed(back)):
+            q += s * (a - (y @ q) / (s @ y))
+        slope, t = float(g @ q), 1.0
+        if slope <= 0:
+            q, slope, steps = g.copy(), float(g @ g), []
+        for _ in range(20):
+            x2 = x - t * q
+            f2, g2 = evaluate(x2)
+            if f2 <= f - 1e-4 * t * slope:
+                break
+            t /= 2
         else:
-            stall = 0
-        best = min(best, loss)
-        if stall > patience:
+            return x
+        s, y = x2 - x, g2 - g
+        if s @ y > 1e-12:
+            steps = [*steps, (s, y)][-memory:]
+        done = f - f2 <= tol * max(1.0, abs(f))
+        x, f, g = x2, f2, g2
+        if done:
             break
-    return params
+    return x
 
 
 def fit(train: DataFrame, features: list[str], key: str = "ROTTA", hidden=K.AE_HIDDEN,
-        epochs: int = K.AE_MAX_EPOCHS, seed: int = K.RANDOM_STATE, rows_per_partition: int = 100_000,
-        local_epochs: int = 50) -> np.ndarray:
-    """Trained parameter vector (broadcast-sized: a few hundred doubles)."""
+        epochs: int = 60, seed: int = K.RANDOM_STATE, alpha: float = 1e-4) -> np.ndarray:
+    """Trained parameter vector (broadcast-sized: a few hundred doubles) after at most ``epochs`` full-batch steps."""
     spark = train.sparkSession
-    n = train.count()
     sizes = [len(features), *hidden, len(features)]
-    vec = flatten(init_params(sizes, seed))
-    parts = max(1, math.ceil(n / rows_per_partition))
-    rounds = 1 if parts == 1 else max(1, math.ceil(epochs / local_epochs))
-    per_round = epochs if parts == 1 else local_epochs
-    data = train.select(key, *features).repartitionByRange(parts, key).sortWithinPartitions(key)
-    for _ in range(rounds):
+    weights = np.concatenate([np.r_[np.ones(a * b), np.zeros(b)] for a, b in zip(sizes[:-1], sizes[1:])])
+    data = train.select(*features).persist()
+
+    def evaluate(vec: np.ndarray) -> tuple[float, np.ndarray]:
         bc = spark.sparkContext.broadcast(vec)
 
         def run(batches):
-            pdfs = list(batches)
-            if not pdfs:
-                return
-            X = pd.concat(pdfs)[features].to_numpy(dtype=float)
-            if len(X) == 0:
-                return
-            p = train_local(X, unflatten(bc.value, sizes), per_round)
-            yield pd.DataFrame({"n": [len(X)], "w": [flatten(p).tolist()]})
-
-        local = data.mapInPandas(run, "n long, w array<double>")
-        avg = (local.select("n", F.posexplode("w").alias("i", "x"))
-                    .groupBy("i").agg((F.sum(F.col("x") * F.col("n")) / F.sum("n")).alias("x"))
-                    .orderBy("i").collect())
-        vec = np.array([r["x"] for r in avg], dtype=float)
+            params, n, loss, grad = unflatten(bc.value, sizes), 0, 0.0, np.zeros(len(bc.value))
+            for b in batches:
+                one, g = loss_and_gradient(b.to_numpy(dtype=float), params)
+                n, loss, grad = n + len(b), loss + one, grad + g
+            yield pd.DataFrame({"i": np.arange(-2, len(grad)), "x": np.concatenate([[n, loss], grad])})
+
+        sums = {r["i"]: r["x"] for r in data.mapInPandas(run, "i int, x double").groupBy("i").agg(F.sum("x").alias("x")).collect()}
         bc.unpersist()
-    return vec
+        n = max(sums[-2], 1.0)
+        grad = np.array([sums[i] for i in range(len(vec))])
+        l2 = alpha * vec * weights / n
+        return sums[-1] / n + 0.5 * float(l2 @ vec), grad / n + l2
+
+    try:
+        return minimise(evaluate, flatten(init_params(sizes, seed)), epochs)
+    finally:
+        data.unpersist()
 
 
 def score(df: DataFrame, features: list[str], vec: np.ndarray, key: str = "ROTTA", hidden=K.AE_HIDDEN,
@@ -163,7 +166,7 @@ def autoencoder_scores(scaled: DataFrame, features: list[str], key: str = "ROTTA
     normal = scaled.filter(F.col(normal_col))
     if normal.count() < min_samples:
         return None
-    vec = fit(normal, features, key=key, epochs=epochs or K.AE_MAX_EPOCHS, seed=seed)
+    vec = fit(normal, features, key=key, epochs=epochs or 60, seed=seed)
     from lanewatch.session import keep
     err = keep(score(scaled, features, vec, key=key))  # read by the min/max and the projection
     return minmax(err, {"score_ae": "ae_error"}).select(key, "score_ae")

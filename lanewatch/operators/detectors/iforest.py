@@ -92,26 +92,28 @@ def fit(scaled: DataFrame, features: list[str], key: str = "ROTTA", n_trees: int
     ``group_col`` (optional) trains one forest per value of that column — used
     by refit studies, where the group is the resample iteration.
     """
-    n = scaled.count()
-    psi = int(min(max_samples, n))
-    p = min(1.0, 3.0 * psi / max(n, 1))
-    max_depth = int(math.ceil(math.log2(max(psi, 2))))
+    groups = [group_col] if group_col else []
+    size = F.least(F.lit(max_samples), F.col("n")).cast("int")
+    if group_col:      # every group has its own sample size and candidate share
+        sizes = scaled.groupBy(group_col).agg(F.count(F.lit(1)).alias("n")).select(group_col, size.alias("psi"), "n")
+        sized = scaled.join(sizes, group_col)
+    else:
+        sized = scaled.withColumn("n", F.lit(scaled.count())).withColumn("psi", size)
     trees = F.sequence(F.lit(0), F.lit(n_trees - 1))
-    salt = [F.col(group_col)] if group_col else []
 
     def u(t):
-        h = F.xxhash64(F.col(key), t, F.lit(seed), *salt)
+        h = F.xxhash64(F.col(key), t, F.lit(seed), *[F.col(g) for g in groups])
         return (F.abs(h % 1000000007) / F.lit(1000000007.0)).cast("double")
 
-    cand = scaled.select(
-        *([F.col(group_col)] if group_col else []), F.col(key), *[F.col(c) for c in features],
+    share = 3.0 * F.col("psi") / F.col("n")     # about 3 psi candidates a tree, the psi smallest are its sample
+    cand = sized.select(
+        *groups, F.col(key), *[F.col(c) for c in features], "psi",
         F.explode(F.filter(F.transform(trees, lambda t: F.struct(t.alias("tree_id"), u(t).alias("u"))),
-                           lambda s: s["u"] < p)).alias("s"))
-    cand = cand.select(*([group_col] if group_col else []), F.col("s.tree_id").alias("tree_id"),
-                       F.col("s.u").alias("u"), key, *features)
-    nf = len(features)
-
+                           lambda s: s["u"] < share)).alias("s"))
+    cand = cand.select(*groups, F.col("s.tree_id").alias("tree_id"), F.col("s.u").alias("u"), "psi", key, *features)
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
+        psi = int(pdf["psi"].iloc[0])
+        max_depth = int(math.ceil(math.log2(max(psi, 2))))
         pdf = pdf.sort_values(["u", key], kind="mergesort").head(psi)
         tid = int(pdf["tree_id"].iloc[0])
         g = int(pdf[group_col].iloc[0]) if group_col else 0
@@ -121,18 +123,14 @@ def fit(scaled: DataFrame, features: list[str], key: str = "ROTTA", n_trees: int
         out = pd.DataFrame({"tree_id": tid, "node": np.arange(len(f), dtype=np.int32),
                             "feature": np.asarray(f, dtype=np.int32), "threshold": np.asarray(t, dtype=float),
                             "left": np.asarray(lft, dtype=np.int32), "right": np.asarray(rgt, dtype=np.int32),
-                            "leaf_value": np.asarray(v, dtype=float)})
+                            "leaf_value": np.asarray(v, dtype=float), "psi": psi, "n_sampled": len(X)})
         if group_col:
             out.insert(0, group_col, g)
         return out
 
-    schema = NODE_SCHEMA
-    if group_col:
-        schema = T.StructType([T.StructField(group_col, T.IntegerType())] + NODE_SCHEMA.fields)
-    keys = ([group_col] if group_col else []) + ["tree_id"]
-    nodes = cand.groupBy(*keys).applyInPandas(build, schema)
-    assert nf == len(features)
-    return nodes.withColumn("psi", F.lit(psi))
+    more = [T.StructField("psi", T.IntegerType()), T.StructField("n_sampled", T.IntegerType())]
+    schema = T.StructType([T.StructField(g, T.IntegerType()) for g in groups] + NODE_SCHEMA.fields + more)
+    return cand.groupBy(*groups, "tree_id").applyInPandas(build, schema)
 
 
 def _pack(nodes_pdf: pd.DataFrame):

@@ -34,7 +34,8 @@ def average_rank(df: DataFrame, score: str, key: str, out: str, descending: bool
     s = F.col(score)
     pos = dense_position(df.select(key, score), [s.desc() if descending else s.asc(), F.col(key).asc()], "_pos")
     ties = pos.groupBy(score).agg(((F.min("_pos") + F.max("_pos")) / 2.0).alias(out))
-    return df.join(pos.select(key, score).join(ties, on=score).drop(score), on=key)
+    tied = ties.withColumnRenamed(score, "_tie")
+    return df.join(pos.select(key, score).join(tied, F.col(score).eqNullSafe(F.col("_tie"))).drop(score, "_tie"), on=key)
 
 
 def spearman_corr(df: DataFrame, a: str, b: str, key: str) -> DataFrame:
@@ -87,4 +88,5 @@ def average_rank_by(df: DataFrame, group: str, score: str, key: str, out: str, d
     pos = dense_position_by(df.select(group, key, score), group,
                             [s.desc() if descending else s.asc(), F.col(key).asc()], "_pos")
     ties = pos.groupBy(group, score).agg(((F.min("_pos") + F.max("_pos")) / 2.0).alias(out))
-    return df.join(ties, on=[group, score])
+    tied = ties.withColumnsRenamed({group: "_group", score: "_tie"})
+    return df.join(tied, (F.col(group) == F.col("_group")) & F.col(score).eqNullSafe(F.col("_tie"))).drop("_group", "_tie")

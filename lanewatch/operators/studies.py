@@ -75,14 +75,8 @@ def _scenario_metrics(scored: DataFrame, scenarios: list[dict], key: str, k: int
 
 # --------------------------------------------------------------- E1
 def ablation_subsets() -> list[tuple[str, ...]]:
-    """Singletons, all triplets, the full set — de-duplicated in order."""
-    subs = [(d,) for d in DETS] + list(itertools.combinations(DETS, 3)) + [tuple(DETS)]
-    seen, out = set(), []
-    for s in subs:
-        if s not in seen:
-            seen.add(s)
-            out.append(s)
-    return out
+    """Detectors alone, one left out, all — every size but pairs, so none occurs twice."""
+    return [s for size in (1, len(DETS) - 1, len(DETS)) for s in itertools.combinations(DETS, size)]
 
 
 def ablation(scored: DataFrame, key: str = "ROTTA", k: int = K.TOP_K_STABILITY, n_boot: int = 200,
@@ -149,13 +143,12 @@ def marginal_max(grid: DataFrame, a: str = "w_if", b: str = "w_z") -> DataFrame:
 
 # --------------------------------------------------------------- E3 / E4 / E5
 def sensitivity_scenarios(thresholds: dict | None = None, deltas=None) -> list[dict]:
+    """Every threshold under every relative change, the others at their base value."""
     base = dict(thresholds or K.RULE_THRESHOLDS)
-    out = []
-    for name, v in base.items():
-        for d in (deltas or K.SENSITIVITY_DELTAS):
-            out.append({"threshold": name, "baseline_value": v, "delta_pct": d, "perturbed_value": v * (1 + d),
-                        "t": {**base, name: v * (1 + d)}})
-    return out
+    grid = itertools.product(base, deltas or K.SENSITIVITY_DELTAS)
+    moved = [(name, delta, base[name] * (1 + delta)) for name, delta in grid]
+    return [{"threshold": name, "baseline_value": base[name], "delta_pct": delta, "perturbed_value": value,
+             "t": base | {name: value}} for name, delta, value in moved]
 
 
 def threshold_sensitivity(scored: DataFrame, thresholds: dict | None = None, deltas=None) -> DataFrame:
@@ -255,7 +248,7 @@ def topk_stability(scored: DataFrame, score_col: str = "ensemble_score", key: st
 # --------------------------------------------------------------- E9 / E10
 def refit_stability(scaled: DataFrame, features, labels: DataFrame, key: str = "ROTTA", n_iter: int = 100,
                     frac: float = K.BOOT_FRACTION, n_trees: int = K.N_TREES, contamination: float = K.CONTAMINATION,
-                    seed: int = K.RANDOM_STATE, stable: float = K.STABLE_SHARE) -> DataFrame:
+                    seed: int = K.RANDOM_STATE, stable: float = K.STABLE_SHARE, block: int = 100_000) -> DataFrame:
     """Refit the forest on n_iter frac-subsamples (one applyInPandas job over
     (iteration, tree) groups), flag every entity per iteration above the (1 - c)
     quantile of that iteration's scores, report the flag frequency and stability."""
@@ -276,9 +269,14 @@ def refit_stability(scaled: DataFrame, features, labels: DataFrame, key: str = "
         c = float(IF.c_factor([psi])[0]) or 1.0
         return pd.DataFrame({"it": rows_pdf["it"].astype("int32"), key: rows_pdf[key], "s": np.power(2.0, -h / c)})
 
-    all_rows = scaled.select(key, *features, it.alias("it"))
-    scores = nodes.groupBy("it").cogroup(all_rows.groupBy("it")).applyInPandas(score_group, schema)
-    thr = scores.groupBy("it").agg(F.percentile("s", 1 - contamination).alias("t"))
+    # rows are scored in blocks: a group holds one forest and at most about ``block`` rows
+    blocks = max(1, -(-scaled.count() // block))
+    each = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("blk")
+    all_rows = rows.withColumn("blk", F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int"))
+    scores = nodes.select("*", each).groupBy("it", "blk").cogroup(all_rows.groupBy("it", "blk")).applyInPandas(score_group, schema)
+    # the contamination threshold belongs to the rows the forest was fitted on
+    fitted = scores.filter(md5_uniform(F.col(key), F.col("it"), F.lit(seed)) < frac)
+    thr = fitted.groupBy("it").agg(F.percentile("s", 1 - contamination).alias("t"))
     flagged = scores.join(F.broadcast(thr), on="it").withColumn("flag", (F.col("s") > F.col("t")).cast("double"))
     freq = flagged.groupBy(key).agg(F.round(F.avg("flag"), 4).alias("bootstrap_frequency"))
     return (labels.select(key, "anomaly_label").join(freq, on=key, how="left")
@@ -354,7 +352,7 @@ def silhouette(points: DataFrame, features, label: str, key: str = "ROTTA", bloc
 
     schema = "_id string, _lab string, other string, dsum double, cnt long"
     part = q.unionByName(r).groupBy("_qb", "_rb").applyInPandas(sums, schema)
-    per = part.groupBy("_id", "_lab", "other").agg((F.sum("dsum") / F.sum("cnt")).alias("mean_d"),
+    per = part.groupBy("_id", "_lab", "other").agg(F.try_divide(F.sum("dsum"), F.sum("cnt")).alias("mean_d"),
                                                    F.sum("cnt").alias("cnt"))
     a = per.filter(F.col("_lab") == F.col("other")).select("_id", F.col("mean_d").alias("a"), F.col("cnt").alias("na"))
     b = per.filter(F.col("_lab") != F.col("other")).groupBy("_id").agg(F.min("mean_d").alias("b"))

@@ -8,6 +8,7 @@ session's ``spark.checkpoint.dir``), never to a machine-local temp folder.
 from __future__ import annotations
 
 import json
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -101,17 +102,17 @@ def from_records(df: DataFrame, schema: StructType, col: str = "record") -> Data
 
 def append_manifest(spark: SparkSession, path: str, perimeter: dict, stats: dict, outputs: dict) -> None:
     """Append one JSON row describing a run (perimeter, stats, output paths)."""
-    row = {"run_id": uuid.uuid4().hex, "perimeter": json.dumps(perimeter, sort_keys=True),
+    row = {"run_id": f"{time.time_ns():020d}-{uuid.uuid4().hex}", "perimeter": json.dumps(perimeter, sort_keys=True),
            "stats": json.dumps(stats, sort_keys=True, default=str), "outputs": json.dumps(outputs, sort_keys=True)}
     spark.createDataFrame([row]).write.mode("append").json(path)
 
 
 def last_perimeter(spark: SparkSession, path: str) -> dict | None:
-    """Perimeter of the latest manifest row, null keys dropped."""
-    try:
-        df = spark.read.json(path)
-    except Exception:  # no manifest yet
+    """Perimeter of the latest manifest row (run ids start with their time), null keys dropped."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
         return None
+    df = spark.read.json(path)
     rows = df.orderBy(F.desc("run_id")).limit(1).collect()
     if not rows:
         return None

@@ -1,11 +1,14 @@
 """Stream-static scoring of arriving alarm records (Structured Streaming).
 
-Line items arrive as a file stream; each micro-batch is joined to the static
-dimensions (orders, customers, suppliers, nations), event time gets a
-watermark, and per-(tumbling window, route) aggregates are emitted in append
-mode once the watermark passes the window end.  Windows are then scored with
-the window-level business rules against the frozen batch feature table.
-Sink and checkpoint live under the shared ``spark.checkpoint.dir``.
+Line items arrive as a file stream (one file or a directory of part files, in any
+order of time); each micro-batch is joined to the static dimensions (orders,
+customers, suppliers, nations) and per-(tumbling window, route) aggregates are
+updated.  The watermark's delay is the event-time span of the source, so no record
+is late, whatever the order of the files; every update goes to the sink under its
+batch number, and the latest one of each window is the result, open windows
+included.  Windows are then scored with the window-level business rules against
+the frozen batch feature table.  Sink and checkpoint live under the shared
+``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
@@ -20,14 +23,27 @@ from lanewatch.sources.proxy import MOTIVE_OF_PRIORITY
 from lanewatch.sources.tables import table
 
 
-def alarm_stream(spark: SparkSession, sf_dir: str, delay: str = "30 days", files_per_trigger: int = 1) -> DataFrame:
-    """Streaming alarm records with a watermark on the event time."""
-    schema = table(spark, sf_dir, "lineitem").schema
-    li = (spark.readStream.schema(schema).option("pathGlobFilter", "lineitem.parquet")
-               .option("maxFilesPerTrigger", files_per_trigger).parquet(sf_dir)
-               .withColumn("ts", F.col("l_shipdate").cast("timestamp"))
-               .withWatermark("ts", delay)
-               .filter(F.col("l_returnflag") == "R"))
+def is_directory(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(where).isDirectory()
+
+
+def lateness_bound(spark: SparkSession, sf_dir: str) -> str:
+    """A delay that holds for the source: the span of its event times (read from one column)."""
+    span = table(spark, sf_dir, "lineitem").agg(F.datediff(F.max("l_shipdate"), F.min("l_shipdate"))).first()[0]
+    return f"{(span or 0) + 1} days"
+
+
+def alarm_stream(spark: SparkSession, sf_dir: str, delay: str | None = None, files_per_trigger: int = 1) -> DataFrame:
+    """Streaming alarm records with a watermark on the event time (by default the source's lateness bound)."""
+    path = f"{sf_dir.rstrip('/')}/lineitem.parquet"
+    reader = (spark.readStream.schema(table(spark, sf_dir, "lineitem").schema)
+                   .option("maxFilesPerTrigger", files_per_trigger))
+    raw = reader.parquet(path) if is_directory(spark, path) else \
+        reader.option("pathGlobFilter", "lineitem.parquet").parquet(sf_dir)
+    li = (raw.withColumn("ts", F.col("l_shipdate").cast("timestamp"))
+             .withWatermark("ts", delay or lateness_bound(spark, sf_dir))
+             .filter(F.col("l_returnflag") == "R"))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     supp = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
@@ -52,9 +68,9 @@ def windowed_route_aggregates(stream: DataFrame, window: str = "30 days") -> Dat
                        F.count(m).alias("n_motives")))
 
 
-def run_window_job(spark: SparkSession, sf_dir: str, window: str = "30 days", delay: str = "30 days",
+def run_window_job(spark: SparkSession, sf_dir: str, window: str = "30 days", delay: str | None = None,
                    timeout_s: int = 600) -> DataFrame:
-    """Run the stream to the end of the available input and return the emitted windows.
+    """Run the stream to the end of the available input and return all windows in their last state.
 
     Event times are wall-clock values; the job runs in UTC so window boundaries do not
     depend on the caller's session time zone, and writes them as text.
@@ -67,8 +83,11 @@ def run_window_job(spark: SparkSession, sf_dir: str, window: str = "30 days", de
             F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
             F.date_format("w.end", "yyyy-MM-dd HH:mm:ss").alias("window_end"),
             "ROTTA", "n_alarms", "tot", "n_interpol", "n_sdi", "n_motives")
-        q = (agg.writeStream.outputMode("append").format("parquet")
-             .option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint")
+        def sink(batch: DataFrame, number: int) -> None:      # a batch run again overwrites its own folder
+            batch.write.mode("overwrite").parquet(f"{base}/out/batch={number}")
+
+        q = (agg.writeStream.outputMode("update").foreachBatch(sink)
+             .option("checkpointLocation", f"{base}/checkpoint")
              .trigger(availableNow=True).start())
         q.awaitTermination(timeout_s)
         if q.isActive:
@@ -76,7 +95,10 @@ def run_window_job(spark: SparkSession, sf_dir: str, window: str = "30 days", de
             raise TimeoutError("window stream did not finish")
     finally:
         spark.conf.set("spark.sql.session.timeZone", tz)
-    return spark.read.parquet(f"{base}/out")
+    values = ["n_alarms", "tot", "n_interpol", "n_sdi", "n_motives"]
+    last = spark.read.parquet(f"{base}/out").groupBy("window_start", "window_end", "ROTTA") \
+        .agg(F.max_by(F.struct(*values), F.col("batch").cast("int")).alias("v"))
+    return last.select("window_start", "window_end", "ROTTA", "v.*")
 
 
 def score_windows(windows: DataFrame, frozen: DataFrame, key: str = "ROTTA") -> DataFrame:

@@ -6,6 +6,7 @@ Prints one line per query: rows, schema and value agreement.
 
 from __future__ import annotations
 
+import os
 import sys
 import time
 
@@ -63,7 +64,7 @@ def main():
     names = sys.argv[2:]
     import __spark_entry__ as E
     from lanewatch.session import get_session
-    spark = get_session("local[8]", shuffle_partitions=8)
+    spark = get_session(os.environ.get("ORACLE_MASTER", "local[8]"), shuffle_partitions=8)
     con = duck(sf_dir)
     qs, sqls = E.queries(), E.oracle_sql()
     for name in names or list(qs):

@@ -72,3 +72,62 @@ def test_study_shapes():
     assert len(ST.simplex_grid(20)) == 969
     assert len(ST.sensitivity_scenarios()) == 30
     assert len(ST.ablation_subsets()) == 9
+
+
+def test_iforest_samples_every_group_in_full(cloud):
+    """Each (resample, tree) is grown on min(psi, rows of that resample)."""
+    from pyspark.sql import functions as F
+    df, _ = cloud
+    sizes = {0: 203, 1: 40, 2: 150}
+    parts = [df.orderBy("ROTTA").limit(n).withColumn("it", F.lit(i)) for i, n in sizes.items()]
+    sub = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    nodes = IF.fit(sub, FEATS, n_trees=30, max_samples=64, group_col="it")
+    got = {(r.it, r.tree_id): (r.psi, r.n_sampled) for r in nodes.select("it", "tree_id", "psi", "n_sampled").distinct().collect()}
+    assert len(got) == 90
+    assert all(v == (min(64, sizes[it]), min(64, sizes[it])) for (it, _), v in got.items())
+
+
+def test_refit_stability_flags_the_outliers(cloud):
+    from pyspark.sql import functions as F
+    df, _ = cloud
+    labels = df.select("ROTTA", F.lit("HIGH").alias("anomaly_label"))
+    for block in (100_000, 50):
+        rows = ST.refit_stability(df, FEATS, labels, n_iter=6, n_trees=40, contamination=0.05, block=block).collect()
+        freq = {r.ROTTA: r.bootstrap_frequency for r in rows}
+        assert len(freq) == 203 and all(freq[k] == 1.0 for k in PLANTED)
+
+
+def test_autoencoder_does_not_depend_on_partitions(cloud):
+    df, _ = cloud
+    one = AE.fit(df.coalesce(1), FEATS, epochs=25)
+    many = AE.fit(df.repartition(6), FEATS, epochs=25)
+    X = df.select(*FEATS).toPandas().to_numpy()
+    sizes = [3, *AE.K.AE_HIDDEN, 3]
+    a, b = (AE.reconstruction_error(X, AE.unflatten(v, sizes)) for v in (one, many))
+    assert np.corrcoef(a, b)[0, 1] > 0.999
+
+
+def test_autoencoder_gradient():
+    rng = np.random.default_rng(0)
+    X, sizes = rng.normal(size=(20, 3)), [3, 4, 2, 4, 3]
+    x = AE.flatten(AE.init_params(sizes, 1))
+    _, g = AE.loss_and_gradient(X, AE.unflatten(x, sizes))
+    for i in range(0, len(x), 7):
+        e = np.zeros(len(x))
+        e[i] = 1e-6
+        up, down = (AE.loss_and_gradient(X, AE.unflatten(x + s * e, sizes))[0] for s in (1, -1))
+        assert g[i] == pytest.approx((up - down) / 2e-6, rel=1e-4, abs=1e-5)
+
+
+def test_silhouette_of_a_single_member_cluster(spark):
+    df = spark.createDataFrame([("a", 0.0, "x"), ("b", 1.0, "x"), ("c", 9.0, "y")], "ROTTA string, v double, label string")
+    row = ST.silhouette(df, ["v"], "label").collect()[0]
+    # a: 1 - 1/9, b: 1 - 1/8, c: a cluster of one counts 0
+    assert list(row.asDict().values())[0] == pytest.approx((8 / 9 + 7 / 8 + 0) / 3)
+
+
+def test_average_rank_keeps_rows_without_a_score(spark):
+    from lanewatch.operators.ranks import average_rank
+    df = spark.createDataFrame([("a", 3.0), ("b", None), ("c", 3.0), ("d", 1.0)], "k string, s double")
+    got = {r.k: r.rank for r in average_rank(df, "s", "k", "rank").collect()}
+    assert got == {"a": 1.5, "c": 1.5, "d": 3.0, "b": 4.0}
