@@ -10,25 +10,6 @@ from pyspark.sql import functions as F
 from lanewatch import constants as K
 from lanewatch.functions.columns import col_, lookup
 
-# Date shapes tried in order (each accepts only its own shape), then day-first fallbacks.
-# Each format is paired with a regular expression of its shape: a value is handed to
-# the one parser whose shape it has, so no row pays for failed parse attempts.
-DATE_FORMATS = [
-    ("yyyy-M-d H:m:s", r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$"),
-    ("yyyy-M-d'T'H:m:s", r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,2}$"),
-    ("yyyy-M-d", r"^\d{4}-\d{1,2}-\d{1,2}$"),
-    ("yyyy/M/d", r"^\d{4}/\d{1,2}/\d{1,2}$"),
-    ("d.M.yyyy", r"^\d{1,2}\.\d{1,2}\.\d{4}$"),
-    ("d-M-yy", r"^\d{1,2}-\d{1,2}-\d{2}$"),
-    ("MMM d yyyy", r"^[A-Za-z]{3} \d{1,2} \d{4}$"),
-    ("d/M/yyyy", r"^\d{1,2}/\d{1,2}/\d{4}$"),
-    ("d/M/yyyy H:m", r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}$"),
-    ("d/M/yyyy H:m:s", r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}:\d{1,2}$"),
-    ("d-M-yyyy", r"^\d{1,2}-\d{1,2}-\d{4}$"),
-    ("d M yyyy", r"^\d{1,2} \d{1,2} \d{4}$"),
-]
-TWO_DIGIT_YEAR_FORMAT = "d-M-yy"
-
 
 def null_tokens(c, tokens=None) -> Column:
     """Exact-match missing-value tokens -> NULL (before any trimming)."""
@@ -174,7 +155,3 @@ def nationality(c) -> Column:
 def route_key(dep, arr) -> Column:
     """Entity key dep-arr; NULL when either side is NULL."""
     return F.concat(F.upper(col_(dep)), F.lit("-"), F.upper(col_(arr)))
-
-
-def all_of(cols) -> Column:
-    return reduce(lambda a, b: a & b, cols)

@@ -47,17 +47,6 @@ def minmax_scaled(c, lo: Column, hi: Column) -> Column:
     return F.when(hi > lo, (c - lo) / (hi - lo)).otherwise(F.lit(0.0))
 
 
-def nan_to_null(df: DataFrame) -> DataFrame:
-    """Missing is NULL, never NaN (pandas NaN semantics on entry)."""
-    cols = []
-    for f in df.schema.fields:
-        if isinstance(f.dataType, (DoubleType, FloatType)):
-            cols.append(F.nanvl(F.col(f.name), F.lit(None).cast(f.dataType)).alias(f.name))
-        else:
-            cols.append(F.col(f.name))
-    return df.select(*cols)
-
-
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every floating column (used at result boundaries for stable compares)."""
     return df.select(*[
@@ -67,11 +56,6 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
     ])
 
 
-def numeric_columns(df: DataFrame, exclude=()) -> list[str]:
-    return [f.name for f in df.schema.fields
-            if isinstance(f.dataType, NumericType) and f.name not in set(exclude)]
-
-
 def md5_uniform(*parts) -> Column:
     """Deterministic U[0,1) from md5 of the '|'-joined parts.
 

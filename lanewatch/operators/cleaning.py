@@ -102,10 +102,6 @@ def clean_travellers(raw: DataFrame) -> DataFrame:
     return _calendar(df)
 
 
-def with_route(df: DataFrame, key: str = "ROTTA") -> DataFrame:
-    return df.withColumn(key, C.route_key(F.col("AREOPORTO_PARTENZA"), F.col("AREOPORTO_ARRIVO")))
-
-
 def null_fractions(df: DataFrame) -> DataFrame:
     """Per column, null count and percent (one aggregation, unpivoted)."""
     wide = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count_if(F.col(c).isNull()).alias(f"_c{i}")

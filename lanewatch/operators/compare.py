@@ -85,8 +85,3 @@ def coverage(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
 def only_in(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     """Rows of A whose key is not in B (anti join)."""
     return a.join(b.select(key).distinct(), on=key, how="left_anti")
-
-
-def in_both(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
-    """Rows of A whose key is in B (semi join)."""
-    return a.join(b.select(key).distinct(), on=key, how="left_semi")

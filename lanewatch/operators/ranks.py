@@ -38,18 +38,6 @@ def average_rank(df: DataFrame, score: str, key: str, out: str, descending: bool
     return df.join(pos.select(key, score).join(tied, F.col(score).eqNullSafe(F.col("_tie"))).drop(score, "_tie"), on=key)
 
 
-def spearman_corr(df: DataFrame, a: str, b: str, key: str) -> DataFrame:
-    """Spearman rho = Pearson r of average ranks (one row)."""
-    ra = average_rank(df.select(key, a, b), a, key, "_ra", descending=False)
-    rb = average_rank(ra, b, key, "_rb", descending=False)
-    return rb.agg(F.corr("_ra", "_rb").alias("spearman"))
-
-
-def top_k(df: DataFrame, score: str, key: str, k: int) -> DataFrame:
-    """K best rows by score (ties by key) — TakeOrderedAndProject."""
-    return df.orderBy(F.desc(score), F.asc(key)).limit(k)
-
-
 def top_abs_per_row(df: DataFrame, cols: list[str], k: int = 3, prefix: str = "z_", out: str = "top_drivers") -> DataFrame:
     """Per row, the k columns with the largest |value| (no shuffle)."""
     arr = F.array(*[F.struct((-F.abs(F.col(prefix + c))).alias("neg_abs"), F.lit(i).alias("idx"),
@@ -58,12 +46,6 @@ def top_abs_per_row(df: DataFrame, cols: list[str], k: int = 3, prefix: str = "z
     return df.withColumn(out, F.slice(F.array_sort(F.filter(arr, lambda s: s["neg_abs"].isNotNull())), 1, k))
 
 
-def representative(df: DataFrame, group: str, score: str, key: str) -> DataFrame:
-    """One row per group — highest score, ties by key (row_number over the group)."""
-    w = Window.partitionBy(group).orderBy(F.desc(score), F.asc(key))
-    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
-
-
 def dense_position_by(df: DataFrame, group: str, order: list[Column], out: str = "rank") -> DataFrame:
     """1-based position inside each ``group`` without a per-group window.
 

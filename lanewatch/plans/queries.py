@@ -769,28 +769,33 @@ def q_top_drivers(spark, sf_dir):
     return t.select(*cols)
 
 
-_PERIM_FEEDS = O.with_(_PERIM_ALARMS, _PERIM_TRAV)
+# Whole feeds on the supplier grain, where the two route sets differ.
+_SUPPLIER_ROUTES = """WITH j AS (SELECT upper(s.s_name) || '-' || upper(nc.n_name) AS ROTTA, l.l_returnflag = 'R' AS alarm
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
+  JOIN supplier s ON l.l_suppkey = s.s_suppkey JOIN nation ns ON s.s_nationkey = ns.n_nationkey
+  JOIN nation nc ON c.c_nationkey = nc.n_nationkey),
+alarms AS (SELECT ROTTA FROM j WHERE alarm AND ROTTA IS NOT NULL),
+travellers AS (SELECT ROTTA FROM j WHERE NOT alarm AND ROTTA IS NOT NULL)
+"""
 
 
-@register("route_coverage", _PERIM_FEEDS + """SELECT CAST(count_if(a.ROTTA IS NOT NULL) AS BIGINT) AS n_a,
+@register("route_coverage", _SUPPLIER_ROUTES + """SELECT CAST(count_if(a.ROTTA IS NOT NULL) AS BIGINT) AS n_a,
   CAST(count_if(t.ROTTA IS NOT NULL) AS BIGINT) AS n_b, CAST(count_if(a.ROTTA IS NOT NULL AND t.ROTTA IS NOT NULL) AS BIGINT) AS n_both,
   CAST(count_if(t.ROTTA IS NULL) AS BIGINT) AS only_a, CAST(count_if(a.ROTTA IS NULL) AS BIGINT) AS only_b,
   CAST(count(*) AS BIGINT) AS n_union
-FROM (SELECT DISTINCT ROTTA FROM alarms WHERE ROTTA IS NOT NULL) a FULL OUTER JOIN (SELECT DISTINCT ROTTA FROM travellers WHERE ROTTA IS NOT NULL) t ON a.ROTTA = t.ROTTA""")
+FROM (SELECT DISTINCT ROTTA FROM alarms) a FULL OUTER JOIN (SELECT DISTINCT ROTTA FROM travellers) t ON a.ROTTA = t.ROTTA""")
 def q_route_coverage(spark, sf_dir):
-    """A18 + U1–U3: route sets of the two feeds inside the January-1997 perimeter."""
-    a = CL.apply_perimeter(proxy.alarm_feed(spark, sf_dir), PERIMETER_JAN97)
-    t = CL.apply_perimeter(proxy.traveller_feed(spark, sf_dir), PERIMETER_JAN97)
-    return CMP.coverage(a, t, "ROTTA")
+    """A18 + U1–U3: route sets of the two whole feeds (supplier grain)."""
+    return CMP.coverage(proxy.alarm_feed(spark, sf_dir, "supplier"), proxy.traveller_feed(spark, sf_dir, "supplier"), "ROTTA")
 
 
-@register("alarm_only_routes", _PERIM_FEEDS + """SELECT ROTTA, CAST(count(*) AS BIGINT) AS n_alarms FROM alarms
-WHERE ROTTA IS NOT NULL AND ROTTA NOT IN (SELECT ROTTA FROM travellers WHERE ROTTA IS NOT NULL) GROUP BY ROTTA""")
+@register("alarm_only_routes", _SUPPLIER_ROUTES + """SELECT ROTTA, CAST(count(*) AS BIGINT) AS n_alarms FROM alarms
+WHERE ROTTA NOT IN (SELECT ROTTA FROM travellers) GROUP BY ROTTA""")
 def q_alarm_only_routes(spark, sf_dir):
-    """Routes with alarms but no traveller records in the perimeter (anti join)."""
-    a = CL.apply_perimeter(proxy.alarm_feed(spark, sf_dir), PERIMETER_JAN97).filter(F.col("ROTTA").isNotNull())
-    t = CL.apply_perimeter(proxy.traveller_feed(spark, sf_dir), PERIMETER_JAN97)
-    return CMP.only_in(a, t, "ROTTA").groupBy("ROTTA").agg(F.count(F.lit(1)).alias("n_alarms"))
+    """Routes with alarms but no traveller records in the whole feeds (anti join, supplier grain)."""
+    a = proxy.alarm_feed(spark, sf_dir, "supplier").filter(F.col("ROTTA").isNotNull())
+    return CMP.only_in(a, proxy.traveller_feed(spark, sf_dir, "supplier"), "ROTTA") \
+        .groupBy("ROTTA").agg(F.count(F.lit(1)).alias("n_alarms"))
 
 
 # ---------------------------------------------------------------------- studies

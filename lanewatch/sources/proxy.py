@@ -23,10 +23,9 @@ with the scale factor.  Mapping (canonical column <- proxy expression):
 ``grain='supplier'`` keys routes on (supplier, customer nation) instead of
 (nation, nation): many more entities, used to stress the detectors.
 
-All joins are plain equi-joins.  lineitem x orders is always shuffled on the
-order key; for the others Spark chooses broadcast only under its size threshold
-(autoBroadcastJoinThreshold / AQE), so customer and supplier — which grow with
-the data — are shuffled at scale while nation is broadcast.
+All joins are plain equi-joins without hints: Spark broadcasts only under its size
+threshold (autoBroadcastJoinThreshold / AQE), so orders, customer and supplier —
+which grow with the data — are shuffled at scale while nation is broadcast.
 """
 
 from __future__ import annotations
@@ -70,10 +69,7 @@ def _base(spark: SparkSession, sf_dir: str, alarms: bool, grain: str = "nation")
     ns = nation.select(F.col("n_nationkey").alias("ns_key"), F.col("n_name").alias("ns_name"),
                        F.col("n_regionkey").alias("ns_region"))
     nc = nation.select(F.col("n_nationkey").alias("nc_key"), F.col("n_name").alias("nc_name"))
-    # lineitem x orders is a shuffle join at any real scale (orders is far above the
-    # broadcast threshold); stating it keeps the plan the same at every size and spreads
-    # a single-row-group scan over all shuffle partitions.
-    j = (li.join(orders.hint("shuffle_hash"), li.l_orderkey == orders.o_orderkey)
+    j = (li.join(orders, li.l_orderkey == orders.o_orderkey)
            .join(cust, F.col("o_custkey") == F.col("c_custkey"))
            .join(supp, F.col("l_suppkey") == F.col("s_suppkey"))
            .join(ns, F.col("s_nationkey") == F.col("ns_key"))
