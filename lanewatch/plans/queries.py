@@ -1061,10 +1061,20 @@ def q_narration_template(spark, sf_dir):
     return EX.template_text(_risk_zonly(spark, sf_dir))
 
 
-@register("narration_context")
+@register("narration_context", RISK_SQL + ", " + _drivers_sql(3) + f""",
+d3 AS (SELECT ROTTA, string_agg('  - ' || label || ': valore=' || {_fmt_sql('v')} || ', deviazione=' || printf('%+.2f', round(z, 2))
+  || 'σ dalla baseline', chr(10) ORDER BY rn) AS d FROM drv GROUP BY ROTTA)
+SELECT r.ROTTA, 'ROUTE: ' || r.ROTTA || ' | Departure country: ' || coalesce(r.PAESE_PART, 'N/A') || ' | Zone: '
+  || coalesce(CAST(r.ZONA AS VARCHAR), 'N/A') || chr(10) || 'Anomaly level: ' || coalesce(r.anomaly_label, 'N/A')
+  || ' | Final risk classification: ' || coalesce(r.final_risk, 'N/A') || ' | Ensemble score: ' || {_fmt_sql('coalesce(r.ensemble_score, 0)')}
+  || chr(10) || 'Score per model: IsolationForest=0.000, LOF=0.000, Autoencoder=0.000' || chr(10) || 'Volumes: total_alarms='
+  || {_fmt_sql('r.tot_allarmi_sum')} || ', passengers_entered=' || {_fmt_sql('r.tot_entrati')} || chr(10) || 'Business rules fired: '
+  || {_RULES_TXT.replace('{none}', 'none fired')} || chr(10) || 'Top 3 anomaly drivers (features furthest from historical baseline):'
+  || chr(10) || coalesce(d3.d, '  - z-score non disponibili per questa rotta') AS context
+FROM risk r LEFT JOIN d3 ON r.ROTTA = d3.ROTTA""")
 def q_narration_context(spark, sf_dir):
-    """Narration context per route (drivers, scores per model, rules, volumes) — four-detector run."""
-    return EX.context_text(_full_scored(spark, sf_dir))
+    """Narration context per route (drivers, scores per model, rules, volumes) — Z run."""
+    return EX.context_text(_risk_zonly(spark, sf_dir))
 
 
 _SORTED_RULES = ("coalesce(array_to_string(list_sort(list_filter([" + ", ".join(
