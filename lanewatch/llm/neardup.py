@@ -10,9 +10,9 @@ banded. Inside a band's bucket candidates are not paired all with all: every
 member is first compared with its most central neighbour (the one that shares
 most buckets). Buckets whose members then lie in one component are done. In the
 others a member's own shingles, which no other member has, bound what it can have
-in common with anyone; ``stars`` rounds compare each bucket's centre with the
-members of other components, and what is left is compared across components, as
-far as sizes and bounds allow a link. Links are confirmed on the full shingle sets.
+in common with anyone; members that no bound rules out are compared across
+components, each component but a bucket's largest with all others. Links are
+confirmed on the full shingle sets.
 
 Defined results: no words or no text: empty set, linked with nothing; fewer
 words than a shingle: the whole sequence is the only one; equal rows fall into
@@ -129,7 +129,7 @@ def small_side(df: DataFrame, rows: int = 500_000) -> DataFrame:
 def _verified(docs: DataFrame, edges: DataFrame, k: int, percent: int) -> DataFrame:
     """The edges (a, b) whose full sets reach the similarity."""
     ids = kept(edges.select(F.col("a").alias("doc_id")).union(edges.select("b")).distinct())
-    sets = kept(_sets(docs.join(small_side(ids), "doc_id", "left_semi"), k).dropDuplicates(["doc_id"]))
+    sets = kept(_sets(docs.join(small_side(ids), "doc_id", "left_semi"), k))
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
@@ -140,7 +140,7 @@ def _verified(docs: DataFrame, edges: DataFrame, k: int, percent: int) -> DataFr
 def _own_shingles(docs: DataFrame, members: DataFrame, k: int) -> DataFrame:
     """(rep, q): how many of a member's shingles no other member has. No link of the members can use them."""
     ids = kept(members.select(F.col("rep").alias("doc_id")).distinct())
-    each = _sets(docs.join(small_side(ids), "doc_id", "left_semi"), k).dropDuplicates(["doc_id"]) \
+    each = _sets(docs.join(small_side(ids), "doc_id", "left_semi"), k) \
         .select("doc_id", F.explode("shingles").alias("shingle"))
     once = each.groupBy("shingle").agg(F.count("*").alias("c"), F.min("doc_id").alias("rep")).filter("c = 1")
     return kept(once.groupBy("rep").agg(F.count("*").alias("q")))
@@ -161,8 +161,8 @@ def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
         near = sides.filter("v > u") if large else sides
         out = near.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         if not large:
-            out = out.union(least.select("u", "m"))
-        return out.filter("u <> v").distinct()
+            out = out.union(least.select("u", "m")).distinct()
+        return out.filter("u <> v")
 
     e = kept(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct())
     mark = print_of(e)
@@ -178,7 +178,7 @@ def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = 3,
-                    percent: int = 85, bands: int = 32, rows: int = 4, stars: int = 2) -> DataFrame:
+                    percent: int = 85, bands: int = 32, rows: int = 4) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every document.
 
     ``bands`` x ``rows`` coordinates: a pair at the threshold similarity s is missed
@@ -199,44 +199,34 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     fits = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
     first = first.select(F.col("rep").alias("a"), F.col("hub.rep").alias("b"), F.col("n").alias("na"), F.col("hub.n").alias("nb"))
     edges = _verified(slim, kept(first.filter(fits).select("a", "b")), shingle, percent)
-    group = kept(components(edges))
+    # labels for now: the hub, or its hub (hubs are ever more central, so this has no cycles)
+    upper = edges.select(F.col("a").alias("b"), F.col("b").alias("top"))
+    group = kept(edges.join(upper, "b", "left").select(F.col("a").alias("node"), F.coalesce("top", "b").alias("component"))
+                 .distinct())
 
     def mixed(m: DataFrame) -> DataFrame:
-        """The members of buckets that still hold several components, with their component c."""
-        named = m.drop("c").join(small_side(group), F.col("rep") == F.col("node"), "left") \
+        """The members of buckets that still hold several components: with component c, the bucket's least set size."""
+        named = m.drop("c", "least").join(small_side(group), F.col("rep") == F.col("node"), "left") \
             .withColumn("c", F.coalesce("component", "rep")).drop("node", "component")
-        open_ = named.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("bucket")
-        return kept(named.join(open_, "bucket", "left_semi"))
-
-    def link(pairs: DataFrame) -> None:
-        """Confirm candidate pairs (a, b, na, nb, qa, qb) that sizes and own shingles allow; renew the components."""
-        nonlocal edges, group
-        most = F.least(F.col("na") - F.col("qa"), F.col("nb") - F.col("qb"))     # of shingles in common
-        able = fits & (most * 100 >= (F.col("na") + F.col("nb") - most) * percent)
-        fresh = kept(pairs.filter(able).select("a", "b").distinct())
-        if fresh.limit(1).count():
-            edges = edges.union(_verified(slim, fresh, shingle, percent))
-            group = kept(components(edges))
+        open_ = named.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min("n").alias("least")) \
+            .filter("lo < hi").select("bucket", "least")
+        return kept(named.join(open_, "bucket"))
 
     members = mixed(members)
     own = _own_shingles(slim, members, shingle)
-    members = members.join(own, "rep", "left").withColumn("q", F.coalesce("q", F.lit(0))) \
-        .filter((F.col("n") - F.col("q")) * 100 >= F.col("n") * percent)
-    for _ in range(stars):
-        members = mixed(members)
-        hubs = members.groupBy("bucket").agg(F.max(F.struct("near", "rep", "n", "q", "c")).alias("hub"))
-        spokes = kept(members.join(hubs, "bucket").filter(F.col("rep") != F.col("hub.rep")))
-        link(spokes.filter(F.col("c") != F.col("hub.c")).select(
-            F.col("hub.rep").alias("a"), F.col("rep").alias("b"), F.col("hub.n").alias("na"), F.col("n").alias("nb"),
-            F.col("hub.q").alias("qa"), F.col("q").alias("qb")))
-        members = spokes.drop("hub")
-    members = mixed(members)
+    # at most n - q shingles of a set of n are anyone else's, and a partner in the bucket has at least ``least``
+    able = F.when(F.col("least") > F.col("n") - F.col("q"), F.col("least") + F.col("q")).otherwise(F.col("n"))
+    members = mixed(members.join(own, "rep", "left").withColumn("q", F.coalesce("q", F.lit(0)))
+                    .filter((F.col("n") - F.col("q")) * 100 >= able * percent))
     largest = members.groupBy("bucket", "c").agg(F.count("*").alias("size")) \
         .groupBy("bucket").agg(F.max(F.struct("size", "c")).alias("l")).select("bucket", F.col("l.c").alias("main"))
     x = members.join(largest, "bucket").filter("c <> main") \
         .select("bucket", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("q").alias("qa"), F.col("c").alias("ca"))
     y = members.select("bucket", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("q").alias("qb"), F.col("c").alias("cb"))
-    link(x.join(y, "bucket").filter("ca <> cb"))
+    most = F.least(F.col("na") - F.col("qa"), F.col("nb") - F.col("qb"))         # of shingles in common
+    pairs = x.join(y, "bucket").filter("ca <> cb").filter(fits & (most * 100 >= (F.col("na") + F.col("nb") - most) * percent))
+    pairs = kept(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    group = kept(components(edges.union(_verified(slim, pairs, shingle, percent))))
     named = sigs.select("doc_id", "n_shingles", "sig") \
         .join(classes.select("sig", F.col("n_shingles").alias("_n"), "rep"),
               F.col("n_shingles").eqNullSafe(F.col("_n")) & (sigs.sig == classes.sig), "left") \
