@@ -5,7 +5,8 @@ texts; a group's documents fall into at most ``cells`` cells (group, id hash), s
 a group of any size is at most that many rows. Each round joins the cells with
 their group's votes (rows of the group in each shard) and asks for the best shard
 that has room; asks are admitted bucket by bucket, in order of the votes, as far
-as the shard's quota goes. Only per-shard numbers (``shards`` or ``shards`` x
+as the shard's quota goes. It ends when no cell asks (some rounds as a rule; a group
+of several shards' size takes as many more). Only per-shard numbers (``shards`` or ``shards`` x
 buckets rows) reach the driver. Documents without links fill the quotas up; if
 linked rows exceed a quota, the excess joins them.
 
@@ -31,36 +32,41 @@ def _pick(values: list[int], index) -> F.Column:
     return F.element_at(F.array(*[F.lit(int(v)).cast("long") for v in values]), index + 1)
 
 
-def propagate(cells: DataFrame, quotas: list[int], rounds: int, ladder: int = 32) -> DataFrame:
-    """Cells (grp, cell, n, shard) after label propagation; no shard's load passes its quota by a move."""
-    shards = len(quotas)
+def propagate(cells: DataFrame, quotas: list[int], rounds: int, ladder: int = 256) -> DataFrame:
+    """Cells (grp, cell, n, shard) after label propagation; no shard's load passes its quota by a move.
+
+    A shard that was asked but had no room for any bucket of asks is closed, so that
+    the rows of a group larger than a shard go on to the next one.
+    """
+    shards, closed = len(quotas), set()
     for _ in range(rounds):
         loads = _loads(cells, shards)
-        free = [max(0, q - x) for q, x in zip(quotas, loads, strict=True)]
-        votes = cells.groupBy("grp", "shard").agg(F.sum("n").alias("votes"))
-        rank = F.struct("votes", F.xxhash64("grp", "shard").alias("tie"), F.col("shard").alias("to"))
-        best = votes.filter(_pick(free, F.col("shard")) > 0).groupBy("grp").agg(F.max(rank).alias("best"))
-        own = votes.select("grp", "shard", F.struct("votes", F.xxhash64("grp", "shard").alias("tie")).alias("own"))
-        asks = (cells.join(own, ["grp", "shard"]).join(best, "grp")
-                .filter(F.struct("best.votes", "best.tie") > F.col("own"))
-                .select("grp", "cell", "n", F.col("best.to").alias("to"),
-                        ((64 - F.floor(F.log2("best.votes"))) * ladder
-                         + F.pmod(F.xxhash64("grp", "cell"), F.lit(ladder))).cast("int").alias("bucket")))
-        asks = kept(asks)
+        free = [0 if s in closed else max(0, q - x) for s, (q, x) in enumerate(zip(quotas, loads, strict=True))]
+        votes = cells.groupBy("grp", "shard").agg(F.sum("n").alias("votes")) \
+            .withColumn("tie", F.xxhash64("grp", "shard"))
+        best = votes.filter(_pick(free, F.col("shard")) > 0).groupBy("grp") \
+            .agg(F.max(F.struct("votes", "tie", F.col("shard").alias("to"))).alias("best"))
+        own = votes.select("grp", "shard", F.struct("votes", "tie").alias("own"))
+        asks = kept(cells.join(own, ["grp", "shard"]).join(best, "grp")
+                    .filter(F.struct("best.votes", "best.tie") > F.col("own"))
+                    .select("grp", "cell", "n", F.col("best.to").alias("to"),
+                            ((64 - F.floor(F.log2("best.votes"))) * ladder
+                             + F.pmod(F.xxhash64("grp", "cell"), F.lit(ladder))).cast("int").alias("bucket")))
         ahead = Window.partitionBy("to").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-        admitted = (asks.groupBy("to", "bucket").agg(F.sum("n").alias("n"))
-                    .withColumn("total", F.sum("n").over(ahead))
-                    .filter(F.col("total") <= _pick(free, F.col("to"))).select("to", "bucket"))
-        moves = asks.join(F.broadcast(admitted), ["to", "bucket"]).select("grp", "cell", "to")
-        before = cells
-        cells = kept(cells.join(moves, ["grp", "cell"], "left")
-                     .select("grp", "cell", "n", F.coalesce("to", "shard").alias("shard")))
-        if before.join(cells, ["grp", "cell", "shard"], "left_anti").limit(1).count() == 0:
+        ranked = asks.groupBy("to", "bucket").agg(F.sum("n").alias("n")) \
+            .withColumn("fits", F.sum("n").over(ahead) <= _pick(free, F.col("to")))       # shards x 64 x ladder rows at most
+        asked = {r["to"]: r["fits"] for r in ranked.groupBy("to").agg(F.max("fits").alias("fits")).collect()}
+        if not asked:
             break
+        closed |= {s for s, fits in asked.items() if not fits}
+        if any(asked.values()):
+            moves = asks.join(ranked.filter("fits").select("to", "bucket"), ["to", "bucket"]).select("grp", "cell", "to")
+            cells = kept(cells.join(moves, ["grp", "cell"], "left")
+                         .select("grp", "cell", "n", F.coalesce("to", "shard").alias("shard")))
     return cells
 
 
-def assign_shards(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shards: int = 16, rounds: int = 6,
+def assign_shards(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shards: int = 16, rounds: int = 24,
                   cells: int = 256) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard of every document."""
     raw = F.col(text).cast("binary")

@@ -49,8 +49,6 @@ def test_many_rules_and_blocks(spark):
                      ".".join(rng.choices(parts, k=rng.randint(1, 3))) + rng.choice(["", "/", "/ad", "/ads/", "/a/bb/", "/x1/tr"]))
                     for _ in range(60)})
     rules = list({t: (v, t) for v, t in rules}.values())
-    lengths = {}
-    rules = [r for r in rules if lengths.setdefault(len(r[1]), r[1]) == r[1] or True]
     urls = [f"http://{'.'.join(rng.choices(parts, k=rng.randint(1, 4)))}" + rng.choice(["", "/", "/ads", "/ads/q", "/a/bb/c", "/x1/track?y", "/adsense"])
             for _ in range(400)]
     for limit in (200_000, 7):
@@ -61,7 +59,7 @@ def test_many_rules_and_blocks(spark):
             assert (r.host, r.path) == (host, path) and (r.rule is None) == (rule is None)
             if rule:
                 assert len(r.rule) == len(rule) and len(r.rule.partition("/")[0]) == len(rule.partition("/")[0])
-    assert sum(r.tried for r in judge(_pages(spark, urls), rules).collect()) < len(rules) * len(urls) / 3
+    assert sum(r.tried for r in judge(_pages(spark, urls), rules).collect()) < len(rules) * len(urls) / 2
 
 
 def test_rarest_token_is_the_key():
