@@ -32,51 +32,47 @@ SPAN = T.StructType([T.StructField("start", T.LongType()), T.StructField("length
                      T.StructField("item", T.StringType())])
 
 
-def _index(rows: list[tuple[str | None, str]], n: int) -> dict[int, tuple]:
-    """Window length -> (sorted hashes, slots, windows by slot: {words: item ids})."""
-    words = textops.split_words(pa.array([t for _, t in rows], pa.large_string()), textops.ALNUM)
-    h = words.hashes()
-    found: dict[int, dict[int, dict[bytes, set]]] = {}
-    rolled: dict[int, np.ndarray] = {}
-    for i, (item, _) in enumerate(rows):
-        lo, hi = int(words.offsets[i]), int(words.offsets[i + 1])
-        if hi == lo:
-            continue
-        k = min(n, hi - lo)
-        if k not in rolled:
-            rolled[k] = textops.rolling(h, k)
-        for j in range(lo, hi - k + 1):
-            key = b" ".join(words.word(x) for x in range(j, j + k))
-            found.setdefault(k, {}).setdefault(int(rolled[k][j]), {}).setdefault(key, set()).add(item)
-    out = {}
-    for k, by_hash in found.items():
-        hashes = np.array(sorted(by_hash), dtype=np.uint64)
-        seen = np.zeros(1 << 20, dtype=bool)
-        seen[(hashes >> np.uint64(44)).astype(np.int64)] = True
-        out[k] = (hashes, seen, [by_hash[int(x)] for x in hashes])
-    return out
-
-
-def _scan(words: textops.Words, index: dict[int, tuple]) -> list[tuple[int, int, int, frozenset]]:
-    """Verified hits (text, first word counted in the batch, length, item ids)."""
-    if not len(words):
-        return []
-    h, doc, hits = words.hashes(), None, []
-    for k, (hashes, seen, windows) in index.items():
-        starts = textops.run_starts(words.counts, words.offsets, k)
-        if not len(starts):
-            continue
-        x = textops.rolling(h, k)[starts]
-        at = np.flatnonzero(seen[(x >> np.uint64(44)).astype(np.int64)])
-        slot = np.minimum(np.searchsorted(hashes, x[at]), len(hashes) - 1)
-        ok = hashes[slot] == x[at]
-        if ok.any() and doc is None:
-            doc = words.doc_of()
-        for s, w in zip(starts[at[ok]].tolist(), slot[ok].tolist(), strict=True):
-            items = windows[w].get(b" ".join(words.word(i) for i in range(s, s + k)))
-            if items is not None:
-                hits.append((int(doc[s]), s, k, frozenset(items)))
-    return hits
+class Index:
+    """Windows of a block of items: per window length the sorted hashes and the items' words they start at."""
+
+    def __init__(self, rows: list[tuple[str | None, str]], n: int):
+        self.items = [item for item, _ in rows]
+        self.words = textops.split_words(pa.array([t for _, t in rows], pa.large_string()), textops.ALNUM)
+        self.item_of = self.words.doc_of().astype(np.int32)
+        counts, offsets, h = self.words.counts, self.words.offsets, self.words.hashes()
+        self.by_length: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        for k in sorted({min(n, int(c)) for c in np.unique(counts) if c}):
+            # full windows of items of n words or more, and whole items of fewer words
+            own = np.where(counts >= n, counts, 0) if k == n else np.where(counts == k, counts, 0)
+            at = textops.run_starts(own, offsets, k)
+            hashes = textops.rolling(h, k)[at]
+            order = np.argsort(hashes, kind="stable")
+            seen = np.zeros(1 << 20, dtype=bool)        # a first filter on 20 bits
+            seen[(hashes >> np.uint64(44)).astype(np.int64)] = True
+            self.by_length[k] = hashes[order], at[order], seen
+
+    def find(self, words: textops.Words) -> list[tuple[int, int, int, frozenset]]:
+        """Verified hits (text, first word counted in the batch, length, item ids)."""
+        if not len(words):
+            return []
+        h, doc, hits = words.hashes(), None, []
+        for k, (hashes, places, seen) in self.by_length.items():
+            starts = textops.run_starts(words.counts, words.offsets, k)
+            if not len(starts):
+                continue
+            x = textops.rolling(h, k)[starts]
+            near = np.flatnonzero(seen[(x >> np.uint64(44)).astype(np.int64)])
+            lo, hi = (np.searchsorted(hashes, x[near], side=side) for side in ("left", "right"))
+            ok = hi > lo
+            if ok.any() and doc is None:
+                doc = words.doc_of()
+            for s, a, b in zip(starts[near[ok]].tolist(), lo[ok].tolist(), hi[ok].tolist(), strict=True):
+                own = [words.word(i) for i in range(s, s + k)]
+                items = frozenset(self.items[self.item_of[p]] for p in places[a:b].tolist()
+                                  if all(self.words.word(p + j) == w for j, w in enumerate(own)))
+                if items:
+                    hits.append((int(doc[s]), s, k, items))
+        return hits
 
 
 def cut_words(data: bytes, words: textops.Words, lo: int, hi: int, end: int, begin: int, gone: np.ndarray) -> bytes:
@@ -110,14 +106,14 @@ def _passes(spark: SparkSession, docs: DataFrame, items: DataFrame, n: int, text
     carried = replace_columns(docs, T.StructField(extra, T.ArrayType(SPAN)))
     df = docs
     for b, block in enumerate(blocks):
-        index = spark.sparkContext.broadcast(_index([(r.item, r.text) for r in block.collect()], n))
+        index = spark.sparkContext.broadcast(Index([(r.item, r.text) for r in block.collect()], n))
         last = b == len(blocks) - 1
 
         def run(batches: Iterator[pa.RecordBatch], index=index, last=last) -> Iterator[pa.RecordBatch]:
             for whole in batches:
                 for batch in textops.slices(whole, text):
                     words = textops.split_words(batch.column(text), textops.ALNUM)
-                    hits = _scan(words, index.value)
+                    hits = index.value.find(words)
                     if extra in batch.schema.names:
                         for i, spans in enumerate(batch.column(extra).to_pylist()):
                             hits += [(i, int(words.offsets[i]) + x["start"], x["length"], frozenset([x["item"]]))
@@ -147,7 +143,7 @@ def _mask(words: textops.Words, hits: list) -> np.ndarray:
 
 
 def contamination(docs: DataFrame, items: DataFrame, *, n: int = 10, doc_id: str = "doc_id", text: str = "text",
-                  item_id: str = "item_id", item_text: str = "text", max_index_bytes: int = 32 << 20) -> DataFrame:
+                  item_id: str = "item_id", item_text: str = "text", max_index_bytes: int = 16 << 20) -> DataFrame:
     """One row per document: word counts, items hit and the hit spans (word positions)."""
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     schema = T.StructType([
@@ -180,7 +176,7 @@ def contamination(docs: DataFrame, items: DataFrame, *, n: int = 10, doc_id: str
 
 def decontaminate(docs: DataFrame, items: DataFrame, *, n: int = 10, remove: str = "spans", text: str = "text",
                   n_chars: str | None = "n_chars", item_id: str = "item_id", item_text: str = "text",
-                  max_index_bytes: int = 32 << 20) -> DataFrame:
+                  max_index_bytes: int = 16 << 20) -> DataFrame:
     """The documents, all columns kept, without hit spans or (``remove="documents"``) without hit documents.
 
     Clean documents come back unchanged. ``n_chars`` (if the table has it) follows the text.
