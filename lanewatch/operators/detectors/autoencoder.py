@@ -113,12 +113,12 @@ def minimise(evaluate, x: np.ndarray, iterations: int, memory: int = 10, tol: fl
 
 
 def fit(train: DataFrame, features: list[str], key: str = "ROTTA", hidden=K.AE_HIDDEN,
-        epochs: int = 60, seed: int = K.RANDOM_STATE, alpha: float = 1e-4) -> np.ndarray:
+        epochs: int = 60, seed: int = K.RANDOM_STATE, alpha: float = 1e-4, rows_per_task: int = 50_000) -> np.ndarray:
     """Trained parameter vector (broadcast-sized: a few hundred doubles) after at most ``epochs`` full-batch steps."""
     spark = train.sparkSession
     sizes = [len(features), *hidden, len(features)]
     weights = np.concatenate([np.r_[np.ones(a * b), np.zeros(b)] for a, b in zip(sizes[:-1], sizes[1:])])
-    data = train.select(*features).persist()
+    data = train.select(*features).repartition(max(1, math.ceil(train.count() / rows_per_task))).persist()
 
     def evaluate(vec: np.ndarray) -> tuple[float, np.ndarray]:
         bc = spark.sparkContext.broadcast(vec)
