@@ -21,6 +21,20 @@ def kept(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
+def kept_by(df: DataFrame, n: int, *keys: str) -> DataFrame:
+    """Checkpoint in n partitions by the keys, so that later joins on them leave these rows where they are.
+
+    An adaptive plan does not tell its partitioning; the checkpoint is taken with a fixed one.
+    """
+    conf = df.sparkSession.conf
+    before = conf.get("spark.sql.adaptive.enabled")
+    conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return kept(df.repartition(n, *keys))
+    finally:
+        conf.set("spark.sql.adaptive.enabled", before)
+
+
 def shared_dir(spark: SparkSession) -> str:
     return checkpoint_dir(spark).rstrip("/")
 
