@@ -83,8 +83,8 @@ def alarm_entity_aggregate(alarms: DataFrame, key: str = "ROTTA") -> DataFrame:
     )
 
 
-def traveller_entity_aggregate(travellers: DataFrame, key: str = "ROTTA") -> DataFrame:
-    """A8–A12 plus the J4 fallbacks (mode of country/zone), in one aggregation."""
+def traveller_entity_aggregate(travellers: DataFrame, key: str = "ROTTA", denominator: str = "observations") -> DataFrame:
+    """A8–A12 plus the J4 fallbacks (mode of country/zone), in one aggregation; outcome rates over ``observations`` or ``outcomes``."""
     t = travellers.filter(F.col(key).isNotNull())
     esito = F.col("ESITO_CONTROLLO")
     aggs = [
@@ -104,7 +104,7 @@ def traveller_entity_aggregate(travellers: DataFrame, key: str = "ROTTA") -> Dat
     ]
     aggs += [F.count_if(esito == v).alias(name) for v, name in K.OUTCOME_COLUMNS.items()]
     g = t.groupBy(key).agg(*aggs)
-    nobs = F.col("n_osservazioni_viag")
+    nobs = F.col("n_osservazioni_viag") if denominator == "observations" else sum_cols([F.col(c) for c in K.OUTCOME_COLUMNS.values()])
     rej = clip(safe_div("n_respinti", nobs), 0, 1)
     det = clip(safe_div("n_fermati", nobs), 0, 1)
     g = g.select(

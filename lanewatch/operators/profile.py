@@ -16,14 +16,17 @@ from lanewatch.operators.baseline import one_row
 
 
 def dataset_stats(feed: DataFrame, key: str = "ROTTA", top: int = 5, exact: bool = True) -> DataFrame:
-    """Rows, distinct routes, years present, top countries, rows with TOT > 0."""
+    """Rows, distinct routes, airports and countries, years present, top countries, rows with TOT > 0."""
     top_c = [r[0] for r in (feed.filter(F.col("PAESE_PART").isNotNull()).groupBy("PAESE_PART")
                             .agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "PAESE_PART")
                             .limit(top).collect())]  # top-k: bounded
-    distinct = F.count_distinct(key) if exact else F.approx_count_distinct(key)
+    count = F.count_distinct if exact else F.approx_count_distinct
     return feed.agg(
         F.count(F.lit(1)).alias("n_righe"),
-        distinct.alias("n_rotte_uniche"),
+        count(key).alias("n_rotte_uniche"),
+        count("AREOPORTO_PARTENZA").alias("n_aeroporti_part"),
+        count("AREOPORTO_ARRIVO").alias("n_aeroporti_arr"),
+        count("PAESE_ARR").alias("n_paesi_arr"),
         F.array_join(F.sort_array(F.collect_set(F.col("ANNO_PARTENZA").cast("int").cast("string"))), ",")
         .alias("anni_presenti"),
         F.lit(",".join(top_c)).alias("paesi_partenza_top5"),

@@ -482,17 +482,31 @@ def _trav(spark, sf_dir):
 
 
 @register("dataset_stats", FEEDS_SQL + """SELECT CAST(count(*) AS BIGINT) AS n_righe,
-  CAST(count(DISTINCT ROTTA) AS BIGINT) AS n_rotte_uniche,
+  CAST(count(DISTINCT ROTTA) AS BIGINT) AS n_rotte_uniche, CAST(count(DISTINCT AREOPORTO_PARTENZA) AS BIGINT) AS n_aeroporti_part,
+  CAST(count(DISTINCT AREOPORTO_ARRIVO) AS BIGINT) AS n_aeroporti_arr, CAST(count(DISTINCT PAESE_ARR) AS BIGINT) AS n_paesi_arr,
   (SELECT string_agg(y, ',' ORDER BY y) FROM (SELECT DISTINCT CAST(CAST(ANNO_PARTENZA AS INTEGER) AS VARCHAR) AS y
      FROM alarms WHERE ANNO_PARTENZA IS NOT NULL)) AS anni_presenti,
   (SELECT string_agg(PAESE_PART, ',' ORDER BY n DESC, PAESE_PART) FROM (SELECT PAESE_PART, count(*) AS n FROM alarms
      WHERE PAESE_PART IS NOT NULL GROUP BY PAESE_PART ORDER BY n DESC, PAESE_PART LIMIT 5)) AS paesi_partenza_top5,
   CAST(count_if(coalesce(CAST(TOT AS DOUBLE), 0.0) > 0) AS BIGINT) AS n_con_allarmi FROM alarms""")
 def q_dataset_stats(spark, sf_dir):
-    """Rows, distinct routes, years, top-5 departure countries, rows with alarms."""
+    """Rows, distinct routes, airports and countries, years, top-5 departure countries, rows with alarms."""
     return PR.dataset_stats(_alarms(spark, sf_dir))
 
 
+@register("outcome_rates", FEEDS_SQL + """, n AS (SELECT ROTTA, """ + ", ".join(
+    f"count_if(ESITO_CONTROLLO = {O.q(v)}) AS {c}" for v, c in K.OUTCOME_COLUMNS.items()) + """ FROM travellers
+  WHERE ROTTA IS NOT NULL GROUP BY ROTTA),
+r AS (SELECT ROTTA, """ + " + ".join(K.OUTCOME_COLUMNS.values()) + """ AS total, n_respinti, n_fermati FROM n),
+x AS (SELECT ROTTA, CASE WHEN total > 0 THEN n_respinti / total ELSE 0.0 END AS a, CASE WHEN total > 0 THEN n_fermati / total ELSE 0.0 END AS b FROM r)
+SELECT ROTTA, round(a, 6) AS tasso_respinti, round(b, 6) AS tasso_fermati,
+  round(least(greatest(a * 0.6 + b * 0.4, 0), 1), 6) AS score_rischio_esiti FROM x""")
+def q_outcome_rates(spark, sf_dir):
+    """Outcome rates per route over all outcomes (the feature table divides by observations)."""
+    t = FT.traveller_entity_aggregate(proxy.traveller_feed(spark, sf_dir), denominator="outcomes")
+    return t.select("ROTTA", "tasso_respinti", "tasso_fermati", "score_rischio_esiti")
+
+
 def _describe_sql(cols, src):
     parts = []
     for c in cols:
@@ -1132,19 +1146,20 @@ tq AS (SELECT conv_id, turn, context, text, CAST(len(out_n) AS INTEGER) AS numbe
   CASE WHEN len(out_n) > 0 THEN round_even(1 - len(un) / len(out_n), 3) ELSE 1.0 END AS faithfulness,
   CAST(len(list_filter(string_split_regex(trim(coalesce(text, '')), '[.!?]+\\s+'), lambda s: length(trim(s)) > 0)) AS INTEGER) AS sentences,
   CAST(length(coalesce(text, '')) AS INTEGER) AS chars, length(trim(coalesce(text, ''))) = 0 AS empty,
+  array_to_string(list_transform(un, lambda u: printf('%.2f', u)), ',') AS unmatched,
   array_to_string(list_filter([""" + ", ".join(O.q(w) for w in EX.MARKER_WORDS) + """], lambda w: instr(lower(coalesce(text, '')), w) > 0), ',') AS marker_leak
   FROM q2)
 """
 
 
 @register("text_quality", _PAIRS_SQL + """SELECT conv_id, turn, numbers_cited, hallucinated_count, round(faithfulness, 6) AS faithfulness,
-  sentences, chars, empty, marker_leak FROM tq""")
+  sentences, chars, empty, marker_leak, unmatched FROM tq""")
 def q_text_quality(spark, sf_dir):
     """T6 + T7 + T9: numbers cited, faithfulness to the context, sentences, chars, marker leaks
     for every (user context, assistant reply) pair of the conversations table."""
     t = EX.text_quality(_pairs(spark, sf_dir))
     return t.select("conv_id", "turn", "numbers_cited", "hallucinated_count", "faithfulness", "sentences", "chars",
-                    "empty", "marker_leak")
+                    "empty", "marker_leak", "unmatched")
 
 
 @register("text_guardrail", _PAIRS_SQL + """, pieces AS (SELECT conv_id, turn, ctx_n, regexp_split_to_array(coalesce(text, ''), '-?\\d+\\.?\\d*') AS ps,
