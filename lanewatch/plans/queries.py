@@ -1132,6 +1132,16 @@ def q_narration_sources(spark, sf_dir):
     return EX.source_counts(EX.narration_plan(_risk_zonly(spark, sf_dir)))
 
 
+@register("narration_summary", RISK_SQL + ", " + _PATTERN_SQL + """
+SELECT CASE WHEN count_if(narrated) > 15 THEN 'pattern-dedup' ELSE 'per-route' END AS mode,
+  CAST(CASE WHEN count_if(narrated) > 15 THEN count(DISTINCT CASE WHEN narrated THEN pattern END) ELSE 0 END AS BIGINT) AS patterns,
+  CAST(count_if(source = 'llm') AS BIGINT) AS n_llm, CAST(count_if(source = 'template') AS BIGINT) AS n_template,
+  CAST(count_if(source = 'dedup_template') AS BIGINT) AS n_dedup_template FROM plan""")
+def q_narration_summary(spark, sf_dir):
+    """Narration block of the report: mode, patterns, texts per source."""
+    return EX.narration_summary(EX.narration_plan(_risk_zonly(spark, sf_dir)))
+
+
 def _pairs(spark, sf_dir):
     return EX.conversation_pairs(table(spark, sf_dir, "conversations"))
 
