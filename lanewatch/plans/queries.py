@@ -407,8 +407,15 @@ _MERGED_COLS = [("_rid", "bigint"), ("AREOPORTO_ARRIVO", "str"), ("AREOPORTO_PAR
 def q_merged_feed(spark, sf_dir):
     """J1 + A1: alarms LEFT JOIN per (arrival, departure, day) traveller aggregates."""
     from lanewatch.operators.features import merge_feeds
-    # cleaned feeds are materialised (S4) before the merge, as a production run writes them out
-    return merge_feeds(keep(_clean_a(spark, sf_dir)), keep(_clean_t(spark, sf_dir))).select(*[c for c, _ in _MERGED_COLS])
+    wanted = [c for c, _ in _MERGED_COLS]
+    alarms, travellers = _clean_a(spark, sf_dir), _clean_t(spark, sf_dir)
+    keys = ["AREOPORTO_ARRIVO", "AREOPORTO_PARTENZA", "DATA_PARTENZA"]
+    # only the columns that the merge reads; travellers are materialised because the join's null filters
+    # would evaluate the date parsing twice
+    a = alarms.select(*[c for c in alarms.columns if c in wanted or c in keys])
+    t = travellers.select(*keys, "ENTRATI", "ALLARMATI", "INVESTIGATI", "tasso_allarme", "tasso_investigati", "NAZIONALITA",
+                          "ESITO_CONTROLLO")
+    return merge_feeds(a, keep(t)).select(*wanted)
 
 
 @register("null_report", O.with_(O.alarms_cte(), O.travellers_cte(), OC.raw_alarms_cte(), OC.clean_alarms_cte())
