@@ -88,7 +88,7 @@ def _range_of(bounds: list, id_: Column) -> Column:
 
 
 def with_next(docs: DataFrame, columns: list[str], order: list[str], rows_per_range: int = 2000,
-              most: int = 4096) -> DataFrame:
+              most: int = 16384) -> DataFrame:
     """Every row with ``next_<column>`` of the row that follows in descending ``doc_id``; the first follows the last."""
     bounds = _ranges(docs, rows_per_range, most)
     dealt = docs.withColumn("_range", F.coalesce(_range_of(bounds, F.col("doc_id")), F.lit(0)))
