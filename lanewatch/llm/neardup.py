@@ -10,9 +10,10 @@ banded. Inside a band's bucket candidates are not paired all with all: every
 member is first compared with its most central neighbour (the one that shares
 most buckets). Buckets whose members then lie in one component are done. In the
 others a member's own shingles, which no other member has, bound what it can have
-in common with anyone; members that no bound rules out are compared across
-components, each component but a bucket's largest with all others. Links are
-confirmed on the full shingle sets.
+in common with anyone, and members of one hub share at most what both share with
+it and what neither has alone outside it. Members that no bound rules out are
+compared across components, each component but a group's largest with all others.
+Links are confirmed on the full shingle sets.
 
 Defined results: no words or no text: empty set, linked with nothing; fewer
 words than a shingle: the whole sequence is the only one; equal rows fall into
@@ -26,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -126,26 +127,44 @@ def small_side(df: DataFrame, rows: int = 500_000) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
-def _verified(docs: DataFrame, edges: DataFrame, k: int, percent: int) -> DataFrame:
-    """The edges (a, b) whose full sets reach the similarity."""
-    ids = kept(edges.select(F.col("a").alias("doc_id")).union(edges.select("b")).distinct())
+def _overlaps(docs: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
+    """The pairs (a, b) with the sizes of their full sets and of the intersection: na, nb, common."""
+    ids = kept(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct())
     sets = kept(_sets(docs.join(small_side(ids), "doc_id", "left_semi"), k))
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
-    both = F.size(F.array_intersect("sa", "sb"))
-    union = F.size("sa") + F.size("sb") - both
-    return kept(edges.join(left, "a").join(right, "b").filter(100 * both >= percent * union).select("a", "b"))
+    return pairs.select("a", "b").join(left, "a").join(right, "b").select(
+        "a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"), F.size(F.array_intersect("sa", "sb")).alias("common"))
+
+
+def _linked(percent: int, common) -> Column:
+    return common * 100 >= (F.col("na") + F.col("nb") - common) * percent
 
 
 def _own_shingles(docs: DataFrame, members: DataFrame, k: int) -> DataFrame:
-    """(rep, q): how many of a member's shingles no other member has. No link of the members can use them."""
-    ids = kept(members.select(F.col("rep").alias("doc_id")).distinct())
+    """(rep, q): how many of a member's shingles no other member or hub has. No link of the members can use them."""
+    ids = kept(members.select(F.col("rep").alias("doc_id")).union(members.filter("hub is not null").select("hub")).distinct())
     each = _sets(docs.join(small_side(ids), "doc_id", "left_semi"), k) \
         .select("doc_id", F.explode("shingles").alias("shingle"))
     once = each.groupBy("shingle").agg(F.count("*").alias("c"), F.min("doc_id").alias("rep")).filter("c = 1")
     return kept(once.groupBy("rep").agg(F.count("*").alias("q")))
 
 
+def _others(members: DataFrame, key: str) -> DataFrame:
+    """The members outside their group's largest component."""
+    largest = members.groupBy(key, "c").agg(F.count("*").alias("size")) \
+        .groupBy(key).agg(F.max(F.struct("size", "c")).alias("l")).select(key, F.col("l.c").alias("main"))
+    return members.join(largest, key).filter("c <> main").drop("main")
+
+
+def _across(members: DataFrame, key: str) -> DataFrame:
+    """Pairs of members of one group in different components: a*, b* columns of both sides."""
+    side = lambda m, x: m.select(key, *[F.col(c).alias(f"{c}{x}") for c in ("rep", "n", "q", "c", "hub", "common")
+                                        if c != key])
+    return side(_others(members, key), "a").join(side(members, "b"), key).filter("ca <> cb") \
+        .withColumnsRenamed({"repa": "a", "repb": "b"})
+
+
 def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
     """(node, component) of an undirected edge table (a, b): alternating large and small stars.
 
@@ -167,12 +186,12 @@ def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
     e = kept(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct())
     mark = print_of(e)
     for _ in range(max_rounds):
-        if not mark[0]:
-            break
         e = kept(star(star(e, True), False))
         mark, old = print_of(e), mark
         if mark == old:
             break
+    else:
+        raise RuntimeError(f"components: no fixed point in {max_rounds} rounds")
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")) \
         .union(e.select(F.col("v"), F.col("v")).distinct())
 
@@ -198,7 +217,8 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
         .groupBy("rep", "n").agg(F.max("hub").alias("hub"))
     fits = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
     first = first.select(F.col("rep").alias("a"), F.col("hub.rep").alias("b"), F.col("n").alias("na"), F.col("hub.n").alias("nb"))
-    edges = _verified(slim, kept(first.filter(fits).select("a", "b")), shingle, percent)
+    compared = kept(_overlaps(slim, kept(first.filter(fits).select("a", "b")), shingle))
+    edges = compared.filter(_linked(percent, F.col("common"))).select("a", "b")
     # labels for now: the hub, or its hub (hubs are ever more central, so this has no cycles)
     upper = edges.select(F.col("a").alias("b"), F.col("b").alias("top"))
     group = kept(edges.join(upper, "b", "left").select(F.col("a").alias("node"), F.coalesce("top", "b").alias("component"))
@@ -212,21 +232,24 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
             .filter("lo < hi").select("bucket", "least")
         return kept(named.join(open_, "bucket"))
 
-    members = mixed(members)
+    hubs = compared.select(F.col("a").alias("rep"), F.col("b").alias("hub"), "common")
+    members = mixed(members.join(hubs, "rep", "left"))
     own = _own_shingles(slim, members, shingle)
     # at most n - q shingles of a set of n are anyone else's, and a partner in the bucket has at least ``least``
     able = F.when(F.col("least") > F.col("n") - F.col("q"), F.col("least") + F.col("q")).otherwise(F.col("n"))
     members = mixed(members.join(own, "rep", "left").withColumn("q", F.coalesce("q", F.lit(0)))
                     .filter((F.col("n") - F.col("q")) * 100 >= able * percent))
-    largest = members.groupBy("bucket", "c").agg(F.count("*").alias("size")) \
-        .groupBy("bucket").agg(F.max(F.struct("size", "c")).alias("l")).select("bucket", F.col("l.c").alias("main"))
-    x = members.join(largest, "bucket").filter("c <> main") \
-        .select("bucket", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("q").alias("qa"), F.col("c").alias("ca"))
-    y = members.select("bucket", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("q").alias("qb"), F.col("c").alias("cb"))
-    most = F.least(F.col("na") - F.col("qa"), F.col("nb") - F.col("qb"))         # of shingles in common
-    pairs = x.join(y, "bucket").filter("ca <> cb").filter(fits & (most * 100 >= (F.col("na") + F.col("nb") - most) * percent))
+    # two sets share at most what both share with their hub, and what neither has alone outside it
+    free = [F.greatest(F.col(f"n{x}") - F.col(f"common{x}") - F.col(f"q{x}"), F.lit(0)) for x in "ab"]
+    most = F.least(F.col("na") - F.col("qa"), F.col("nb") - F.col("qb"))
+    near_hub = F.least(most, F.least("commona", "commonb") + F.least(*free))
+    same_hub = _across(members.filter("hub is not null").select("rep", "n", "q", "c", "hub", "common").distinct(), "hub")
+    rest = _across(members, "bucket").filter("huba is null or hubb is null or huba <> hubb")
+    pairs = same_hub.filter(fits & _linked(percent, near_hub)).select("a", "b") \
+        .union(rest.filter(fits & _linked(percent, most)).select("a", "b"))
     pairs = kept(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    group = kept(components(edges.union(_verified(slim, pairs, shingle, percent))))
+    late = _overlaps(slim, pairs, shingle).filter(_linked(percent, F.col("common"))).select("a", "b")
+    group = kept(components(edges.union(late)))
     named = sigs.select("doc_id", "n_shingles", "sig") \
         .join(classes.select("sig", F.col("n_shingles").alias("_n"), "rep"),
               F.col("n_shingles").eqNullSafe(F.col("_n")) & (sigs.sig == classes.sig), "left") \
