@@ -20,6 +20,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -47,11 +48,12 @@ class WordIds:
     #: the vocabulary's own splitting pattern, on lower-case plain chunks
     PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
 
-    def __init__(self, path: str, cache: int = 300_000):
+    def __init__(self, path: str, cache: int = 200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer, self.limit = Tokenizer.from_file(path), cache
         self.model, self.bytes, self.known = self.tokenizer.model, self.tokenizer.pre_tokenizer, {}
+        self.chunks: dict[str, list[int]] = {}
 
     def _piece(self, p: str) -> list[int]:
         ids = self.known.get(p)
@@ -72,9 +74,16 @@ class WordIds:
         split = pc.ascii_split_whitespace(col.fill_null("").cast(pa.large_string()))
         ends = split.offsets.to_numpy().astype(np.int64)
         words = split.values.slice(ends[0], ends[-1] - ends[0]).dictionary_encode()
-        coded = [self.chunk(c) if c else [] for c in words.dictionary.to_pylist()]
-        lens = np.array([len(c) for c in coded], dtype=np.int64)
-        flat = np.array([i for c in coded for i in c], dtype="<u4")
+        if len(self.chunks) >= self.limit:
+            self.chunks.clear()
+        chunks, coded = self.chunks, []
+        for c in words.dictionary.to_pylist():
+            ids = chunks.get(c)
+            if ids is None:
+                ids = chunks[c] = self.chunk(c) if c else []
+            coded.append(ids)
+        lens = np.fromiter(map(len, coded), dtype=np.int64, count=len(coded))
+        flat = np.fromiter(chain.from_iterable(coded), dtype="<u4", count=int(lens.sum()))
         at = words.indices.to_numpy(zero_copy_only=False)
         n = lens[at]
         first = np.concatenate([[0], np.cumsum(lens)[:-1]]) if len(lens) else lens
@@ -103,7 +112,7 @@ def pieces(docs: DataFrame, path: str, *, capacity: int = CAPACITY, end_id: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = _tokenizer(path)
         for whole in batches:
-            for batch in textops.slices(whole, "text", 4 << 20):
+            for batch in textops.slices(whole, "text", 8 << 20):
                 ids, off = tok.batch(batch.column("text"))
                 row, piece, start, length, crc, held = [], [], [], [], [], []
                 for i in range(batch.num_rows):
