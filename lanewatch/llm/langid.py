@@ -38,7 +38,7 @@ UND = "und"
 
 
 def ngram_buckets(col: pa.Array, buckets: int, orders: tuple[int, ...] = (2, 3, 4)) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed byte n-grams of every text (blank-padded): flat buckets and each text's offsets."""
+    """Hashed byte n-grams of all texts (blank-padded): their buckets and the text each belongs to."""
     data, off = textops.text_bytes(col)
     n = len(off) - 1
     sizes = np.diff(off)
@@ -68,10 +68,8 @@ def ngram_buckets(col: pa.Array, buckets: int, orders: tuple[int, ...] = (2, 3,
         grams.append((h % np.uint64(buckets)).astype(np.int64)[inside])
         owner.append(own[inside])
     if not grams:
-        return np.zeros(0, dtype=np.int64), np.zeros(n + 1, dtype=np.int64)
-    g, o = np.concatenate(grams), np.concatenate(owner)
-    order = np.argsort(o, kind="stable")
-    return g[order], np.concatenate([[0], np.cumsum(np.bincount(o, minlength=n))])
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    return np.concatenate(grams), np.concatenate(owner)
 
 
 def held_out(doc_id: str = "doc_id") -> F.Column:
@@ -98,10 +96,10 @@ def _counts(labelled: DataFrame, buckets: int) -> dict[str, np.ndarray]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         for whole in batches:
-            for batch in textops.slices(whole, "text", 4 << 20):
-                grams, off = ngram_buckets(batch.column("text"), buckets)
+            for batch in textops.slices(whole, "text", 1 << 20):
+                grams, owner = ngram_buckets(batch.column("text"), buckets)
                 code = batch.column("lang").dictionary_encode()
-                lang = np.repeat(code.indices.to_numpy(zero_copy_only=False), np.diff(off))
+                lang = code.indices.to_numpy(zero_copy_only=False)[owner]
                 m = len(code.dictionary)
                 both = np.bincount(lang.astype(np.int64) * buckets + grams, minlength=m * buckets).reshape(m, buckets)
                 for i, name in enumerate(code.dictionary.to_pylist()):
@@ -151,9 +149,8 @@ class Model:
         if len(self.langs) == 1:
             one = np.array(some, dtype=float)
             return [self.langs[0] if s else UND for s in some], one, one
-        grams, off = ngram_buckets(col, self.buckets)
-        per = np.diff(off)
-        owner = np.repeat(np.arange(n), per)
+        grams, owner = ngram_buckets(col, self.buckets)
+        per = np.bincount(owner, minlength=n)
         margin = np.stack([np.bincount(owner, weights=w[grams], minlength=n) for w in np.ascontiguousarray(self.weights.T)], axis=1)
         margin = (margin / np.maximum(per, 1)[:, None] - self.middle) / (self.gap / 2)
         sign = 2.0 * self.code - 1
@@ -184,7 +181,7 @@ def identify(docs: DataFrame, model: Model, *, text: str = "text", lead: float =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in textops.slices(whole, text, 4 << 20):
+            for batch in textops.slices(whole, text, 1 << 20):
                 lang, score, ahead = shared.value.predict(batch.column(text))
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns, pa.array(lang, pa.string()), pa.array(score), pa.array(ahead < lead)], schema.names)
@@ -198,7 +195,7 @@ def keep_identified(docs: DataFrame, *, text: str = "text", **options) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in textops.slices(whole, text, 4 << 20):
+            for batch in textops.slices(whole, text, 1 << 20):
                 lang, _, _ = shared.value.predict(batch.column(text))
                 yield batch.filter(pa.array([x != UND for x in lang], pa.bool_()))
 
