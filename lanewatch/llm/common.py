@@ -12,7 +12,20 @@ from pyspark.sql import types as T
 from lanewatch.session import checkpoint_dir, cut_lineage
 
 
+#: most rows and bytes of an Arrow batch between Spark and Python workers
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": 2500, "spark.sql.execution.arrow.maxBytesPerBatch": 16 << 20}
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batch limits to BATCH, so that batches of long texts stay small on both sides."""
+    for name, most in BATCH.items():
+        now = int(spark.conf.get(name, str(most + 1)))
+        if now <= 0 or now > most:
+            spark.conf.set(name, str(most))
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lanewatch.llm import textops
-from lanewatch.llm.common import read, register
+from lanewatch.llm.common import bounded_batches, read, register
 
 #: n-grams see lower-case ASCII letters and all non-ASCII bytes; runs of anything else are one blank
 LETTERS = textops.translation([c for c in range(0x80) if not (0x41 <= c <= 0x5A or 0x61 <= c <= 0x7A)], lower=True)
@@ -191,6 +191,7 @@ def identify(docs: DataFrame, model: Model, *, text: str = "text", lead: float =
 
 def keep_identified(docs: DataFrame, *, text: str = "text", **options) -> DataFrame:
     """The documents, all columns, whose text has a language; rejected are those without a letter."""
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs, text=text, **options))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lanewatch.llm import textops
-from lanewatch.llm.common import kept, read, register
+from lanewatch.llm.common import bounded_batches, kept, read, register
 
 EMPTY = np.uint64(2**64 - 1)
 
@@ -203,6 +203,7 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     ``bands`` x ``rows`` coordinates: a pair at the threshold similarity s is missed
     with probability (1 - s**rows)**bands, 6e-11 for the defaults at 0.85.
     """
+    bounded_batches(docs.sparkSession)
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     sigs = kept(_signatures(slim, shingle, bands, rows))
     classes = kept(sigs.filter("sig is not null").groupBy("sig", "n_shingles")

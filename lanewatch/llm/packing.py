@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lanewatch.llm import textops
-from lanewatch.llm.common import dense_index, kept, read, register
+from lanewatch.llm.common import bounded_batches, dense_index, kept, read, register
 
 CAPACITY = 4096
 
@@ -48,7 +48,7 @@ class WordIds:
     #: the vocabulary's own splitting pattern, on lower-case plain chunks
     PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
 
-    def __init__(self, path: str, cache: int = 200_000):
+    def __init__(self, path: str, cache: int = 150_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer, self.limit = Tokenizer.from_file(path), cache
@@ -74,7 +74,7 @@ class WordIds:
         split = pc.ascii_split_whitespace(col.fill_null("").cast(pa.large_string()))
         ends = split.offsets.to_numpy().astype(np.int64)
         words = split.values.slice(ends[0], ends[-1] - ends[0]).dictionary_encode()
-        if len(self.chunks) >= self.limit:
+        if len(self.chunks) >= 2 * self.limit:
             self.chunks.clear()
         chunks, coded = self.chunks, []
         for c in words.dictionary.to_pylist():
@@ -131,6 +131,7 @@ def pieces(docs: DataFrame, path: str, *, capacity: int = CAPACITY, end_id: int
                 if with_ids:
                     cols.append(pa.array(held, pa.list_(pa.int64())))
                 yield pa.RecordBatch.from_arrays(cols, names)
+        tok.chunks.clear()
 
     return docs.mapInArrow(run, T.StructType(fields))
 
@@ -290,6 +291,7 @@ def pack(docs: DataFrame, path: str, *, doc_id: str = "doc_id", text: str = "tex
          end_id: int = 1, with_ids: bool = False, **options) -> DataFrame:
     """Every piece with its sequence and offset: doc_id, piece, start, length, ids_crc32, sequence_id, offset[, ids]."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     cut = kept(pieces(slim, path, capacity=capacity, end_id=end_id, with_ids=with_ids))
     histogram = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lanewatch.llm import textops
-from lanewatch.llm.common import kept, kept_by, read, register, shuffle_partitions
+from lanewatch.llm.common import bounded_batches, kept, kept_by, read, register, shuffle_partitions
 from lanewatch.llm.decontam import replace_texts
 
 ZSTD = pa.Codec("zstd")
@@ -202,6 +202,7 @@ def repeated_words(docs: DataFrame, finish, schema: T.StructType, *, text: str =
                    unit_bytes: int = 2 << 20, per_part: int = 8_000_000) -> DataFrame:
     """Apply ``finish(batch, words, gone)`` to the documents, unit by unit, with the mask of the repeated words."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     units = kept_by(_pack(docs, text, unit_bytes), shuffle_partitions(spark), "unit")
     total = int(units.agg(F.coalesce(F.sum("words"), F.lit(0))).first()[0])
     parts = max(shuffle_partitions(spark), -(-total // per_part))

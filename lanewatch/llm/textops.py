@@ -184,6 +184,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = 8 << 20):
         hi = min(hi, n)
         yield batch.slice(lo, hi - lo)
         lo = hi
+    pa.default_memory_pool().release_unused()      # workers are reused: give back what this batch took
 
 
 def offsets_of(col: pa.Array) -> np.ndarray:
