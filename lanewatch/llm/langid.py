@@ -12,9 +12,16 @@ best in exp(-loss), and a small lead over the runner-up flags ambiguity.
 Counts are summed per language in tasks (``buckets`` numbers a language) and the
 model is of bounded size, languages x buckets, whatever the corpus.
 
-Defined results: a null text or one without a letter is ``und`` with score 0;
-a null lang is never learned; with no training document all are ``und``; with
-one language, every text with letters gets it with score 1.
+The pipeline's stage keeps a text whose loss to the nearest codeword is not above
+a level: the largest loss among the training documents of about its length
+(n-grams, by powers of two) or longer, plus a quarter of what that lacks to the
+loss of a text without evidence (ln 2). So every document learned from stays, and
+a text that no language explains as well as the worst of them goes.
+
+Defined results: a null text or one without a letter is ``und`` with score 0 and
+rejected; a null lang is never learned; with no training document all are ``und``;
+with one language, every text with letters gets it with score 1. With fewer than
+two languages nothing can be told apart, and every text with a letter is kept.
 """
 
 from __future__ import annotations
@@ -140,35 +147,87 @@ class Model:
                        + np.max(np.where(sign < 0, centres, -np.inf), axis=0, initial=-np.inf)) / 2
         self.trust = self.gap / self.gap.sum() if self.code.shape[1] else self.gap
 
+    def lettered(self, col: pa.Array) -> np.ndarray:
+        return np.array([t is not None and LETTER.search(t) is not None for t in col.to_pylist()], dtype=bool)
+
+    def losses(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Loss of every text to every codeword (two languages at least), and its number of n-grams."""
+        n = len(col)
+        grams, owner = ngram_buckets(col, self.buckets)
+        per = np.bincount(owner, minlength=n)
+        margin = np.stack([np.bincount(owner, weights=w[grams], minlength=n) for w in np.ascontiguousarray(self.weights.T)], axis=1)
+        margin = (margin / np.maximum(per, 1)[:, None] - self.middle) / (self.gap / 2)
+        sign = 2.0 * self.code - 1
+        return np.stack([(self.trust * np.logaddexp(0, -4 * margin * s)).sum(axis=1) for s in sign], axis=1), per
+
     def predict(self, col: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Language, score and lead over the runner-up of every text."""
         n = len(col)
-        some = [t is not None and LETTER.search(t) is not None for t in col.to_pylist()]
+        ok = self.lettered(col)
+        some = ok.tolist()
         if not self.langs:
             return [UND] * n, np.zeros(n), np.zeros(n)
         if len(self.langs) == 1:
-            one = np.array(some, dtype=float)
+            one = ok.astype(float)
             return [self.langs[0] if s else UND for s in some], one, one
-        grams, owner = ngram_buckets(col, self.buckets)
-        per = np.bincount(owner, minlength=n)
-        margin = np.stack([np.bincount(owner, weights=w[grams], minlength=n) for w in np.ascontiguousarray(self.weights.T)], axis=1)
-        margin = (margin / np.maximum(per, 1)[:, None] - self.middle) / (self.gap / 2)
-        sign = 2.0 * self.code - 1
-        loss = np.stack([(self.trust * np.logaddexp(0, -4 * margin * s)).sum(axis=1) for s in sign], axis=1)
+        loss, _ = self.losses(col)
         share = np.exp(-4 * (loss - loss.min(axis=1, keepdims=True)))
         share /= share.sum(axis=1, keepdims=True)
         top = np.sort(share, axis=1)
         best = loss.argmin(axis=1)
-        ok = np.array(some, dtype=bool)
         return ([self.langs[b] if s else UND for b, s in zip(best.tolist(), some, strict=True)],
                 np.where(ok, top[:, -1], 0.0), np.where(ok, top[:, -1] - top[:, -2], 0.0))
 
 
+def training(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+    """(text, lang) of all documents with both that are not held out."""
+    return docs.filter(~F.coalesce(held_out(doc_id), F.lit(False)) & F.col(lang).isNotNull() & F.col(text).isNotNull()) \
+        .select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
+
+
 def fit(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", buckets: int = 1 << 15) -> Model:
     """Learn from the text and non-null lang of all documents that are not held out."""
-    train = docs.filter(~F.coalesce(held_out(doc_id), F.lit(False)) & F.col(lang).isNotNull() & F.col(text).isNotNull()) \
-        .select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
-    return Model(_counts(train, buckets), buckets)
+    return Model(_counts(training(docs, doc_id, text, lang), buckets), buckets)
+
+
+def _length_class(ngrams: np.ndarray) -> np.ndarray:
+    return np.log2(np.maximum(ngrams, 1)).astype(np.int64)
+
+
+def reject_levels(train: DataFrame, model: Model) -> np.ndarray:
+    """Per length class the largest loss to the nearest codeword that is still kept; empty: nothing was measured."""
+    if len(model.langs) < 2:
+        return np.zeros(0)
+    shared = train.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        most = np.full(64, -1.0)
+        for whole in batches:
+            for batch in textops.slices(whole, "text", 1 << 20):
+                col = batch.column("text")
+                loss, per = shared.value.losses(col)
+                some = shared.value.lettered(col)
+                np.maximum.at(most, _length_class(per)[some], loss.min(axis=1)[some])
+        at = np.flatnonzero(most >= 0)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(most[at], pa.float64())], ["c", "loss"])
+
+    found = train.select("text").mapInArrow(run, "c long, loss double").groupBy("c").agg(F.max("loss").alias("loss")).collect()
+    if not found:
+        return np.zeros(0)
+    most = np.zeros(1 + max(r["c"] for r in found))
+    for r in found:
+        most[r["c"]] = r["loss"]
+    most = np.maximum.accumulate(most[::-1])[::-1]       # a shorter text may lie as far off as a longer one
+    return most + np.maximum(np.log(2) - most, 0) / 4 + 1e-9
+
+
+def accepted(model: Model, levels: np.ndarray, col: pa.Array) -> np.ndarray:
+    """Mask of the texts with a letter whose decoding is within the level of their length."""
+    some = model.lettered(col)
+    if not len(levels) or not some.any():
+        return some
+    loss, per = model.losses(col)
+    return some & (loss.min(axis=1) <= levels[np.minimum(_length_class(per), len(levels) - 1)])
 
 
 def identify(docs: DataFrame, model: Model, *, text: str = "text", lead: float = 0.1) -> DataFrame:
@@ -189,16 +248,18 @@ def identify(docs: DataFrame, model: Model, *, text: str = "text", lead: float =
     return docs.mapInArrow(run, schema)
 
 
-def keep_identified(docs: DataFrame, *, text: str = "text", **options) -> DataFrame:
-    """The documents, all columns, whose text has a language; rejected are those without a letter."""
+def keep_identified(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
+                    buckets: int = 1 << 15) -> DataFrame:
+    """The documents, all columns, whose text has a letter and decodes within the level of the training documents."""
     bounded_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, text=text, **options))
+    train = training(docs, doc_id, text, lang)
+    model = Model(_counts(train, buckets), buckets)
+    shared = docs.sparkSession.sparkContext.broadcast((model, reject_levels(train, model)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in textops.slices(whole, text, 1 << 20):
-                lang, _, _ = shared.value.predict(batch.column(text))
-                yield batch.filter(pa.array([x != UND for x in lang], pa.bool_()))
+                yield batch.filter(pa.array(accepted(*shared.value, batch.column(text)), pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 
