@@ -1,19 +1,27 @@
 """Document fingerprints from closed syncmers, in DataFrame functions only.
 
-A text's words (runs outside white space, letters lower-cased) are hashed. Every
-run of ``k`` words is a k-mer, every run of ``s`` words inside it an s-mer; the
-k-mer is kept as an anchor if its least s-mer is the first or the last one. The
-choice looks at nothing outside the k-mer, so a shared passage gives the same
-anchors wherever it stands. The fingerprint is the ``size`` least distinct anchor
-hashes; likeness is the Jaccard estimate on them (1 for equal, 0 for unrelated).
+A text's symbols are its words (runs outside white space, letters lower-cased), or
+its characters (white space as one blank) if it has fewer than k words or more than
+32 characters a word. Every run of ``k`` symbols is a k-mer, every run of ``s``
+symbols inside it an s-mer; the k-mer is kept as an anchor if its least s-mer is
+the first or the last one. The choice looks at nothing outside the k-mer, so a
+shared passage gives the same anchors wherever it stands. All anchors are returned
+with their positions (number of the k-mer's first symbol, from 0).
+
+Two texts are matched by anchor hash and offset: equal hashes are paired one to one
+in order of position, pairs with one difference of positions and holes of at most
+``gap`` symbols are one shared passage. Sorting makes this linear but for the
+logarithm, however often a hash repeats. A digest goes with it: the fingerprint is
+the ``size`` least distinct anchor hashes, likeness the Jaccard estimate on them (1
+for equal, 0 for unrelated).
 
 The next document (descending id) is found without a global sort in one task:
 rows are dealt to id ranges, the first row of each range is copied to the range
 before it, and ``lead`` runs inside ranges.
 
 Defined results: null counts as empty; a text without words has the fingerprint
-'' (two of them are alike: 1); a text of fewer than k words has one anchor, its
-whole word sequence; equal ids are ordered by text hash; a single document is
+'' (two of them are alike: 1); a text of fewer than k words and k
+characters has one anchor, its whole sequence; equal ids are ordered by text hash; a single document is
 its own next one.
 """
 
@@ -27,24 +35,85 @@ from lanewatch.llm.common import read, register
 WHITE = r"[\x20\x09-\x0D]+"
 
 
-def anchors(text: Column, k: int = 4, s: int = 2, size: int = 64) -> Column:
-    """The ``size`` least closed-syncmer hashes (48 bits) of a text, ascending."""
+def positioned(text: Column, k: int = 4, s: int = 2) -> Column:
+    """All closed syncmers of a text in their order: structs of ``hash`` (48 bits) and ``pos``."""
     words = F.filter(F.split(F.lower(text), WHITE), lambda w: w != "")
-    hashed = F.transform(words, lambda w: F.xxhash64(w))
-    # s-mer hashes: xxhash64 of s neighbouring word hashes
+    def symbols(w: Column) -> Column:
+        line = F.array_join(w, " ")
+        return F.when((F.size(w) < k) | (F.char_length(line) > F.size(w) * 32), F.filter(F.split(line, ""), lambda c: c != "")) \
+            .otherwise(w)
+    hashed = F.transform(_let(words, symbols), lambda w: F.xxhash64(w))
+    # s-mer hashes: xxhash64 of s neighbouring symbol hashes
     def smers(h: Column) -> Column:
         parts = [F.slice(h, j + 1, F.greatest(F.size(h) - s + 1, F.lit(0))) for j in range(s)]
         return F.transform(F.arrays_zip(*parts), lambda z: F.xxhash64(*[z[str(j)] for j in range(s)]))
     inner = k - s + 1
+    def anchor(h: Column, pos: Column) -> Column:
+        return F.struct(F.shiftrightunsigned(h, 16).alias("hash"), pos.cast("int").alias("pos"))
     def kmers(m: Column, n: Column) -> Column:
         runs = [F.slice(m, j + 1, F.greatest(n - k + 1, F.lit(0))) for j in range(inner)]
-        zipped = F.arrays_zip(*runs)
-        edge = F.filter(zipped, lambda z: F.least(z["0"], z[str(inner - 1)]) <= F.least(*[z[str(j)] for j in range(inner)]))
+        def edge(z: Column) -> Column:
+            return F.least(z["0"], z[str(inner - 1)]) <= F.least(*[z[str(j)] for j in range(inner)])
         # a k-mer is known by its s-mers
-        return F.transform(edge, lambda z: F.shiftrightunsigned(F.xxhash64(*[z[str(j)] for j in range(0, inner)]), 16))
-    return _let(hashed, lambda h: F.when(F.size(h) == 0, F.array().cast("array<bigint>"))
-                .when(F.size(h) < k, F.array(F.shiftrightunsigned(F.xxhash64(h), 16)))
-                .otherwise(F.slice(F.array_sort(F.array_distinct(_let(smers(h), lambda m: kmers(m, F.size(h))))), 1, size)))
+        return F.filter(F.transform(F.arrays_zip(*runs), lambda z, i: F.when(
+            edge(z), anchor(F.xxhash64(*[z[str(j)] for j in range(0, inner)]), i))), lambda x: x.isNotNull())
+    return _let(hashed, lambda h: F.when(F.size(h) == 0, F.array().cast("array<struct<hash:bigint,pos:int>>"))
+                .when(F.size(h) < k, F.array(anchor(F.xxhash64(h), F.lit(0))))
+                .otherwise(_let(smers(h), lambda m: kmers(m, F.size(h)))))
+
+
+def sketch(found: Column, size: int = 64) -> Column:
+    """The ``size`` least distinct hashes of positioned anchors, ascending."""
+    return F.slice(F.array_sort(F.array_distinct(found["hash"])), 1, size)
+
+
+def anchors(text: Column, k: int = 4, s: int = 2, size: int = 64) -> Column:
+    """The ``size`` least closed-syncmer hashes (48 bits) of a text, ascending."""
+    return _let(positioned(text, k, s), lambda a: sketch(a, size))
+
+
+def passages(a: Column, b: Column, k: int = 4, gap: int = 16) -> Column:
+    """Shared passages of two texts by their positioned anchors: structs of ``pos`` in a, ``other`` in b, ``length``
+    (symbols in a) and ``anchors`` matched, by offset and position."""
+    kind = "array<struct<pos:int,other:int,length:int,anchors:int>>"
+
+    def starts(rows: Column, first) -> Column:
+        """1-based places at which ``first`` (of a row and the one before) says that something begins."""
+        return F.filter(F.when(F.size(rows) > 0, F.sequence(F.lit(1), F.size(rows))).otherwise(F.array().cast("array<int>")),
+                        lambda i: F.when(i == 1, F.lit(True)).otherwise(first(F.get(rows, i - 1), F.get(rows, i - 2))))
+
+    def ends(at: Column, j: Column, rows: Column) -> Column:
+        return F.coalesce(F.get(at, j + 1), F.size(rows) + 1)
+
+    def pairs(rows: Column, at: Column) -> Column:
+        """(off, pos) of equal hashes, the t-th of a with the t-th of b: a run of a's rows followed by b's of that hash."""
+        def pair(i: Column, j: Column) -> Column:
+            mid = F.get(at, j + 1)
+            here, there = F.get(rows, i - 1), F.get(rows, mid - 1)
+            n = F.least(mid - i, ends(at, j + 1, rows) - mid)
+            return F.when((here["side"] == 0) & (there["side"] == 1) & (here["hash"] == there["hash"]), F.transform(
+                F.sequence(F.lit(0), n - 1), lambda t: F.struct(
+                    (F.get(rows, mid - 1 + t)["pos"] - F.get(rows, i - 1 + t)["pos"]).alias("off"),
+                    F.get(rows, i - 1 + t)["pos"].alias("pos"))))
+        return F.array_sort(F.flatten(F.filter(F.transform(at, pair), lambda x: x.isNotNull())))
+
+    def joined(m: Column) -> Column:
+        at = starts(m, lambda x, y: (x["off"] != y["off"]) | (x["pos"] - y["pos"] > gap + k))
+        def passage(i: Column, j: Column, all_: Column) -> Column:
+            head, last = F.get(m, i - 1), ends(all_, j, m) - 1
+            return F.struct(head["pos"].alias("pos"), (head["pos"] + head["off"]).alias("other"),
+                            (F.get(m, last - 1)["pos"] - head["pos"] + k).alias("length"), (last - i + 1).alias("anchors"))
+        return _let(at, lambda all_: F.transform(all_, lambda i, j: passage(i, j, all_)))
+
+    def side(x: Column, n: int) -> Column:
+        return F.transform(x, lambda r: F.struct(r["hash"].alias("hash"), F.lit(n).alias("side"), r["pos"].alias("pos")))
+
+    def of(rows: Column) -> Column:
+        return _let(starts(rows, lambda x, y: (x["hash"] != y["hash"]) | (x["side"] != y["side"])),
+                    lambda at: _let(pairs(rows, at), joined))
+
+    return F.when(F.arrays_overlap(a["hash"], b["hash"]), _let(F.array_sort(F.concat(side(a, 0), side(b, 1))), of)) \
+        .otherwise(F.array()).cast(kind)
 
 
 def _let(value: Column, body) -> Column:
@@ -113,21 +182,24 @@ def with_next(docs: DataFrame, columns: list[str], order: list[str], rows_per_ra
 
 def fingerprints(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", k: int = 4, s: int = 2,
                  size: int = 64) -> DataFrame:
-    """Fingerprints of every document and of its edited text, and their likeness."""
+    """Fingerprints of every document and of its edited text, their likeness, all anchors with positions, and the
+    passages shared with the edited text and the next document."""
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    own = slim.select("doc_id", "text", F.xxhash64("text").alias("h"), anchors(F.col("text"), k, s, size).alias("fp"))
-    paired = with_next(own, ["text", "fp"], ["doc_id", "h"])
+    paired = with_next(slim.withColumn("h", F.xxhash64("text")), ["text"], ["doc_id", "h"])
     n = F.char_length("text")
     half = F.floor(n / 2).cast("int")
     edited = paired.select(
-        "doc_id", n.cast("long").alias("n_chars"), "fp", F.col("next_fp").alias("nfp"),
+        "doc_id", n.cast("long").alias("n_chars"), "text", "next_text",
         F.concat(F.substring("text", F.lit(1), n - half), F.substring("next_text", F.lit(1), half)).alias("edited"))
-    done = edited.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-                         "fp", "nfp", anchors(F.col("edited"), k, s, size).alias("efp"))
-    return done.select("doc_id", "n_chars", "edited_sha256", as_text(F.col("fp")).alias("fingerprint"),
+    found = edited.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+                          *[positioned(F.col(c), k, s).alias(a) for c, a in (("text", "a"), ("edited", "e"), ("next_text", "x"))])
+    done = found.select("*", *[sketch(F.col(a), size).alias(f"{a}fp") for a in "aex"])
+    return done.select("doc_id", "n_chars", "edited_sha256", as_text(F.col("afp")).alias("fingerprint"),
                        as_text(F.col("efp")).alias("edited_fingerprint"),
-                       likeness(F.col("fp"), F.col("efp"), size).alias("near_edited"),
-                       likeness(F.col("fp"), F.col("nfp"), size).alias("near_next"))
+                       likeness(F.col("afp"), F.col("efp"), size).alias("near_edited"),
+                       likeness(F.col("afp"), F.col("xfp"), size).alias("near_next"), F.col("a").alias("anchors"),
+                       passages(F.col("a"), F.col("e"), k).alias("edited_passages"),
+                       passages(F.col("a"), F.col("x"), k).alias("next_passages"))
 
 
 @register("op7_document_fingerprints")

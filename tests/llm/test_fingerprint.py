@@ -4,7 +4,7 @@ import hashlib
 
 from pyspark.sql import functions as F
 
-from lanewatch.llm.fingerprint import anchors, fingerprints, with_next
+from lanewatch.llm.fingerprint import anchors, fingerprints, passages, positioned, with_next
 from tests.llm.cases import SCHEMA, clashing, corpus, frame, words
 
 import random
@@ -76,3 +76,46 @@ def test_empty(spark):
     assert fingerprints(spark.createDataFrame([], SCHEMA)).count() == 0
     one = fingerprints(frame(spark, [(7, None, None, None, None)])).collect()[0]
     assert (one.n_chars, one.fingerprint, one.edited_fingerprint, one.near_edited, one.near_next) == (0, "", "", 1.0, 1.0)
+
+
+def test_passage_of_long_texts_is_found_by_position(spark):
+    """A passage of 300 words in two texts of 20,000; the sketch of 64 values does not see it."""
+    rng = random.Random(8)
+    shared = words(rng, 300, 10**6)
+    texts = [words(rng, a, 10**6) + shared + words(rng, 20_000 - a, 10**6) for a in (4_000, 15_000)]
+    df = frame(spark, [(i, " ".join(t), None, None, 1) for i, t in enumerate(texts)])
+    got = {r.doc_id: r for r in fingerprints(df).collect()}
+    assert len(got[0].anchors) > 9_000 and [x.pos for x in got[0].anchors] == sorted(x.pos for x in got[0].anchors)
+    best = max(got[0].next_passages, key=lambda x: x.anchors)
+    assert 4_000 <= best.pos <= 4_002 and best.other == best.pos + 11_000 and 296 <= best.length <= 300
+    half = max(got[0].edited_passages, key=lambda x: x.anchors)
+    assert half.pos == half.other < 3 and half.length > 9_000
+
+
+def test_passages_match_plain_python(spark):
+    rng = random.Random(9)
+    texts = ["", "a", "tie " * 50, "tie " * 30] + [" ".join(words(rng, n, v)) for n, v in ((40, 3), (60, 3), (300, 12), (200, 12))]
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate((a, b) for a in texts for b in texts)], "i int, a string, b string")
+    df = df.select("i", positioned(F.col("a")).alias("a"), positioned(F.col("b")).alias("b"))
+    for r in df.select("*", passages(F.col("a"), F.col("b")).alias("p")).collect():
+        at = {}
+        for n, side in enumerate((r.a, r.b)):
+            for x in side:
+                at.setdefault(x.hash, ([], []))[n].append(x.pos)
+        pairs = sorted((y - x, x) for xs, ys in at.values() for x, y in zip(xs, ys))
+        want = []
+        for off, pos in pairs:
+            if want and want[-1][0] == off and pos - want[-1][2] <= 20:
+                want[-1][2:] = [pos, want[-1][3] + 1]
+            else:
+                want.append([off, pos, pos, 1])
+        assert [tuple(x) for x in r.p] == [(p, p + off, last - p + 4, n) for off, p, last, n in want]
+
+
+def test_characters_where_there_are_no_words(spark):
+    rng = random.Random(10)
+    base = "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(400))
+    other = base[:200] + "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(200))
+    rows = {r.doc_id: r for r in fingerprints(frame(spark, [(2, base, None, None, 1), (1, other, None, None, 1)])).collect()}
+    assert len(rows[2].anchors) > 100 and 0.15 < rows[2].near_next < 0.6
+    assert max(x.length for x in rows[2].next_passages) > 190
