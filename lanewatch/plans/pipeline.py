@@ -66,7 +66,8 @@ def score_entities(baseline: DataFrame, detectors=("IF", "LOF", "Z", "AE"), key:
                 scores = scores.join(s_if.select(key, "if_normal"), on=key)
         if "LOF" in detectors:
             lof = keep(LOF.local_outlier_factor(scaled, feats, key=key, k=K.N_NEIGHBORS))
-            scores = scores.join(EN.minmax(lof, {"score_lof": "lof"}).select(key, "score_lof"), on=key)
+            # a single entity has no neighbours: it keeps its row and counts 0
+            scores = scores.join(EN.minmax(lof, {"score_lof": "lof"}).select(key, "score_lof"), on=key, how="left")
             active.append("LOF")
         if "AE" in detectors:
             ae = AE.autoencoder_scores(scaled.join(scores.select(key, "if_normal"), on=key), feats, key=key,
@@ -90,6 +91,11 @@ def risk_pipeline(alarms: DataFrame, travellers: DataFrame, detectors=("IF", "LO
                   key: str = "ROTTA", checkpoint: bool = False, seed: int = K.RANDOM_STATE,
                   ae_epochs: int | None = None) -> PipelineResult:
     feats = materialise(FT.entity_features(alarms, travellers, key), checkpoint)
+    return risk_of_features(feats, detectors, key, checkpoint, seed, ae_epochs)
+
+
+def risk_of_features(feats: DataFrame, detectors=("IF", "LOF", "Z", "AE"), key: str = "ROTTA", checkpoint: bool = False,
+                     seed: int = K.RANDOM_STATE, ae_epochs: int | None = None) -> PipelineResult:
     base = B.robust_zscores(feats)
     base = B.label_by_quantiles(base, "baseline_score", "baseline_flag")
     scored, w = score_entities(base, detectors, key=key, seed=seed, ae_epochs=ae_epochs)
@@ -100,16 +106,18 @@ def risk_pipeline(alarms: DataFrame, travellers: DataFrame, detectors=("IF", "LO
 
 def perimeter_sweep(alarms: DataFrame, travellers: DataFrame, perimeters: list[dict],
                     key: str = "ROTTA") -> DataFrame:
-    """The robust-baseline pipeline recomputed inside each perimeter (statistics
-    are per perimeter, as for a single run); one row of tier counts per perimeter.
-    The perimeter list is a short parameter, so runs are issued one after another."""
+    """The whole four-detector pipeline recomputed inside each perimeter (statistics and
+    models are per perimeter, as for a single run); one row of tier counts per perimeter, zeros
+    for one without routes.  The perimeter list is a short parameter, so runs are issued one
+    after another."""
     from lanewatch.operators.cleaning import apply_perimeter
     out = None
     for i, p in enumerate(perimeters):
         a, t = apply_perimeter(alarms, p), apply_perimeter(travellers, p)
-        feats = FT.entity_features(a, t, key)
-        scored, _ = score_entities(B.robust_zscores(feats), detectors=("Z",), key=key)
-        risk = R.apply_rules(scored)
+        feats = materialise(FT.entity_features(a, t, key))
+        # nothing to fit without routes
+        risk = feats.select(F.lit(None).cast("string").alias("final_risk")) if feats.isEmpty() \
+            else risk_of_features(feats, key=key).risk
         row = risk.agg(F.lit(i).alias("perimeter_id"), F.lit(str(sorted(p.items()))).alias("perimeter"),
                        F.count(F.lit(1)).alias("n_routes"),
                        *[F.count_if(F.col("final_risk") == tt).alias(tt) for tt in K.RISK_TIERS])
