@@ -1,7 +1,9 @@
 """Reconstruction-error detector (dense autoencoder, ReLU).
 
-One training rule at every size: limited-memory BFGS on the full-batch loss.
-Every evaluation is one Spark job in which each partition sums loss and gradient
+One training rule at every size: limited-memory BFGS on the full-batch loss, to the
+tolerance or AE_MAX_EPOCHS steps; a fit that ends without reaching the tolerance
+warns.  Rows that fit in one task are trained on in that task, in one job.  With more,
+every evaluation is one Spark job in which each partition sums loss and gradient
 over its own rows (``mapInPandas``) and the sums are added up; the driver holds the
 parameters and a few past steps (some hundred doubles each).  The rows are
 persisted for the fit, so an evaluation reads them from the executors, and a lost
@@ -11,6 +13,7 @@ executor only recomputes its partitions.  Scoring broadcasts the weights.
 from __future__ import annotations
 
 import math
+import warnings
 
 import numpy as np
 import pandas as pd
@@ -74,8 +77,8 @@ def loss_and_gradient(X: np.ndarray, params) -> tuple[float, np.ndarray]:
     return loss, flatten(grads)
 
 
-def minimise(evaluate, x: np.ndarray, iterations: int, memory: int = 10, tol: float = 1e-7) -> np.ndarray:
-    """L-BFGS with backtracking; ``evaluate`` gives (loss, gradient)."""
+def minimise(evaluate, x: np.ndarray, iterations: int, memory: int = 10, tol: float = 1e-7) -> tuple[np.ndarray, bool]:
+    """L-BFGS with backtracking; ``evaluate`` gives (loss, gradient). The point and whether the tolerance was reached."""
     f, g = evaluate(x)
     steps: list[tuple[np.ndarray, np.ndarray]] = []
     for _ in range(iterations):
@@ -101,24 +104,47 @@ def minimise(evaluate, x: np.ndarray, iterations: int, memory: int = 10, tol: fl
                 break
             t /= 2
         else:
-            return x
+            if not steps:
+                return x, False     # no descent along the gradient either
+            steps = []
+            continue
         s, y = x2 - x, g2 - g
         if s @ y > 1e-12:
             steps = [*steps, (s, y)][-memory:]
         done = f - f2 <= tol * max(1.0, abs(f))
         x, f, g = x2, f2, g2
         if done:
-            break
-    return x
+            return x, True
+    return x, False
 
 
 def fit(train: DataFrame, features: list[str], key: str = "ROTTA", hidden=K.AE_HIDDEN,
-        epochs: int = 60, seed: int = K.RANDOM_STATE, alpha: float = 1e-4, rows_per_task: int = 50_000) -> np.ndarray:
+        epochs: int = K.AE_MAX_EPOCHS, seed: int = K.RANDOM_STATE, alpha: float = 1e-4, rows_per_task: int = 50_000) -> np.ndarray:
     """Trained parameter vector (broadcast-sized: a few hundred doubles) after at most ``epochs`` full-batch steps."""
     spark = train.sparkSession
     sizes = [len(features), *hidden, len(features)]
     weights = np.concatenate([np.r_[np.ones(a * b), np.zeros(b)] for a, b in zip(sizes[:-1], sizes[1:])])
-    data = train.select(*features).repartition(max(1, math.ceil(train.count() / rows_per_task))).persist()
+    start, tasks = flatten(init_params(sizes, seed)), max(1, math.ceil(train.count() / rows_per_task))
+
+    def objective(vec: np.ndarray, n: float, loss: float, grad: np.ndarray) -> tuple[float, np.ndarray]:
+        l2 = alpha * vec * weights / n
+        return loss / n + 0.5 * float(l2 @ vec), grad / n + l2
+
+    def trained(vec: np.ndarray, converged: bool) -> np.ndarray:
+        if not converged:
+            warnings.warn(f"autoencoder: tolerance not reached within {epochs} steps", RuntimeWarning, stacklevel=3)
+        return vec
+
+    if tasks == 1:
+        def whole(batches):
+            X = np.concatenate([np.zeros((0, len(features))), *[b.to_numpy(dtype=float) for b in batches]])
+            X = X[np.lexsort(X.T)]      # sums do not depend on the order of rows
+            vec, ok = minimise(lambda v: objective(v, max(len(X), 1.0), *loss_and_gradient(X, unflatten(v, sizes))), start, epochs)
+            yield pd.DataFrame({"i": np.arange(-1, len(vec)), "x": np.concatenate([[ok], vec])})
+
+        found = {r["i"]: r["x"] for r in train.select(*features).repartition(1).mapInPandas(whole, "i int, x double").collect()}
+        return trained(np.array([found[i] for i in range(len(start))]), found[-1] == 1)
+    data = train.select(*features).repartition(tasks).persist()
 
     def evaluate(vec: np.ndarray) -> tuple[float, np.ndarray]:
         bc = spark.sparkContext.broadcast(vec)
@@ -132,13 +158,10 @@ def fit(train: DataFrame, features: list[str], key: str = "ROTTA", hidden=K.AE_H
 
         sums = {r["i"]: r["x"] for r in data.mapInPandas(run, "i int, x double").groupBy("i").agg(F.sum("x").alias("x")).collect()}
         bc.unpersist()
-        n = max(sums[-2], 1.0)
-        grad = np.array([sums[i] for i in range(len(vec))])
-        l2 = alpha * vec * weights / n
-        return sums[-1] / n + 0.5 * float(l2 @ vec), grad / n + l2
+        return objective(vec, max(sums[-2], 1.0), sums[-1], np.array([sums[i] for i in range(len(vec))]))
 
     try:
-        return minimise(evaluate, flatten(init_params(sizes, seed)), epochs)
+        return trained(*minimise(evaluate, start, epochs))
     finally:
         data.unpersist()
 
@@ -166,7 +189,7 @@ def autoencoder_scores(scaled: DataFrame, features: list[str], key: str = "ROTTA
     normal = scaled.filter(F.col(normal_col))
     if normal.count() < min_samples:
         return None
-    vec = fit(normal, features, key=key, epochs=epochs or 60, seed=seed)
+    vec = fit(normal, features, key=key, epochs=epochs or K.AE_MAX_EPOCHS, seed=seed)
     from lanewatch.session import keep
     err = keep(score(scaled, features, vec, key=key))  # read by the min/max and the projection
     return minmax(err, {"score_ae": "ae_error"}).select(key, "score_ae")

@@ -131,3 +131,23 @@ def test_average_rank_keeps_rows_without_a_score(spark):
     df = spark.createDataFrame([("a", 3.0), ("b", None), ("c", 3.0), ("d", 1.0)], "k string, s double")
     got = {r.k: r.rank for r in average_rank(df, "s", "k", "rank").collect()}
     assert got == {"a": 1.5, "c": 1.5, "d": 3.0, "b": 4.0}
+
+
+def test_autoencoder_default_runs_to_the_tolerance(cloud):
+    """The default ends by the tolerance, not at a step count; a shorter fit says that it did not converge."""
+    import warnings
+    df, _ = cloud
+    with warnings.catch_warnings():
+        warnings.simplefilter("error", RuntimeWarning)
+        full = AE.fit(df, FEATS)
+    with pytest.warns(RuntimeWarning, match="tolerance not reached"):
+        short = AE.fit(df, FEATS, epochs=5)
+    X, sizes = df.select(*FEATS).toPandas().to_numpy(), [3, *AE.K.AE_HIDDEN, 3]
+    a, b = (AE.loss_and_gradient(X, AE.unflatten(v, sizes))[0] for v in (full, short))
+    assert a < b
+
+
+def test_autoencoder_in_one_task_equals_many(cloud):
+    df, _ = cloud
+    one, many = AE.fit(df, FEATS, epochs=10), AE.fit(df, FEATS, epochs=10, rows_per_task=80)
+    assert one == pytest.approx(many, rel=1e-4, abs=1e-6)
