@@ -21,7 +21,7 @@ from lanewatch import constants as K
 from lanewatch.functions.columns import md5_uniform, sum_cols
 from lanewatch.operators import rules as R
 from lanewatch.operators.detectors import ensemble as EN
-from lanewatch.operators.ranks import average_rank_by, dense_position_by
+from lanewatch.operators.ranks import average_rank_by, dense_position, dense_position_by
 
 DETS = ["IF", "LOF", "Z", "AE"]
 
@@ -405,11 +405,12 @@ def topset_turnover(scaled: DataFrame, forest: DataFrame, features, key: str = "
     feats = list(features)
     n = scaled.count()
     top_n = max(1, int(top_frac * n))
-    base_top = IF.score(scaled, forest, feats, key=key).orderBy(F.desc("if_score"), F.asc(key)).limit(top_n).select(key)
+    ranked = dense_position(IF.score(scaled, forest, feats, key=key), [F.desc("if_score"), F.asc(key)], "_r")
+    base_top = ranked.filter(F.col("_r") <= top_n).select(key)
     p = permuted_scenarios(scaled, feats, key, n_perms, seed)
     s = IF.score(p, forest, feats, key=key, keep=["sid", "feature"])
     top = dense_position_by(s, "sid", [F.desc("if_score"), F.asc(key)], "_r").filter(F.col("_r") <= top_n)
-    kept = top.join(F.broadcast(base_top.withColumn("_b", F.lit(1))), on=key, how="left")
+    kept = top.join(base_top.withColumn("_b", F.lit(1)), on=key, how="left")
     per = kept.groupBy("sid", "feature").agg((1.0 - F.count("_b") / F.lit(float(top_n))).alias("turnover"))
     return per.groupBy("feature").agg(F.avg("turnover").alias("importance"))
 

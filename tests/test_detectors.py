@@ -151,3 +151,17 @@ def test_autoencoder_in_one_task_equals_many(cloud):
     df, _ = cloud
     one, many = AE.fit(df, FEATS, epochs=10), AE.fit(df, FEATS, epochs=10, rows_per_task=80)
     assert one == pytest.approx(many, rel=1e-4, abs=1e-6)
+
+
+def test_topset_turnover_ranks_without_a_limit(cloud):
+    df, _ = cloud
+    nodes = IF.fit(df, FEATS, n_trees=20, max_samples=64, seed=1)
+    out = ST.topset_turnover(df, nodes, FEATS, n_perms=2)
+    assert "Limit" not in out._jdf.queryExecution().optimizedPlan().toString()
+    def top(rows):
+        return {r.ROTTA for r in sorted(rows, key=lambda r: (-r.if_score, r.ROTTA))[:20]}
+    base = top(IF.score(df, nodes, FEATS).collect())
+    rows = IF.score(ST.permuted_scenarios(df, FEATS, "ROTTA", 2, 42), nodes, FEATS, keep=["sid", "feature"]).collect()
+    want = {f: np.mean([1 - len(top([r for r in rows if r.sid == s]) & base) / 20
+                        for s in {r.sid for r in rows if r.feature == f}]) for f in FEATS}
+    assert {r.feature: r.importance for r in out.collect()} == pytest.approx(want)
