@@ -6,6 +6,7 @@ from lanewatch.llm import (  # noqa: F401  (each fills the registry)
     langid,
     neardup,
     packing,
+    repair,
     sharding,
     tokencount,
     urlfilter,
