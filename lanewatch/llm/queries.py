@@ -3,9 +3,11 @@
 from lanewatch.llm import (  # noqa: F401  (each fills the registry)
     decontam,
     fingerprint,
+    hardneg,
     langid,
     neardup,
     packing,
+    prefixbpe,
     repair,
     sharding,
     tokencount,
