@@ -303,7 +303,7 @@ def mine(rows: DataFrame, *, positives: int = 5, negatives: int = 3, low: int =
     table = kept(vectors(rows, **columns))
     n = table.count()
     parts = max(1, min(-(-n // 1000), max(spark.sparkContext.defaultParallelism, -(-n // block_rows))))
-    table = kept(table.repartition(parts, "rid"))
+    table = kept(table.repartition(parts))
     anchors = table.filter(F.col("id") % anchor_every == 0)
     grown = kept(trees(anchors, tree))
     sizes = grown.select("label", F.col("n"), F.xxhash64("rids").alias("t"))
