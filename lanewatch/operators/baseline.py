@@ -1,9 +1,10 @@
 """Statistical baseline over an entity feature table.
 
-All global statistics are computed by one aggregation each and consumed as a
-struct-valued scalar subquery (one job, value inlined), so no cross join and
-no driver loop over features.  ``exact=False`` swaps ``percentile`` for
-``approx_percentile`` (bounded memory for very many entities).
+Means and deviations come from one aggregation, quantiles from
+``quantiles.quantiles`` (exact, by counting in ranges: no column's values meet
+in one task); both are a handful of numbers that are inlined as literals, so
+no cross join and no driver loop over features.  ``exact=False`` takes the
+quantiles from one pass of a sketch.
 """
 
 from __future__ import annotations
@@ -13,10 +14,11 @@ from pyspark.sql import functions as F
 
 from lanewatch import constants as K
 from lanewatch.functions.columns import sum_cols
+from lanewatch.operators.quantiles import quantiles
 
 
-def _pct(c: Column, p, exact: bool = True) -> Column:
-    return F.percentile(c, p) if exact else F.percentile_approx(c, p, 10000)
+def _number(v) -> Column:
+    return F.lit(v) if v is not None else F.lit(None).cast("double")
 
 
 def one_row(df: DataFrame) -> dict:
@@ -27,7 +29,7 @@ def one_row(df: DataFrame) -> dict:
     the whole input plan into every expression that reads it).
     """
     row = df.first()
-    return {k: (F.lit(v) if v is not None else F.lit(None).cast("double")) for k, v in row.asDict(True).items()}
+    return {k: _number(v) for k, v in row.asDict(True).items()}
 
 
 def _x(c: str) -> Column:
@@ -45,16 +47,13 @@ def feature_stats(df: DataFrame, features=None, exact: bool = True) -> DataFrame
     """B1: one row per feature: mean, std, median, quartiles, IQR, p95, p99,
     Tukey bounds (p95 upper / no lower bound when IQR = 0), z bound, sparse flag."""
     feats, _ = available_features(df, features)
-    aggs = []
-    for i, c in enumerate(feats):
-        x = F.col(c).cast("double")
-        aggs += [F.avg(x).alias(f"mean_{i}"), F.stddev_samp(x).alias(f"std_{i}"),
-                 _pct(x, [0.25, 0.5, 0.75, 0.95, 0.99], exact).alias(f"p_{i}")]
-    wide = df.agg(*aggs)
+    x = {c: F.col(c).cast("double") for c in feats}
+    wide = df.agg(*[e for i, c in enumerate(feats) for e in (
+        F.avg(x[c]).alias(f"mean_{i}"), F.stddev_samp(x[c]).alias(f"std_{i}"))])
+    found = quantiles(df, x, [0.25, 0.5, 0.75, 0.95, 0.99], exact=exact)
     rows = []
     for i, c in enumerate(feats):
-        p = F.col(f"p_{i}")
-        q1, med, q3, p95, p99 = p[0], p[1], p[2], p[3], p[4]
+        q1, med, q3, p95, p99 = [_number(v).cast("double") for v in found[c]]
         iqr = q3 - q1
         rows.append(F.struct(
             F.lit(c).alias("feature"), F.col(f"mean_{i}").alias("mean"), F.col(f"std_{i}").alias("std"),
@@ -76,13 +75,11 @@ def robust_zscores(df: DataFrame, features=None, prefix: str = "z_",
     when std = 0, 0.  Nulls in features count as 0.
     """
     feats, _ = available_features(df, features)
-    s1 = one_row(df.agg(*[e for i, c in enumerate(feats) for e in (
-        _pct(_x(c), 0.5, exact).alias(f"med_{i}"), F.stddev_samp(_x(c)).alias(f"std_{i}"))]))
-    s2 = one_row(df.agg(*[_pct(F.abs(_x(c) - s1[f"med_{i}"]), 0.5, exact).alias(f"mad_{i}")
-                          for i, c in enumerate(feats)]))
+    st = df.agg(F.count(F.lit(1)).alias("rows"), *[F.stddev_samp(_x(c)).alias(c) for c in feats]).first()
+    meds, mads = medians_and_mads(df, feats, st["rows"], exact)
     zs = []
-    for i, c in enumerate(feats):
-        med, std, mad = s1[f"med_{i}"], s1[f"std_{i}"], s2[f"mad_{i}"]
+    for c in feats:
+        med, std, mad = _number(meds[c]), _number(st[c]), _number(mads[c])
         d = _x(c) - med
         z = (F.when(mad > 0, d / (K.MAD_SCALE * mad))
               .when(std.isNull(), F.lit(None).cast("double"))
@@ -96,21 +93,25 @@ def robust_zscores(df: DataFrame, features=None, prefix: str = "z_",
     return out.withColumn(score_col, F.when(den > 0, num / den))
 
 
+def medians_and_mads(df: DataFrame, feats: list[str], rows: int, exact: bool = True) -> tuple[dict, dict]:
+    """Median and median absolute deviation of every feature (nulls as 0)."""
+    meds = {c: v[0] for c, v in quantiles(df, {c: _x(c) for c in feats}, [0.5], at_most=rows, exact=exact).items()}
+    off = {c: F.abs(_x(c) - _number(meds[c])) for c in feats}
+    return meds, {c: v[0] for c, v in quantiles(df, off, [0.5], at_most=rows, exact=exact).items()}
+
+
 def robust_stats(df: DataFrame, features=None, exact: bool = True) -> DataFrame:
     """Per feature mean, std, median, MAD and the scale used by the robust z."""
     feats, _ = available_features(df, features)
-    s1 = one_row(df.agg(*[_pct(_x(c), 0.5, exact).alias(f"med_{i}") for i, c in enumerate(feats)]))
-    aggs = []
-    for i, c in enumerate(feats):
-        aggs += [F.avg(_x(c)).alias(f"mean_{i}"), F.stddev_samp(_x(c)).alias(f"std_{i}"),
-                 _pct(F.abs(_x(c) - s1[f"med_{i}"]), 0.5, exact).alias(f"mad_{i}")]
-    wide = df.agg(*aggs)
+    meds, mads = medians_and_mads(df, feats, df.count(), exact)
+    wide = df.agg(*[e for i, c in enumerate(feats) for e in (
+        F.avg(_x(c)).alias(f"mean_{i}"), F.stddev_samp(_x(c)).alias(f"std_{i}"))])
     rows = []
     for i, c in enumerate(feats):
-        mad, std = F.col(f"mad_{i}"), F.col(f"std_{i}")
+        mad, std = _number(mads[c]).cast("double"), F.col(f"std_{i}")
         rows.append(F.struct(
             F.lit(c).alias("feature"), F.col(f"mean_{i}").alias("mean"), std.alias("std"),
-            s1[f"med_{i}"].alias("median"), mad.alias("mad"),
+            _number(meds[c]).cast("double").alias("median"), mad.alias("mad"),
             F.when(mad > 0, K.MAD_SCALE * mad).when(std > 0, std).otherwise(F.lit(0.0)).alias("scale")))
     return wide.select(F.inline(F.array(*rows)))
 
@@ -120,9 +121,7 @@ def label_by_quantiles(df: DataFrame, score_col: str, out_col: str,
                        floor_high: float | None = None, floor_medium: float | None = None,
                        exact: bool = True) -> DataFrame:
     """HIGH at or above the q_high quantile, MEDIUM at or above q_medium."""
-    t = one_row(df.agg(_pct(F.col(score_col), q_high, exact).alias("hi"),
-                       _pct(F.col(score_col), q_medium, exact).alias("med")))
-    hi, med = t["hi"], t["med"]
+    hi, med = [_number(v) for v in quantiles(df, {"s": score_col}, [q_high, q_medium], exact=exact)["s"]]
     if floor_high is not None:
         hi = F.greatest(hi, F.lit(floor_high))
     if floor_medium is not None:
@@ -135,15 +134,13 @@ def classic_baseline(df: DataFrame, features=None, exact: bool = True) -> DataFr
     """B2 + B6: classic z (std = 0 -> 1), hybrid Tukey-or-z flags, counts."""
     feats, _ = available_features(df, features)
     st = one_row(df.agg(*[e for i, c in enumerate(feats) for e in (
-        F.avg(F.col(c)).alias(f"mean_{i}"), F.stddev_samp(F.col(c)).alias(f"std_{i}"),
-        _pct(F.col(c).cast("double"), 0.25, exact).alias(f"q1_{i}"),
-        _pct(F.col(c).cast("double"), 0.75, exact).alias(f"q3_{i}"),
-        _pct(F.col(c).cast("double"), 0.95, exact).alias(f"p95_{i}"))]))
+        F.avg(F.col(c)).alias(f"mean_{i}"), F.stddev_samp(F.col(c)).alias(f"std_{i}"))]))
+    found = quantiles(df, {c: c for c in feats}, [0.25, 0.75, 0.95], exact=exact)
     cols, flags = [], []
     for i, c in enumerate(feats):
         std = F.when(st[f"std_{i}"] == 0, F.lit(1.0)).otherwise(st[f"std_{i}"])
         z = (F.col(c) - st[f"mean_{i}"]) / std
-        q1, q3, p95 = st[f"q1_{i}"], st[f"q3_{i}"], st[f"p95_{i}"]
+        q1, q3, p95 = [_number(v) for v in found[c]]
         upper = F.when(q3 - q1 > 0, q3 + 1.5 * (q3 - q1)).otherwise(p95)
         cols.append(z.alias("z_" + c))
         flags.append(((F.col(c) > upper) | (z > K.Z_FLAG)).cast("int").alias("flag_" + c))

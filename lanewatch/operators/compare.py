@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lanewatch.operators.quantiles import quantiles
 from lanewatch.operators.ranks import average_rank
+from lanewatch.session import keep
 
 
 def align(a: DataFrame, b: DataFrame, key: str, cols_a: dict, cols_b: dict) -> DataFrame:
@@ -47,8 +49,10 @@ def rank_deltas(aligned: DataFrame, key: str) -> DataFrame:
     """W2 + W3: average ranks (descending) of both runs; |delta| mean, median, max + argmax, within 50 / 100."""
     r = average_rank(aligned, "score_a", key, "rank_a").withColumn("rank_a", F.floor("rank_a"))
     r = average_rank(r, "score_b", key, "rank_b").withColumn("rank_b", F.floor("rank_b"))
+    r = keep(r.select(key, "rank_a", "rank_b"))
     d = F.abs(F.col("rank_a") - F.col("rank_b"))
-    return r.agg(F.avg(d).alias("mean_delta"), F.median(d).alias("median_delta"), F.max(d).alias("max_delta"),
+    middle = F.lit(quantiles(r, {"d": d}, [0.5])["d"][0]).cast("double")
+    return r.agg(F.avg(d).alias("mean_delta"), middle.alias("median_delta"), F.max(d).alias("max_delta"),
                  F.min_by(F.col(key), F.struct(-d, F.col(key))).alias("max_delta_entity"),
                  F.count_if(d <= 50).alias("within_50"), F.count_if(d <= 100).alias("within_100"))
 

@@ -1,14 +1,17 @@
-"""Isolation forest on Spark.
+"""Isolation forest on Spark, grown level by level in DataFrame operations.
 
-Training sample: each (row, tree) pair gets a hash-uniform u(key, tree, seed);
-a tree's sample is its ``psi`` rows with the smallest u.  Rows are pre-filtered
-with u < p (p ~ 3*psi/n) inside one projection, so only ~3*psi candidates per
-tree are shuffled; the choice does not depend on partitioning or row order.
+Training sample: every row has two md5 numbers a, b of (key, seed); its place in a tree's
+lottery is (a + tree * b) mod a prime. A tree's sample is its ``psi`` rows with the smallest
+places. Rows are pre-filtered with place < p (p ~ 3*psi/n) inside one projection, so only
+~3*psi candidates per tree are shuffled; the choice does not depend on partitioning.
 
-Training: ``groupBy(tree_id).applyInPandas`` grows one random isolation tree
-per group (NumPy, RNG seeded by (seed, tree_id)).  The forest has at most
-n_trees * (2*psi - 1) nodes — bounded by the parameters, never by the data —
-so it is broadcast for scoring, which is a vectorised ``mapInPandas`` pass.
+Training: one window per level over (tree, node) gives the count and every feature's least
+and largest value; an md5 draw of (tree, node, seed) picks one of the features that
+vary, another the threshold between its ends. Rows are dealt by tree once, all levels run on that
+partitioning, and every node has one row in the result (children of node i are 2 i + 1
+and 2 i + 2). All of it is SQL-expressible. The forest has at most n_trees * (2*psi - 1)
+nodes — bounded by the parameters, never by the data — so it is broadcast for
+scoring, which is a vectorised ``mapInPandas`` pass.
 
 Scores follow the usual definition s(x) = 2^(-E[h(x)] / c(psi)), where h is the
 leaf depth plus c(leaf size).  Not bit-identical to other implementations
@@ -21,23 +24,15 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lanewatch.operators.baseline import one_row
+from lanewatch.operators.quantiles import quantiles
 
 EULER = 0.5772156649015329
-
-NODE_SCHEMA = T.StructType([
-    T.StructField("tree_id", T.IntegerType()),
-    T.StructField("node", T.IntegerType()),
-    T.StructField("feature", T.IntegerType()),
-    T.StructField("threshold", T.DoubleType()),
-    T.StructField("left", T.IntegerType()),
-    T.StructField("right", T.IntegerType()),
-    T.StructField("leaf_value", T.DoubleType()),
-])
+#: lottery places are numbers below this prime
+PLACES = 4294967291
 
 
 def c_factor(n) -> np.ndarray:
@@ -50,87 +45,78 @@ def c_factor(n) -> np.ndarray:
     return out
 
 
-def grow_tree(X: np.ndarray, rng: np.random.Generator, max_depth: int):
-    """Random isolation tree as flat arrays (feature=-1 marks a leaf)."""
-    feat, thr, left, right, val = [], [], [], [], []
-
-    def new():
-        feat.append(-1); thr.append(0.0); left.append(-1); right.append(-1); val.append(0.0)
-        return len(feat) - 1
-
-    root = new()
-    stack = [(root, np.arange(len(X)), 0)]
-    while stack:
-        nid, idx, depth = stack.pop()
-        sub = X[idx]
-        if depth >= max_depth or len(idx) <= 1:
-            val[nid] = depth + float(c_factor([len(idx)])[0])
-            continue
-        lo, hi = sub.min(axis=0), sub.max(axis=0)
-        cand = np.flatnonzero(hi > lo)
-        if len(cand) == 0:
-            val[nid] = depth + float(c_factor([len(idx)])[0])
-            continue
-        f = int(cand[rng.integers(len(cand))])
-        t = float(rng.uniform(lo[f], hi[f]))
-        go_left = sub[:, f] < t
-        if go_left.all() or (~go_left).all():
-            val[nid] = depth + float(c_factor([len(idx)])[0])
-            continue
-        feat[nid], thr[nid] = f, t
-        lnode, rnode = new(), new()
-        left[nid], right[nid] = lnode, rnode
-        stack.append((lnode, idx[go_left], depth + 1))
-        stack.append((rnode, idx[~go_left], depth + 1))
-    return feat, thr, left, right, val
+def _md5_number(text: Column, at: int) -> Column:
+    """Eight hex digits of an md5 as a number."""
+    return F.conv(F.substring(F.md5(text), at, 8), 16, 10).cast("bigint")
+
+
+def samples(scaled: DataFrame, features: list[str], key: str, n_trees: int, max_samples: int, seed: int,
+            groups: list[str]) -> DataFrame:
+    """(group..., tree_id, key, x, psi): the rows that each tree is grown on."""
+    size = F.least(F.lit(max_samples), F.col("n")).cast("int")
+    if groups:      # every group has its own sample size and candidate share
+        sizes = scaled.groupBy(*groups).agg(F.count(F.lit(1)).alias("n")).select(*groups, size.alias("psi"), "n")
+        sized = scaled.join(sizes, groups)
+    else:
+        sized = scaled.withColumn("n", F.lit(scaled.count())).withColumn("psi", size)
+    text = F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed)), *[F.col(g).cast("string") for g in groups])
+    x = F.array(*[F.col(c).cast("double") for c in features])
+    drawn = sized.select(*groups, F.col(key), x.alias("x"), "psi", "n", text.alias("_t")).select(
+        *groups, key, "x", "psi", "n", _md5_number(F.col("_t"), 1).alias("a"), _md5_number(F.col("_t"), 9).alias("b"))
+    share = F.lit(3.0 * PLACES) * F.col("psi") / F.col("n")     # about 3 psi candidates a tree, the psi first are its sample
+    trees = F.transform(F.sequence(F.lit(0), F.lit(n_trees - 1)), lambda t: F.struct(
+        t.alias("tree_id"), F.pmod(F.col("a") + t * F.col("b"), F.lit(PLACES)).alias("place")))
+    candidates = drawn.select(*groups, key, "x", "psi", F.explode(F.filter(trees, lambda s: s["place"] < share)).alias("s"))
+    order = Window.partitionBy(*groups, "tree_id").orderBy("place", key)
+    # one shuffle by tree for this window and all levels; not coalesced, since the levels are work, not bytes
+    tasks = int(scaled.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (candidates.select(*groups, "s.tree_id", "s.place", key, "x", "psi").repartition(tasks, *groups, "tree_id")
+            .withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= F.col("psi")).drop("_n", "place"))
 
 
 def fit(scaled: DataFrame, features: list[str], key: str = "ROTTA", n_trees: int = 200,
         max_samples: int = 256, seed: int = 42, group_col: str | None = None) -> DataFrame:
-    """Node table of an isolation forest (one applyInPandas group per tree).
+    """Node table of an isolation forest.
 
     ``group_col`` (optional) trains one forest per value of that column — used
-    by refit studies, where the group is the resample iteration.
+    by refit studies and perimeter sweeps.
     """
     groups = [group_col] if group_col else []
-    size = F.least(F.lit(max_samples), F.col("n")).cast("int")
-    if group_col:      # every group has its own sample size and candidate share
-        sizes = scaled.groupBy(group_col).agg(F.count(F.lit(1)).alias("n")).select(group_col, size.alias("psi"), "n")
-        sized = scaled.join(sizes, group_col)
-    else:
-        sized = scaled.withColumn("n", F.lit(scaled.count())).withColumn("psi", size)
-    trees = F.sequence(F.lit(0), F.lit(n_trees - 1))
-
-    def u(t):
-        h = F.xxhash64(F.col(key), t, F.lit(seed), *[F.col(g) for g in groups])
-        return (F.abs(h % 1000000007) / F.lit(1000000007.0)).cast("double")
-
-    share = 3.0 * F.col("psi") / F.col("n")     # about 3 psi candidates a tree, the psi smallest are its sample
-    cand = sized.select(
-        *groups, F.col(key), *[F.col(c) for c in features], "psi",
-        F.explode(F.filter(F.transform(trees, lambda t: F.struct(t.alias("tree_id"), u(t).alias("u"))),
-                           lambda s: s["u"] < share)).alias("s"))
-    cand = cand.select(*groups, F.col("s.tree_id").alias("tree_id"), F.col("s.u").alias("u"), "psi", key, *features)
-    def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        psi = int(pdf["psi"].iloc[0])
-        max_depth = int(math.ceil(math.log2(max(psi, 2))))
-        pdf = pdf.sort_values(["u", key], kind="mergesort").head(psi)
-        tid = int(pdf["tree_id"].iloc[0])
-        g = int(pdf[group_col].iloc[0]) if group_col else 0
-        rng = np.random.default_rng([seed, g, tid])
-        X = pdf[features].to_numpy(dtype=float)
-        f, t, lft, rgt, v = grow_tree(X, rng, max_depth)
-        out = pd.DataFrame({"tree_id": tid, "node": np.arange(len(f), dtype=np.int32),
-                            "feature": np.asarray(f, dtype=np.int32), "threshold": np.asarray(t, dtype=float),
-                            "left": np.asarray(lft, dtype=np.int32), "right": np.asarray(rgt, dtype=np.int32),
-                            "leaf_value": np.asarray(v, dtype=float), "psi": psi, "n_sampled": len(X)})
-        if group_col:
-            out.insert(0, group_col, g)
-        return out
-
-    more = [T.StructField("psi", T.IntegerType()), T.StructField("n_sampled", T.IntegerType())]
-    schema = T.StructType([T.StructField(g, T.IntegerType()) for g in groups] + NODE_SCHEMA.fields + more)
-    return cand.groupBy(*groups, "tree_id").applyInPandas(build, schema)
+    tree = [*groups, "tree_id"]
+    rows = samples(scaled, features, key, n_trees, max_samples, seed, groups).withColumnRenamed(key, "_key").selectExpr(
+        *tree, "_key", "x", "psi", "0 AS node", "cast(ceil(log2(cast(greatest(psi, 2) AS double))) AS int) AS top",
+        "cast(array() AS array<struct<node:int,feature:int,threshold:double,leaf_value:double,n:int>>) AS made")
+    m, carried, ids = len(features), [*tree, "_key", "x", "psi", "top"], ", ".join(tree)
+    over = f"OVER (PARTITION BY {ids}, node)"
+    lo, hi = (", ".join(f"{f}(x[{j}]) {over}" for j in range(m)) for f in ("min", "max"))
+    who = ", ".join(f"cast({c} AS string)" for c in (*tree, "node"))
+
+    def draw(what: str) -> str:
+        """U(0, 1), ends excluded, from md5 of the '|'-joined parts."""
+        return f"((cast(conv(substring(md5(concat_ws('|', {who}, '{seed}', '{what}')), 1, 8), 16, 10) AS bigint) + 0.5D) / 4294967296.0D)"
+
+    # SQL text: a level's hundred expressions are one call
+    for level in range(math.ceil(math.log2(max(max_samples, 2))) + 1):
+        seen = rows.selectExpr("*", f"cast(count(1) {over} AS int) AS n", f"min(_key) {over} AS one", f"array({lo}) AS lo", f"array({hi}) AS hi")
+        seen = seen.selectExpr("*", f"CASE WHEN n > 1 AND {level} < top AND node >= 0 THEN filter(sequence(0, {m - 1}), j -> hi[j] > lo[j]) "
+                                    "ELSE cast(array() AS array<int>) END AS vary")
+        seen = seen.selectExpr("*", f"CASE WHEN size(vary) > 0 THEN vary[cast(floor({draw('feature')} * size(vary)) AS int)] ELSE -1 END AS feature")
+        seen = seen.selectExpr("*", f"CASE WHEN feature >= 0 THEN lo[feature] + {draw('threshold')} * (hi[feature] - lo[feature]) END AS cut")
+        # both sides have rows
+        seen = seen.selectExpr("*", "CASE WHEN feature >= 0 THEN CASE WHEN cut > lo[feature] THEN cut ELSE hi[feature] END END AS threshold")
+        leaf = (f"CASE WHEN feature >= 0 THEN 0.0D WHEN n > 2 THEN {level} + 2.0D * (ln(n - 1.0D) + {EULER!r}D) - 2.0D * (n - 1.0D) / n "
+                f"WHEN n = 2 THEN {level} + 1.0D ELSE {level} + 0.0D END")
+        rows = seen.selectExpr(
+            *carried, "CASE WHEN feature >= 0 THEN 2 * node + CASE WHEN x[feature] < threshold THEN 1 ELSE 2 END ELSE -1 END AS node",
+            "CASE WHEN node >= 0 AND _key = one THEN concat(made, array(struct(node, feature, coalesce(threshold, 0.0D) AS threshold, "
+            f"{leaf} AS leaf_value, n))) ELSE made END AS made")
+    nodes = rows.select(*tree, "psi", F.explode("made").alias("s"))
+    nodes = nodes.select(*groups, "tree_id", "s.node", "s.feature", "s.threshold",
+                        F.when(F.col("s.feature") >= 0, 2 * F.col("s.node") + 1).otherwise(-1).alias("left"),
+                        F.when(F.col("s.feature") >= 0, 2 * F.col("s.node") + 2).otherwise(-1).alias("right"),
+                        F.col("s.leaf_value").alias("leaf_value"), "psi",
+                        F.max(F.when(F.col("s.node") == 0, F.col("s.n"))).over(Window.partitionBy(*tree)).alias("n_sampled"))
+    return nodes.toDF(*nodes.columns)       # columns of its own, so that it can meet the rows it came from
 
 
 def _pack(nodes_pdf: pd.DataFrame):
@@ -198,5 +184,5 @@ def score(scaled: DataFrame, nodes: DataFrame, features: list[str], key: str = "
 def with_prediction(scores: DataFrame, contamination: float, col: str = "if_score",
                     out: str = "if_normal") -> DataFrame:
     """Inlier flag: score at or below its (1 - contamination) quantile."""
-    t = one_row(scores.agg(F.percentile(F.col(col), 1.0 - contamination).alias("t")))
-    return scores.withColumn(out, F.col(col) <= t["t"])
+    t = quantiles(scores, {"t": col}, [1.0 - contamination])["t"][0]
+    return scores.withColumn(out, F.col(col) <= F.lit(t).cast("double"))

@@ -1,12 +1,15 @@
-"""Exact local outlier factor (Euclidean, k neighbours).
+"""Exact local outlier factor (Euclidean, k neighbours) without comparing all pairs.
 
-kNN: points are hashed into B blocks of ~``block_size`` rows.  Each point is
-replicated once per block as a *query* (tagged with the reference block) and
-once per block as a *reference* (tagged with the query block), so every
-(query block, reference block) pair becomes one ``applyInPandas`` group of at
-most 2*block_size rows.  A group emits only the k best candidates per query
-row; the per-row merge of the B*k candidates is a window over the row's own
-partition.  Work is O(n^2) (exact), memory per task is O(block_size^2).
+kNN: equal points are one point (with its few smallest keys), so copies cost nothing. A
+hashed sample of the points serves as pivots; every point belongs to the cell of its nearest
+pivot, and a cell has a radius. By the triangle inequality no point of a cell is nearer to a
+query than the distance to the cell's pivot minus the radius. Each point reads its own cell
+first, then, in rounds, the next 4, 16, 64, ... cells in order of that bound, as long as the
+bound is below its k-th best distance; inside a cell only the ring of points whose distance to
+the pivot differs by no more than that is compared. It ends when no unread cell can hold
+a nearer point, so the neighbours are exact. A round is one shuffle by cell; cells that
+many points ask for are copied and their requests dealt over the copies. Pivots and radii
+are broadcast (at most ``max_cells`` rows).
 
 LOF itself (k-distance, reachability, lrd, ratio) is plain joins and
 aggregations on the kNN table, so it has an SQL restatement.
@@ -14,69 +17,216 @@ aggregations on the kNN table, so it has an SQL restatement.
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from lanewatch.session import keep
+
+#: relative slack of bounds against rounding
+SLACK = 1e-9
+FAR = float("inf")
+#: requests compared with a cell at once
+CHUNK = 256
+
+
+def _distances(q: np.ndarray, r: np.ndarray) -> np.ndarray:
+    """Euclidean distances, summed feature by feature (the rounding of the SQL restatement)."""
+    acc = np.zeros((len(q), len(r)))
+    for j in range(r.shape[1]):
+        d = q[:, j:j + 1] - r[None, :, j]
+        acc = acc + d * d
+    return np.sqrt(acc)
+
+
+def _matrix(col: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Vectors of one length as rows."""
+    if isinstance(col, pa.ChunkedArray):
+        col = col.combine_chunks()
+    flat = col.flatten().to_numpy(zero_copy_only=False)
+    return flat.reshape(len(col), -1)
+
+
+def _column(table: pa.Table, name: str) -> np.ndarray:
+    return table.column(name).to_numpy()
+
+
+def _distinct(points: DataFrame, features: list[str], key: str, k: int) -> DataFrame:
+    """One row per distinct point: its k + 1 smallest keys in order, and how many other points it needs."""
+    vec = F.array(*[F.col(c).cast("double") + F.lit(0.0) for c in features])       # + 0.0: no negative zero
+    base = points.select(F.col(key).cast("string").alias("_id"), vec.alias("vec"))
+    least = Window.partitionBy("vec").orderBy("_id")
+    few = base.withColumn("_n", F.row_number().over(least)).filter(F.col("_n") <= k + 1)
+    out = few.groupBy("vec").agg(F.sort_array(F.collect_list("_id")).alias("ids"))
+    return out.select(F.element_at("ids", 1).alias("rep"), "vec", "ids", F.greatest(F.lit(0), F.lit(k + 1) - F.size("ids")).alias("need"))
+
+
+class Cells:
+    """Pivots, and once known the radius of every cell; cells are read in order of their bound, the own one first."""
+
+    def __init__(self, pivots: np.ndarray, radius: np.ndarray | None = None):
+        self.pivots, self.radius = pivots, radius
+
+    def nearest(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        d = _distances(x, self.pivots)
+        at = d.argmin(axis=1)
+        return at, d[np.arange(len(x)), at]
+
+    def next(self, x: np.ndarray, own: np.ndarray, tau: np.ndarray, first: int, count: int):
+        """(row, cell) of the cells number ``first`` .. of every row that may hold a point within tau, and rows with more to read."""
+        d = _distances(x, self.pivots)
+        bound = d * (1 - SLACK) - self.radius * (1 + SLACK)
+        bound[np.arange(len(x)), own] = -FAR
+        last = min(first + count, bound.shape[1])
+        order = np.argpartition(bound, last - 1, axis=1)[:, :last] if last < bound.shape[1] else None
+        rows, cells = [], []
+        for i in range(len(x)):
+            mine = np.arange(bound.shape[1]) if order is None else order[i]
+            mine = mine[np.lexsort((mine, bound[i, mine]))][first:last]
+            mine = mine[bound[i, mine] <= tau[i]]
+            rows.append(np.full(len(mine), i))
+            cells.append(mine)
+        return np.concatenate(rows or [np.zeros(0, int)]), np.concatenate(cells or [np.zeros(0, int)])
+
+
+FOUND = pa.schema([("rep", pa.string()), ("nbr", pa.string()), ("dist", pa.float64()), ("pairs", pa.int64())])
+
+
+def _read_cell(requests: pa.Table, members: pa.Table) -> pa.Table:
+    """The nearest members of one cell for every request, as many as it needs; ``pairs`` counts the distances computed."""
+    if not requests.num_rows or not members.num_rows:
+        return FOUND.empty_table()
+    members = members.sort_by([("to_pivot", "ascending"), ("rep", "ascending")])
+    mx, ring = _matrix(members.column("vec")), _column(members, "to_pivot")
+    reps = np.array(members.column("rep").to_pylist(), dtype=object)
+    order = np.argsort(reps, kind="stable")
+    place = np.empty(len(reps), dtype=np.int64)
+    place[order] = np.arange(len(reps))
+    where = {r: i for i, r in enumerate(reps)}
+    requests = requests.sort_by("from_pivot")
+    out_rep, out_nbr, out_d, pairs = [], [], [], []
+    for s in range(0, requests.num_rows, CHUNK):
+        part = requests.slice(s, CHUNK)
+        tau, far, need = (_column(part, c) for c in ("tau", "from_pivot", "need"))
+        own = part.column("rep").to_pylist()
+        slack = SLACK * (1 + far)
+        lo = np.searchsorted(ring, (far - tau - slack).min(), "left")
+        hi = np.searchsorted(ring, (far + tau + slack).max(), "right")
+        if lo >= hi:
+            continue
+        dist = _distances(_matrix(part.column("vec")), mx[lo:hi])
+        computed = dist.size
+        for i, name in enumerate(own):
+            row, limit = dist[i], tau[i]
+            if lo <= where.get(name, -1) < hi:
+                row[where[name] - lo] = FAR
+            if need[i] < len(row):
+                limit = min(limit, np.partition(row, need[i] - 1)[need[i] - 1])
+            at = np.flatnonzero((row <= limit) & (row < FAR))
+            at = at[np.lexsort((place[lo + at], row[at]))[:need[i]]]
+            out_rep += [name] * len(at)
+            out_nbr += reps[lo + at].tolist()
+            out_d.append(row[at])
+            if len(at):
+                pairs += [computed] + [0] * (len(at) - 1)
+                computed = 0
+    return pa.table([pa.array(out_rep, pa.string()), pa.array(out_nbr, pa.string()),
+                     pa.array(np.concatenate(out_d) if out_d else [], pa.float64()), pa.array(pairs, pa.int64())], schema=FOUND)
+
+
+def nearest_points(reps: DataFrame, n: int, cell_rows: int = 1024, max_cells: int = 8192, copies: int = 20_000) -> DataFrame:
+    """(rep, nbr, dist): for every distinct point the ``need`` nearest others, ties by their smallest key; (rep, vec, need) in."""
+    spark = reps.sparkSession
+    wanted = min(max_cells, max(1, -(-n // cell_rows)))
+    chosen = reps.orderBy(F.xxhash64("rep"), "rep").limit(wanted).select("vec").collect()       # at most max_cells
+    pivots = np.array([r["vec"] for r in chosen], dtype=float).reshape(len(chosen), -1)
+    held = spark.sparkContext.broadcast(Cells(pivots))
+    schema = "rep string, vec array<double>, need int, cell int, to_pivot double"
+
+    def assign(batches):
+        for b in batches:
+            if b.num_rows:
+                cell, d = held.value.nearest(_matrix(b.column("vec")))
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cell, pa.int32()), pa.array(d)],
+                                                 ["rep", "vec", "need", "cell", "to_pivot"])
+
+    members = keep(reps.select("rep", "vec", "need").mapInArrow(assign, schema))
+    radius = np.zeros(len(pivots))
+    for r in members.groupBy("cell").agg(F.max("to_pivot").alias("r")).collect():      # a row a cell
+        radius[r["cell"]] = r["r"]
+    cells = spark.sparkContext.broadcast(Cells(pivots, radius))
+    slim = members.select("rep", "vec", "cell", "to_pivot")
+    waiting = members.filter("need > 0").withColumn("tau", F.lit(FAR))
+    best, first, count = None, 0, 1
+    ask = "rep string, vec array<double>, need int, tau double, to int, from_pivot double"
+
+    def requests(batches):
+        for b in batches:
+            if b.num_rows:
+                x = _matrix(b.column("vec"))
+                rows, to = cells.value.next(x, b.column("cell").to_numpy(), b.column("tau").to_numpy(), start, size)
+                taken = pa.Table.from_batches([b.select(["rep", "vec", "need", "tau"])]).take(pa.array(rows, pa.int64())).combine_chunks()
+                far = np.sqrt(((x[rows] - cells.value.pivots[to]) ** 2).sum(axis=1))
+                for part in taken.append_column("to", pa.array(to, pa.int32())).append_column("from_pivot", pa.array(far)).to_batches():
+                    yield part
+
+    while first < len(pivots):
+        start, size = first, count
+        asked = waiting.select("rep", "vec", "need", "cell", "tau").mapInArrow(requests, ask)
+        loads = {0: n}
+        if len(pivots) > 1:
+            asked = keep(asked)
+            loads = {r["to"]: r["n"] for r in asked.groupBy("to").agg(F.count(F.lit(1)).alias("n")).collect()}     # a row a cell
+        if not loads:
+            break
+        parts = {c: -(-m // copies) for c, m in loads.items()}
+        found = _answer(asked, slim, parts)
+        best = found if best is None else best.unionByName(found)
+        order = Window.partitionBy("rep").orderBy("dist", "nbr")
+        need = members.select("rep", "need")
+        best = keep(best.join(need, "rep").withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= F.col("need"))
+                    .select("rep", "nbr", "dist", "pairs"))
+        kth = best.groupBy("rep").agg(F.max("dist").alias("_far"), F.count(F.lit(1)).alias("_m"))
+        first, count = first + count, count * 4
+        if first >= len(pivots):
+            break
+        waiting = members.filter("need > 0").join(kth, "rep", "left").withColumn(
+            "tau", F.when(F.col("_m") >= F.col("need"), F.col("_far")).otherwise(F.lit(FAR))).drop("_far", "_m")
+    if best is None:
+        return spark.createDataFrame([], "rep string, nbr string, dist double, pairs long")
+    return best
+
+
+def _answer(asked: DataFrame, members: DataFrame, parts: dict[int, int]) -> DataFrame:
+    """Requests meet the members of their cells; a cell asked for by many is copied ``parts`` times."""
+    spark = asked.sparkSession
+    table = F.broadcast(spark.createDataFrame([(c, p) for c, p in parts.items()], "_c int, _parts int"))     # a row a cell
+    dealt = asked.join(table, F.col("to") == F.col("_c")).withColumn("part", F.pmod(F.xxhash64("rep"), F.col("_parts")).cast("int"))
+    copied = members.join(table, F.col("cell") == F.col("_c")) \
+        .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+    return (dealt.drop("_c", "_parts").groupBy("to", "part")
+            .cogroup(copied.select(F.col("cell").alias("to"), "part", "rep", "vec", "to_pivot").groupBy("to", "part"))
+            .applyInArrow(_read_cell, "rep string, nbr string, dist double, pairs long"))
 
 
-def knn(points: DataFrame, features: list[str], key: str = "ROTTA", k: int = 20,
-        block_size: int = 4096, chunk: int = 256) -> DataFrame:
+def knn(points: DataFrame, features: list[str], key: str = "ROTTA", k: int = 20, cell_rows: int = 1024,
+        max_cells: int = 8192) -> DataFrame:
     """(key, nbr, dist, rank) for the k nearest other points, ties by neighbour key."""
-    n = points.count()
-    k = int(min(k, max(n - 1, 1)))
-    nblocks = max(1, math.ceil(n / block_size))
-    blk = F.pmod(F.xxhash64(F.col("_id")), F.lit(nblocks)).cast("int")
-    base = points.select(F.col(key).cast("string").alias("_id"), *[F.col(c).cast("double") for c in features])
-    base = base.withColumn("_blk", blk)
-    others = F.sequence(F.lit(0), F.lit(nblocks - 1))
-    q = base.select("*", F.lit(0).alias("_role"), F.col("_blk").alias("_qb"), F.explode(others).alias("_rb"))
-    r = base.select("*", F.lit(1).alias("_role"), F.explode(others).alias("_qb"), F.col("_blk").alias("_rb"))
-    both = q.unionByName(r)
-
-    def pair(pdf: pd.DataFrame) -> pd.DataFrame:
-        Q = pdf[pdf["_role"] == 0]
-        R = pdf[pdf["_role"] == 1].sort_values("_id", kind="mergesort")
-        if len(Q) == 0 or len(R) == 0:
-            return pd.DataFrame({"_id": [], "nbr": [], "dist": []})
-        rx = R[features].to_numpy(dtype=float)
-        rid = R["_id"].to_numpy()
-        out_id, out_nbr, out_d = [], [], []
-        qx_all = Q[features].to_numpy(dtype=float)
-        qid_all = Q["_id"].to_numpy()
-        for s in range(0, len(Q), chunk):
-            qx, qid = qx_all[s:s + chunk], qid_all[s:s + chunk]
-            acc = np.zeros((len(qx), len(rx)))
-            for j in range(rx.shape[1]):  # sequential sum: same rounding as the SQL restatement
-                d = qx[:, j:j + 1] - rx[None, :, j]
-                acc = acc + d * d
-            dist = np.sqrt(acc)
-            dist[qid[:, None] == rid[None, :]] = np.inf
-            kk = min(k, len(rx))
-            for i in range(len(qx)):
-                row = dist[i]
-                if kk < len(row):
-                    cut = np.partition(row, kk - 1)[kk - 1]
-                    idx = np.flatnonzero(row <= cut)
-                else:
-                    idx = np.arange(len(row))
-                idx = idx[np.isfinite(row[idx])]
-                order = np.lexsort((idx, row[idx]))[:kk]  # R is sorted by id: index order = id order
-                sel = idx[order]
-                out_id.extend([qid[i]] * len(sel))
-                out_nbr.extend(rid[sel])
-                out_d.extend(row[sel])
-        return pd.DataFrame({"_id": out_id, "nbr": out_nbr, "dist": np.asarray(out_d, dtype=float)})
-
-    schema = T.StructType([T.StructField("_id", T.StringType()), T.StructField("nbr", T.StringType()),
-                           T.StructField("dist", T.DoubleType())])
-    cands = both.groupBy("_qb", "_rb").applyInPandas(pair, schema)
-    w = Window.partitionBy("_id").orderBy("dist", "nbr")
-    return (cands.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-                 .withColumnRenamed("_id", key))
+    k = int(min(k, max(points.count() - 1, 1)))
+    reps = keep(_distinct(points, features, key, k))
+    near = nearest_points(reps, reps.count(), cell_rows, max_cells)
+    own = reps.select(F.col("rep"), F.col("rep").alias("nbr"), F.lit(0.0).alias("dist"))
+    names = reps.select(F.col("rep").alias("_rep"), "ids")
+    lists = near.select("rep", "nbr", "dist").unionByName(own).join(names, F.col("nbr") == F.col("_rep")) \
+        .groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("dist", "ids"))).alias("near"))       # at most k + 1 points
+    flat = F.flatten(F.transform("near", lambda s: F.transform(s["ids"], lambda i: F.struct(s["dist"].alias("dist"), i.alias("nbr")))))
+    lists = keep(lists.select("rep", F.slice(F.array_sort(flat), 1, k + 1).alias("near")).join(reps.select("rep", "vec"), "rep"))
+    vec = F.array(*[F.col(c).cast("double") + F.lit(0.0) for c in features])
+    named = points.select(F.col(key).cast("string").alias("_id"), vec.alias("vec")).join(lists.select("vec", "near"), "vec")
+    own_list = F.slice(F.filter("near", lambda s: s["nbr"] != F.col("_id")), 1, k)
+    return (named.select(F.col("_id").alias(key), F.posexplode(own_list).alias("_p", "_s"))
+            .select(key, F.col("_s.nbr").alias("nbr"), F.col("_s.dist").alias("dist"), (F.col("_p") + 1).alias("rank")))
 
 
 def lof_from_knn(nn: DataFrame, key: str = "ROTTA", k: int | None = None) -> DataFrame:
@@ -92,7 +242,6 @@ def lof_from_knn(nn: DataFrame, key: str = "ROTTA", k: int | None = None) -> Dat
 
 
 def local_outlier_factor(points: DataFrame, features: list[str], key: str = "ROTTA", k: int = 20,
-                         block_size: int = 4096) -> DataFrame:
-    from lanewatch.session import keep
-    nn = keep(knn(points, features, key=key, k=k, block_size=block_size))  # read by three joins
+                         cell_rows: int = 1024) -> DataFrame:
+    nn = keep(knn(points, features, key=key, k=k, cell_rows=cell_rows))  # read by three joins
     return lof_from_knn(nn, key=key)

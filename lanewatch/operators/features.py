@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lanewatch import constants as K
-from lanewatch.session import keep
 from lanewatch.functions.columns import clip, safe_div, sum_cols
+from lanewatch.operators.quantiles import quantiles
+from lanewatch.session import keep
 
 
 def _first_non_null(c: str, order: str = "_rid"):
@@ -127,8 +128,8 @@ def traveller_entity_aggregate(travellers: DataFrame, key: str = "ROTTA", denomi
         .alias("score_rischio_esiti"),
     )
     g = keep(g)  # one row per entity; read twice
-    cap = g.select(F.percentile("_api_raw", 0.99)).scalar()
-    return g.withColumn("alarm_per_invest", F.least(F.col("_api_raw"), cap)).drop("_api_raw")
+    cap = quantiles(g, {"cap": "_api_raw"}, [0.99])["cap"][0]
+    return g.withColumn("alarm_per_invest", F.least(F.col("_api_raw"), F.lit(cap).cast("double"))).drop("_api_raw")
 
 
 ALARM_NUMERIC = (["n_osservazioni_allarmi", "tot_allarmi_sum", "tot_allarmi_log"]

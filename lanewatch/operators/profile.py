@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from lanewatch.functions.columns import safe_div
 from lanewatch.operators.baseline import one_row
+from lanewatch.operators.quantiles import quantiles, quantiles_by
 
 
 def dataset_stats(feed: DataFrame, key: str = "ROTTA", top: int = 5, exact: bool = True) -> DataFrame:
@@ -42,10 +43,11 @@ def describe(df: DataFrame, cols, digits: int = 2) -> DataFrame:
         x = F.col(c).cast("double")
         aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
                  F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"),
-                 F.percentile(x, [0.25, 0.5, 0.75]).alias(f"q{i}"),
                  F.skewness(x).alias(f"g1_{i}"), F.kurtosis(x).alias(f"g2_{i}")]
     wide = df.agg(*aggs)
+    found = quantiles(df, {c: c for c in cols}, [0.25, 0.5, 0.75])
     for i, c in enumerate(cols):
+        q = [F.lit(v).cast("double") for v in found[c]]
         n = F.col(f"n{i}").cast("double")
         skew = F.when(n > 2, F.col(f"g1_{i}") * F.sqrt(n * (n - 1)) / (n - 2))
         kurt = F.when(n > 3, ((n + 1) * F.col(f"g2_{i}") + 6) * (n - 1) / ((n - 2) * (n - 3)))
@@ -53,7 +55,7 @@ def describe(df: DataFrame, cols, digits: int = 2) -> DataFrame:
             F.lit(c).alias("column"), F.col(f"n{i}").alias("count"),
             *[F.round(e, digits).alias(a) for e, a in [
                 (F.col(f"m{i}"), "mean"), (F.col(f"s{i}"), "std"), (F.col(f"lo{i}"), "min"),
-                (F.col(f"q{i}")[0], "p25"), (F.col(f"q{i}")[1], "p50"), (F.col(f"q{i}")[2], "p75"),
+                (q[0], "p25"), (q[1], "p50"), (q[2], "p75"),
                 (F.col(f"hi{i}"), "max"), (skew, "skewness"), (kurt, "kurtosis")]]))
     return wide.select(F.inline(F.array(*rows)))
 
@@ -151,18 +153,20 @@ def group_contrast(df: DataFrame, flag: Column, features) -> DataFrame:
 def observability(df: DataFrame, count_col: str = "n_osservazioni_viag", threshold: int = 30,
                   value: str = "score_composito") -> DataFrame:
     """Low-observability flag and a describe of ``value`` per group."""
-    flag = F.col(count_col) < threshold
-    return (df.groupBy(flag.alias("low_observability"))
-              .agg(F.count(F.lit(1)).alias("n"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"),
-                   F.min(value).alias("min"), F.percentile(value, 0.25).alias("p25"),
-                   F.percentile(value, 0.5).alias("p50"), F.percentile(value, 0.75).alias("p75"),
-                   F.max(value).alias("max")))
+    flagged = df.select((F.col(count_col) < threshold).alias("low_observability"), F.col(value).cast("double").alias("_v"))
+    g = flagged.groupBy("low_observability").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("_v").alias("mean"), F.stddev_samp("_v").alias("std"),
+        F.min("_v").alias("min"), F.max("_v").alias("max"))
+    q = quantiles_by(flagged, {"_v": "_v"}, [0.25, 0.5, 0.75], ("low_observability",)) \
+        .select(F.col("low_observability").alias("_g"), "q")
+    return g.join(q, F.col("low_observability").eqNullSafe(F.col("_g")), "left").select(
+        "low_observability", "n", "mean", "std", "min", *[F.get("q", F.lit(i)).alias(f"p{25 * (i + 1)}") for i in range(3)], "max")
 
 
 def quantile_trim(df: DataFrame, col: str, q: float = 0.99) -> DataFrame:
     """Rows with ``col`` <= its q-quantile."""
-    cap = one_row(df.agg(F.percentile(col, q).alias("cap")))["cap"]
-    return df.filter(F.col(col) <= cap)
+    cap = quantiles(df, {col: col}, [q])[col][0]
+    return df.filter(F.col(col) <= F.lit(cap).cast("double"))
 
 
 def histogram(df: DataFrame, col: str, bins: int = 30, group: str | None = None) -> DataFrame:
@@ -188,7 +192,7 @@ def histogram(df: DataFrame, col: str, bins: int = 30, group: str | None = None)
 
 def box_summary(df: DataFrame, col: str, group: str) -> DataFrame:
     """Quartiles, 1.5*IQR whiskers (clamped to data) and outlier count per group."""
-    q = df.groupBy(group).agg(F.percentile(col, [0.25, 0.5, 0.75]).alias("q"))
+    q = quantiles_by(df, {col: col}, [0.25, 0.5, 0.75], (group,))
     q = q.select(group, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
     j = df.select(group, col).join(q, on=group)
     lo_f = F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))

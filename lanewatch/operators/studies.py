@@ -21,20 +21,22 @@ from lanewatch import constants as K
 from lanewatch.functions.columns import md5_uniform, sum_cols
 from lanewatch.operators import rules as R
 from lanewatch.operators.detectors import ensemble as EN
-from lanewatch.operators.ranks import average_rank_by, dense_position, dense_position_by
+from lanewatch.operators.quantiles import quantiles, quantiles_by
+from lanewatch.operators.ranks import average_rank, average_rank_by, dense_position, dense_position_by
+from lanewatch.session import keep
 
 DETS = ["IF", "LOF", "Z", "AE"]
 
 
 # --------------------------------------------------------------- helpers
 def _scenario_scores(scored: DataFrame, scenarios: list[dict], key: str) -> DataFrame:
-    """(scenario_id, key, score, br_score): score = sum_d w_d * score_d per scenario."""
+    """(scenario_id, key, score, _rb): score = sum_d w_d * score_d per scenario."""
     arr = F.array(*[F.struct(F.lit(i).alias("sid"), *[F.lit(float(s["w"].get(d, 0.0))).alias(d) for d in DETS])
                     for i, s in enumerate(scenarios)])
     x = scored.select(key, *[F.coalesce(F.col(K.DETECTOR_SCORE_COLUMNS[d]), F.lit(0.0)).alias("_" + d) for d in DETS],
-                      F.coalesce(F.col("br_score"), F.lit(0.0)).alias("br_score"), F.explode(arr).alias("s"))
+                      "_rb", F.explode(arr).alias("s"))
     score = sum_cols([F.col("s")[d] * F.col("_" + d) for d in DETS])
-    return x.select(F.col("s.sid").alias("scenario_id"), key, score.alias("score"), "br_score")
+    return x.select(F.col("s.sid").alias("scenario_id"), key, score.alias("score"), "_rb")
 
 
 def _top_k(ss: DataFrame, key: str, k: int) -> DataFrame:
@@ -51,17 +53,24 @@ def sampled_share(keys: DataFrame, key: str, n_boot: int, frac: float, seed: int
 
 
 def _scenario_metrics(scored: DataFrame, scenarios: list[dict], key: str, k: int, n_boot: int,
-                      frac: float, seed: int, reference_sid: int | None = None) -> DataFrame:
-    ss = _scenario_scores(scored, scenarios, key)
-    q = ss.groupBy("scenario_id").agg(F.percentile("score", 0.97).alias("hi"), F.percentile("score", 0.9).alias("med"))
-    ranked = ss.join(F.broadcast(q), on="scenario_id")
-    ranked = average_rank_by(ranked, "scenario_id", "score", key, "_ra")
-    ranked = average_rank_by(ranked, "scenario_id", "br_score", key, "_rb")
-    counts = ranked.groupBy("scenario_id").agg(
-        F.count_if(F.col("score") >= F.col("hi")).alias("n_high"),
-        F.count_if((F.col("score") >= F.col("med")) & (F.col("score") < F.col("hi"))).alias("n_medium"),
-        F.count_if(F.col("score") < F.col("med")).alias("n_normal"),
-        F.corr("_ra", "_rb").alias("br_rank_corr"))
+                      frac: float, seed: int, reference_sid: int | None = None, labels: bool = True) -> DataFrame:
+    # the rule score is the same in every scenario: ranked once
+    base = scored.withColumn("br_score", F.coalesce(F.col("br_score"), F.lit(0.0)))
+    ties = average_rank(base, "br_score", key, "_rb", descending=False).select(key, "_rb")
+    base = keep(base.select(key, *[K.DETECTOR_SCORE_COLUMNS[d] for d in DETS]).join(ties, key))
+    ss = _scenario_scores(base, scenarios, key)
+    ranked = average_rank_by(ss, "scenario_id", "score", key, "_ra")
+    if labels:
+        n = base.count()
+        q = quantiles_by(ss, {"score": "score"}, [0.97, 0.9], ("scenario_id",), at_most=n) \
+            .select("scenario_id", F.col("q")[0].alias("hi"), F.col("q")[1].alias("med"))
+        counts = ranked.join(q, on="scenario_id").groupBy("scenario_id").agg(
+            F.count_if(F.col("score") >= F.col("hi")).alias("n_high"),
+            F.count_if((F.col("score") >= F.col("med")) & (F.col("score") < F.col("hi"))).alias("n_medium"),
+            F.count_if(F.col("score") < F.col("med")).alias("n_normal"),
+            F.corr("_ra", "_rb").alias("br_rank_corr"))
+    else:
+        counts = ranked.groupBy("scenario_id").agg(F.corr("_ra", "_rb").alias("br_rank_corr"))
     top = _top_k(ss, key, k)
     share = sampled_share(top.select(key).distinct(), key, n_boot, frac, seed)
     stab = top.join(share, on=key).groupBy("scenario_id").agg(F.avg("share").alias("stability"))
@@ -109,7 +118,7 @@ def weight_grid(scored: DataFrame, key: str = "ROTTA", steps: int = K.GRID_STEPS
     objective = sw * stability + (1 - sw) * (rho + 1) / 2, ranked (ties by coordinates)."""
     grid = simplex_grid(steps)
     scen = [{"w": dict(zip(DETS, [c / steps for c in g]))} for g in grid]
-    m = _scenario_metrics(scored, scen, key, k, n_boot, frac, seed)
+    m = _scenario_metrics(scored, scen, key, k, n_boot, frac, seed, labels=False)
     coords = F.array(*[F.array(*[F.lit(c) for c in g]) for g in grid])
     g = F.element_at(coords, F.col("scenario_id") + 1)
     rho = F.coalesce(F.nanvl(F.col("br_rank_corr"), F.lit(None)), F.lit(0.0))
@@ -183,9 +192,9 @@ def sensitivity_matrix(sens: DataFrame, tier: str = "HIGH") -> DataFrame:
 def label_threshold_grid(scored: DataFrame, highs=(0.30, 0.35, 0.40, 0.45, 0.50), mediums=(0.15, 0.20, 0.25),
                          score_col: str = "ensemble_score") -> DataFrame:
     """E5: label counts and alert share for HIGH x MEDIUM cut-offs (plus the data-driven p97/p90 pair)."""
-    q = EN.one_row(scored.agg(F.percentile(score_col, 0.97).alias("hi"), F.percentile(score_col, 0.9).alias("med")))
-    hs = [F.lit(float(h)) for h in highs] + [F.round(q["hi"], 3)]
-    ms = [F.lit(float(m)) for m in mediums] + [F.round(q["med"], 3)]
+    hi, med = quantiles(scored, {"s": score_col}, [0.97, 0.9])["s"]
+    hs = [F.lit(float(h)) for h in highs] + [F.round(F.lit(hi).cast("double"), 3)]
+    ms = [F.lit(float(m)) for m in mediums] + [F.round(F.lit(med).cast("double"), 3)]
     pairs = F.array(*[F.struct(h.alias("high_t"), m.alias("medium_t")) for h in hs for m in ms])
     s = F.col(score_col)
     x = (scored.select(s.alias("s"), F.explode(pairs).alias("p"))
@@ -273,11 +282,12 @@ def refit_stability(scaled: DataFrame, features, labels: DataFrame, key: str = "
     blocks = max(1, -(-scaled.count() // block))
     each = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("blk")
     all_rows = rows.withColumn("blk", F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int"))
-    scores = nodes.select("*", each).groupBy("it", "blk").cogroup(all_rows.groupBy("it", "blk")).applyInPandas(score_group, schema)
+    scores = keep(nodes.select("*", each).groupBy("it", "blk").cogroup(all_rows.groupBy("it", "blk"))
+                  .applyInPandas(score_group, schema))
     # the contamination threshold belongs to the rows the forest was fitted on
     fitted = scores.filter(md5_uniform(F.col(key), F.col("it"), F.lit(seed)) < frac)
-    thr = fitted.groupBy("it").agg(F.percentile("s", 1 - contamination).alias("t"))
-    flagged = scores.join(F.broadcast(thr), on="it").withColumn("flag", (F.col("s") > F.col("t")).cast("double"))
+    thr = quantiles_by(fitted, {"s": "s"}, [1 - contamination], ("it",)).select("it", F.col("q")[0].alias("t"))
+    flagged = scores.join(thr, on="it").withColumn("flag", (F.col("s") > F.col("t")).cast("double"))
     freq = flagged.groupBy(key).agg(F.round(F.avg("flag"), 4).alias("bootstrap_frequency"))
     return (labels.select(key, "anomaly_label").join(freq, on=key, how="left")
                   .withColumn("is_stable", (F.col("bootstrap_frequency") >= stable).cast("int")))
@@ -467,12 +477,12 @@ def scorecard(risk: DataFrame, key: str = "ROTTA", score_col: str = "ensemble_sc
     """One record with the run's headline metrics (label and tier counts, thresholds,
     alert volume, top entity, top-k stability)."""
     stab = EN.one_row(topk_stability(risk, score_col, key, k, n_boot, K.BOOT_FRACTION, seed).select("stability"))
+    high, medium = quantiles(risk, {"s": score_col}, [K.LABEL_QUANTILE_HIGH, K.LABEL_QUANTILE_MEDIUM])["s"]
     return risk.agg(
         F.count(F.lit(1)).alias("n_routes"),
         *[F.count_if(F.col("anomaly_label") == lbl).alias(f"n_{lbl.lower()}_label") for lbl in K.ANOMALY_LABELS],
         *[F.count_if(F.col("final_risk") == t).alias(f"n_{t.lower()}") for t in K.RISK_TIERS],
-        F.percentile(score_col, K.LABEL_QUANTILE_HIGH).alias("threshold_high"),
-        F.percentile(score_col, K.LABEL_QUANTILE_MEDIUM).alias("threshold_medium"),
+        F.lit(high).cast("double").alias("threshold_high"), F.lit(medium).cast("double").alias("threshold_medium"),
         F.count_if(F.col("final_risk").isin(K.ALERT_TIERS) & (F.col("confidence") >= K.ALERT_MIN_CONFIDENCE))
         .alias("n_alerts"),
         F.avg("confidence").alias("mean_confidence"),

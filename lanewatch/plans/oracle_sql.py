@@ -284,3 +284,63 @@ def lof_cte(src: str = "scaled", out: str = "lof", key: str = "ROTTA", k: int =
 {out}_raw AS (SELECT k.id AS {key}, avg(l.lrd) / max(p.lrd) AS lof
   FROM {out}_knn k JOIN {out}_lrd l ON k.nbr = l.id JOIN {out}_lrd p ON k.id = p.id GROUP BY k.id),
 {out} AS (SELECT {key}, lof, {minmax_expr('lof', f'{out}_raw')} AS score_lof FROM {out}_raw)"""
+
+
+def _md5_number(text: str, at: int) -> str:
+    return f"CAST(('0x' || substr(md5({text}), {at}, 8)) AS BIGINT)"
+
+
+def _draw(tree: str, what: str, seed: int) -> str:
+    text = f"concat_ws('|', {tree}, CAST(node AS VARCHAR), '{seed}', '{what}')"
+    return f"((({_md5_number(text, 1)}) + 0.5) / 4294967296.0)"
+
+
+def iforest_cte(src: str, out: str, trees: int = 200, max_samples: int = 256, seed: int = 42, group: str | None = None,
+                key: str = "ROTTA", score_src: str | None = None) -> str:
+    """CTEs ending in ``out`` ([group,] key, if_score): the isolation forest grown level by level, and its scores.
+
+    ``src`` holds the training rows, ``score_src`` the rows to score (every group scores all of them).
+    """
+    import math
+    g = f"{group}, " if group else ""
+    on_g = (lambda a, b: f"{a}.{group} = {b}.{group} AND " if group else "")
+    feats = K.BASELINE_FEATURES
+    levels = math.ceil(math.log2(max(max_samples, 2)))
+    text = "concat_ws('|', CAST(" + key + f" AS VARCHAR), '{seed}'" + (f", CAST({group} AS VARCHAR)" if group else "") + ")"
+    who = (f"CAST({group} AS VARCHAR), " if group else "") + "CAST(tree AS VARCHAR)"
+    part = f"PARTITION BY {group}" if group else ""
+    xs = "[" + ", ".join(f"CAST({c} AS DOUBLE)" for c in feats) + "]"
+    ctes = [f"""{out}_n AS (SELECT {g}{key}, {xs} AS x, n, least({max_samples}, n) AS psi, {_md5_number(text, 1)} AS a, {_md5_number(text, 9)} AS b
+  FROM (SELECT *, count(*) OVER ({part}) AS n FROM {src}))""",
+            f"""{out}_0 AS (SELECT {g}tree, {key}, x, psi, CAST(ceil(log2(greatest(psi, 2))) AS INTEGER) AS top, CAST(0 AS BIGINT) AS node
+  FROM (SELECT *, row_number() OVER (PARTITION BY {g}tree ORDER BY place, {key}) AS rn
+        FROM (SELECT *, (a + tree * b) % 4294967291 AS place FROM {out}_n, (SELECT unnest(range({trees})) AS tree))
+        WHERE place < 3.0 * 4294967291 * psi / n) WHERE rn <= psi)"""]
+    for level in range(levels + 1):
+        lo = ", ".join(f"min(x[{j + 1}]) OVER w" for j in range(len(feats)))
+        hi = ", ".join(f"max(x[{j + 1}]) OVER w" for j in range(len(feats)))
+        ctes.append(f"""{out}_w{level} AS (SELECT *, count(*) OVER w AS m, [{lo}] AS lo, [{hi}] AS hi FROM {out}_{level}
+  WINDOW w AS (PARTITION BY {g}tree, node))""")
+        ctes.append(f"""{out}_f{level} AS (SELECT *, CASE WHEN m > 1 AND {level} < top AND len(vary) > 0
+    THEN vary[1 + CAST(floor({_draw(who, 'feature', seed)} * len(vary)) AS INTEGER)] END AS f
+  FROM (SELECT *, list_filter(range(1, {len(feats) + 1}), lambda j: hi[j] > lo[j]) AS vary FROM {out}_w{level}))""")
+        ctes.append(f"""{out}_s{level} AS (SELECT *, CASE WHEN cut > lo[f] THEN cut ELSE hi[f] END AS t
+  FROM (SELECT *, lo[f] + {_draw(who, 'threshold', seed)} * (hi[f] - lo[f]) AS cut FROM {out}_f{level}))""")
+        ctes.append(f"""{out}_{level + 1} AS (SELECT {g}tree, {key}, x, psi, top, 2 * node + CASE WHEN x[f] < t THEN 1 ELSE 2 END AS node
+  FROM {out}_s{level} WHERE f IS NOT NULL)""")
+    ctes.append(f"{out}_nodes AS (" + " UNION ALL ".join(
+        f"""SELECT DISTINCT {g}tree, node, f, t, psi, CASE WHEN f IS NULL THEN {level} + CASE WHEN m > 2
+  THEN 2.0 * (ln(m - 1.0) + 0.5772156649015329) - 2.0 * (m - 1.0) / m WHEN m = 2 THEN 1.0 ELSE 0.0 END END AS h FROM {out}_s{level}"""
+        for level in range(levels + 1)) + ")")
+    rows = score_src or src
+    spread = f"(SELECT DISTINCT {group} FROM {src}), " if group else ""
+    ctes.append(f"""{out}_p0 AS (SELECT {g}{key}, {xs} AS x, tree, CAST(0 AS BIGINT) AS node, CAST(NULL AS DOUBLE) AS h, CAST(NULL AS BIGINT) AS psi
+  FROM {rows if not group else f"(SELECT {key}, {', '.join(feats)} FROM {rows})"}, {spread}(SELECT unnest(range({trees})) AS tree))""")
+    for level in range(levels + 1):
+        ctes.append(f"""{out}_p{level + 1} AS (SELECT {', '.join(f'p.{c}' for c in ([group] if group else []) + [key])}, p.x, p.tree,
+    CASE WHEN s.f IS NULL THEN p.node WHEN p.x[s.f] < s.t THEN 2 * p.node + 1 ELSE 2 * p.node + 2 END AS node,
+    coalesce(p.h, s.h) AS h, s.psi
+  FROM {out}_p{level} p JOIN {out}_nodes s ON {on_g('p', 's')}p.tree = s.tree AND p.node = s.node)""")
+    c = "(CASE WHEN max(psi) > 2 THEN 2.0 * (ln(max(psi) - 1.0) + 0.5772156649015329) - 2.0 * (max(psi) - 1.0) / max(psi) ELSE 1.0 END)"
+    ctes.append(f"{out} AS (SELECT {g}{key}, power(2.0, -avg(h) / {c}) AS if_score FROM {out}_p{levels + 1} GROUP BY {g}{key})")
+    return ",\n".join(ctes)

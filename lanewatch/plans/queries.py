@@ -300,7 +300,12 @@ def q_lof_scores(spark, sf_dir):
     return EN.minmax(lof, {"score_lof": "lof"})
 
 
-@register("iforest_scores")
+IF_SQL = O.with_(O.features_cte(), O.scaled_cte(), O.iforest_cte("scaled", "forest"))
+
+
+@register("iforest_scores", IF_SQL + f""", q AS (SELECT quantile_cont(if_score, 0.9) AS t FROM forest)
+SELECT ROTTA, round(if_score, 6) AS if_score, if_score <= t AS if_normal,
+  round({O.minmax_expr('if_score', 'forest')}, 6) AS score_if FROM forest, q""")
 def q_iforest_scores(spark, sf_dir):
     """D3 + D7: isolation forest (200 trees, psi = 256) score, min-max score, inlier flag."""
     sc = keep(_scaled(spark, sf_dir))

@@ -27,7 +27,7 @@ PLANTED = {"R0200", "R0201", "R0202"}
 
 def test_lof_matches_brute_force(cloud):
     df, pdf = cloud
-    got = {r["ROTTA"]: r["lof"] for r in LOF.local_outlier_factor(df, FEATS, k=20, block_size=64).collect()}
+    got = {r["ROTTA"]: r["lof"] for r in LOF.local_outlier_factor(df, FEATS, k=20, cell_rows=20).collect()}
     X = pdf[FEATS].to_numpy()
     ids = pdf["ROTTA"].to_numpy()
     D = np.sqrt(((X[:, None, :] - X[None, :, :]) ** 2).sum(-1))
@@ -43,6 +43,101 @@ def test_lof_matches_brute_force(cloud):
     assert set(top) == PLANTED
 
 
+def _brute_knn(rows, k):
+    """(key -> [(dist, nbr)]) of the k nearest, ties by key."""
+    out = {}
+    for a, *x in rows:
+        found = sorted((float(np.sqrt(sum((p - q) ** 2 for p, q in zip(x, y)))), b) for b, *y in rows if b != a)
+        out[a] = found[:k]
+    return out
+
+
+@pytest.mark.parametrize("cell_rows", [10_000, 60, 7])
+def test_knn_with_copies_and_ties(spark, cell_rows):
+    """A point that many rows share, a grid full of equal distances, and far points."""
+    rng = np.random.default_rng(1)
+    rows = [(f"copy{i:03d}", 1.0, 1.0) for i in range(70)] + [(f"grid{i:03d}", float(i % 12), float(i // 12)) for i in range(144)]
+    rows += [(f"far{i}", *map(float, p)) for i, p in enumerate(rng.normal(0, 50, (40, 2)))] + [("zero", -0.0, 0.0)]
+    df = spark.createDataFrame(rows, "ROTTA string, a double, b double").repartition(5)
+    got = {}
+    for r in LOF.knn(df, ["a", "b"], k=9, cell_rows=cell_rows).collect():
+        got.setdefault(r.ROTTA, []).append((r["rank"], r.nbr, r.dist))
+    want = _brute_knn(rows, 9)
+    assert set(got) == set(want)
+    for key, found in got.items():
+        assert [(n, d) for _, n, d in sorted(found)] == [(n, pytest.approx(d, abs=1e-12)) for d, n in want[key]]
+
+
+@pytest.mark.parametrize("n", [1, 2, 5])
+def test_knn_of_few_points(spark, n):
+    rows = [(f"p{i}", float(i), 0.0) for i in range(n)]
+    got = LOF.knn(spark.createDataFrame(rows, "ROTTA string, a double, b double"), ["a", "b"], k=20).collect()
+    assert len(got) == n * (n - 1)
+
+
+def test_knn_work_per_point_does_not_grow(spark):
+    """Distances computed per point stay about the same with four times the points."""
+    from pyspark.sql import functions as F
+    work = []
+    for n in (2000, 8000):
+        df = spark.range(n).select(F.format_string("p%05d", "id").alias("ROTTA"), *[
+            (F.pmod(F.xxhash64("id", F.lit(j)), F.lit(1_000_003)) / 1e6).alias(c) for j, c in enumerate("abc")])
+        reps = LOF._distinct(df, ["a", "b", "c"], "ROTTA", 10)
+        near = LOF.nearest_points(reps, n, cell_rows=40)
+        work.append(near.agg(F.sum("pairs")).first()[0] / n)
+    assert work[1] < 1.5 * work[0] and work[1] < 8000 / 4
+
+
+def _forest_by_hand(rows, feats, n_trees, max_samples, seed):
+    """The forest's definition, tree by tree: {(tree, node): (feature, threshold, leaf value)}."""
+    import hashlib
+    import math
+
+    def number(text, at):
+        return int(hashlib.md5(text.encode()).hexdigest()[at:at + 8], 16)
+    out, n = {}, len(rows)
+    psi = min(max_samples, n)
+    for t in range(n_trees):
+        place = {k: (number(f"{k}|{seed}", 0) + t * number(f"{k}|{seed}", 8)) % IF.PLACES for k in rows}
+        sample = sorted((p, k) for k, p in place.items() if p < 3.0 * IF.PLACES * psi / n)[:psi]
+        stack = [(0, [rows[k] for _, k in sample], 0)]
+        while stack:
+            node, own, depth = stack.pop()
+            vary = [j for j in range(len(feats)) if min(x[j] for x in own) < max(x[j] for x in own)]
+            if len(own) <= 1 or depth >= math.ceil(math.log2(max(psi, 2))) or not vary:
+                out[t, node] = (-1, 0.0, depth + float(IF.c_factor([len(own)])[0]))
+                continue
+            u, v = [(number(f"{t}|{node}|{seed}|{what}", 0) + 0.5) / 2 ** 32 for what in ("feature", "threshold")]
+            f = vary[int(u * len(vary))]
+            lo, hi = min(x[f] for x in own), max(x[f] for x in own)
+            cut = lo + v * (hi - lo)
+            cut = cut if cut > lo else hi
+            out[t, node] = (f, cut, 0.0)
+            stack += [(2 * node + 1, [x for x in own if x[f] < cut], depth + 1),
+                      (2 * node + 2, [x for x in own if x[f] >= cut], depth + 1)]
+    return out
+
+
+def test_iforest_is_the_forest_grown_by_hand(cloud):
+    df, pdf = cloud
+    rows = {r[0]: list(r[1:]) for r in pdf.itertuples(index=False)}
+    got = {(r.tree_id, r.node): (r.feature, r.threshold, r.leaf_value)
+           for r in IF.fit(df, FEATS, n_trees=12, max_samples=32, seed=9).collect()}
+    want = _forest_by_hand(rows, FEATS, 12, 32, 9)
+    assert set(got) == set(want)
+    for k, (f, cut, h) in want.items():
+        assert got[k][0] == f and got[k][1] == pytest.approx(cut) and got[k][2] == pytest.approx(h)
+
+
+def test_iforest_of_equal_rows_and_one_row(spark):
+    """Nothing to split: one leaf a tree, every row as normal as any."""
+    for n in (1, 6):
+        df = spark.createDataFrame([(f"k{i}", 1.0, 2.0, 3.0) for i in range(n)], "ROTTA string, a double, b double, c double")
+        nodes = IF.fit(df, FEATS, n_trees=5)
+        assert [r.feature for r in nodes.collect()] == [-1] * 5
+        assert len({r.if_score for r in IF.score(df, nodes, FEATS).collect()}) == 1
+
+
 def test_iforest_planted_outliers_and_range(cloud):
     df, _ = cloud
     nodes = IF.fit(df, FEATS, n_trees=100, max_samples=128, seed=1)
