@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lanewatch.llm import textops
-from lanewatch.llm.common import kept, read, register, remove_dir, scratch_dir
+from lanewatch.llm.common import kept, read, register, remove_dir, scratch_dir, shuffle_partitions
 
 #: URL line fields by ARC version (fixed by the format)
 FIELDS = {1: "URL IP-address Archive-date Content-type Archive-length",
@@ -139,7 +139,9 @@ def _file(parts: list[bytes]) -> pa.RecordBatch:
 
 
 def _write(rows: DataFrame, folder: str) -> None:
-    rows.select(F.col("value").cast("string")).write.option("maxRecordsPerFile", 1).option("compression", "gzip").text(folder)
+    # archives of a run are read once or twice: quick compression
+    rows.select(F.col("value").cast("string")).write.option("maxRecordsPerFile", 1).option("compression", "gzip") \
+        .option("zlib.compress.level", "BEST_SPEED").text(folder)
 
 
 def _files(spark: SparkSession, folder: str) -> DataFrame:
@@ -227,8 +229,9 @@ def arc_records(spark: SparkSession, folder: str) -> DataFrame:
     return _files(spark, folder).mapInArrow(run, RECORD)
 
 
-def convert(spark: SparkSession, arc: str, warc: str, *, min_bytes: int = 1000) -> None:
-    """ARC files of a folder to WARC files in another, equal payloads as revisits."""
+def convert(spark: SparkSession, arc: str, warc: str, *, min_bytes: int = 1000, task_bytes: int = 32 << 20,
+            broadcast_bytes: int = 16 << 20) -> None:
+    """ARC files of a folder to WARC files in another, equal payloads as revisits (their list is broadcast up to a size)."""
     records = kept(arc_records(spark, arc))
     latest = F.max(F.struct("page_id", "path", "offset", "record_id", "uri", "date")).alias("first")
     shared = records.filter(F.col("payload_bytes") >= min_bytes).groupBy("sha256", "payload_bytes") \
@@ -236,7 +239,13 @@ def convert(spark: SparkSession, arc: str, warc: str, *, min_bytes: int = 1000)
     revisits = records.join(shared, ["sha256", "payload_bytes"]).filter(F.col("record_id") != F.col("first.record_id"))
     by_file = revisits.groupBy("path").agg(F.collect_list(F.struct(
         "offset", "first.record_id", "first.uri", "first.date")).alias("revisits"))
-    files = _files(spark, arc).join(by_file, "path", "left")
+    listed = revisits.agg(F.sum(F.length("first.record_id") + F.length("first.uri") + F.length("path") + 64)).first()[0] or 0
+    if listed <= broadcast_bytes:
+        files = _files(spark, arc).join(F.broadcast(by_file), "path", "left")
+    else:           # whole files meet their revisits: as many tasks as their bytes need
+        size = spark.read.format("binaryFile").load(arc).agg(F.sum("length")).first()[0] or 0
+        tasks = max(shuffle_partitions(spark), -(-size // task_bytes))
+        files = _files(spark, arc).repartition(tasks, "path").join(by_file.repartition(tasks, "path"), "path", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
