@@ -47,6 +47,13 @@ def minmax_scaled(c, lo: Column, hi: Column) -> Column:
     return F.when(hi > lo, (c - lo) / (hi - lo)).otherwise(F.lit(0.0))
 
 
+def safe_corr(a, b) -> Column:
+    """Pearson r as an aggregate; null (not an error) where one side is constant."""
+    a, b = col_(a), col_(b)
+    spread = F.stddev_pop(a) * F.stddev_pop(b)
+    return F.when(spread > 0, F.covar_pop(a, b) / spread)
+
+
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every floating column (used at result boundaries for stable compares)."""
     return df.select(*[

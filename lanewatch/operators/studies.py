@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lanewatch import constants as K
-from lanewatch.functions.columns import md5_uniform, sum_cols
+from lanewatch.functions.columns import md5_uniform, safe_corr, sum_cols
 from lanewatch.operators import rules as R
 from lanewatch.operators.detectors import ensemble as EN
 from lanewatch.operators.quantiles import quantiles, quantiles_by
@@ -68,9 +68,9 @@ def _scenario_metrics(scored: DataFrame, scenarios: list[dict], key: str, k: int
             F.count_if(F.col("score") >= F.col("hi")).alias("n_high"),
             F.count_if((F.col("score") >= F.col("med")) & (F.col("score") < F.col("hi"))).alias("n_medium"),
             F.count_if(F.col("score") < F.col("med")).alias("n_normal"),
-            F.corr("_ra", "_rb").alias("br_rank_corr"))
+            safe_corr("_ra", "_rb").alias("br_rank_corr"))
     else:
-        counts = ranked.groupBy("scenario_id").agg(F.corr("_ra", "_rb").alias("br_rank_corr"))
+        counts = ranked.groupBy("scenario_id").agg(safe_corr("_ra", "_rb").alias("br_rank_corr"))
     top = _top_k(ss, key, k)
     share = sampled_share(top.select(key).distinct(), key, n_boot, frac, seed)
     stab = top.join(share, on=key).groupBy("scenario_id").agg(F.avg("share").alias("stability"))
@@ -121,12 +121,13 @@ def weight_grid(scored: DataFrame, key: str = "ROTTA", steps: int = K.GRID_STEPS
     m = _scenario_metrics(scored, scen, key, k, n_boot, frac, seed, labels=False)
     coords = F.array(*[F.array(*[F.lit(c) for c in g]) for g in grid])
     g = F.element_at(coords, F.col("scenario_id") + 1)
-    rho = F.coalesce(F.nanvl(F.col("br_rank_corr"), F.lit(None)), F.lit(0.0))
+    rho = F.coalesce(F.col("br_rank_corr"), F.lit(0.0))
     out = m.select(*[g[i].alias(f"c_{d.lower()}") for i, d in enumerate(DETS)],
                    *[(g[i] / F.lit(float(steps))).alias(f"w_{d.lower()}") for i, d in enumerate(DETS)],
                    "stability", rho.alias("br_rank_corr"),
                    (stability_weight * F.col("stability") + (1 - stability_weight) * (rho + 1) / 2).alias("objective"))
-    w = Window.orderBy(F.desc("objective"), *[F.col(f"c_{d.lower()}") for d in DETS])
+    # vectors with equal rankings tie, whatever the order of summation did to the last digits
+    w = Window.orderBy(F.desc(F.round("objective", 9)), *[F.col(f"c_{d.lower()}") for d in DETS])
     return out.withColumn("rank", F.row_number().over(w))  # grid size is bounded by ``steps``
 
 
@@ -257,10 +258,12 @@ def topk_stability(scored: DataFrame, score_col: str = "ensemble_score", key: st
 # --------------------------------------------------------------- E9 / E10
 def refit_stability(scaled: DataFrame, features, labels: DataFrame, key: str = "ROTTA", n_iter: int = 100,
                     frac: float = K.BOOT_FRACTION, n_trees: int = K.N_TREES, contamination: float = K.CONTAMINATION,
-                    seed: int = K.RANDOM_STATE, stable: float = K.STABLE_SHARE, block: int = 100_000) -> DataFrame:
-    """Refit the forest on n_iter frac-subsamples (one applyInPandas job over
+                    seed: int = K.RANDOM_STATE, stable: float = K.STABLE_SHARE, block: int = 100_000,
+                    in_sample: bool = False) -> DataFrame:
+    """Refit the forest on n_iter frac-subsamples (one level-wise job over
     (iteration, tree) groups), flag every entity per iteration above the (1 - c)
-    quantile of that iteration's scores, report the flag frequency and stability."""
+    quantile of that iteration's scores, report the flag frequency and stability.
+    ``in_sample``: each refit flags its own subsample only; the frequency is then per appearance."""
     from lanewatch.operators.detectors import iforest as IF
     it = F.explode(F.sequence(F.lit(0), F.lit(n_iter - 1))).alias("it")
     rows = scaled.select(key, *features, it)
@@ -287,7 +290,7 @@ def refit_stability(scaled: DataFrame, features, labels: DataFrame, key: str = "
     # the contamination threshold belongs to the rows the forest was fitted on
     fitted = scores.filter(md5_uniform(F.col(key), F.col("it"), F.lit(seed)) < frac)
     thr = quantiles_by(fitted, {"s": "s"}, [1 - contamination], ("it",)).select("it", F.col("q")[0].alias("t"))
-    flagged = scores.join(thr, on="it").withColumn("flag", (F.col("s") > F.col("t")).cast("double"))
+    flagged = (fitted if in_sample else scores).join(thr, on="it").withColumn("flag", (F.col("s") > F.col("t")).cast("double"))
     freq = flagged.groupBy(key).agg(F.round(F.avg("flag"), 4).alias("bootstrap_frequency"))
     return (labels.select(key, "anomaly_label").join(freq, on=key, how="left")
                   .withColumn("is_stable", (F.col("bootstrap_frequency") >= stable).cast("int")))

@@ -1344,3 +1344,6 @@ def q_risk_pipeline_supplier_grain(spark, sf_dir):
     over many more entities (detectors, kNN blocks and forest sampling at entity scale)."""
     r = risk_pipeline(proxy.alarm_feed(spark, sf_dir, "supplier"), proxy.traveller_feed(spark, sf_dir, "supplier")).risk
     return r.withColumn("risk_drivers", F.array_join("risk_drivers", " | ")).select(*_FULL_COLS)
+
+
+from lanewatch.plans import three_detectors  # noqa: E402, F401  (registers its queries)
