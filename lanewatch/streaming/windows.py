@@ -2,13 +2,16 @@
 
 Line items arrive as a file stream (one file or a directory of part files, in any
 order of time); each micro-batch is joined to the static dimensions (orders,
-customers, suppliers, nations) and per-(tumbling window, route) aggregates are
-updated.  The watermark's delay is the event-time span of the source, so no record
-is late, whatever the order of the files; every update goes to the sink under its
-batch number, and the latest one of each window is the result, open windows
-included.  Windows are then scored with the window-level business rules against
-the frozen batch feature table.  Sink and checkpoint live under the shared
-``spark.checkpoint.dir``.
+customers, suppliers, nations) and aggregated per (tumbling window, route). The
+aggregates are sums and counts, so a batch's part of a window is written on its own,
+under the batch's number, and a window is the sum of its parts: the stream holds no
+state, however long it runs and however late a record is. The watermark (largest
+event time of earlier batches less ``delay``) says which windows are closed; parts that
+arrive for a closed window are marked as corrections and counted, not dropped. A
+batch that runs again overwrites its own folder; after every ``compact`` batches the
+parts are summed into one folder, so their number stays bounded. Windows are then scored
+with the window-level business rules against the frozen batch feature table. Sink and
+checkpoint live under the shared ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
@@ -28,21 +31,14 @@ def is_directory(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(where).isDirectory()
 
 
-def lateness_bound(spark: SparkSession, sf_dir: str) -> str:
-    """A delay that holds for the source: the span of its event times (read from one column)."""
-    span = table(spark, sf_dir, "lineitem").agg(F.datediff(F.max("l_shipdate"), F.min("l_shipdate"))).first()[0]
-    return f"{(span or 0) + 1} days"
-
-
-def alarm_stream(spark: SparkSession, sf_dir: str, delay: str | None = None, files_per_trigger: int = 1) -> DataFrame:
-    """Streaming alarm records with a watermark on the event time (by default the source's lateness bound)."""
+def alarm_stream(spark: SparkSession, sf_dir: str, files_per_trigger: int = 1) -> DataFrame:
+    """Streaming alarm records."""
     path = f"{sf_dir.rstrip('/')}/lineitem.parquet"
     reader = (spark.readStream.schema(table(spark, sf_dir, "lineitem").schema)
                    .option("maxFilesPerTrigger", files_per_trigger))
     raw = reader.parquet(path) if is_directory(spark, path) else \
         reader.option("pathGlobFilter", "lineitem.parquet").parquet(sf_dir)
     li = (raw.withColumn("ts", F.col("l_shipdate").cast("timestamp"))
-             .withWatermark("ts", delay or lateness_bound(spark, sf_dir))
              .filter(F.col("l_returnflag") == "R"))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
@@ -60,45 +56,96 @@ def alarm_stream(spark: SparkSession, sf_dir: str, delay: str | None = None, fil
                     lookup(MOTIVE_OF_PRIORITY, F.col("o_orderpriority")).alias("MOTIVO_ALLARME"))
 
 
-def windowed_route_aggregates(stream: DataFrame, window: str = "30 days") -> DataFrame:
-    m = F.col("MOTIVO_ALLARME")
-    return (stream.groupBy(F.window("ts", window).alias("w"), "ROTTA")
-                  .agg(F.count(F.lit(1)).alias("n_alarms"), F.sum("TOT").alias("tot"),
-                       F.count_if(m == "INTERPOL").alias("n_interpol"), F.count_if(m == "SDI").alias("n_sdi"),
-                       F.count(m).alias("n_motives")))
+SUMS = ["n_alarms", "tot", "n_interpol", "n_sdi", "n_motives"]
+KEYS = ["window_start", "window_end", "ROTTA"]
 
 
-def run_window_job(spark: SparkSession, sf_dir: str, window: str = "30 days", delay: str | None = None,
-                   timeout_s: int = 600) -> DataFrame:
-    """Run the stream to the end of the available input and return all windows in their last state.
+def windowed_route_aggregates(records: DataFrame, window: str = "30 days") -> DataFrame:
+    """A batch's part of every (window, route), and the largest event time in it."""
+    m = F.col("MOTIVO_ALLARME")
+    parts = records.groupBy(F.window("ts", window).alias("w"), "ROTTA").agg(
+        F.count(F.lit(1)).alias("n_alarms"), F.sum("TOT").alias("tot"), F.count_if(m == "INTERPOL").alias("n_interpol"),
+        F.count_if(m == "SDI").alias("n_sdi"), F.count(m).alias("n_motives"), F.max("ts").alias("latest"))
+    return parts.select("w.start", "w.end", "ROTTA", *SUMS, "latest")
+
+
+def summed(parts: DataFrame) -> DataFrame:
+    """Windows from their parts."""
+    return parts.groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in SUMS], F.sum("corrections").alias("corrections"),
+                                    F.max("latest").alias("latest"))
+
+
+class PartsSink:
+    """Writes each micro-batch's parts to ``folder/batch=n``; earlier parts are summed into one folder now and then."""
+
+    def __init__(self, spark: SparkSession, folder: str, window: str, delay: str, compact: int = 50):
+        self.spark, self.folder, self.window, self.delay, self.every = spark, folder, window, delay, compact
+        self.latest = self.done = None
+
+    def _path(self, name: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
+
+    def _folders(self) -> list[str]:
+        """Folders that count: the last sum and the batches behind it."""
+        top = self._path("")
+        fs = top.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        names = [f.getPath().getName() for f in fs.listStatus(top) if fs.exists(self._path(f"{f.getPath().getName()}/_SUCCESS"))] \
+            if fs.exists(top) else []
+        upto = max((int(n.split("=")[1]) for n in names if n.startswith("upto=")), default=-1)
+        return [f"upto={upto}"] * (upto >= 0) + sorted((n for n in names if n.startswith("batch=") and int(n.split("=")[1]) > upto),
+                                                       key=lambda n: int(n.split("=")[1]))
+
+    def parts(self, before: int | None = None) -> DataFrame | None:
+        names = [n for n in self._folders() if before is None or int(n.split("=")[1]) < before]
+        return self.spark.read.parquet(*[f"{self.folder}/{n}" for n in names]) if names else None
+
+    def __call__(self, batch: DataFrame, number: int) -> None:
+        if self.latest is None:                # also after a restart: what earlier batches saw
+            earlier = self.parts(before=number)
+            self.latest = earlier.agg(F.max("latest")).first()[0] if earlier is not None else None
+        closed = F.col("end") <= F.lit(self.latest) - F.expr(f"INTERVAL {self.delay}") if self.latest is not None else F.lit(False)
+        text = {c: F.date_format(c.removeprefix("window_"), "yyyy-MM-dd HH:mm:ss").alias(c) for c in KEYS[:2]}
+        out = windowed_route_aggregates(batch, self.window).select(
+            *text.values(), "ROTTA", *SUMS, F.when(closed, F.col("n_alarms")).otherwise(0).cast("long").alias("corrections"), "latest")
+        out.write.mode("overwrite").parquet(f"{self.folder}/batch={number}")
+        seen = self.spark.read.parquet(f"{self.folder}/batch={number}").agg(F.max("latest")).first()[0]
+        self.latest = max(x for x in (self.latest, seen) if x is not None) if seen or self.latest else None
+        names = self._folders()
+        if number % self.every == self.every - 1 and f"upto={number}" not in names:
+            summed(self.parts()).write.mode("overwrite").parquet(f"{self.folder}/upto={number}")
+            for name in names:                 # their sum is written
+                self._path(name).getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(self._path(name), True)
+
+
+def run_window_job(spark: SparkSession, sf_dir: str, window: str = "30 days", delay: str = "90 days",
+                   timeout_s: int = 600, compact: int = 50, progress: list | None = None) -> DataFrame:
+    """Run the stream to the end of the available input and return all windows with every record, and how many of
+    their alarms were ``corrections`` (came after the window had closed).
 
     Event times are wall-clock values; the job runs in UTC so window boundaries do not
-    depend on the caller's session time zone, and writes them as text.
+    depend on the caller's session time zone, and writes them as text. ``progress`` takes the query's reports.
     """
     base = scratch_path(spark, "stream-windows")
     tz = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     try:
-        agg = windowed_route_aggregates(alarm_stream(spark, sf_dir, delay), window).select(
-            F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
-            F.date_format("w.end", "yyyy-MM-dd HH:mm:ss").alias("window_end"),
-            "ROTTA", "n_alarms", "tot", "n_interpol", "n_sdi", "n_motives")
-        def sink(batch: DataFrame, number: int) -> None:      # a batch run again overwrites its own folder
-            batch.write.mode("overwrite").parquet(f"{base}/out/batch={number}")
-
-        q = (agg.writeStream.outputMode("update").foreachBatch(sink)
+        sink = PartsSink(spark, f"{base}/out", window, delay, compact)
+        q = (alarm_stream(spark, sf_dir).writeStream.outputMode("append").foreachBatch(sink)
              .option("checkpointLocation", f"{base}/checkpoint")
              .trigger(availableNow=True).start())
         q.awaitTermination(timeout_s)
         if q.isActive:
             q.stop()
             raise TimeoutError("window stream did not finish")
+        if progress is not None:
+            progress += q.recentProgress
+        parts = sink.parts()
     finally:
         spark.conf.set("spark.sql.session.timeZone", tz)
-    values = ["n_alarms", "tot", "n_interpol", "n_sdi", "n_motives"]
-    last = spark.read.parquet(f"{base}/out").groupBy("window_start", "window_end", "ROTTA") \
-        .agg(F.max_by(F.struct(*values), F.col("batch").cast("int")).alias("v"))
-    return last.select("window_start", "window_end", "ROTTA", "v.*")
+    if parts is None:
+        return spark.createDataFrame([], "window_start string, window_end string, ROTTA string, n_alarms long, tot double, "
+                                         "n_interpol long, n_sdi long, n_motives long, corrections long")
+    return summed(parts).select(*KEYS, *SUMS, "corrections")
 
 
 def score_windows(windows: DataFrame, frozen: DataFrame, key: str = "ROTTA") -> DataFrame:
