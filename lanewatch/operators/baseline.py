@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lanewatch import constants as K
 from lanewatch.functions.columns import sum_cols
-from lanewatch.operators.quantiles import quantiles
+from lanewatch.operators.quantiles import quantiles, quantiles_by
 
 
 def _number(v) -> Column:
@@ -80,17 +80,22 @@ def robust_zscores(df: DataFrame, features=None, prefix: str = "z_",
     zs = []
     for c in feats:
         med, std, mad = _number(meds[c]), _number(st[c]), _number(mads[c])
-        d = _x(c) - med
-        z = (F.when(mad > 0, d / (K.MAD_SCALE * mad))
-              .when(std.isNull(), F.lit(None).cast("double"))
-              .when(std > 0, d / std)
-              .otherwise(F.lit(0.0)))
-        zs.append(z.alias(prefix + c))
-    out = df.select("*", *zs)
-    absz = [F.abs(F.col(prefix + c)) for c in feats]
+        zs.append(_robust_z(_x(c) - med, mad, std).alias(prefix + c))
+    return _mean_abs(df.select("*", *zs), [prefix + c for c in feats], score_col)
+
+
+def _robust_z(off_median: Column, mad: Column, std: Column) -> Column:
+    return (F.when(mad > 0, off_median / (K.MAD_SCALE * mad))
+             .when(std.isNull(), F.lit(None).cast("double"))
+             .when(std > 0, off_median / std)
+             .otherwise(F.lit(0.0)))
+
+
+def _mean_abs(df: DataFrame, cols: list[str], out: str) -> DataFrame:
+    absz = [F.abs(F.col(c)) for c in cols]
     num = sum_cols([F.coalesce(a, F.lit(0.0)) for a in absz])
     den = sum_cols([F.when(a.isNotNull(), 1).otherwise(0) for a in absz])
-    return out.withColumn(score_col, F.when(den > 0, num / den))
+    return df.withColumn(out, F.when(den > 0, num / den))
 
 
 def medians_and_mads(df: DataFrame, feats: list[str], rows: int, exact: bool = True) -> tuple[dict, dict]:
@@ -100,6 +105,25 @@ def medians_and_mads(df: DataFrame, feats: list[str], rows: int, exact: bool = T
     return meds, {c: v[0] for c, v in quantiles(df, off, [0.5], at_most=rows, exact=exact).items()}
 
 
+def wide_quantiles(df: DataFrame, values: dict, q: float, by: tuple[str, ...], prefix: str) -> DataFrame:
+    """by..., one column ``prefix + name`` per value: its q-quantile in every group."""
+    long = quantiles_by(df, values, [q], by)
+    return long.groupBy(*by).agg(*[F.first(F.when(F.col("column") == c, F.col("q")[0]), True).alias(prefix + c) for c in values])
+
+
+def robust_zscores_by(df: DataFrame, by: tuple[str, ...], features=None, prefix: str = "z_", score_col: str = "baseline_score") -> DataFrame:
+    """B3 + B4 inside every group of ``by``, in one plan: group statistics are joined instead of inlined."""
+    feats, _ = available_features(df, features)
+    std = df.groupBy(*by).agg(*[F.stddev_samp(_x(c)).alias("_std_" + c) for c in feats])
+    med = wide_quantiles(df, {c: _x(c) for c in feats}, 0.5, by, "_med_")
+    known = df.join(std, list(by)).join(med, list(by))
+    mad = wide_quantiles(known, {c: F.abs(_x(c) - F.col("_med_" + c)) for c in feats}, 0.5, by, "_mad_")
+    known = known.join(mad, list(by))
+    out = known.select(*df.columns, *[_robust_z(_x(c) - F.col("_med_" + c), F.col("_mad_" + c), F.col("_std_" + c)).alias(prefix + c)
+                                      for c in feats])
+    return _mean_abs(out, [prefix + c for c in feats], score_col)
+
+
 def robust_stats(df: DataFrame, features=None, exact: bool = True) -> DataFrame:
     """Per feature mean, std, median, MAD and the scale used by the robust z."""
     feats, _ = available_features(df, features)
@@ -119,8 +143,13 @@ def robust_stats(df: DataFrame, features=None, exact: bool = True) -> DataFrame:
 def label_by_quantiles(df: DataFrame, score_col: str, out_col: str,
                        q_high: float = K.LABEL_QUANTILE_HIGH, q_medium: float = K.LABEL_QUANTILE_MEDIUM,
                        floor_high: float | None = None, floor_medium: float | None = None,
-                       exact: bool = True) -> DataFrame:
-    """HIGH at or above the q_high quantile, MEDIUM at or above q_medium."""
+                       exact: bool = True, by: tuple[str, ...] = ()) -> DataFrame:
+    """HIGH at or above the q_high quantile (of the whole table or of the row's group), MEDIUM at or above q_medium."""
+    if by:
+        q = quantiles_by(df, {"s": score_col}, [q_high, q_medium], by).select(
+            *by, F.col("q")[0].alias("_hi"), F.col("q")[1].alias("_med"))
+        return df.join(q, list(by), "left").withColumn(out_col, F.when(F.col(score_col) >= F.col("_hi"), "HIGH").when(
+            F.col(score_col) >= F.col("_med"), "MEDIUM").otherwise("NORMAL")).drop("_hi", "_med")
     hi, med = [_number(v) for v in quantiles(df, {"s": score_col}, [q_high, q_medium], exact=exact)["s"]]
     if floor_high is not None:
         hi = F.greatest(hi, F.lit(floor_high))

@@ -118,6 +118,16 @@ def minimise(evaluate, x: np.ndarray, iterations: int, memory: int = 10, tol: fl
     return x, False
 
 
+def _objective(vec: np.ndarray, n: float, loss: float, grad: np.ndarray, weights: np.ndarray, alpha: float) -> tuple[float, np.ndarray]:
+    l2 = alpha * vec * weights / n
+    return loss / n + 0.5 * float(l2 @ vec), grad / n + l2
+
+
+def _fit_rows(X: np.ndarray, sizes, start: np.ndarray, weights: np.ndarray, alpha: float, epochs: int) -> tuple[np.ndarray, bool]:
+    X = X[np.lexsort(X.T)]      # sums do not depend on the order of rows
+    return minimise(lambda v: _objective(v, max(len(X), 1.0), *loss_and_gradient(X, unflatten(v, sizes)), weights, alpha), start, epochs)
+
+
 def fit(train: DataFrame, features: list[str], key: str = "ROTTA", hidden=K.AE_HIDDEN,
         epochs: int = K.AE_MAX_EPOCHS, seed: int = K.RANDOM_STATE, alpha: float = 1e-4, rows_per_task: int = 50_000) -> np.ndarray:
     """Trained parameter vector (broadcast-sized: a few hundred doubles) after at most ``epochs`` full-batch steps."""
@@ -127,8 +137,7 @@ def fit(train: DataFrame, features: list[str], key: str = "ROTTA", hidden=K.AE_H
     start, tasks = flatten(init_params(sizes, seed)), max(1, math.ceil(train.count() / rows_per_task))
 
     def objective(vec: np.ndarray, n: float, loss: float, grad: np.ndarray) -> tuple[float, np.ndarray]:
-        l2 = alpha * vec * weights / n
-        return loss / n + 0.5 * float(l2 @ vec), grad / n + l2
+        return _objective(vec, n, loss, grad, weights, alpha)
 
     def trained(vec: np.ndarray, converged: bool) -> np.ndarray:
         if not converged:
@@ -138,8 +147,7 @@ def fit(train: DataFrame, features: list[str], key: str = "ROTTA", hidden=K.AE_H
     if tasks == 1:
         def whole(batches):
             X = np.concatenate([np.zeros((0, len(features))), *[b.to_numpy(dtype=float) for b in batches]])
-            X = X[np.lexsort(X.T)]      # sums do not depend on the order of rows
-            vec, ok = minimise(lambda v: objective(v, max(len(X), 1.0), *loss_and_gradient(X, unflatten(v, sizes))), start, epochs)
+            vec, ok = _fit_rows(X, sizes, start, weights, alpha, epochs)
             yield pd.DataFrame({"i": np.arange(-1, len(vec)), "x": np.concatenate([[ok], vec])})
 
         found = {r["i"]: r["x"] for r in train.select(*features).repartition(1).mapInPandas(whole, "i int, x double").collect()}
@@ -193,3 +201,42 @@ def autoencoder_scores(scaled: DataFrame, features: list[str], key: str = "ROTTA
     from lanewatch.session import keep
     err = keep(score(scaled, features, vec, key=key))  # read by the min/max and the projection
     return minmax(err, {"score_ae": "ae_error"}).select(key, "score_ae")
+
+
+def autoencoder_scores_by(scaled: DataFrame, features: list[str], group_col: str, key: str = "ROTTA", normal_col: str = "if_normal",
+                          seed: int = K.RANDOM_STATE, epochs: int | None = None, min_samples: int = K.AE_MIN_SAMPLES,
+                          alpha: float = 1e-4, rows_per_task: int = 50_000) -> DataFrame:
+    """(group, key, score_ae): one autoencoder per group; null where a group has too few normal rows.
+
+    Groups of at most ``rows_per_task`` rows are fitted side by side, one task each; a larger one by ``autoencoder_scores``.
+    """
+    from lanewatch.operators.detectors.ensemble import minmax
+    from lanewatch.session import keep
+    sizes, epochs = [len(features), *K.AE_HIDDEN, len(features)], epochs or K.AE_MAX_EPOCHS
+    weights = np.concatenate([np.r_[np.ones(a * b), np.zeros(b)] for a, b in zip(sizes[:-1], sizes[1:])])
+    start = flatten(init_params(sizes, seed))
+    counts = scaled.groupBy(group_col).agg(F.count(F.lit(1)).alias("n"))
+    large = [r[group_col] for r in counts.filter(F.col("n") > rows_per_task).collect()]      # a short list of groups
+    schema = T.StructType([scaled.schema[group_col], scaled.schema[key], T.StructField("ae_error", T.DoubleType())])
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        normal = pdf.loc[pdf[normal_col].to_numpy(dtype=bool), features].to_numpy(dtype=float)
+        out = pdf[[group_col, key]].copy()
+        out["ae_error"] = np.nan
+        if len(normal) >= min_samples:
+            vec, ok = _fit_rows(normal, sizes, start, weights, alpha, epochs)
+            if not ok:
+                warnings.warn(f"autoencoder: tolerance not reached within {epochs} steps", RuntimeWarning, stacklevel=1)
+            out["ae_error"] = reconstruction_error(pdf[features].to_numpy(dtype=float), unflatten(vec, sizes))
+        return out
+
+    small = scaled.filter(~F.col(group_col).isin(large)) if large else scaled
+    err = keep(small.select(group_col, key, normal_col, *features).groupBy(group_col).applyInPandas(one, schema)
+               .withColumn("ae_error", F.nanvl("ae_error", F.lit(None).cast("double"))))
+    out = minmax(err, {"score_ae": "ae_error"}, by=(group_col,)) \
+        .withColumn("score_ae", F.when(F.col("ae_error").isNotNull(), F.col("score_ae"))).select(group_col, key, "score_ae")
+    for g in large:
+        own = autoencoder_scores(scaled.filter(F.col(group_col) == g), features, key, normal_col, seed, epochs, min_samples)
+        if own is not None:
+            out = out.unionByName(own.select(F.lit(g).cast(scaled.schema[group_col].dataType).alias(group_col), key, "score_ae"))
+    return out

@@ -10,18 +10,24 @@ from lanewatch.functions.columns import clip, minmax_scaled, sum_cols
 from lanewatch.operators.baseline import label_by_quantiles, one_row
 
 
-def minmax(df: DataFrame, cols: dict[str, str], invert: bool = False) -> DataFrame:
-    """Min-max each source column to [0, 1] (constant -> 0); one aggregation
-    for all columns, consumed as a scalar subquery.  ``cols`` maps out <- source."""
-    st = one_row(df.agg(*[e for i, src in enumerate(cols.values()) for e in (
+def minmax(df: DataFrame, cols: dict[str, str], invert: bool = False, by: tuple[str, ...] = ()) -> DataFrame:
+    """Min-max each source column to [0, 1] (constant -> 0), over the table or every group of ``by``;
+    one aggregation for all columns.  ``cols`` maps out <- source."""
+    aggs = [e for i, src in enumerate(cols.values()) for e in (
         F.min(F.coalesce(F.col(src).cast("double"), F.lit(0.0))).alias(f"lo_{i}"),
-        F.max(F.coalesce(F.col(src).cast("double"), F.lit(0.0))).alias(f"hi_{i}"))]))
+        F.max(F.coalesce(F.col(src).cast("double"), F.lit(0.0))).alias(f"hi_{i}"))]
+    if by:
+        ends = [a for i in range(len(cols)) for a in (f"lo_{i}", f"hi_{i}")]
+        st = {a: F.col(a) for a in ends}
+        df = df.join(df.groupBy(*by).agg(*aggs), list(by))
+    else:
+        ends, st = [], one_row(df.agg(*aggs))
     out = {}
     for i, (dst, src) in enumerate(cols.items()):
         x = F.coalesce(F.col(src).cast("double"), F.lit(0.0))
         lo, hi = st[f"lo_{i}"], st[f"hi_{i}"]
         out[dst] = minmax_scaled(x, lo, hi) if not invert else minmax_scaled(-x, -hi, -lo)
-    return df.withColumns(out)
+    return df.withColumns(out).drop(*ends)
 
 
 def effective_weights(weights: dict | None = None, active=None) -> dict[str, float]:
@@ -40,10 +46,10 @@ def blend(df: DataFrame, weights: dict[str, float], out: str = "ensemble_score")
 
 
 def label(df: DataFrame, score_col: str = "ensemble_score", out: str = "anomaly_label",
-          floors: tuple[float, float] | None = None, exact: bool = True) -> DataFrame:
+          floors: tuple[float, float] | None = None, exact: bool = True, by: tuple[str, ...] = ()) -> DataFrame:
     """HIGH >= p97, MEDIUM >= p90 (optional floors 0.30 / 0.20)."""
     fh, fm = floors if floors else (None, None)
-    return label_by_quantiles(df, score_col, out, floor_high=fh, floor_medium=fm, exact=exact)
+    return label_by_quantiles(df, score_col, out, floor_high=fh, floor_medium=fm, exact=exact, by=by)
 
 
 def votes(df: DataFrame, cutoffs: dict | None = None) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lanewatch.operators.quantiles import quantiles
+from lanewatch.operators.quantiles import quantiles, quantiles_by
 
 EULER = 0.5772156649015329
 #: lottery places are numbers below this prime
@@ -51,7 +51,7 @@ def _md5_number(text: Column, at: int) -> Column:
 
 
 def samples(scaled: DataFrame, features: list[str], key: str, n_trees: int, max_samples: int, seed: int,
-            groups: list[str]) -> DataFrame:
+            groups: list[str], own_draws: bool = True) -> DataFrame:
     """(group..., tree_id, key, x, psi): the rows that each tree is grown on."""
     size = F.least(F.lit(max_samples), F.col("n")).cast("int")
     if groups:      # every group has its own sample size and candidate share
@@ -59,7 +59,7 @@ def samples(scaled: DataFrame, features: list[str], key: str, n_trees: int, max_
         sized = scaled.join(sizes, groups)
     else:
         sized = scaled.withColumn("n", F.lit(scaled.count())).withColumn("psi", size)
-    text = F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed)), *[F.col(g).cast("string") for g in groups])
+    text = F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed)), *[F.col(g).cast("string") for g in groups if own_draws])
     x = F.array(*[F.col(c).cast("double") for c in features])
     drawn = sized.select(*groups, F.col(key), x.alias("x"), "psi", "n", text.alias("_t")).select(
         *groups, key, "x", "psi", "n", _md5_number(F.col("_t"), 1).alias("a"), _md5_number(F.col("_t"), 9).alias("b"))
@@ -75,21 +75,22 @@ def samples(scaled: DataFrame, features: list[str], key: str, n_trees: int, max_
 
 
 def fit(scaled: DataFrame, features: list[str], key: str = "ROTTA", n_trees: int = 200,
-        max_samples: int = 256, seed: int = 42, group_col: str | None = None) -> DataFrame:
+        max_samples: int = 256, seed: int = 42, group_col: str | None = None, own_draws: bool = True) -> DataFrame:
     """Node table of an isolation forest.
 
     ``group_col`` (optional) trains one forest per value of that column — used
-    by refit studies and perimeter sweeps.
+    by refit studies and perimeter sweeps. ``own_draws=False``: every group draws what
+    a run on that group alone would draw.
     """
     groups = [group_col] if group_col else []
     tree = [*groups, "tree_id"]
-    rows = samples(scaled, features, key, n_trees, max_samples, seed, groups).withColumnRenamed(key, "_key").selectExpr(
+    rows = samples(scaled, features, key, n_trees, max_samples, seed, groups, own_draws).withColumnRenamed(key, "_key").selectExpr(
         *tree, "_key", "x", "psi", "0 AS node", "cast(ceil(log2(cast(greatest(psi, 2) AS double))) AS int) AS top",
         "cast(array() AS array<struct<node:int,feature:int,threshold:double,leaf_value:double,n:int>>) AS made")
     m, carried, ids = len(features), [*tree, "_key", "x", "psi", "top"], ", ".join(tree)
     over = f"OVER (PARTITION BY {ids}, node)"
     lo, hi = (", ".join(f"{f}(x[{j}]) {over}" for j in range(m)) for f in ("min", "max"))
-    who = ", ".join(f"cast({c} AS string)" for c in (*tree, "node"))
+    who = ", ".join(f"cast({c} AS string)" for c in (*(tree if own_draws else ["tree_id"]), "node"))
 
     def draw(what: str) -> str:
         """U(0, 1), ends excluded, from md5 of the '|'-joined parts."""
@@ -181,8 +182,34 @@ def score(scaled: DataFrame, nodes: DataFrame, features: list[str], key: str = "
     return scaled.select(*keep, key, *features).mapInPandas(run, schema)
 
 
+def score_by(scaled: DataFrame, nodes: DataFrame, features: list[str], group_col: str, key: str = "ROTTA",
+             out: str = "if_score") -> DataFrame:
+    """``score`` with the forest of each row's group; the forests of a short list of groups are broadcast together."""
+    spark = scaled.sparkSession
+    pdf = nodes.toPandas()          # bounded: groups x n_trees x (2*psi - 1) rows
+    forests = {g: (_pack(own), float(c_factor([int(own["psi"].iloc[0])])[0]) or 1.0) for g, own in pdf.groupby(group_col)}
+    bc = spark.sparkContext.broadcast(forests)
+
+    def run(batches):
+        for b in batches:
+            res = b[[group_col, key]].copy()
+            s = np.zeros(len(b))
+            for g, (packed, c) in bc.value.items():
+                own = (b[group_col] == g).to_numpy()
+                if own.any():
+                    s[own] = np.power(2.0, -path_lengths(b.loc[own, features].to_numpy(dtype=float), packed) / c)
+            res[out] = s
+            yield res
+
+    schema = T.StructType([scaled.schema[group_col], scaled.schema[key], T.StructField(out, T.DoubleType())])
+    return scaled.select(group_col, key, *features).mapInPandas(run, schema)
+
+
 def with_prediction(scores: DataFrame, contamination: float, col: str = "if_score",
-                    out: str = "if_normal") -> DataFrame:
-    """Inlier flag: score at or below its (1 - contamination) quantile."""
+                    out: str = "if_normal", by: tuple[str, ...] = ()) -> DataFrame:
+    """Inlier flag: score at or below its (1 - contamination) quantile, in the table or the row's group."""
+    if by:
+        t = quantiles_by(scores, {"t": col}, [1.0 - contamination], by).select(*by, F.col("q")[0].alias("_t"))
+        return scores.join(t, list(by)).withColumn(out, F.col(col) <= F.col("_t")).drop("_t")
     t = quantiles(scores, {"t": col}, [1.0 - contamination])["t"][0]
     return scores.withColumn(out, F.col(col) <= F.lit(t).cast("double"))

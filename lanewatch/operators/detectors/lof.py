@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lanewatch.functions.columns import sum_cols
 from lanewatch.session import keep
 
 #: relative slack of bounds against rounding
@@ -245,3 +246,19 @@ def local_outlier_factor(points: DataFrame, features: list[str], key: str = "ROT
                          cell_rows: int = 1024) -> DataFrame:
     nn = keep(knn(points, features, key=key, k=k, cell_rows=cell_rows))  # read by three joins
     return lof_from_knn(nn, key=key)
+
+
+def local_outlier_factor_by(points: DataFrame, features: list[str], group_col: str, key: str = "ROTTA", k: int = 20,
+                            cell_rows: int = 1024) -> DataFrame:
+    """(group, key, lof): the factor of every point inside its group, all groups in one set of jobs.
+
+    Groups lie apart along one more coordinate, farther than any two points of a group, so that a point's
+    nearest are of its own group as long as this has enough; neighbours of other groups do not count.
+    """
+    far = points.agg(F.sqrt(sum_cols([F.max(c) - F.min(c) for c in features]) ** 2).alias("d")).first()["d"] or 0.0
+    ids = F.concat_ws("|", F.col(group_col).cast("string"), F.col(key).cast("string"))
+    apart = points.select(group_col, key, ids.alias("_key"), *features, (F.col(group_col) * F.lit(4.0 * far + 1.0)).alias("_apart"))
+    nn = knn(apart, [*features, "_apart"], key="_key", k=k, cell_rows=cell_rows)
+    same = F.substring_index("_key", "|", 1) == F.substring_index("nbr", "|", 1)
+    lof = lof_from_knn(keep(nn.filter(same)), key="_key")
+    return apart.select(group_col, key, "_key").join(lof, "_key", "left").drop("_key")

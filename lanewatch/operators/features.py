@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lanewatch import constants as K
 from lanewatch.functions.columns import clip, safe_div, sum_cols
-from lanewatch.operators.quantiles import quantiles
+from lanewatch.operators.quantiles import quantiles, quantiles_by
 from lanewatch.session import keep
 
 
@@ -48,7 +48,7 @@ def merge_feeds(alarms: DataFrame, travellers: DataFrame) -> DataFrame:
     return a.join(agg, on=keys, how="left").drop("_data_key")
 
 
-def alarm_entity_aggregate(alarms: DataFrame, key: str = "ROTTA") -> DataFrame:
+def alarm_entity_aggregate(alarms: DataFrame, key: str = "ROTTA", by: tuple[str, ...] = ()) -> DataFrame:
     """Metadata, log volume, occurrence pivot, motive shares, derived rates."""
     a = alarms.filter(F.col(key).isNotNull())
     tot = F.col("TOT")
@@ -63,10 +63,10 @@ def alarm_entity_aggregate(alarms: DataFrame, key: str = "ROTTA") -> DataFrame:
     aggs += [F.sum(F.when(occ == v, tot)).alias(name) for v, name in K.OCCURRENCE_COLUMNS.items()]
     aggs += [F.count_if(mot == m).alias(f"_n_{m.lower()}") for m in K.MOTIVES]
     aggs.append(F.count(mot).alias("_n_motives"))
-    g = a.groupBy(key).agg(*aggs)
+    g = a.groupBy(*by, key).agg(*aggs)
 
     occ_cols = list(K.OCCURRENCE_COLUMNS.values())
-    out = [F.col(key), "ZONA", "PAESE_PART", "n_osservazioni_allarmi",
+    out = [*by, F.col(key), "ZONA", "PAESE_PART", "n_osservazioni_allarmi",
            clip("tot_allarmi_sum", lo=0).alias("tot_allarmi_sum"),
            F.log1p("tot_allarmi_sum").alias("tot_allarmi_log")]
     out += [clip(F.coalesce(F.col(c), F.lit(0.0)), lo=0).alias(c) for c in occ_cols]
@@ -84,7 +84,8 @@ def alarm_entity_aggregate(alarms: DataFrame, key: str = "ROTTA") -> DataFrame:
     )
 
 
-def traveller_entity_aggregate(travellers: DataFrame, key: str = "ROTTA", denominator: str = "observations") -> DataFrame:
+def traveller_entity_aggregate(travellers: DataFrame, key: str = "ROTTA", denominator: str = "observations",
+                               by: tuple[str, ...] = ()) -> DataFrame:
     """A8–A12 plus the J4 fallbacks (mode of country/zone), in one aggregation; outcome rates over ``observations`` or ``outcomes``."""
     t = travellers.filter(F.col(key).isNotNull())
     esito = F.col("ESITO_CONTROLLO")
@@ -104,12 +105,12 @@ def traveller_entity_aggregate(travellers: DataFrame, key: str = "ROTTA", denomi
         F.mode("ZONA", True).alias("_zona_fallback"),
     ]
     aggs += [F.count_if(esito == v).alias(name) for v, name in K.OUTCOME_COLUMNS.items()]
-    g = t.groupBy(key).agg(*aggs)
+    g = t.groupBy(*by, key).agg(*aggs)
     nobs = F.col("n_osservazioni_viag") if denominator == "observations" else sum_cols([F.col(c) for c in K.OUTCOME_COLUMNS.values()])
     rej = clip(safe_div("n_respinti", nobs), 0, 1)
     det = clip(safe_div("n_fermati", nobs), 0, 1)
     g = g.select(
-        key,
+        *by, key,
         clip("tot_entrati", lo=0).alias("tot_entrati"),
         clip("tot_allarmati", lo=0).alias("tot_allarmati"),
         clip("tot_investigati", lo=0).alias("tot_investigati"),
@@ -128,6 +129,9 @@ def traveller_entity_aggregate(travellers: DataFrame, key: str = "ROTTA", denomi
         .alias("score_rischio_esiti"),
     )
     g = keep(g)  # one row per entity; read twice
+    if by:
+        caps = quantiles_by(g, {"cap": "_api_raw"}, [0.99], by).select(*by, F.col("q")[0].alias("_cap"))
+        return g.join(caps, list(by), "left").withColumn("alarm_per_invest", F.least("_api_raw", "_cap")).drop("_api_raw", "_cap")
     cap = quantiles(g, {"cap": "_api_raw"}, [0.99])["cap"][0]
     return g.withColumn("alarm_per_invest", F.least(F.col("_api_raw"), F.lit(cap).cast("double"))).drop("_api_raw")
 
@@ -146,28 +150,30 @@ FEATURE_COLUMNS = (["ROTTA", "ZONA", "PAESE_PART"] + ALARM_NUMERIC + TRAVELLER_N
                    + TRAVELLER_CATEGORICAL + ["score_composito"])
 
 
-def entity_features(alarms: DataFrame, travellers: DataFrame, key: str = "ROTTA") -> DataFrame:
-    """The full per-entity feature table (+ score_composito)."""
-    a = alarm_entity_aggregate(alarms, key)
-    t = traveller_entity_aggregate(travellers, key)
-    j = a.join(t, on=key, how="full")
+def entity_features(alarms: DataFrame, travellers: DataFrame, key: str = "ROTTA", by: tuple[str, ...] = ()) -> DataFrame:
+    """The full per-entity feature table (+ score_composito); ``by``: one table per group, in one plan."""
+    a = alarm_entity_aggregate(alarms, key, by)
+    t = traveller_entity_aggregate(travellers, key, by=by)
+    j = a.join(t, on=[*by, key], how="full")
     blank = ["ND", "//", ""]
     paese = F.when(F.col("PAESE_PART").isin(blank), None).otherwise(F.col("PAESE_PART"))
     zona = F.col("ZONA").cast("string")
     zona = F.when(zona.isin(blank), None).otherwise(zona)
-    cols = [F.col(key),
+    cols = [*by, F.col(key),
             F.coalesce(zona, F.col("_zona_fallback").cast("string"), F.lit("ND")).alias("ZONA"),
             F.coalesce(paese, F.col("_paese_fallback"), F.lit("ND")).alias("PAESE_PART")]
     cols += [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in ALARM_NUMERIC + TRAVELLER_NUMERIC]
     cols += [F.coalesce(F.col(c), F.lit("ND")).alias(c) for c in TRAVELLER_CATEGORICAL]
     f = keep(j.select(*cols))
-    log_max = f.select(F.max("tot_allarmi_log")).scalar()
+    log_max = f.select(F.max("tot_allarmi_log")).scalar() if not by else F.col("_log_max")
+    if by:
+        f = f.join(f.groupBy(*by).agg(F.max("tot_allarmi_log").alias("_log_max")), list(by))
     w = K.COMPOSITE_WEIGHTS
     score = (F.col("tot_allarmi_log") / F.greatest(log_max, F.lit(1.0)) * w["log_volume"]
              + F.col("score_rischio_esiti") * w["outcome_risk"]
              + F.col("pct_interpol") * w["interpol"]
              + F.col("tasso_rilevanza") * w["relevance"])
-    return f.withColumn("score_composito", clip(score, 0, 1))
+    return f.withColumn("score_composito", clip(score, 0, 1)).drop("_log_max")
 
 
 def feature_quality_report(features: DataFrame) -> DataFrame:

@@ -21,8 +21,8 @@ def raw_alarms_cte() -> str:
   SELECT _rid,
     ' ' || lower(nc_name) || ' ' AS AREOPORTO_ARRIVO,
     lower(AREOPORTO_PARTENZA) AS AREOPORTO_PARTENZA,
-    CASE WHEN l_linenumber = 3 THEN '24' ELSE CAST(ANNO_PARTENZA AS VARCHAR) END AS ANNO_PARTENZA,
-    CASE WHEN l_linenumber = 2 THEN 'GEN' ELSE CAST(MESE_PARTENZA AS VARCHAR) END AS MESE_PARTENZA,
+    CASE WHEN l_linenumber IN (3, 6) THEN '24' ELSE CAST(ANNO_PARTENZA AS VARCHAR) END AS ANNO_PARTENZA,
+    CASE WHEN l_linenumber IN (2, 6) THEN 'GEN' ELSE CAST(MESE_PARTENZA AS VARCHAR) END AS MESE_PARTENZA,
     {date_s} AS DATA_PARTENZA,
     {tot_s} AS TOT,
     CASE WHEN l_linenumber = 7 THEN '?' ELSE CAST(ZONA AS VARCHAR) END AS ZONA,

@@ -104,22 +104,57 @@ def risk_of_features(feats: DataFrame, detectors=("IF", "LOF", "Z", "AE"), key:
     return PipelineResult(features=feats, baseline=base, scored=scored, risk=risk, weights=w)
 
 
+def score_entities_by(baseline: DataFrame, group_col: str, key: str = "ROTTA", features=None, seed: int = K.RANDOM_STATE) -> DataFrame:
+    """``score_entities`` with all four detectors inside every group, in one set of jobs."""
+    from lanewatch.operators.detectors import autoencoder as AE
+    from lanewatch.operators.detectors import iforest as IF
+    from lanewatch.operators.detectors import lof as LOF
+    from lanewatch.operators.detectors.scaling import standard_scale
+    feats, by, ids = list(features or K.BASELINE_FEATURES), (group_col,), [group_col, key]
+    df = EN.minmax(baseline, {"score_z": "baseline_score"}, by=by)
+    scaled = keep(standard_scale(df.select(*ids, *feats), feats, by=by))
+    forest = IF.fit(scaled, feats, key=key, n_trees=K.N_TREES, max_samples=K.MAX_SAMPLES, seed=seed, group_col=group_col,
+                    own_draws=False)
+    s_if = keep(IF.with_prediction(keep(IF.score_by(scaled, forest, feats, group_col, key)), K.CONTAMINATION, by=by))
+    scores = EN.minmax(s_if, {"score_if": "if_score"}, by=by).select(*ids, "score_if", "if_normal")
+    lof = keep(LOF.local_outlier_factor_by(scaled, feats, group_col, key, K.N_NEIGHBORS))
+    known = EN.minmax(lof.filter("lof IS NOT NULL"), {"score_lof": "lof"}, by=by)
+    scores = scores.join(known.select(*ids, "score_lof"), ids, "left")
+    ae = AE.autoencoder_scores_by(scaled.join(s_if.select(*ids, "if_normal"), ids), feats, group_col, key, seed=seed)
+    df = df.join(keep(scores.join(ae, ids, "left")), ids, "left")
+    # a group without an autoencoder spreads its weight over the others
+    with_ae, without = (EN.effective_weights(K.ENSEMBLE_WEIGHTS, d) for d in (["Z", "IF", "LOF", "AE"], ["Z", "IF", "LOF"]))
+    all_four = EN.blend(df, with_ae, "_with").withColumn("_has", F.col("score_ae").isNotNull())
+    df = EN.blend(all_four, without, "_without").withColumn("score_ae", F.coalesce("score_ae", F.lit(0.0)))
+    df = df.withColumn("ensemble_score", F.when(F.col("_has"), F.col("_with")).otherwise(F.col("_without"))).drop("_has", "_with", "_without")
+    return EN.votes(EN.label(keep(df), by=by))
+
+
 def perimeter_sweep(alarms: DataFrame, travellers: DataFrame, perimeters: list[dict],
                     key: str = "ROTTA") -> DataFrame:
     """The whole four-detector pipeline recomputed inside each perimeter (statistics and
     models are per perimeter, as for a single run); one row of tier counts per perimeter, zeros
-    for one without routes.  The perimeter list is a short parameter, so runs are issued one
-    after another."""
-    from lanewatch.operators.cleaning import apply_perimeter
-    out = None
-    for i, p in enumerate(perimeters):
-        a, t = apply_perimeter(alarms, p), apply_perimeter(travellers, p)
-        feats = materialise(FT.entity_features(a, t, key))
-        # nothing to fit without routes
-        risk = feats.select(F.lit(None).cast("string").alias("final_risk")) if feats.isEmpty() \
-            else risk_of_features(feats, key=key).risk
-        row = risk.agg(F.lit(i).alias("perimeter_id"), F.lit(str(sorted(p.items()))).alias("perimeter"),
-                       F.count(F.lit(1)).alias("n_routes"),
-                       *[F.count_if(F.col("final_risk") == tt).alias(tt) for tt in K.RISK_TIERS])
-        out = row if out is None else out.unionByName(row)
-    return out
+    for one without routes.  The perimeter is a grouping key: records are tagged with every
+    perimeter that holds them, and one set of jobs serves the whole list."""
+    risk = perimeter_risk(alarms, travellers, perimeters, key)
+    counts = risk.groupBy("perimeter_id").agg(F.count(F.lit(1)).alias("n_routes"),
+                                              *[F.count_if(F.col("final_risk") == tt).alias(tt) for tt in K.RISK_TIERS])
+    names = alarms.sparkSession.createDataFrame([(i, str(sorted(p.items()))) for i, p in enumerate(perimeters)],
+                                                "perimeter_id int, perimeter string")
+    return names.join(counts, "perimeter_id", "left").select(
+        "perimeter_id", "perimeter", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_routes", *K.RISK_TIERS)])
+
+
+def tagged(feed: DataFrame, perimeters: list[dict], out: str = "perimeter_id") -> DataFrame:
+    """Every record once for each perimeter that holds it."""
+    from lanewatch.operators.cleaning import perimeter_predicate
+    inside = F.array(*[F.when(perimeter_predicate(p), F.lit(i)) for i, p in enumerate(perimeters)])
+    return feed.select("*", F.explode(F.array_compact(inside)).alias(out))
+
+
+def perimeter_risk(alarms: DataFrame, travellers: DataFrame, perimeters: list[dict], key: str = "ROTTA") -> DataFrame:
+    """perimeter_id and the risk table of every perimeter."""
+    by = ("perimeter_id",)
+    feats = materialise(FT.entity_features(tagged(alarms, perimeters), tagged(travellers, perimeters), key, by))
+    base = keep(B.label_by_quantiles(keep(B.robust_zscores_by(feats, by)), "baseline_score", "baseline_flag", by=by))
+    return R.apply_rules(materialise(score_entities_by(base, by[0], key)))

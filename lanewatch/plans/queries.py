@@ -932,7 +932,19 @@ def q_silhouette(spark, sf_dir):
     return ST.silhouette(pts, FEATS, "lab")
 
 
-@register("cluster_indices")
+_LAB_SQL = RISK_SQL + ", " + O.scaled_cte("risk", "sc") + """,
+lab AS (SELECT sc.*, CASE WHEN r.anomaly_label <> 'NORMAL' THEN '1' ELSE '0' END AS lab FROM sc JOIN risk r USING (ROTTA))
+"""
+_CENTRED = " + ".join(f"(l.{c} - m.{c}) * (l.{c} - m.{c})" for c in FEATS)
+
+
+@register("cluster_indices", _LAB_SQL + f""", cen AS (SELECT lab, count(*) AS n, {', '.join(f'avg({c}) AS {c}' for c in FEATS)} FROM lab GROUP BY lab),
+alls AS (SELECT {', '.join(f'avg({c}) AS {c}' for c in FEATS)} FROM lab),
+disp AS (SELECT l.lab, avg(sqrt({_CENTRED})) AS s, sum({_CENTRED}) AS w FROM lab l JOIN cen m USING (lab) GROUP BY l.lab),
+gap AS (SELECT sqrt({_CENTRED}) AS d FROM cen l, cen m WHERE l.lab = '0' AND m.lab = '1'),
+bss AS (SELECT sum(l.n * ({_CENTRED})) AS b FROM cen l, alls m)
+SELECT round((SELECT sum(s) FROM disp) / (SELECT d FROM gap), 6) AS davies_bouldin,
+  round((SELECT b FROM bss) / ((SELECT sum(w) FROM disp) / (count(*) - 2)), 6) AS calinski_harabasz, 2 AS k FROM lab""")
 def q_cluster_indices(spark, sf_dir):
     """Davies–Bouldin and Calinski–Harabasz of the anomalous / normal split."""
     r = _risk_zonly(spark, sf_dir)
@@ -1346,4 +1358,47 @@ def q_risk_pipeline_supplier_grain(spark, sf_dir):
     return r.withColumn("risk_drivers", F.array_join("risk_drivers", " | ")).select(*_FULL_COLS)
 
 
+@register("silhouette_moments", _LAB_SQL + """, pd AS (SELECT a.ROTTA, a.lab AS la, b.lab AS lb, """ + " + ".join(
+    f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in FEATS) + """ AS d FROM lab a JOIN lab b ON a.ROTTA <> b.ROTTA),
+pp AS (SELECT ROTTA, avg(CASE WHEN la = lb THEN d END) AS a, avg(CASE WHEN la <> lb THEN d END) AS b, count_if(la = lb) AS na FROM pd GROUP BY ROTTA)
+SELECT round(avg(CASE WHEN na = 0 THEN 0.0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette_squared, CAST(count(*) AS BIGINT) AS n FROM pp""")
+def q_silhouette_moments(spark, sf_dir):
+    """Squared-Euclidean silhouette of the anomalous / normal split from cluster moments, in linear time."""
+    r = _risk_zonly(spark, sf_dir)
+    pts = standard_scale(r.select("ROTTA", *FEATS), FEATS).join(
+        r.select("ROTTA", F.when(F.col("anomaly_label") != "NORMAL", "1").otherwise("0").alias("lab")), on="ROTTA")
+    return ST.silhouette_moments(pts, FEATS, "lab")
+
+
+_INDICATORS = ["tot_allarmi_log", "pct_interpol", "pct_sdi", "pct_nsis", "score_rischio_esiti", "tasso_chiusura", "tasso_respinti"]
+
+
+@register("alert_profiles", RISK_SQL + ", " + _classic_cte() + f""", p AS (SELECT r.*, c.n_anomalie,
+  concat_ws(' | ', {', '.join(f"CASE WHEN c.flag_{f} = 1 THEN {O.q(f)} END" for f in FEATS)}) AS flags
+  FROM risk r JOIN classic c ON c.ROTTA = r.ROTTA WHERE r.final_risk IN ('CRITICAL', 'HIGH', 'MEDIUM') AND r.confidence >= 0.2)
+SELECT ROTTA AS rotta, PAESE_PART AS paese_partenza, {_ZONE_SQL_LABEL} AS zona, final_risk, anomaly_label, round_even(confidence, 4) AS confidence,
+  round_even(ensemble_score, 4) AS anomaly_score, round_even(br_score, 4) AS br_score, CAST(n_anomalie AS INTEGER) AS n_anomalie_baseline,
+  flags AS feature_anomale, risk_drivers AS business_rules_active, CAST(trunc(tot_allarmi_sum) AS BIGINT) AS tot_allarmi,
+  {', '.join(f'round_even({c}, 4) AS {c}' for c in _INDICATORS)},
+  {O.case_map('final_risk', R.RECOMMENDATIONS)} AS recommendation FROM p""")
+def q_alert_profiles(spark, sf_dir):
+    """Nested profile of every alert route (anomalous features, active rules, indicators, advice), flattened for the row."""
+    f = B.classic_baseline(_features(spark, sf_dir)).select("ROTTA", "n_anomalie", *["flag_" + c for c in FEATS])
+    p = R.profiles(_risk_zonly(spark, sf_dir).join(f, "ROTTA"))
+    return p.select("rotta", "paese_partenza", "zona", "final_risk", "anomaly_label", "confidence", "anomaly_score", "br_score",
+                    "n_anomalie_baseline", F.array_join("feature_anomale", " | ").alias("feature_anomale"),
+                    F.array_join("business_rules_active", " | ").alias("business_rules_active"), "indicators.*", "recommendation")
+
+
+@register("alarm_only_days", FEEDS_SQL + """SELECT ROTTA, strftime(DATA_PARTENZA, '%Y-%m-%d') AS day, CAST(count(*) AS BIGINT) AS n_alarms
+FROM alarms a WHERE ROTTA IS NOT NULL AND NOT EXISTS (SELECT 1 FROM travellers t WHERE t.ROTTA = a.ROTTA
+  AND strftime(t.DATA_PARTENZA, '%Y-%m-%d') = strftime(a.DATA_PARTENZA, '%Y-%m-%d')) GROUP BY ALL""")
+def q_alarm_only_days(spark, sf_dir):
+    """Days on which a route has alarms but no traveller records (anti join on route and day)."""
+    day = F.date_format("DATA_PARTENZA", "yyyy-MM-dd").alias("day")
+    a = _alarms(spark, sf_dir).filter(F.col("ROTTA").isNotNull()).select("ROTTA", day)
+    t = _trav(spark, sf_dir).select("ROTTA", day).distinct()
+    return a.join(t, ["ROTTA", "day"], "left_anti").groupBy("ROTTA", "day").agg(F.count(F.lit(1)).alias("n_alarms"))
+
+
 from lanewatch.plans import three_detectors  # noqa: E402, F401  (registers its queries)

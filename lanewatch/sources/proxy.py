@@ -161,8 +161,8 @@ def raw_alarm_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         "_rid",
         F.concat(F.lit(" "), F.lower(F.col("nc_name")), F.lit(" ")).alias("AREOPORTO_ARRIVO"),
         F.lower(F.col("AREOPORTO_PARTENZA")).alias("AREOPORTO_PARTENZA"),
-        F.when(ln == 3, F.lit("24")).otherwise(F.col("ANNO_PARTENZA").cast("string")).alias("ANNO_PARTENZA"),
-        F.when(ln == 2, F.lit("GEN")).otherwise(F.col("MESE_PARTENZA").cast("string")).alias("MESE_PARTENZA"),
+        F.when(ln.isin(3, 6), F.lit("24")).otherwise(F.col("ANNO_PARTENZA").cast("string")).alias("ANNO_PARTENZA"),
+        F.when(ln.isin(2, 6), F.lit("GEN")).otherwise(F.col("MESE_PARTENZA").cast("string")).alias("MESE_PARTENZA"),
         date_s.alias("DATA_PARTENZA"),
         tot_s.alias("TOT"),
         zone_s.alias("ZONA"),
