@@ -1063,6 +1063,13 @@ def q_attribution_top3(spark, sf_dir):
     return ST.top_attributions(ST.zeroing_attribution(pts, model, FEATS))
 
 
+@register("attribution_shapley")
+def q_attribution_shapley(spark, sf_dir):
+    """Sampled Shapley values of the surrogate per route and feature, with their standard errors."""
+    pts, model, _, _ = _surrogate(spark, sf_dir)
+    return ST.shapley_attribution(pts, model, FEATS)
+
+
 # ------------------------------------------------------------------ explanations
 from lanewatch.operators import explain as EX  # noqa: E402
 from lanewatch.sources.tables import table  # noqa: E402

@@ -59,3 +59,51 @@ def test_grid_summary_finds_production(scored):
     assert s["n_weight_vectors"] == 969
     assert s["production_rank"] is not None and 1 <= s["production_rank"] <= 969
     assert s["best_objective"] >= s["production_objective"]
+
+
+def test_shapley_values_sum_to_the_difference(spark):
+    """Steps telescope: a row's values sum to p(x) - p(0); a feature the model never uses gets 0."""
+    import numpy as np
+    import pytest
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.sql import functions as F
+
+    from lanewatch.operators import studies as ST
+    rng = np.random.default_rng(3)
+    rows = [(f"r{i}", *map(float, v), int(v[0] + v[1] > 0.5)) for i, v in enumerate(rng.normal(size=(60, 3)))]
+    df = spark.createDataFrame(rows, "ROTTA string, a double, b double, c double, is_anomaly int")
+    df = df.withColumn("idle", F.lit(1.0))
+    feats = ["a", "b", "c", "idle"]
+    model, _, _ = ST.surrogate(df, feats, max_iter=5)
+    got = {}
+    for r in ST.shapley_attribution(df, model, feats, n_orders=8).collect():
+        got.setdefault(r.ROTTA, {})[r.feature] = (r.attribution, r.error)
+    zero = spark.createDataFrame([("zero", 0.0, 0.0, 0.0, 0.0)], "ROTTA string, a double, b double, c double, idle double")
+    va = VectorAssembler(inputCols=feats, outputCol="_x")
+    p = {r.ROTTA: r.p for r in model.transform(va.transform(df.select("ROTTA", *feats).unionByName(zero)))
+         .select("ROTTA", vector_to_array("probability")[1].alias("p")).collect()}
+    for k, values in got.items():
+        assert sum(v for v, _ in values.values()) == pytest.approx(p[k] - p["zero"], abs=1e-9)
+        assert values["idle"][0] == 0.0 and all(e >= 0 for _, e in values.values())
+
+
+def test_moment_silhouette_equals_pairs(spark):
+    import numpy as np
+    import pytest
+
+    from lanewatch.operators import studies as ST
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(50, 2)) + np.repeat([[0, 0], [3, 1], [9, 9]], [30, 19, 1], axis=0)
+    lab = np.repeat(["x", "y", "z"], [30, 19, 1])
+    d = ((x[:, None] - x[None]) ** 2).sum(-1)
+    s = []
+    for i in range(50):
+        own = (lab == lab[i]) & (np.arange(50) != i)
+        if not own.any():
+            s.append(0.0)
+            continue
+        a, b = d[i, own].mean(), min(d[i, lab == c].mean() for c in set(lab) - {lab[i]})
+        s.append((b - a) / max(a, b))
+    df = spark.createDataFrame([(*map(float, v), str(c)) for v, c in zip(x, lab)], "a double, b double, label string")
+    assert ST.silhouette_moments(df, ["a", "b"], "label").first().silhouette_squared == pytest.approx(np.mean(s))
