@@ -71,3 +71,31 @@ def md5_uniform(*parts) -> Column:
     """
     s = F.concat_ws("|", *[col_(p).cast("string") for p in parts])
     return F.conv(F.substring(F.md5(s), 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)
+
+
+def let(value: Column, body) -> Column:
+    """body(value) with the value computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def shuffled_position(i, n: int, *label, walks: int = 64) -> Column:
+    """A keyed bijection of 0..n-1: where position ``i`` goes under the shuffle named by ``label``.
+
+    Positions are pairs in a grid of about sqrt(n) x sqrt(n) cells; four additive Feistel rounds (md5 of the label, the round and
+    the other half) permute the grid, and a result outside 0..n-1 is permuted again (at most about one in sqrt(n) is, and a
+    walk passes no cell twice). Shuffles need no sort, and SQL computes the same.
+    """
+    a = max(1, int(-(-(n ** 0.5) // 1)))
+    b = max(1, -(-n // a))
+
+    def number(step: int, x: Column) -> Column:
+        text = F.concat_ws("|", *[col_(p).cast("string") for p in label], F.lit(str(step)), x.cast("string"))
+        return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+
+    def once(x: Column) -> Column:
+        left, right = F.floor(x / b).cast("bigint"), F.pmod(x, F.lit(b))
+        return let((left + number(0, right)) % a, lambda l1: let((right + number(1, l1)) % b, lambda r1: let(
+            (l1 + number(2, r1)) % a, lambda l2: l2 * b + (r1 + number(3, l2)) % b)))
+
+    first = once(col_(i).cast("bigint"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(walks)), first, lambda x, _: F.when(x < n, x).otherwise(once(x)))

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lanewatch import constants as K
-from lanewatch.functions.columns import md5_uniform, safe_corr, sum_cols
+from lanewatch.functions.columns import md5_uniform, safe_corr, shuffled_position, sum_cols
 from lanewatch.operators import rules as R
 from lanewatch.operators.detectors import ensemble as EN
 from lanewatch.operators.quantiles import quantiles, quantiles_by
@@ -408,21 +408,19 @@ def permuted_scenarios(scaled: DataFrame, features, key: str = "ROTTA", n_perms:
                        seed: int = K.RANDOM_STATE) -> DataFrame:
     """Rows x (feature, permutation) scenarios with that feature shuffled across rows.
 
-    Within each scenario, the row at key-order position i takes the feature value
-    of the row at position i of a hash order md5(key|scenario|seed); both
-    positions are row_numbers over the scenario's own partition.
+    Rows are numbered once in order of the key. In a scenario the row at position i takes the
+    feature's value from position ``shuffled_position(i)``, a bijection keyed by the scenario, so
+    nothing is sorted per scenario: donors come by one equi-join on the position.
     """
     feats = list(features)
+    numbered = keep(dense_position(scaled.select(key, *feats), [F.col(key)], "_i").withColumn("_i", F.col("_i") - 1))
+    n = numbered.count()
     scen = F.array(*[F.struct(F.lit(j * n_perms + p).alias("sid"), F.lit(j).alias("fidx"), F.lit(p).alias("perm"))
                      for j in range(len(feats)) for p in range(n_perms)])
-    x = scaled.select(key, *feats, F.explode(scen).alias("sc")).select(
-        key, *feats, "sc.sid", "sc.fidx", "sc.perm")
-    vals = F.array(*[F.col(c) for c in feats])
-    h = F.md5(F.concat_ws("|", F.col(key).cast("string"), F.col("sid").cast("string"), F.lit(str(seed))))
-    x = dense_position_by(x, "sid", [F.col(key)], "_i")
-    donor = (dense_position_by(x.withColumn("_h", h), "sid", [F.col("_h"), F.col(key)], "_q")
-             .select("sid", F.col("_q").alias("_i"), F.element_at(vals, F.col("fidx") + 1).alias("_v")))
-    j = x.join(donor, on=["sid", "_i"])
+    x = numbered.select(key, *feats, "_i", F.explode(scen).alias("sc")).select(key, *feats, "_i", "sc.sid", "sc.fidx", "sc.perm")
+    x = x.withColumn("_from", shuffled_position("_i", n, F.lit(seed), "sid"))
+    donor = numbered.select(F.col("_i").alias("_at"), F.array(*[F.col(c) for c in feats]).alias("_row"))
+    j = x.join(donor, F.col("_from") == F.col("_at")).withColumn("_v", F.get("_row", F.col("fidx")))
     names = F.array(*[F.lit(c) for c in feats])
     return j.select("sid", F.element_at(names, F.col("fidx") + 1).alias("feature"), "perm", key,
                     *[F.when(F.col("fidx") == i, F.col("_v")).otherwise(F.col(c)).alias(c)

@@ -344,3 +344,15 @@ def iforest_cte(src: str, out: str, trees: int = 200, max_samples: int = 256, se
     c = "(CASE WHEN max(psi) > 2 THEN 2.0 * (ln(max(psi) - 1.0) + 0.5772156649015329) - 2.0 * (max(psi) - 1.0) / max(psi) ELSE 1.0 END)"
     ctes.append(f"{out} AS (SELECT {g}{key}, power(2.0, -avg(h) / {c}) AS if_score FROM {out}_p{levels + 1} GROUP BY {g}{key})")
     return ",\n".join(ctes)
+
+
+def shuffled_sql(i: str, n: str, label: str, walks: int = 64) -> str:
+    """The keyed bijection of 0..n-1 (grid sides a and b are columns of the row)."""
+    def once(x: str) -> str:
+        num = lambda step, v: _md5_number(f"concat_ws('|', {label}, '{step}', CAST({v} AS VARCHAR))", 1)
+        l1 = f"((({x}) // b + {num(0, f'({x}) % b')}) % a)"
+        r1 = f"((({x}) % b + {num(1, l1)}) % b)"
+        l2 = f"(({l1} + {num(2, r1)}) % a)"
+        return f"({l2} * b + ({r1} + {num(3, l2)}) % b)"
+
+    return (f"list_reduce(range({walks + 1}), lambda x, k: CASE WHEN k > 0 AND x < {n} THEN x ELSE {once('x')} END, CAST({i} AS BIGINT))")

@@ -1019,7 +1019,17 @@ def _forest(spark, sf_dir):
     return keep(IFm.fit(sc, FEATS, n_trees=K.N_TREES, max_samples=K.MAX_SAMPLES, seed=K.RANDOM_STATE))
 
 
-@register("permutation_importance")
+_PERMUTED = IF_SQL + f""", placed AS (SELECT *, row_number() OVER (ORDER BY ROTTA) - 1 AS i, count(*) OVER () AS n FROM scaled),
+sides AS (SELECT *, greatest(1, CAST(ceil(n / CAST(a AS DOUBLE)) AS BIGINT)) AS b FROM (SELECT *, CAST(ceil(sqrt(n)) AS BIGINT) AS a FROM placed)),
+moved AS (SELECT *, {O.shuffled_sql('i', 'n', "'42', CAST(sid AS VARCHAR)")} AS j FROM sides, range({len(FEATS)}) t(sid)),
+permuted AS (SELECT CAST(m.sid AS VARCHAR) || '#' || m.ROTTA AS ROTTA,
+  {', '.join(f'CASE WHEN m.sid = {k} THEN d.{c} ELSE m.{c} END AS {c}' for k, c in enumerate(FEATS))} FROM moved m JOIN placed d ON d.i = m.j),
+{O.iforest_cte("scaled", "again", score_src="permuted")}
+"""
+
+
+@register("permutation_importance", _PERMUTED + f"""SELECT ([{', '.join(O.q(c) for c in FEATS)}])[1 + CAST(string_split(ROTTA, '#')[1] AS INTEGER)] AS feature,
+  round(avg(if_score) - (SELECT avg(if_score) FROM forest), 6) AS importance FROM again GROUP BY 1""")
 def q_permutation_importance(spark, sf_dir):
     """Isolation-score shift after shuffling each feature."""
     return ST.permutation_importance(_scaled(spark, sf_dir), _forest(spark, sf_dir), FEATS)

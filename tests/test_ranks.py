@@ -26,3 +26,15 @@ def test_dense_and_average_ranks(spark):
     glob = {r["k"]: r["r"] for r in average_rank(df, "s", "k", "r", descending=True).collect()}
     exp_g = (-pdf["s"]).rank(method="average")
     assert all(abs(glob[k] - r) < 1e-9 for k, r in zip(pdf["k"], exp_g))
+
+
+def test_shuffled_positions_are_a_bijection(spark):
+    from pyspark.sql import functions as F
+
+    from lanewatch.functions.columns import shuffled_position
+    for n in (1, 2, 3, 5, 17, 625, 1000):
+        df = spark.range(n).select("id", *[shuffled_position("id", n, F.lit(7), F.lit(s)).alias(f"p{s}") for s in range(3)])
+        rows = df.collect()
+        assert all(sorted(r[f"p{s}"] for r in rows) == list(range(n)) for s in range(3))
+        if n > 100:
+            assert [r.p0 for r in rows] != [r.p1 for r in rows] and sum(r.p0 == r.id for r in rows) < 10
