@@ -867,6 +867,16 @@ def q_sensitivity_summary(spark, sf_dir):
     return ST.sensitivity_summary(ST.threshold_sensitivity(_risk_zonly(spark, sf_dir)))
 
 
+_MATRIX = dict(zip(["minus_10", "minus_5", "base", "plus_5", "plus_10"], K.SENSITIVITY_DELTAS))
+
+
+@register("sensitivity_matrix", RISK_SQL + ", " + _sens_sql() + "\nSELECT threshold, " + ", ".join(
+    f"CAST(max(CASE WHEN delta_pct = {float(d)!r} THEN HIGH END) AS BIGINT) AS {c}" for c, d in _MATRIX.items()) + " FROM sens GROUP BY threshold")
+def q_sensitivity_matrix(spark, sf_dir):
+    """HIGH-tier counts as a threshold x delta matrix."""
+    return ST.sensitivity_matrix(ST.threshold_sensitivity(_risk_zonly(spark, sf_dir))).toDF("threshold", *_MATRIX)
+
+
 @register("label_threshold_grid", RISK_SQL + """, qq AS (SELECT round(quantile_cont(ensemble_score, 0.97), 3) AS hi,
   round(quantile_cont(ensemble_score, 0.9), 3) AS med FROM risk),
 hs AS (SELECT unnest([0.3, 0.35, 0.4, 0.45, 0.5]) AS high_t UNION ALL SELECT hi FROM qq),
@@ -1285,6 +1295,22 @@ def q_csv_roundtrip(spark, sf_dir):
     return FS.load_csv(spark, path)
 
 
+@register("typed_csv_roundtrip", FEEDS_SQL + """SELECT CAST(_rid AS VARCHAR) AS rid, ROTTA, strftime(DATA_PARTENZA, '%Y-%m-%d %H:%M') AS departed,
+  round(CAST(TOT AS DOUBLE), 6) AS tot, concat_ws(' | ', MOTIVO_ALLARME, CAST(ZONA AS VARCHAR)) AS tags FROM alarms""")
+def q_typed_csv_roundtrip(spark, sf_dir):
+    """S2 + S3 + S5: alarm records with a list column written as CSV, read back with explicit types and a date format."""
+    from pyspark.sql.types import DoubleType, StringType, StructField, StructType, TimestampType
+    path = FS.scratch_path(spark, "typed-csv")
+    a = _alarms(spark, sf_dir)
+    FS.write_csv(a.select(F.col("_rid").cast("string").alias("rid"), "ROTTA",
+                          F.date_format("DATA_PARTENZA", "dd/MM/yyyy HH:mm").alias("departed"), F.col("TOT").cast("double").alias("tot"),
+                          F.array_compact(F.array("MOTIVO_ALLARME", F.col("ZONA").cast("string"))).alias("tags")), path)
+    schema = StructType([StructField("rid", StringType()), StructField("ROTTA", StringType()), StructField("departed", TimestampType()),
+                         StructField("tot", DoubleType()), StructField("tags", StringType())])
+    back = FS.load_typed(spark, path, schema, "csv", "dd/MM/yyyy HH:mm")
+    return back.withColumn("departed", F.date_format("departed", "yyyy-MM-dd HH:mm"))
+
+
 @register("json_roundtrip", RISK_SQL + """SELECT ROTTA, final_risk, round(confidence, 6) AS confidence,
   array_to_string(list_filter([""" + ", ".join(f"CASE WHEN {n} = 1 THEN {O.q(K.RULE_LABELS[n])} END" for n in K.RULE_LABELS)
           + """], lambda x: x IS NOT NULL), ' | ') AS risk_drivers FROM risk""")

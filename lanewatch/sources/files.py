@@ -7,6 +7,7 @@ session's ``spark.checkpoint.dir``), never to a machine-local temp folder.
 
 from __future__ import annotations
 
+import csv
 import json
 import time
 import uuid
@@ -25,24 +26,35 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def sniff_separator(spark: SparkSession, path: str) -> str:
-    """The first of , ; tab that splits the header line into more than one column."""
+def _header(spark: SparkSession, path: str) -> str:
     head = spark.read.text(path).limit(1).collect()
     if not head:
         raise ValueError(f"cannot load {path}: empty file")
-    line = head[0][0]
+    return head[0][0]
+
+
+def _columns(line: str, sep: str) -> list[str]:
+    """Names in a header line; a separator inside quotes belongs to the name."""
+    return [c.strip() for c in next(csv.reader([line], delimiter=sep))]
+
+
+def _separator(line: str, path: str) -> str:
     for sep in SEPARATORS:
-        if len(line.split(sep)) > 1:
+        if len(_columns(line, sep)) > 1:
             return sep
     raise ValueError(f"cannot load {path}: no separator among {SEPARATORS!r}")
 
 
+def sniff_separator(spark: SparkSession, path: str) -> str:
+    """The first of , ; tab that splits the header line into more than one column."""
+    return _separator(_header(spark, path), path)
+
+
 def load_csv(spark: SparkSession, path: str, sep: str | None = None) -> DataFrame:
-    """All-string CSV read with an explicit schema built from the header line."""
-    sep = sep or sniff_separator(spark, path)
-    header = spark.read.text(path).limit(1).collect()[0][0]
-    cols = [c.strip().strip('"') for c in header.split(sep)]
-    schema = StructType([StructField(c, StringType()) for c in cols])
+    """All-string CSV read with an explicit schema built from the header line (read once)."""
+    head = _header(spark, path)
+    sep = sep or _separator(head, path)
+    schema = StructType([StructField(c, StringType()) for c in _columns(head, sep)])
     return (spark.read.schema(schema).option("header", True).option("sep", sep).option("mode", "PERMISSIVE")
                  .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
                  .option("nullValue", None).csv(path))
