@@ -6,6 +6,7 @@ here are ASCII, so splitting UTF-8 bytes equals splitting code points.
 
 from __future__ import annotations
 
+import ctypes
 from dataclasses import dataclass
 
 import numpy as np
@@ -184,7 +185,15 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = 8 << 20):
         hi = min(hi, n)
         yield batch.slice(lo, hi - lo)
         lo = hi
-    pa.default_memory_pool().release_unused()      # workers are reused: give back what this batch took
+    give_back()
+
+
+def give_back() -> None:
+    """Workers are reused by later stages: return freed memory of this one to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc keeps freed pages otherwise
+    if trim is not None:
+        trim(0)
 
 
 def offsets_of(col: pa.Array) -> np.ndarray:
