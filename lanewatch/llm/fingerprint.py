@@ -43,28 +43,30 @@ def positioned(text: Column, k: int = 4, s: int = 2) -> Column:
         return F.when((F.size(w) < k) | (F.char_length(line) > F.size(w) * 32), F.filter(F.split(line, ""), lambda c: c != "")) \
             .otherwise(w)
     hashed = F.transform(_let(words, symbols), lambda w: F.xxhash64(w))
-    # s-mer hashes: xxhash64 of s neighbouring symbol hashes
+    # neighbours are read by place: no array of pairs or triples is made
+    def runs(x: Column, n: int, body) -> Column:
+        """body(item, item after it, ...) over every run of n items."""
+        first = F.slice(x, 1, F.greatest(F.size(x) - (n - 1), F.lit(0)))
+        return F.transform(first, lambda item, i: body([item, *[F.get(x, i + j) for j in range(1, n)]], i))
     def smers(h: Column) -> Column:
-        parts = [F.slice(h, j + 1, F.greatest(F.size(h) - s + 1, F.lit(0))) for j in range(s)]
-        return F.transform(F.arrays_zip(*parts), lambda z: F.xxhash64(*[z[str(j)] for j in range(s)]))
+        return runs(h, s, lambda z, i: F.xxhash64(*z))
     inner = k - s + 1
     def anchor(h: Column, pos: Column) -> Column:
         return F.struct(F.shiftrightunsigned(h, 16).alias("hash"), pos.cast("int").alias("pos"))
-    def kmers(m: Column, n: Column) -> Column:
-        runs = [F.slice(m, j + 1, F.greatest(n - k + 1, F.lit(0))) for j in range(inner)]
-        def edge(z: Column) -> Column:
-            return F.least(z["0"], z[str(inner - 1)]) <= F.least(*[z[str(j)] for j in range(inner)])
+    def kmers(m: Column) -> Column:
+        def edge(z: list[Column]) -> Column:
+            return F.least(z[0], z[-1]) <= (F.least(*z[1:-1]) if inner > 3 else z[1] if inner == 3 else F.least(*z))
         # a k-mer is known by its s-mers
-        return F.filter(F.transform(F.arrays_zip(*runs), lambda z, i: F.when(
-            edge(z), anchor(F.xxhash64(*[z[str(j)] for j in range(0, inner)]), i))), lambda x: x.isNotNull())
+        found = runs(m, inner, lambda z, i: F.when(edge(z), anchor(F.xxhash64(*z), i)))
+        return F.filter(found, lambda x: x.isNotNull())
     return _let(hashed, lambda h: F.when(F.size(h) == 0, F.array().cast("array<struct<hash:bigint,pos:int>>"))
                 .when(F.size(h) < k, F.array(anchor(F.xxhash64(h), F.lit(0))))
-                .otherwise(_let(smers(h), lambda m: kmers(m, F.size(h)))))
+                .otherwise(_let(smers(h), kmers)))
 
 
 def sketch(found: Column, size: int = 64) -> Column:
     """The ``size`` least distinct hashes of positioned anchors, ascending."""
-    return F.slice(F.array_sort(F.array_distinct(found["hash"])), 1, size)
+    return F.slice(F.sort_array(F.array_distinct(found["hash"])), 1, size)
 
 
 def anchors(text: Column, k: int = 4, s: int = 2, size: int = 64) -> Column:
@@ -95,7 +97,7 @@ def passages(a: Column, b: Column, k: int = 4, gap: int = 16) -> Column:
                 F.sequence(F.lit(0), n - 1), lambda t: F.struct(
                     (F.get(rows, mid - 1 + t)["pos"] - F.get(rows, i - 1 + t)["pos"]).alias("off"),
                     F.get(rows, i - 1 + t)["pos"].alias("pos"))))
-        return F.array_sort(F.flatten(F.filter(F.transform(at, pair), lambda x: x.isNotNull())))
+        return F.sort_array(F.flatten(F.filter(F.transform(at, pair), lambda x: x.isNotNull())))
 
     def joined(m: Column) -> Column:
         at = starts(m, lambda x, y: (x["off"] != y["off"]) | (x["pos"] - y["pos"] > gap + k))
@@ -112,8 +114,45 @@ def passages(a: Column, b: Column, k: int = 4, gap: int = 16) -> Column:
         return _let(starts(rows, lambda x, y: (x["hash"] != y["hash"]) | (x["side"] != y["side"])),
                     lambda at: _let(pairs(rows, at), joined))
 
-    return F.when(F.arrays_overlap(a["hash"], b["hash"]), _let(F.array_sort(F.concat(side(a, 0), side(b, 1))), of)) \
-        .otherwise(F.array()).cast(kind)
+    # hashes that occur once a side, at places below 2**15 (most texts): hash, side and place are one long
+    plain = F.lit(gap + k < 1 << 15) & (F.element_at(a, -1)["pos"] < 1 << 15) & (F.element_at(b, -1)["pos"] < 1 << 15) \
+        & (F.size(F.array_distinct(a["hash"])) == F.size(a)) & (F.size(F.array_distinct(b["hash"])) == F.size(b))
+    return F.when(~F.arrays_overlap(a["hash"], b["hash"]), F.array().cast(kind)) \
+        .when(plain, _plain_passages(a, b, k, gap).cast(kind)) \
+        .otherwise(_let(F.sort_array(F.concat(side(a, 0), side(b, 1))), of).cast(kind))
+
+
+def _plain_passages(a: Column, b: Column, k: int, gap: int) -> Column:
+    """``passages`` of anchors with distinct hashes and places below 2**15, on longs: sorted, neighbours that differ in the
+    side alone are pairs; pairs are offset and place in one long, sorted again and cut where the offset changes or a hole is."""
+    def packed(x: Column, side: int) -> Column:
+        return F.transform(x, lambda r: F.shiftleft(r["hash"], 16).bitwiseOR(r["pos"].cast("long")).bitwiseOR(F.lit(side << 15).cast("long")))
+
+    low, high = F.lit((1 << 15) - 1).cast("long"), F.lit(1 << 16).cast("long")
+
+    def pair(x: Column, y: Column) -> Column:
+        mine, other = x.bitwiseAND(low), y.bitwiseAND(low)
+        return F.when(F.shiftrightunsigned(x.bitwiseXOR(y), 16) == 0, (other - mine) * high + mine)
+
+    def pairs(rows: Column) -> Column:
+        found = F.transform(F.slice(rows, 1, F.size(rows) - 1), lambda x, i: pair(x, F.get(rows, i + 1)))
+        return F.sort_array(F.filter(found, lambda x: x.isNotNull()))
+
+    def starts(m: Column) -> Column:
+        # one offset and a small step of the place are a small step of the long
+        return F.filter(F.transform(m, lambda x, i: F.when((i == 0) | (x - F.get(m, i - 1) > gap + k), i)), lambda x: x.isNotNull())
+
+    def passage(m: Column, at: Column) -> Column:
+        def one(s: Column, j: Column) -> Column:
+            upto = F.coalesce(F.get(at, j + 1), F.size(m))
+            head = F.get(m, s)
+            pos = F.pmod(head, high)
+            return F.struct(pos.cast("int").alias("pos"), (pos + F.shiftright(head - pos, 16)).cast("int").alias("other"),
+                            (F.get(m, upto - 1) - head + k).cast("int").alias("length"), (upto - s).alias("anchors"))
+        return F.transform(at, one)
+
+    rows = F.sort_array(F.concat(packed(a, 0), packed(b, 1)))
+    return _let(_let(rows, pairs), lambda m: _let(starts(m), lambda at: passage(m, at)))
 
 
 def _let(value: Column, body) -> Column:
@@ -127,7 +166,7 @@ def as_text(a: Column) -> Column:
 
 def likeness(a: Column, b: Column, size: int = 64) -> Column:
     """Jaccard estimate: share of the ``size`` least values of the union that both have."""
-    union = F.slice(F.array_sort(F.array_union(a, b)), 1, size)
+    union = F.slice(F.sort_array(F.array_union(a, b)), 1, size)
     both = F.size(F.array_intersect(F.array_intersect(a, b), union))
     return F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0)) \
         .otherwise(both / F.greatest(F.size(union), F.lit(1)).cast("double"))
