@@ -20,8 +20,9 @@ def test_sweep_equals_single_runs(spark):
         swept.setdefault(r.perimeter_id, {})[r.ROTTA] = r
     rows = {r.perimeter_id: r for r in P.perimeter_sweep(alarms, travellers, perimeters).collect()}
     assert rows[1].n_routes == 0 and all(rows[1][t] == 0 for t in K.RISK_TIERS) and 1 not in swept
-    weights = EN.effective_weights()
-    for i in swept:
+    for i in swept:          # a perimeter with too few normal routes has no autoencoder
+        fitted = any(r.score_ae for r in swept[i].values())
+        weights = EN.effective_weights(active=["IF", "LOF", "Z", "AE"] if fitted else ["IF", "LOF", "Z"])
         for r in swept[i].values():
             blend = sum(w * r[K.DETECTOR_SCORE_COLUMNS[d]] for d, w in weights.items())
             assert r.ensemble_score == pytest.approx(min(max(blend, 0.0), 1.0))
@@ -33,5 +34,6 @@ def test_sweep_equals_single_runs(spark):
             assert swept[i][r.ROTTA][c] == pytest.approx(r[c], abs=1e-6), (r.ROTTA, c)
     # the autoencoder's fit follows the last digits of its inputs, which depend on the order of summation
     a, b = ([x[r.ROTTA].score_ae for r in one] for x in (swept[i], {r.ROTTA: r for r in one}))
-    assert np.corrcoef(a, b)[0, 1] > 0.97
+    assert any(a) == any(b) and (not any(a) or np.corrcoef(a, b)[0, 1] > 0.97)
+    assert any(r.score_ae for r in swept[0].values())
     assert np.mean([swept[i][r.ROTTA].final_risk == r.final_risk for r in one]) > 0.95
