@@ -56,7 +56,12 @@ class Rule:
         in_path = PY_TOKEN.findall(self.path)
         self.tokens = sorted({*PY_TOKEN.findall(self.host), *(in_path[:-1] if ends_in_token else in_path)})
         # a host that starts inside a label cannot occur: subdomains end with a dot
-        self.order = (len(text), len(self.host), [-ord(c) for c in text])
+        self.order = self.order_of(text)
+
+    @staticmethod
+    def order_of(text: str) -> tuple:
+        """Of fitting rules the greatest wins: the longest, then the longer host, then the first in code points."""
+        return len(text), text.find("/") if "/" in text else len(text), [-ord(c) for c in text]
 
     def fits(self, host: str, path: str) -> bool:
         return path.startswith(self.path) and self.expression.fullmatch(host) is not None
@@ -106,9 +111,8 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], *, page_id: str = "pag
     names = df.columns
     for at in range(0, len(known), max_rules):
         shared = spark.sparkContext.broadcast(index(known[at:at + max_rules], counts))
-        best_so_far = {r.text: r for r in known} if at else {}
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared, before=best_so_far) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             filed, always = shared.value
             for batch in batches:
                 rule, verdict = batch.column("rule").to_pylist(), batch.column("verdict").to_pylist()
@@ -118,12 +122,11 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], *, page_id: str = "pag
                         continue
                     near = [r for t in set(PY_TOKEN.findall(f"{h}\n{p}")) for r in filed.get(t, ())] + always
                     fits = [r for r in near if r.fits(h, p)]
-                    if rule[i] is not None:
-                        fits.append(before[rule[i]])
                     tried[i] += len(near)
                     if fits:
                         best = max(fits, key=lambda r: r.order)
-                        rule[i], verdict[i] = best.text, best.verdict
+                        if rule[i] is None or best.order > Rule.order_of(rule[i]):      # the best of earlier blocks is its text
+                            rule[i], verdict[i] = best.text, best.verdict
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("page_id"), batch.column("host"), batch.column("path"), pa.array(rule, pa.string()),
                      pa.array(verdict, pa.string()), pa.array(tried, pa.int64())], names)
