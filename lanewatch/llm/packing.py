@@ -20,7 +20,6 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,58 +34,84 @@ from lanewatch.llm.common import bounded_batches, dense_index, kept, read, regis
 CAPACITY = 4096
 
 
+class Remembered(dict):
+    """Ids (bytes, little-endian 32 bits) by key: a full generation becomes the old one, which is asked before ``encode``."""
+
+    def __init__(self, encode, limit: int):
+        super().__init__()
+        self.encode, self.limit, self.old = encode, limit, {}
+
+    def __missing__(self, key: str) -> bytes:
+        ids = self.old.get(key)
+        if ids is None:
+            ids = self.encode(key)
+        if len(key) <= 64:
+            if len(self) >= self.limit:
+                self.old = dict(self)
+                self.clear()
+            self[key] = ids
+        return ids
+
+
 class WordIds:
-    """Ids of the word-end BPE by ``tokenizers``, each distinct word encoded once.
+    """Ids of the word-end BPE by ``tokenizers``, common words encoded once per worker.
 
     The vocabulary drops white space, so a text's ids are those of its
     blank-separated chunks. Plain chunks (printable ASCII and Latin letters, for
-    which lower-casing and splitting are fixed) go to the BPE model directly;
-    every other chunk goes through the whole tokenizer.
+    which lower-casing and splitting are fixed) are split all at once and their
+    pieces go to the BPE model directly; every other chunk goes through the whole
+    tokenizer. Pieces are remembered over batches and partitions, in two
+    generations of at most ``cache`` entries (some 50 MB in all).
     """
 
     PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
-    #: the vocabulary's own splitting pattern, on lower-case plain chunks
-    PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+    #: the vocabulary's own splitting pattern, on lower-case plain chunks, one a line
+    PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ\n]+|\n")
 
     def __init__(self, path: str, cache: int = 150_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        self.tokenizer, self.limit = Tokenizer.from_file(path), cache
-        self.model, self.bytes, self.known = self.tokenizer.model, self.tokenizer.pre_tokenizer, {}
-        self.chunks: dict[str, list[int]] = {}
-
-    def _piece(self, p: str) -> list[int]:
-        ids = self.known.get(p)
-        if ids is None:
-            if len(self.known) >= self.limit:
-                self.known.clear()
-            parts = [p] if p.isascii() else [s for s, _ in self.bytes.pre_tokenize_str(p)]
-            ids = self.known[p] = [t.id for s in parts for t in self.model.tokenize(s)]
-        return ids
-
-    def chunk(self, c: str) -> list[int]:
-        if self.PLAIN.fullmatch(c) and "<|" not in c:
-            return [i for p in self.PIECES.findall(c.lower()) for i in self._piece(p)]
-        return self.tokenizer.encode(c, add_special_tokens=False).ids
+        self.tokenizer = Tokenizer.from_file(path)
+        self.model, self.bytes = self.tokenizer.model, self.tokenizer.pre_tokenizer
+        self.pieces, self.others = Remembered(self._piece, cache), Remembered(self._other, cache // 8)
+
+    def _piece(self, p: str) -> bytes:
+        if p == "\n":
+            return b""
+        parts = [p] if p.isascii() else [s for s, _ in self.bytes.pre_tokenize_str(p)]
+        return np.array([t.id for s in parts for t in self.model.tokenize(s)], dtype="<u4").tobytes()
+
+    def _other(self, c: str) -> bytes:
+        return np.array(self.tokenizer.encode(c, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _coded(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids of distinct chunks, plain ones first, and the ids' bounds by chunk in the given order."""
+        plain = [bool(c and self.PLAIN.fullmatch(c) and "<|" not in c) for c in chunks]
+        own = [c for c, p in zip(chunks, plain, strict=True) if p]
+        pieces = self.PIECES.findall("\n".join(own).lower()) if own else []
+        coded = list(map(self.pieces.__getitem__, pieces))
+        lens = np.fromiter(map(len, coded), dtype=np.int64, count=len(coded)) // 4
+        ends = np.concatenate([[0], np.cumsum(lens)])
+        line = np.fromiter(map("\n".__eq__, pieces), dtype=bool, count=len(pieces))
+        cut = np.concatenate([[0], np.flatnonzero(line), [len(pieces)]]) if own else np.zeros(1, dtype=np.int64)
+        bounds = ends[cut]
+        others = [self.others[c] if c else b"" for c, p in zip(chunks, plain, strict=True) if not p]
+        more = bounds[-1] + np.concatenate([[0], np.cumsum(np.fromiter(map(len, others), dtype=np.int64, count=len(others)) // 4)])
+        flat = np.frombuffer(b"".join(coded) + b"".join(others), dtype="<u4")
+        is_plain = np.array(plain, dtype=bool)
+        first, n = np.empty(len(chunks), dtype=np.int64), np.empty(len(chunks), dtype=np.int64)
+        first[is_plain], n[is_plain] = bounds[:-1], np.diff(bounds)
+        first[~is_plain], n[~is_plain] = more[:-1], np.diff(more)
+        return flat, np.stack([first, n])
 
     def batch(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of all texts and each text's offsets into them."""
         split = pc.ascii_split_whitespace(col.fill_null("").cast(pa.large_string()))
         ends = split.offsets.to_numpy().astype(np.int64)
         words = split.values.slice(ends[0], ends[-1] - ends[0]).dictionary_encode()
-        if len(self.chunks) >= 2 * self.limit:
-            self.chunks.clear()
-        chunks, coded = self.chunks, []
-        for c in words.dictionary.to_pylist():
-            ids = chunks.get(c)
-            if ids is None:
-                ids = chunks[c] = self.chunk(c) if c else []
-            coded.append(ids)
-        lens = np.fromiter(map(len, coded), dtype=np.int64, count=len(coded))
-        flat = np.fromiter(chain.from_iterable(coded), dtype="<u4", count=int(lens.sum()))
+        flat, (first, lens) = self._coded(words.dictionary.to_pylist())
         at = words.indices.to_numpy(zero_copy_only=False)
         n = lens[at]
-        first = np.concatenate([[0], np.cumsum(lens)[:-1]]) if len(lens) else lens
         total = np.concatenate([[0], np.cumsum(n)])
         ids = flat[np.arange(total[-1]) + np.repeat(first[at] - total[:-1], n)]
         return ids, total[ends - ends[0]]
@@ -112,7 +137,7 @@ def pieces(docs: DataFrame, path: str, *, capacity: int = CAPACITY, end_id: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = _tokenizer(path)
         for whole in batches:
-            for batch in textops.slices(whole, "text", 8 << 20):
+            for batch in textops.slices(whole, "text", 4 << 20):
                 ids, off = tok.batch(batch.column("text"))
                 row, piece, start, length, crc, held = [], [], [], [], [], []
                 for i in range(batch.num_rows):
@@ -131,7 +156,6 @@ def pieces(docs: DataFrame, path: str, *, capacity: int = CAPACITY, end_id: int
                 if with_ids:
                     cols.append(pa.array(held, pa.list_(pa.int64())))
                 yield pa.RecordBatch.from_arrays(cols, names)
-        tok.chunks.clear()
 
     return docs.mapInArrow(run, T.StructType(fields))
 
