@@ -84,3 +84,27 @@ def test_shares_use_all_motives(spark):
                                      "OCCORRENZE string, ZONA int, PAESE_PART string")
     r = alarm_entity_aggregate(df).first()
     assert r["pct_interpol"] == pytest.approx(0.25)
+
+
+def test_date_rules_filed_by_separator_equal_all_rules_in_turn(spark):
+    vals = ["2024-01-15 10:30:00", "2024-1-5T1:3:0", "2024-01-15", "2024/1/15", "15.01.2024", "15-1-24", "15-01-70", "5/1/2024", "5/1/2024 1:30",
+            "5/1/2024 1:30:07", "15-01-2024", "15 1 2024", "Jan 15 2024", "2024-01-15\n", "1/2", "T", "1.2.2024T", "1-2/2024", ":", "", None]
+    turn = F.col("x")
+    for rule in [r for _, rules in C._CANONICAL for r in rules]:
+        turn = F.regexp_replace(turn, *rule)
+    for r in one_col(spark, vals).select("x", C.canonical_date_text("x").alias("a"), turn.alias("b")).collect():
+        assert r["a"] == r["b"], r
+
+
+@pytest.mark.parametrize("feed", ["alarm", "traveller"])
+def test_cleaning_methods_are_short_enough_to_be_compiled(spark, feed):
+    from lanewatch.operators import cleaning as CL
+    from lanewatch.sources import proxy
+    from tests.conftest import SMALL
+    df = {"alarm": CL.clean_alarms, "traveller": CL.clean_travellers}[feed](getattr(proxy, f"raw_{feed}_feed")(spark, SMALL))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        stages = spark._jvm.org.apache.spark.sql.execution.debug.package.codegenStringSeq(df._jdf.queryExecution().executedPlan())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert max(stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())) < 8000      # the JVM's limit
