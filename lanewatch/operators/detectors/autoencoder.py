@@ -3,11 +3,12 @@
 One training rule at every size: limited-memory BFGS on the full-batch loss, to the
 tolerance or AE_MAX_EPOCHS steps; a fit that ends without reaching the tolerance
 warns.  Rows that fit in one task are trained on in that task, in one job.  With more,
-every evaluation is one Spark job in which each partition sums loss and gradient
-over its own rows (``mapInPandas``) and the sums are added up; the driver holds the
-parameters and a few past steps (some hundred doubles each).  The rows are
-persisted for the fit, so an evaluation reads them from the executors, and a lost
-executor only recomputes its partitions.  Scoring broadcasts the weights.
+every evaluation is one Spark job of a single stage in which each partition sums loss
+and gradient over its own rows; the driver adds up one such sum a partition and holds
+the parameters and a few past steps (some hundred doubles each).  The rows are packed
+into small matrices once and persisted for the fit, so an evaluation plans, shuffles and
+converts nothing, and a lost executor only recomputes its partitions.  Scoring broadcasts
+the weights.
 """
 
 from __future__ import annotations
@@ -17,12 +18,16 @@ import warnings
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lanewatch import constants as K
 
+#: rows of a packed matrix: a layer's activations stay in the processor's cache
+BLOCK = 2048
+
 
 def init_params(sizes, seed: int) -> list[np.ndarray]:
     rng = np.random.default_rng(seed)
@@ -152,21 +157,27 @@ def fit(train: DataFrame, features: list[str], key: str = "ROTTA", hidden=K.AE_H
 
         found = {r["i"]: r["x"] for r in train.select(*features).repartition(1).mapInPandas(whole, "i int, x double").collect()}
         return trained(np.array([found[i] for i in range(len(start))]), found[-1] == 1)
-    data = train.select(*features).repartition(tasks).persist()
+    m = len(features)
+
+    def packed(batches):
+        for b in batches:
+            X = b.to_numpy(dtype=float)
+            yield pd.DataFrame({"x": [np.ascontiguousarray(X[i:i + BLOCK]).tobytes() for i in range(0, len(X), BLOCK)]})
+
+    data = train.select(*features).repartition(tasks).mapInPandas(packed, "x binary").rdd.map(lambda r: bytes(r["x"])) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
 
     def evaluate(vec: np.ndarray) -> tuple[float, np.ndarray]:
-        bc = spark.sparkContext.broadcast(vec)
-
-        def run(batches):
-            params, n, loss, grad = unflatten(bc.value, sizes), 0, 0.0, np.zeros(len(bc.value))
-            for b in batches:
-                one, g = loss_and_gradient(b.to_numpy(dtype=float), params)
-                n, loss, grad = n + len(b), loss + one, grad + g
-            yield pd.DataFrame({"i": np.arange(-2, len(grad)), "x": np.concatenate([[n, loss], grad])})
-
-        sums = {r["i"]: r["x"] for r in data.mapInPandas(run, "i int, x double").groupBy("i").agg(F.sum("x").alias("x")).collect()}
-        bc.unpersist()
-        return objective(vec, max(sums[-2], 1.0), sums[-1], np.array([sums[i] for i in range(len(vec))]))
+        def run(blocks):
+            params, n, loss, grad = unflatten(vec, sizes), 0, 0.0, np.zeros(len(vec))
+            for x in blocks:
+                X = np.frombuffer(x).reshape(-1, m)
+                one, g = loss_and_gradient(X, params)
+                n, loss, grad = n + len(X), loss + one, grad + g
+            yield np.concatenate([[n, loss], grad])
+
+        sums = np.sum(data.mapPartitions(run).collect(), axis=0)        # a vector a partition, in their order
+        return objective(vec, max(sums[0], 1.0), sums[1], sums[2:])
 
     try:
         return trained(*minimise(evaluate, start, epochs))

@@ -260,3 +260,18 @@ def test_topset_turnover_ranks_without_a_limit(cloud):
     want = {f: np.mean([1 - len(top([r for r in rows if r.sid == s]) & base) / 20
                         for s in {r.sid for r in rows if r.feature == f}]) for f in FEATS}
     assert {r.feature: r.importance for r in out.collect()} == pytest.approx(want)
+
+
+def test_autoencoder_evaluation_is_one_stage(cloud, monkeypatch):
+    """With rows in several tasks an evaluation shuffles nothing: one job of one stage."""
+    df, _ = cloud
+    evaluations, real = [], AE.minimise
+    monkeypatch.setattr(AE, "minimise", lambda f, *a: real(lambda v: evaluations.append(1) or f(v), *a))
+    sc = df.sparkSession.sparkContext
+    sc.setJobGroup("ae-evaluations", "fit")
+    try:
+        AE.fit(df, FEATS, epochs=20, rows_per_task=80)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    jobs = sc.statusTracker().getJobIdsForGroup("ae-evaluations")
+    assert len(evaluations) >= 20 and len(jobs) <= len(evaluations) + 5     # besides: the count, dealing the rows
