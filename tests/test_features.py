@@ -26,3 +26,18 @@ def test_alarm_rows_are_not_sorted_for_their_aggregate(spark):
     plan = FT.alarm_entity_aggregate(feed(spark))._jdf.queryExecution().sparkPlan().toString()
     lowest = [line for line in plan.splitlines() if "Aggregate(" in line][-1]
     assert "HashAggregate(" in lowest and "Object" not in lowest and "ZONA" in lowest
+
+
+def test_merge_matches_no_null_key_and_parses_every_date_once(spark):
+    alarms = spark.createDataFrame([(1, "F", "R", "2020-01-02 05:00:00"), (2, "F", "R", None), (3, None, "R", "2020-01-02 00:00:00"),
+                                    (4, "F", "R", "2020-01-09 00:00:00")], "_rid long, AREOPORTO_ARRIVO string, AREOPORTO_PARTENZA string, s string") \
+        .selectExpr("_rid", "AREOPORTO_ARRIVO", "AREOPORTO_PARTENZA", "cast(s AS timestamp) AS DATA_PARTENZA")
+    travellers = spark.range(6).selectExpr(
+        "if(id = 5, null, 'F') AS AREOPORTO_ARRIVO", "'R' AS AREOPORTO_PARTENZA",
+        "try_to_timestamp(if(id < 3, '2020-01-02', 'none'), 'y-M-d') AS DATA_PARTENZA", "double(id + 1) AS ENTRATI", "0D AS ALLARMATI",
+        "0D AS INVESTIGATI", "0.5D AS tasso_allarme", "0D AS tasso_investigati", "string(id % 2) AS NAZIONALITA", "'FERMATO' AS ESITO_CONTROLLO")
+    merged = FT.merge_feeds(alarms, travellers)
+    got = {r["_rid"]: (r["tot_entrati"], r["n_nazionalita"], r["n_fermati"]) for r in merged.collect()}
+    assert got == {1: (6.0, 2, 3), 2: (None,) * 3, 3: (None,) * 3, 4: (None,) * 3}
+    plan = merged._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("y-M-d") == 1, plan
