@@ -28,6 +28,51 @@ def test_alarm_rows_are_not_sorted_for_their_aggregate(spark):
     assert "HashAggregate(" in lowest and "Object" not in lowest and "ZONA" in lowest
 
 
+TRAVELLERS = ("_rid long, ROTTA string, ENTRATI double, ALLARMATI double, INVESTIGATI double, tasso_allarme double, "
+              "tasso_investigati double, GENERE string, FASCIA_ETA string, TIPO_DOCUMENTO string, NAZIONALITA string, "
+              "COMPAGNIA_AEREA string, PAESE_PART string, ZONA int, ESITO_CONTROLLO string")
+
+
+def travellers(spark):
+    return spark.createDataFrame([
+        (1, "A", 4.0, 1.0, 2.0, 0.25, 0.5, "M", "b", None, "ITA", "z", "x", 10, "RESPINTO"),
+        (2, "A", 2.0, 1.0, 0.0, 0.5, 0.0, "F", "a", None, "ITA", "z", "x", 9, "FERMATO"),
+        (3, "A", None, None, None, None, None, "F", "a", None, "FRA", "y", None, 10, "OK"),
+        (4, "A", 1.0, 0.0, 0.0, 0.0, 0.0, None, "b", None, "FRA", "y", None, 9, None),
+        (4, "A", 1.0, 0.0, 0.0, 0.0, 0.0, None, None, None, None, "z", None, None, None),
+        (5, "B", None, None, None, None, None, None, None, None, None, None, None, None, None),
+        (6, None, 9.0, 9.0, 9.0, 1.0, 1.0, "M", "c", "d", "ITA", "z", "x", 1, "OK")], TRAVELLERS)
+
+
+def test_traveller_aggregate_takes_the_least_of_the_most_frequent_values(spark):
+    got = {r["ROTTA"]: r for r in FT.traveller_entity_aggregate(travellers(spark)).collect()}
+    a, b = got["A"], got["B"]
+    assert len(got) == 2
+    modes = [*FT.FEW_VALUED.values(), *FT.MANY_VALUED.values()]
+    assert [a[c] for c in modes] == ["F", "a", "ND", "x", 9, "FRA", "z"]
+    assert (a["tot_entrati"], a["tot_allarmati"], a["tot_investigati"], a["n_osservazioni_viag"]) == (8.0, 2.0, 2.0, 4)
+    assert (a["tasso_allarme_medio"], a["n_respinti"], a["n_fermati"], a["tasso_respinti"]) == (0.1875, 1, 1, 0.25)
+    assert [b[c] for c in modes] == ["ND", "ND", "ND", None, None, "ND", "ND"]
+    assert (b["tot_entrati"], b["n_osservazioni_viag"], b["tasso_allarme_medio"], b["tasso_respinti"]) == (0.0, 0, None, 0.0)
+
+
+def test_traveller_aggregate_inside_groups(spark):
+    both = travellers(spark).selectExpr("*", "explode(if(_rid < 3, array(0, 1), array(1))) AS p")
+    got = {(r["p"], r["ROTTA"]): r for r in FT.traveller_entity_aggregate(both, by=("p",)).collect()}
+    assert set(got) == {(0, "A"), (1, "A"), (1, "B")}
+    assert (got[0, "A"]["genere_predominante"], got[0, "A"]["_zona_fallback"], got[0, "A"]["tot_entrati"]) == ("F", 9, 6.0)
+
+
+def test_traveller_rows_are_not_sorted_for_their_aggregate(spark, monkeypatch):
+    """Only the counts by value meet a sorting aggregation, not the rows."""
+    plans = []
+    monkeypatch.setattr(FT, "keep", lambda df: plans.append(df) or df)
+    FT.traveller_entity_aggregate(travellers(spark), by=("_rid",))
+    plan = plans[0]._jdf.queryExecution().sparkPlan().toString()
+    lowest = [line for line in plan.splitlines() if "Aggregate(" in line][-1]
+    assert "HashAggregate(" in lowest and "Object" not in lowest and "COMPAGNIA_AEREA" in lowest
+
+
 def test_merge_matches_no_null_key_and_parses_every_date_once(spark):
     alarms = spark.createDataFrame([(1, "F", "R", "2020-01-02 05:00:00"), (2, "F", "R", None), (3, None, "R", "2020-01-02 00:00:00"),
                                     (4, "F", "R", "2020-01-09 00:00:00")], "_rid long, AREOPORTO_ARRIVO string, AREOPORTO_PARTENZA string, s string") \
