@@ -1,15 +1,15 @@
 """Exact local outlier factor (Euclidean, k neighbours) without comparing all pairs.
 
-kNN: equal points are one point (with its few smallest keys), so copies cost nothing. A
-hashed sample of the points serves as pivots; every point belongs to the cell of its nearest
-pivot, and a cell has a radius. By the triangle inequality no point of a cell is nearer to a
-query than the distance to the cell's pivot minus the radius. Each point reads its own cell
-first, then, in rounds, the next 4, 16, 64, ... cells in order of that bound, as long as the
-bound is below its k-th best distance; inside a cell only the ring of points whose distance to
-the pivot differs by no more than that is compared. It ends when no unread cell can hold
-a nearer point, so the neighbours are exact. A round is one shuffle by cell; cells that
-many points ask for are copied and their requests dealt over the copies. Pivots and radii
-are broadcast (at most ``max_cells`` rows).
+kNN: equal points are one point (with its few smallest keys), so copies cost nothing. Median
+splits of a hashed sample, each along the widest feature, deal the points into cells of about
+``cell_rows``; a cell is packed into one row with the box of its points. Cells that lie together
+form a block; one task searches for all points of a block. It reads the block's own cells
+first, then the other cells, nearest box first, and compares a point with a cell only while the
+box is nearer than its k-th best distance. Cells that no point of a block can need (their
+box is farther than the points of an own cell are apart) are not sent to it. The neighbours
+are exact: a matrix product of points and cell finds the pairs that may count, with a margin for its
+rounding, and these get their distance feature by feature. The split tree and the boxes
+(at most ``max_cells`` cells, more only where the sample misses a dense spot) are held by the driver.
 
 LOF itself (k-distance, reachability, lrd, ratio) is plain joins and
 aggregations on the kNN table, so it has an SQL restatement.
@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,17 +29,8 @@ from lanewatch.session import keep
 #: relative slack of bounds against rounding
 SLACK = 1e-9
 FAR = float("inf")
-#: requests compared with a cell at once
-CHUNK = 256
-
-
-def _distances(q: np.ndarray, r: np.ndarray) -> np.ndarray:
-    """Euclidean distances, summed feature by feature (the rounding of the SQL restatement)."""
-    acc = np.zeros((len(q), len(r)))
-    for j in range(r.shape[1]):
-        d = q[:, j:j + 1] - r[None, :, j]
-        acc = acc + d * d
-    return np.sqrt(acc)
+#: points compared with a cell at once
+CHUNK = 512
 
 
 def _matrix(col: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -63,152 +55,288 @@ def _distinct(points: DataFrame, features: list[str], key: str, k: int) -> DataF
     return out.select(F.element_at("ids", 1).alias("rep"), "vec", "ids", F.greatest(F.lit(0), F.lit(k + 1) - F.size("ids")).alias("need"))
 
 
-class Cells:
-    """Pivots, and once known the radius of every cell; cells are read in order of their bound, the own one first."""
-
-    def __init__(self, pivots: np.ndarray, radius: np.ndarray | None = None):
-        self.pivots, self.radius = pivots, radius
-
-    def nearest(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        d = _distances(x, self.pivots)
-        at = d.argmin(axis=1)
-        return at, d[np.arange(len(x)), at]
-
-    def next(self, x: np.ndarray, own: np.ndarray, tau: np.ndarray, first: int, count: int):
-        """(row, cell) of the cells number ``first`` .. of every row that may hold a point within tau, and rows with more to read."""
-        d = _distances(x, self.pivots)
-        bound = d * (1 - SLACK) - self.radius * (1 + SLACK)
-        bound[np.arange(len(x)), own] = -FAR
-        last = min(first + count, bound.shape[1])
-        order = np.argpartition(bound, last - 1, axis=1)[:, :last] if last < bound.shape[1] else None
-        rows, cells = [], []
-        for i in range(len(x)):
-            mine = np.arange(bound.shape[1]) if order is None else order[i]
-            mine = mine[np.lexsort((mine, bound[i, mine]))][first:last]
-            mine = mine[bound[i, mine] <= tau[i]]
-            rows.append(np.full(len(mine), i))
-            cells.append(mine)
-        return np.concatenate(rows or [np.zeros(0, int)]), np.concatenate(cells or [np.zeros(0, int)])
-
-
-FOUND = pa.schema([("rep", pa.string()), ("nbr", pa.string()), ("dist", pa.float64()), ("pairs", pa.int64())])
-
-
-def _read_cell(requests: pa.Table, members: pa.Table) -> pa.Table:
-    """The nearest members of one cell for every request, as many as it needs; ``pairs`` counts the distances computed."""
-    if not requests.num_rows or not members.num_rows:
-        return FOUND.empty_table()
-    members = members.sort_by([("to_pivot", "ascending"), ("rep", "ascending")])
-    mx, ring = _matrix(members.column("vec")), _column(members, "to_pivot")
-    reps = np.array(members.column("rep").to_pylist(), dtype=object)
-    order = np.argsort(reps, kind="stable")
-    place = np.empty(len(reps), dtype=np.int64)
-    place[order] = np.arange(len(reps))
-    where = {r: i for i, r in enumerate(reps)}
-    requests = requests.sort_by("from_pivot")
-    out_rep, out_nbr, out_d, pairs = [], [], [], []
-    for s in range(0, requests.num_rows, CHUNK):
-        part = requests.slice(s, CHUNK)
-        tau, far, need = (_column(part, c) for c in ("tau", "from_pivot", "need"))
-        own = part.column("rep").to_pylist()
-        slack = SLACK * (1 + far)
-        lo = np.searchsorted(ring, (far - tau - slack).min(), "left")
-        hi = np.searchsorted(ring, (far + tau + slack).max(), "right")
-        if lo >= hi:
-            continue
-        dist = _distances(_matrix(part.column("vec")), mx[lo:hi])
-        computed = dist.size
-        for i, name in enumerate(own):
-            row, limit = dist[i], tau[i]
-            if lo <= where.get(name, -1) < hi:
-                row[where[name] - lo] = FAR
-            if need[i] < len(row):
-                limit = min(limit, np.partition(row, need[i] - 1)[need[i] - 1])
-            at = np.flatnonzero((row <= limit) & (row < FAR))
-            at = at[np.lexsort((place[lo + at], row[at]))[:need[i]]]
-            out_rep += [name] * len(at)
-            out_nbr += reps[lo + at].tolist()
-            out_d.append(row[at])
-            if len(at):
-                pairs += [computed] + [0] * (len(at) - 1)
-                computed = 0
-    return pa.table([pa.array(out_rep, pa.string()), pa.array(out_nbr, pa.string()),
-                     pa.array(np.concatenate(out_d) if out_d else [], pa.float64()), pa.array(pairs, pa.int64())], schema=FOUND)
-
-
-def nearest_points(reps: DataFrame, n: int, cell_rows: int = 1024, max_cells: int = 8192, copies: int = 20_000) -> DataFrame:
-    """(rep, nbr, dist): for every distinct point the ``need`` nearest others, ties by their smallest key; (rep, vec, need) in."""
+class Tree:
+    """Splits of a sample at medians, along the widest feature, down to ``leaf`` points; a point's cell is its leaf, numbered from left to right."""
+
+    def __init__(self, sample: np.ndarray, leaf: float):
+        self.feature, self.cut, self.below, self.cells = [], [], [], 0
+        self._grow(np.nan_to_num(sample), leaf)
+        self.feature, self.cut, self.below = np.array(self.feature), np.array(self.cut), np.array(self.below)
+
+    def _grow(self, x: np.ndarray, leaf: float) -> int:
+        at = len(self.feature)
+        self.feature.append(-1), self.cut.append(0.0), self.below.append((0, 0))
+        j = int(np.argmax(x.var(axis=0))) if len(x) > max(leaf, 1) else -1
+        if j < 0 or x[:, j].min() == x[:, j].max():
+            self.cut[at] = float(self.cells)        # a leaf: its number
+            self.cells += 1
+            return at
+        values = np.sort(x[:, j])
+        cut = max(values[len(values) // 2], values[np.searchsorted(values, values[0], "right")])       # both sides have points
+        self.feature[at], self.cut[at] = j, float(cut)
+        left = x[:, j] < cut
+        self.below[at] = (self._grow(x[left], leaf), self._grow(x[~left], leaf))
+        return at
+
+    def cell(self, x: np.ndarray) -> np.ndarray:
+        node, rows = np.zeros(len(x), dtype=np.int64), np.arange(len(x))
+        while len(rows := rows[self.feature[node[rows]] >= 0]):
+            at = node[rows]
+            node[rows] = self.below[at, np.where(x[rows, self.feature[at]] < self.cut[at], 0, 1)]
+        return self.cut[node].astype(np.int32)
+
+
+PACKED = "cell int, part int, asks long, n long, lo array<double>, hi array<double>, body binary"
+
+
+def _packed(table: pa.Table, most: int) -> pa.Table:
+    """The points of a cell as rows of at most ``most``: number, size, box and an Arrow stream of (vec, ids, need)."""
+    table = table.sort_by("rep").combine_chunks()
+    rows = []
+    for i in range(0, table.num_rows, most):
+        part = table.slice(i, most).select(["vec", "ids", "need"])
+        x, sink = _matrix(part.column("vec")), pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, part.schema) as out:
+            out.write_table(part)
+        asks = int((_column(part, "need") > 0).sum())
+        rows.append({"cell": table.column("cell")[0].as_py(), "part": i // most, "asks": asks, "n": len(x), "lo": x.min(axis=0).tolist(),
+                     "hi": x.max(axis=0).tolist(), "body": sink.getvalue().to_pybytes()})
+    return pa.Table.from_pylist(rows, schema=pa.schema([("cell", pa.int32()), ("part", pa.int32()), ("asks", pa.int64()), ("n", pa.int64()), (
+        "lo", pa.list_(pa.float64())), ("hi", pa.list_(pa.float64())), ("body", pa.binary())]))
+
+
+def _gaps(lo: np.ndarray, hi: np.ndarray, x_lo: np.ndarray, x_hi: np.ndarray) -> np.ndarray:
+    """Least distances between boxes, or between points and a box."""
+    return np.sqrt((np.maximum(0.0, np.maximum(lo - x_hi, x_lo - hi)) ** 2).sum(axis=-1))
+
+
+def _needed(lo: np.ndarray, hi: np.ndarray, n: np.ndarray, block: np.ndarray, k: int) -> dict[int, list[tuple[int, int]]]:
+    """Block -> (cell, place) of the cells it has to read: its own at place 0, then those in reach of a point of it, nearest first."""
+    out = {}
+    for b in np.unique(block[block >= 0]):
+        own = np.flatnonzero(block == b)
+        # a point of a cell with over k points has k others within the cell's diagonal
+        reach = np.where(n[own] > k, np.sqrt(((hi[own] - lo[own]) ** 2).sum(axis=1)), FAR)
+        if n[own].sum() > k:
+            reach = np.fmin(reach, np.sqrt(((hi[own].max(axis=0) - lo[own].min(axis=0)) ** 2).sum()))
+        near, wanted = np.full(len(n), FAR), np.zeros(len(n), dtype=bool)
+        for i, c in enumerate(own):
+            gap = _gaps(lo, hi, lo[c], hi[c])
+            near = np.fmin(near, gap)
+            wanted |= ~(gap * (1 - SLACK) > reach[i] * (1 + SLACK))
+        wanted[own] = False
+        others = np.flatnonzero(wanted)
+        out[int(b)] = [(int(c), 0) for c in own] + [(int(c), i + 1) for i, c in enumerate(others[np.argsort(near[others], kind="stable")])]
+    return out
+
+
+NEAR = "vec array<double>, near array<struct<dist double, nbr string>>, pairs long"
+
+
+def _order(q: np.ndarray, d: np.ndarray, names) -> np.ndarray:
+    """The order by (q, d, name); ``names`` (of the rows given) is only asked for ties."""
+    order = np.lexsort((d, q))
+    tied = np.flatnonzero((np.diff(q[order]) == 0) & (np.diff(d[order]) == 0))
+    if not len(tied):
+        return order
+    tied = order[np.union1d(tied, tied + 1)]
+    rank = np.zeros(len(q), dtype=np.int64)
+    rank[tied] = pc.rank(names(pa.array(tied)), sort_keys="ascending", tiebreaker="dense").to_numpy()
+    return np.lexsort((rank, d, q))
+
+
+def _places(q: np.ndarray) -> np.ndarray:
+    """The place of every row among those of its number, in a sorted column."""
+    return np.arange(len(q)) - np.searchsorted(q, q, "left")
+
+
+class _Points:
+    """A packed cell."""
+
+    def __init__(self, body: bytes):
+        (rows,) = pa.ipc.open_stream(body).read_all().combine_chunks().to_batches()
+        self.vec, self.ids, self.need = (rows.column(c) for c in ("vec", "ids", "need"))
+        self.need, self.x = self.need.to_numpy(), _matrix(self.vec)
+        self.lo, self.hi = self.x.min(axis=0), self.x.max(axis=0)
+        square = (self.x ** 2).sum(axis=1)
+        self.far = np.sqrt(square.max())
+        self.right = np.column_stack([self.x, square]).T
+
+
+class _Search:
+    """The nearest points of a block: ``take`` its own cells, then ``read`` the others."""
+
+    def __init__(self):
+        self.own: list[_Points] = []
+        self.x = None
+
+    def take(self, cell: _Points) -> None:
+        self.own.append(cell)
+
+    def start(self) -> None:
+        asks = [np.flatnonzero(c.need > 0) for c in self.own]
+        ends = np.concatenate([[0], np.cumsum([len(a) for a in asks])])
+        self.groups = [slice(ends[i], ends[i + 1]) for i in range(len(asks))]
+        self.place = np.concatenate(asks)                                   # in the own cell
+        self.x = np.concatenate([c.x[a] for c, a in zip(self.own, asks)])
+        self.need = np.concatenate([c.need[a] for c, a in zip(self.own, asks)])
+        self.vec, self.ids = (pa.concat_arrays([getattr(c, f).take(pa.array(a)) for c, a in zip(self.own, asks)]) for f in ("vec", "ids"))
+        self.left = np.column_stack([-2.0 * self.x, np.ones(len(self.x))])
+        self.square = (self.x ** 2).sum(axis=1)
+        self.tau, self.pairs = np.full(len(self.x), FAR), np.zeros(len(self.x), dtype=np.int64)
+        self.kept = (np.zeros(0, dtype=np.int64), np.zeros(0), self.ids[:0])
+        self.new, self.waiting = [], 0
+        for i, c in enumerate(self.own):
+            self._compare(i, c, same=True)
+        self._cut()
+        for i, c in enumerate(self.own):
+            self.read(c, but=i)
+
+    def read(self, cell: _Points, but: int = -1) -> None:
+        for i, g in enumerate(self.groups):
+            if i != but and g.stop > g.start:
+                self._compare(i, cell)
+        if self.waiting > max(len(self.kept[0]) // 2, 50_000):
+            self._cut()
+
+    def _compare(self, group: int, cell: _Points, same: bool = False) -> None:
+        g = self.groups[group]
+        if g.stop == g.start:
+            return
+        own, tau = self.own[group], self.tau[g]
+        if not same:
+            if _gaps(cell.lo, cell.hi, own.lo, own.hi) * (1 - SLACK) > tau.max():
+                return
+            at = np.flatnonzero(~(_gaps(cell.lo, cell.hi, self.x[g], self.x[g]) * (1 - SLACK) > tau))
+        else:
+            at = np.arange(g.stop - g.start)
+        for s in range(0, len(at), CHUNK):
+            rows = at[s:s + CHUNK] + g.start
+            self.pairs[rows] += len(cell.x)
+            tau, square = self.tau[rows], self.square[rows]
+            near = self.left[rows] @ cell.right             # squared distance less the point's own square
+            margin = 1e-12 * (np.sqrt(square) + cell.far) ** 2
+            if same:
+                near[np.arange(len(rows)), self.place[rows]] = FAR
+            limit = tau * tau * (1 + SLACK) - square + margin
+            need = int(self.need[rows].max())
+            if need < len(cell.x) and (tau == FAR).any():   # the need-th nearest of this cell alone
+                kth = np.partition(near, need - 1, axis=1)[:, need - 1]
+                limit = np.fmin(limit, kth + SLACK * np.abs(kth + square) + 2 * margin)
+            r, c = np.divmod(np.flatnonzero(~(near > limit[:, None])), len(cell.x))
+            d = np.zeros(len(r))
+            for j in range(cell.x.shape[1]):                # the rounding of the SQL restatement
+                one = self.x[rows[r], j] - cell.x[c, j]
+                d = d + one * one
+            d = np.sqrt(d)
+            ok = (d <= tau[r]) & (d < FAR)
+            if same:
+                ok &= c != self.place[rows[r]]
+            if ok.any():
+                self.new.append((rows[r[ok]], d[ok], cell.ids.take(pa.array(c[ok]))))
+                self.waiting += int(ok.sum())
+
+    def _cut(self) -> None:
+        """Keep what every point needs, ties by name, and take its last distance as the limit."""
+        if not self.new:
+            return
+        q, d, ids = zip(self.kept, *self.new)
+        q, d, ids = np.concatenate(q), np.concatenate(d), pa.concat_arrays(ids)
+        self.new, self.waiting = [], 0
+        order = _order(q, d, lambda at: pc.list_element(ids.take(at), 0))
+        q, place = q[order], _places(q[order])
+        last = place == self.need[q] - 1
+        self.tau[q[last]] = d[order[last]]
+        stay = place < self.need[q]
+        self.kept = (q[stay], d[order[stay]], ids.take(pa.array(order[stay])))
+
+    def found(self, rows: int = 8192):
+        """Every point's own copies and its neighbours' in order, as many as it needs."""
+        if self.x is None:
+            self.start()
+        self._cut()
+        for s in range(0, len(self.x), rows):
+            own = self.ids[s:s + rows]
+            lo, hi = np.searchsorted(self.kept[0], [s, s + len(own)])
+            ids, copies, many = self.kept[2][lo:hi], *(i.value_lengths().to_numpy() for i in (self.kept[2][lo:hi], own))
+            q = np.concatenate([np.repeat(np.arange(len(own)), many), np.repeat(self.kept[0][lo:hi] - s, copies)])
+            d = np.concatenate([np.zeros(many.sum()), np.repeat(self.kept[1][lo:hi], copies)])
+            name = pa.concat_arrays([own.flatten(), ids.flatten()])
+            order = _order(q, d, name.take)
+            order = order[_places(q[order]) < (self.need[s:s + rows] + many)[q[order]]]
+            ends = np.concatenate([[0], np.cumsum(np.bincount(q[order], minlength=len(own)))]).astype(np.int32)
+            near = pa.StructArray.from_arrays([pa.array(d[order]), name.take(pa.array(order))], ["dist", "nbr"])
+            yield pa.RecordBatch.from_arrays([self.vec[s:s + rows], pa.ListArray.from_arrays(pa.array(ends), near),
+                                              pa.array(self.pairs[s:s + rows])], ["vec", "near", "pairs"])
+
+
+def _search(batches):
+    """Rows of (block, place, body) in this order -> NEAR."""
+    block, state = None, None
+    for b in batches:
+        for to, place, body in zip(*(b.column(i).to_pylist() for i in range(3))):
+            if to != block:
+                if state is not None:
+                    yield from state.found()
+                block, state = to, _Search()
+            if place == 0:
+                state.take(_Points(body))
+                continue
+            if state.x is None:
+                state.start()
+            state.read(_Points(body))
+    if state is not None:
+        yield from state.found()
+
+
+def _keys_of_partitions(spark, n: int) -> list[int]:
+    """A key for each of n hash partitions."""
+    rows = spark.range(64 * n).select("id", F.pmod(F.hash("id"), F.lit(n)).alias("p")).groupBy("p").agg(F.min("id").alias("id")).collect()
+    found = {r["p"]: r["id"] for r in rows}
+    return [found.get(p, 64 * n + p) for p in range(n)]
+
+
+def nearest_points(reps: DataFrame, n: int, cell_rows: int = 1024, max_cells: int = 8192, block_rows: int = 65_536,
+                   batch_bytes: int = 16 << 20) -> DataFrame:
+    """(vec, near, pairs) of every distinct point with a need: the keys of its copies and of the ``need`` nearest others (ties by their
+    smallest key) by distance, and how many distances were computed; (rep, vec, ids, need) in."""
     spark = reps.sparkSession
     wanted = min(max_cells, max(1, -(-n // cell_rows)))
-    chosen = reps.orderBy(F.xxhash64("rep"), "rep").limit(wanted).select("vec").collect()       # at most max_cells
-    pivots = np.array([r["vec"] for r in chosen], dtype=float).reshape(len(chosen), -1)
-    held = spark.sparkContext.broadcast(Cells(pivots))
-    schema = "rep string, vec array<double>, need int, cell int, to_pivot double"
+    of_cell = min(32, max(8, 65_536 // wanted))
+    chosen = reps.orderBy(F.xxhash64("rep"), "rep").limit(wanted * of_cell).select("vec").collect()       # at most 65,536, or 8 a cell
+    if not chosen:
+        return spark.createDataFrame([], NEAR)
+    sample = np.array([r["vec"] for r in chosen], dtype=float).reshape(len(chosen), -1)
+    tree = spark.sparkContext.broadcast(Tree(sample, len(sample) / wanted))
 
     def assign(batches):
         for b in batches:
             if b.num_rows:
-                cell, d = held.value.nearest(_matrix(b.column("vec")))
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cell, pa.int32()), pa.array(d)],
-                                                 ["rep", "vec", "need", "cell", "to_pivot"])
-
-    members = keep(reps.select("rep", "vec", "need").mapInArrow(assign, schema))
-    radius = np.zeros(len(pivots))
-    for r in members.groupBy("cell").agg(F.max("to_pivot").alias("r")).collect():      # a row a cell
-        radius[r["cell"]] = r["r"]
-    cells = spark.sparkContext.broadcast(Cells(pivots, radius))
-    slim = members.select("rep", "vec", "cell", "to_pivot")
-    waiting = members.filter("need > 0").withColumn("tau", F.lit(FAR))
-    best, first, count = None, 0, 1
-    ask = "rep string, vec array<double>, need int, tau double, to int, from_pivot double"
-
-    def requests(batches):
-        for b in batches:
-            if b.num_rows:
-                x = _matrix(b.column("vec"))
-                rows, to = cells.value.next(x, b.column("cell").to_numpy(), b.column("tau").to_numpy(), start, size)
-                taken = pa.Table.from_batches([b.select(["rep", "vec", "need", "tau"])]).take(pa.array(rows, pa.int64())).combine_chunks()
-                far = np.sqrt(((x[rows] - cells.value.pivots[to]) ** 2).sum(axis=1))
-                for part in taken.append_column("to", pa.array(to, pa.int32())).append_column("from_pivot", pa.array(far)).to_batches():
-                    yield part
-
-    while first < len(pivots):
-        start, size = first, count
-        asked = waiting.select("rep", "vec", "need", "cell", "tau").mapInArrow(requests, ask)
-        loads = {0: n}
-        if len(pivots) > 1:
-            asked = keep(asked)
-            loads = {r["to"]: r["n"] for r in asked.groupBy("to").agg(F.count(F.lit(1)).alias("n")).collect()}     # a row a cell
-        if not loads:
-            break
-        parts = {c: -(-m // copies) for c, m in loads.items()}
-        found = _answer(asked, slim, parts)
-        best = found if best is None else best.unionByName(found)
-        order = Window.partitionBy("rep").orderBy("dist", "nbr")
-        need = members.select("rep", "need")
-        best = keep(best.join(need, "rep").withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= F.col("need"))
-                    .select("rep", "nbr", "dist", "pairs"))
-        kth = best.groupBy("rep").agg(F.max("dist").alias("_far"), F.count(F.lit(1)).alias("_m"))
-        first, count = first + count, count * 4
-        if first >= len(pivots):
-            break
-        waiting = members.filter("need > 0").join(kth, "rep", "left").withColumn(
-            "tau", F.when(F.col("_m") >= F.col("need"), F.col("_far")).otherwise(F.lit(FAR))).drop("_far", "_m")
-    if best is None:
-        return spark.createDataFrame([], "rep string, nbr string, dist double, pairs long")
-    return best
-
-
-def _answer(asked: DataFrame, members: DataFrame, parts: dict[int, int]) -> DataFrame:
-    """Requests meet the members of their cells; a cell asked for by many is copied ``parts`` times."""
-    spark = asked.sparkSession
-    table = F.broadcast(spark.createDataFrame([(c, p) for c, p in parts.items()], "_c int, _parts int"))     # a row a cell
-    dealt = asked.join(table, F.col("to") == F.col("_c")).withColumn("part", F.pmod(F.xxhash64("rep"), F.col("_parts")).cast("int"))
-    copied = members.join(table, F.col("cell") == F.col("_c")) \
-        .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
-    return (dealt.drop("_c", "_parts").groupBy("to", "part")
-            .cogroup(copied.select(F.col("cell").alias("to"), "part", "rep", "vec", "to_pivot").groupBy("to", "part"))
-            .applyInArrow(_read_cell, "rep string, nbr string, dist double, pairs long"))
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(tree.value.cell(_matrix(b.column("vec"))), pa.int32())],
+                                                 ["rep", "vec", "ids", "need", "cell"])
+
+    members = reps.select("rep", "vec", "ids", "need").mapInArrow(assign, "rep string, vec array<double>, ids array<string>, need int, cell int")
+    most = 2 * max(cell_rows, -(-n // wanted))
+    packed = keep(members.groupBy("cell").applyInArrow(lambda t: _packed(t, most), PACKED))
+    info = sorted(packed.drop("body").collect(), key=lambda r: (r["cell"], r["part"]))      # a row a cell
+    lo, hi = (np.array([r[c] for r in info], dtype=float) for c in ("lo", "hi"))
+    asks, size = (np.array([r[c] for r in info]) for c in ("asks", "n"))
+    total = int(asks.sum())
+    tasks = max(-(-total // block_rows), min(3 * spark.sparkContext.defaultParallelism, len(info)))
+    block = np.where(asks > 0, (np.cumsum(asks) - asks) * tasks // max(total, 1), -1)
+    k = reps.agg(F.max("need")).first()[0]
+    keys = _keys_of_partitions(spark, tasks)
+    table = spark.createDataFrame([(info[c]["cell"], info[c]["part"], keys[b], i) for b, cells in _needed(lo, hi, size, block, k).items()
+                                   for c, i in cells], "cell int, part int, block long, place int")
+    asked = packed.select("cell", "part", "body").join(F.broadcast(table), ["cell", "part"]).repartition(tasks, "block") \
+        .sortWithinPartitions("block", "place", "cell", "part").select("block", "place", "body")
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(batch_bytes))      # a row is a cell
+    try:
+        return keep(asked.mapInArrow(_search, NEAR))
+    finally:
+        spark.conf.set(name, before)
 
 
 def knn(points: DataFrame, features: list[str], key: str = "ROTTA", k: int = 20, cell_rows: int = 1024,
@@ -217,14 +345,10 @@ def knn(points: DataFrame, features: list[str], key: str = "ROTTA", k: int = 20,
     k = int(min(k, max(points.count() - 1, 1)))
     reps = keep(_distinct(points, features, key, k))
     near = nearest_points(reps, reps.count(), cell_rows, max_cells)
-    own = reps.select(F.col("rep"), F.col("rep").alias("nbr"), F.lit(0.0).alias("dist"))
-    names = reps.select(F.col("rep").alias("_rep"), "ids")
-    lists = near.select("rep", "nbr", "dist").unionByName(own).join(names, F.col("nbr") == F.col("_rep")) \
-        .groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("dist", "ids"))).alias("near"))       # at most k + 1 points
-    flat = F.flatten(F.transform("near", lambda s: F.transform(s["ids"], lambda i: F.struct(s["dist"].alias("dist"), i.alias("nbr")))))
-    lists = keep(lists.select("rep", F.slice(F.array_sort(flat), 1, k + 1).alias("near")).join(reps.select("rep", "vec"), "rep"))
+    copies = F.transform("ids", lambda i: F.struct(F.lit(0.0).alias("dist"), i.alias("nbr"))).alias("near")
+    lists = near.select("vec", "near").unionByName(reps.filter("need = 0").select("vec", copies))       # at most k + 1 keys
     vec = F.array(*[F.col(c).cast("double") + F.lit(0.0) for c in features])
-    named = points.select(F.col(key).cast("string").alias("_id"), vec.alias("vec")).join(lists.select("vec", "near"), "vec")
+    named = points.select(F.col(key).cast("string").alias("_id"), vec.alias("vec")).join(lists, "vec")
     own_list = F.slice(F.filter("near", lambda s: s["nbr"] != F.col("_id")), 1, k)
     return (named.select(F.col("_id").alias(key), F.posexplode(own_list).alias("_p", "_s"))
             .select(key, F.col("_s.nbr").alias("nbr"), F.col("_s.dist").alias("dist"), (F.col("_p") + 1).alias("rank")))

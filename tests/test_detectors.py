@@ -275,3 +275,29 @@ def test_autoencoder_evaluation_is_one_stage(cloud, monkeypatch):
         sc.setLocalProperty("spark.jobGroup.id", None)
     jobs = sc.statusTracker().getJobIdsForGroup("ae-evaluations")
     assert len(evaluations) >= 20 and len(jobs) <= len(evaluations) + 5     # besides: the count, dealing the rows
+
+
+def test_knn_in_many_dimensions(spark):
+    """Where cells hide little, neighbours are exact, every point still skips cells, and the jobs do not grow with the cells."""
+    from pyspark.sql import functions as F
+    names, jobs, n, k = [f"x{j}" for j in range(7)], [], 3000, 6
+    df = spark.range(n).select(F.format_string("p%05d", "id").alias("ROTTA"), *[
+        (F.pmod(F.xxhash64("id", F.lit(j)), F.lit(1_000_003)) / 1e6).alias(c) for j, c in enumerate(names)])
+    reps = LOF._distinct(df, names, "ROTTA", k).cache()
+    sc = spark.sparkContext
+    for cell_rows in (300, 15):
+        sc.setJobGroup(f"neighbours-{cell_rows}", "search")
+        try:
+            near = LOF.nearest_points(reps, n, cell_rows=cell_rows)
+        finally:
+            sc.setLocalProperty("spark.jobGroup.id", None)
+        jobs.append(len(sc.statusTracker().getJobIdsForGroup(f"neighbours-{cell_rows}")))
+    assert jobs[1] <= jobs[0] + 2
+    assert near.agg(F.sum("pairs")).first()[0] < 0.8 * n * n
+    rows = sorted(df.collect())
+    x, got = np.array([r[1:] for r in rows]), {}
+    for r in LOF.knn(df, names, k=k, cell_rows=15).collect():
+        got.setdefault(r.ROTTA, []).append((r["rank"], r.nbr))
+    for i in range(0, n, 50):
+        d = ((x - x[i]) ** 2).sum(axis=1)
+        assert [b for _, b in sorted(got[rows[i].ROTTA])] == [rows[j].ROTTA for j in np.argsort(d, kind="stable")[1:k + 1]]
