@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lanewatch.functions.columns import sum_cols
-from lanewatch.session import keep
+from lanewatch.session import in_few_parts, keep
 
 #: relative slack of bounds against rounding
 SLACK = 1e-9
@@ -317,7 +317,7 @@ def nearest_points(reps: DataFrame, n: int, cell_rows: int = 1024, max_cells: in
 
     members = reps.select("rep", "vec", "ids", "need").mapInArrow(assign, "rep string, vec array<double>, ids array<string>, need int, cell int")
     most = 2 * max(cell_rows, -(-n // wanted))
-    packed = keep(members.groupBy("cell").applyInArrow(lambda t: _packed(t, most), PACKED))
+    packed = keep(in_few_parts(members.groupBy("cell").applyInArrow(lambda t: _packed(t, most), PACKED), n))
     info = sorted(packed.drop("body").collect(), key=lambda r: (r["cell"], r["part"]))      # a row a cell
     lo, hi = (np.array([r[c] for r in info], dtype=float) for c in ("lo", "hi"))
     asks, size = (np.array([r[c] for r in info]) for c in ("asks", "n"))
@@ -342,11 +342,13 @@ def nearest_points(reps: DataFrame, n: int, cell_rows: int = 1024, max_cells: in
 def knn(points: DataFrame, features: list[str], key: str = "ROTTA", k: int = 20, cell_rows: int = 1024,
         max_cells: int = 8192) -> DataFrame:
     """(key, nbr, dist, rank) for the k nearest other points, ties by neighbour key."""
-    k = int(min(k, max(points.count() - 1, 1)))
-    reps = keep(_distinct(points, features, key, k))
+    n = points.count()
+    k = int(min(k, max(n - 1, 1)))
+    reps = keep(in_few_parts(_distinct(in_few_parts(points, n), features, key, k), n))
     near = nearest_points(reps, reps.count(), cell_rows, max_cells)
     copies = F.transform("ids", lambda i: F.struct(F.lit(0.0).alias("dist"), i.alias("nbr"))).alias("near")
-    lists = near.select("vec", "near").unionByName(reps.filter("need = 0").select("vec", copies))       # at most k + 1 keys
+    # at most k + 1 keys a point; dealt anew, since a search has few tasks
+    lists = near.select("vec", "near").unionByName(reps.filter("need = 0").select("vec", copies)).repartition("vec")
     vec = F.array(*[F.col(c).cast("double") + F.lit(0.0) for c in features])
     named = points.select(F.col(key).cast("string").alias("_id"), vec.alias("vec")).join(lists, "vec")
     own_list = F.slice(F.filter("near", lambda s: s["nbr"] != F.col("_id")), 1, k)
@@ -368,7 +370,8 @@ def lof_from_knn(nn: DataFrame, key: str = "ROTTA", k: int | None = None) -> Dat
 
 def local_outlier_factor(points: DataFrame, features: list[str], key: str = "ROTTA", k: int = 20,
                          cell_rows: int = 1024) -> DataFrame:
-    nn = keep(knn(points, features, key=key, k=k, cell_rows=cell_rows))  # read by three joins
+    nn = knn(points, features, key=key, k=k, cell_rows=cell_rows)
+    nn = keep(in_few_parts(nn, points.count()))     # read by three joins
     return lof_from_knn(nn, key=key)
 
 

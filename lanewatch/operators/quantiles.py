@@ -9,10 +9,16 @@ lie about 4 / accuracy of the values, ties of a border excluded, so one value th
 most rows ends the search instead of blocking it. At most ``cap`` values of a range are
 sorted; a range with more is searched again in the same way. Every pass is a partial aggregation;
 nothing but the borders, counts and at most ``cap`` values an id is shuffled.
+
+Whole columns (``quantiles``) need no tables for this: borders and counts of a few columns are numbers
+that the driver holds, and every pass is one job.
 """
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -128,17 +134,91 @@ def _between(q: float, at) -> Column:
     return F.when(lo == hi, at(lo)).otherwise((hi - p) * at(lo) + (p - lo) * at(hi))
 
 
+@dataclass
+class _Range:
+    """The values of column ``c`` strictly between two borders (None: all): how many, how many of the column come before, the ranks looked for."""
+
+    c: int
+    a: float | None
+    b: float | None
+    n: int
+    before: int
+    ranks: list[int]
+    borders: list[float] | None = None
+
+
+def _inside(long: DataFrame, ranges: list[_Range]) -> DataFrame:
+    """(g, x): the values of every range; g is its number."""
+    of = {c: [i for i, g in enumerate(ranges) if g.c == c] for c in range(1 + max(g.c for g in ranges))}
+    ends = F.array(*[F.array(*[F.struct(F.lit(i).alias("g"), F.lit(ranges[i].a).cast("double").alias("a"), F.lit(ranges[i].b).cast("double").alias("b"))
+                               for i in own]) if own else F.lit(None).cast("array<struct<g:int,a:double,b:double>>") for own in of.values()])
+    x = F.col("x")
+    inside = F.filter(F.get(ends, F.col("c")), lambda s: F.coalesce(x > s["a"], F.lit(True)) & F.coalesce(x < s["b"], F.lit(True)))
+    return long.select(F.explode(inside).alias("_r"), "x").select("_r.g", "x")
+
+
+def _sketch(fractions: list[float], accuracy: int) -> Column:
+    """Border values: least, proposed, largest."""
+    near = F.percentile_approx("x", fractions, accuracy)
+    return F.array_sort(F.array_distinct(F.concat(F.array(F.min("x")), near, F.array(F.max("x"))))).alias("s")
+
+
+def _ranked(long: DataFrame, ranges: list[_Range], accuracy: int, cap: int) -> dict[tuple[int, int], float]:
+    """(c, rank) -> value; ``long`` has (c, x)."""
+    found = {}
+    while ranges:
+        small, large = [g for g in ranges if g.n <= cap], [g for g in ranges if g.n > cap]
+        ranges = []
+        if small:
+            places = F.get(F.array(*[F.array(*[F.lit(r - g.before) for r in g.ranks]) for g in small]), F.col("g"))
+            rows = _inside(long, small).groupBy("g").agg(F.sort_array(F.collect_list("x")).alias("v"))
+            for r in rows.select("g", F.transform(places, lambda i: F.get("v", i)).alias("v")).collect():      # a number a rank
+                found |= {(small[r["g"]].c, k): v for k, v in zip(small[r["g"]].ranks, r["v"])}
+        unknown = [g for g in large if g.borders is None]
+        if unknown:
+            for r in _inside(long, unknown).groupBy("g").agg(_sketch(GRID, accuracy)).collect():
+                unknown[r["g"]].borders = list(r["s"])
+        if not large:
+            continue
+        of = F.get(F.array(*[F.array(*[F.lit(b) for b in g.borders]) for g in large]), F.col("g"))
+        at = [F.get(of, F.lit(j)) for j in range(max(len(g.borders) for g in large))]
+        counted = _inside(long, large).groupBy("g").agg(F.array(*[F.count_if(F.col("x") < b) for b in at]).alias("below"),
+                                                        F.array(*[F.count_if(F.col("x") == b) for b in at]).alias("equal"))
+        for r in counted.collect():
+            g, inner = large[r["g"]], {}
+            for k in g.ranks:
+                # the last border with no more than the rank's values below it
+                j = max(i for i in range(len(g.borders)) if i == 0 or r["below"][i] <= k - g.before)
+                upto = r["below"][j] + r["equal"][j]
+                if k - g.before < upto:
+                    found[g.c, k] = g.borders[j]
+                    continue
+                inner.setdefault(j, _Range(g.c, g.borders[j], g.borders[j + 1], r["below"][j + 1] - upto, g.before + upto, [])).ranks.append(k)
+            ranges += inner.values()
+    return found
+
+
 def quantiles(df: DataFrame, values: dict[str, Column | str], qs: list[float], *, at_most: int | None = None,
-              exact: bool = True) -> dict[str, list[float | None]]:
+              exact: bool = True, accuracy: int = ACCURACY, cap: int = CAP) -> dict[str, list[float | None]]:
     """The quantiles of whole columns as Python numbers; None where a column has no values.
 
     ``exact=False``: one pass of the sketch alone.
     """
-    if exact:
-        rows = {r["column"]: list(r["q"]) for r in quantiles_by(df, values, qs, at_most=at_most).collect()}
+    names, rows = list(values), {}
+    if exact and at_most is not None and at_most <= cap:
+        rows = {r["column"]: list(r["q"]) for r in quantiles_by(df, values, qs, at_most=at_most, cap=cap).collect()}
+    elif exact:
+        long, near = unpivoted(df, values).select("id.c", "x"), 2.0 / accuracy
+        fractions = sorted({min(1.0, max(0.0, f)) for q in qs for f in (q - near, q + near)})
+        heads = {r["c"]: r for r in long.groupBy("c").agg(F.count(F.lit(1)).alias("n"), _sketch(fractions, accuracy)).collect()}
+        places = {c: [(r["n"] - 1) * float(q) for q in qs] for c, r in heads.items()}
+        found = _ranked(long, [_Range(c, None, None, r["n"], 0, sorted({f(p) for p in places[c] for f in (math.floor, math.ceil)}), list(r["s"]))
+                               for c, r in heads.items()], accuracy, cap)
+        for c, at in places.items():
+            ends = [(p, math.floor(p), math.ceil(p)) for p in at]
+            rows[names[c]] = [found[c, lo] if lo == hi else (hi - p) * found[c, lo] + (p - lo) * found[c, hi] for p, lo, hi in ends]
     else:
         long = unpivoted(df, values)
-        names = list(values)
         rows = {names[r["c"]]: list(r["q"]) for r in long.groupBy("id.c").agg(
             F.percentile_approx("x", qs, ACCURACY).alias("q")).collect()}
     return {c: rows.get(c, [None] * len(qs)) for c in values}

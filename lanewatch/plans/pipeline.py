@@ -19,7 +19,7 @@ from lanewatch.operators import baseline as B
 from lanewatch.operators import features as FT
 from lanewatch.operators import rules as R
 from lanewatch.operators.detectors import ensemble as EN
-from lanewatch.session import cut_lineage, keep
+from lanewatch.session import cut_lineage, in_few_parts, keep
 
 
 @dataclass
@@ -52,7 +52,7 @@ def score_entities(baseline: DataFrame, detectors=("IF", "LOF", "Z", "AE"), key:
         from lanewatch.operators.detectors import iforest as IF
         from lanewatch.operators.detectors import lof as LOF
         from lanewatch.operators.detectors.scaling import standard_scale
-        scaled = keep(standard_scale(df.select(key, *feats), feats))
+        scaled = keep(in_few_parts(standard_scale(df.select(key, *feats), feats), df.count()))
         scores = df.select(key)
         if "IF" in detectors or "AE" in detectors:
             forest = IF.fit(scaled, feats, key=key, n_trees=K.N_TREES, max_samples=K.MAX_SAMPLES, seed=seed)

@@ -301,3 +301,14 @@ def test_knn_in_many_dimensions(spark):
     for i in range(0, n, 50):
         d = ((x - x[i]) ** 2).sum(axis=1)
         assert [b for _, b in sorted(got[rows[i].ROTTA])] == [rows[j].ROTTA for j in np.argsort(d, kind="stable")[1:k + 1]]
+
+
+def test_lof_of_a_table_in_many_partitions(cloud, monkeypatch):
+    """Neighbour tables do not stay in as many partitions as the input; the factors are the same."""
+    df, _ = cloud
+    spread, real = [], LOF.keep
+    monkeypatch.setattr(LOF, "keep", lambda t: spread.append(real(t)) or spread[-1])
+    got = {r.ROTTA: r.lof for r in LOF.local_outlier_factor(df.repartition(150), FEATS, k=20, cell_rows=20).collect()}
+    assert max(t.rdd.getNumPartitions() for t in spread) <= 3 * df.sparkSession.sparkContext.defaultParallelism
+    want = {r.ROTTA: r.lof for r in LOF.local_outlier_factor(df.coalesce(1), FEATS, k=20, cell_rows=20).collect()}
+    assert got == pytest.approx(want, rel=1e-9)

@@ -70,3 +70,22 @@ def test_empty(spark):
     df = spark.createDataFrame([], "g string, x double")
     assert Q.quantiles(df, {"x": "x"}, [0.5]) == {"x": [None]}
     assert Q.quantiles_by(df, {"x": "x"}, [0.5], ("g",)).count() == 0
+
+
+@pytest.mark.parametrize("cap", [50_000, 700, 40, 3])
+def test_whole_columns_take_one_job_a_pass(spark, cap):
+    """The same numbers by sorting, one search and searches inside searches, without tables of borders and counts."""
+    data = rows(3)
+    df = spark.createDataFrame(data, SCHEMA).repartition(4)
+    sc = spark.sparkContext
+    sc.setJobGroup(f"quantiles-{cap}", "search")
+    try:
+        got = Q.quantiles(df, {c: c for c in COLS}, QS, accuracy=10_000 if cap >= 700 else 50, cap=cap)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    for i, c in enumerate(COLS[:-1]):
+        values = [r[2 + i] for r in data if r[2 + i] is not None]
+        assert got[c] == pytest.approx([expected(values, q) for q in QS], rel=1e-12)
+    assert got["nothing"] == [None] * len(QS)
+    if cap >= 700:
+        assert len(sc.statusTracker().getJobIdsForGroup(f"quantiles-{cap}")) <= 9     # three passes of two or three stages
